@@ -1,6 +1 @@
 """Training-sample preparation for click models, as Spark DataFrame operators."""
-
-from ctrprep.plans.runner import Prepared, prepare, write_outputs
-from ctrprep.plans.spec import PrepSpec
-
-__all__ = ["PrepSpec", "Prepared", "prepare", "write_outputs"]

@@ -49,14 +49,15 @@ class FeatureMap:
         part = self._index_entries if name in self.indexes else self._interval_entries
         return part(position).select("value", "id", "pv")
 
-    def bucket_bounds(self, name: str) -> DataFrame:
-        """``(id, low)``: the smallest number of every bucket in use; at most two
-        rows per configured bucket."""
-        numbered = self._interval_entries(self.columns.index(name))
-        return numbered.groupBy("id").agg(F.min(F.col("value").try_cast("bigint")).alias("low"))
-
-    def buckets(self, name: str) -> int:
-        return dict(self.intervals)[name]
+    @cached_property
+    def bucket_bounds(self) -> dict[str, list[tuple[int, int]]]:
+        """Per bucketed column the ``(lowest number, id)`` of every bucket in use,
+        ascending: at most two per configured bucket."""
+        lowest = self._interval_entries().groupBy("name", "id").agg(
+            F.min(F.col("value").try_cast("bigint")).alias("low")
+        )
+        found = sorted((r["name"], r["low"], r["id"]) for r in lowest.collect())
+        return {name: [(low, i) for n, low, i in found if n == name] for name, _ in self.intervals}
 
     @cached_property
     def sizes(self) -> dict[str, tuple[int, int]]:

@@ -4,79 +4,107 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import key_text, require_columns, text
+from ctrprep.functions.columns import key_text, require_columns
 from ctrprep.operators.featuremap import FeatureMap
 
-# A dictionary goes to every executor only below this estimate.
+# All dictionaries that one frame broadcasts stay below this estimate together.
 BROADCAST_BYTES = 64 << 20
 # Object and hash-table cost of one broadcast entry on top of its text.
 _ENTRY_OVERHEAD = 64
-# A value is hot from this share of all rows on; so at most 1/share are.
-HOT_SHARE = 1 / 2000
+# A value is hot from this share of all rows on, so there are at most 2000.
+_HOT_SHARE = 1 / 2000
+# Where a map has no counts, hot values are looked for in this share of the rows.
+_HOT_SAMPLE = 0.001
+# Whole numbers up to here are exact as doubles.
+_EXACT = 1 << 53
+
+Size = tuple[int, int]
 
 
 def id_column(name: str) -> str:
     return f"{name}_id"
 
 
-def fits_broadcast(rows: int, value_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    return rows * _ENTRY_OVERHEAD + (value_bytes or 0) <= limit
+def small_enough(sizes: Mapping[str, Size], limit: int = BROADCAST_BYTES) -> set[str]:
+    """The dictionaries to broadcast, smallest first while their total size
+    (rows, value bytes) stays within ``limit``."""
+    chosen, used = set(), 0
+    cost = {name: rows * _ENTRY_OVERHEAD + (value_bytes or 0) for name, (rows, value_bytes) in sizes.items()}
+    for name in sorted(cost, key=cost.get):
+        used += cost[name]
+        if used > limit:
+            break
+        chosen.add(name)
+    return chosen
+
+
+def look_up_small(df: DataFrame, entries: DataFrame, column: str, to: str) -> DataFrame:
+    """Add ``to``: the id that ``entries(value, id)`` gives the trimmed text of
+    ``column``, NULL for a miss, by broadcasting the entries.  Their size must
+    have been checked, and their values must be unique."""
+    require_columns(df, [column])
+    dictionary = entries.select(F.col("value").alias("__value"), F.col("id").alias(to))
+    found = df.withColumn("__key", key_text(column)).join(
+        F.broadcast(dictionary), F.col("__key") == F.col("__value"), "left"
+    )
+    return found.drop("__key", "__value")
+
+
+def hot_by_counts(entries: DataFrame) -> DataFrame:
+    """The entries whose own count ``pv`` makes them hot."""
+    total = entries.agg(F.sum("pv")).scalar()
+    return entries.where(F.col("pv") >= total * F.lit(_HOT_SHARE)).select("value", "id")
+
+
+def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
+    """The entries of values frequent in a sample of the rows.  Which values count
+    as hot decides how rows travel and never what they get."""
+    sampled = df.select(key_text(column).alias("value")).where(F.col("value").isNotNull()).sample(_HOT_SAMPLE, 7)
+    counted = sampled.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    total = sampled.agg(F.count(F.lit(1))).scalar()
+    frequent = counted.where((F.col("n") >= total * F.lit(_HOT_SHARE)) & (F.col("n") > 1)).select("value")
+    return entries.join(F.broadcast(frequent), "value", "left_semi").select("value", "id")
 
 
-def look_up(df: DataFrame, entries: DataFrame, column: str, to: str, small: bool) -> DataFrame:
-    """Add ``to``: the id that ``entries(value, id[, pv])`` gives the trimmed text
-    of ``column``, NULL for a miss.  Values must be unique in ``entries``.
+def look_up_large(df: DataFrame, entries: DataFrame, column: str, to: str, hot: DataFrame) -> DataFrame:
+    """The same for entries too large to broadcast: rows meet them by a shuffle.
 
-    ``small`` says that the entries' size was measured and fits a broadcast.
-    Otherwise rows are shuffled by value, and where counts are known the few hot
-    values are resolved first by a broadcast of at most ``1 / HOT_SHARE``
-    entries; resolved rows and NULLs then travel under a spread key instead of
-    all meeting in one task.  Any skew left is AQE's to split.
+    ``hot`` are the few entries (at most ``1 / _HOT_SHARE``) that many rows
+    share.  They are broadcast and resolved first; those rows, and rows whose
+    value is NULL, then travel under a spread key that meets no entry, instead
+    of all meeting in one task.
     """
     require_columns(df, [column])
-    key = key_text(column)
-    dictionary = entries.select(F.col("value").alias("__value"), F.col("id").alias("__id"))
-    if small:
-        found = df.withColumn("__key", key).join(F.broadcast(dictionary), F.col("__key") == F.col("__value"), "left")
-        return found.withColumn(to, F.col("__id")).drop("__key", "__value", "__id")
-
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    keyed = df.withColumn("__key", key)
-    if "pv" in entries.columns:
-        total = entries.agg(F.sum("pv")).scalar()
-        hot = entries.where(F.col("pv") >= total * F.lit(HOT_SHARE)).select(
-            F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id")
-        )
-        keyed = keyed.join(F.broadcast(hot), F.col("__key") == F.col("__hot_value"), "left").drop("__hot_value")
-    else:
-        keyed = keyed.withColumn("__hot_id", F.lit(None).cast("bigint"))
+    hot = hot.select(F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id"))
+    keyed = df.withColumn("__key", key_text(column)).join(
+        F.broadcast(hot), F.col("__key") == F.col("__hot_value"), "left"
+    )
     keyed = keyed.withColumn("__key", F.when(F.col("__hot_id").isNull(), F.col("__key")))
     keyed = keyed.withColumn("__spread", F.when(F.col("__key").isNull(), spread).otherwise(F.lit(0)))
-    dictionary = dictionary.withColumn("__zero", F.lit(0).cast("bigint"))
-    met = (F.col("__key") == F.col("__value")) & (F.col("__spread") == F.col("__zero"))
-    found = keyed.join(dictionary, met, "left")
-    return found.withColumn(to, F.coalesce("__hot_id", "__id")).drop(
-        "__key", "__value", "__id", "__hot_id", "__spread", "__zero"
+    dictionary = entries.select(
+        F.col("value").alias("__value"), F.col("id").alias("__id"), F.lit(0).cast("bigint").alias("__zero")
     )
+    met = (F.col("__key") == F.col("__value")) & (F.col("__spread") == F.col("__zero"))
+    found = keyed.join(dictionary, met, "left").withColumn(to, F.coalesce("__hot_id", "__id"))
+    return found.select(*df.columns, to)
 
 
-def bucket_of(number: Column, bounds: Column, buckets: int) -> Column:
-    """The id of the last bucket whose lowest number does not exceed ``number``.
-
-    ``bounds`` is a sorted array of ``(low, id)``; halving steps make this a
-    dozen comparisons per row instead of a join on the number.
-    """
-    longest = 2 * buckets + 1
-    steps = [1 << k for k in reversed(range(longest.bit_length()))]
-    place = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step)["low"] <= number, at + step).otherwise(at),
+def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[int, int]]) -> DataFrame:
+    """Add the id of the last bucket ``(low, id)`` whose low the number reaches:
+    a search among a few hundred bounds in place of a join on the number."""
+    lows = [float(low) for low, _ in bounds]
+    ids = [None, *(int(i) for _, i in bounds), None]  # below all buckets ... no number
+    search = Bucketizer(
+        splits=[float("-inf"), *lows, float("inf")], inputCol="__number", outputCol="__place", handleInvalid="keep"
     )
-    return F.when(number >= F.get(bounds, F.lit(0))["low"], F.get(bounds, place)["id"])
+    placed = search.transform(df.withColumn("__number", key_text(column).try_cast("bigint").cast("double")))
+    table = F.array(*[F.lit(i).cast("bigint") for i in ids])
+    return placed.withColumn(to, F.get(table, F.col("__place").cast("int"))).drop("__number", "__place")
 
 
 def add_ids(
@@ -88,20 +116,23 @@ def add_ids(
 ) -> DataFrame:
     """Add an id column for every mapped column (``{column: new name}``).
 
-    ``same_rows`` states that the map was built from just these rows: buckets
-    too numerous to broadcast value by value are then found from their bounds,
-    without a shuffle.
+    ``same_rows`` states that the map was built from just these rows.  Every
+    number then lies in the bucket that the bounds give, and bucketed columns
+    need no lookup by value.
     """
     columns = columns or {c: id_column(c) for c in fmap.columns}
-    bucketed = dict(fmap.intervals)
+    bounds = fmap.bucket_bounds if same_rows and any(c in columns for c, _ in fmap.intervals) else {}
+    by_bounds = {c for c in columns if bounds.get(c) and all(abs(low) <= _EXACT for low, _ in bounds[c])}
+    sizes = {c: fmap.sizes[c] for c in columns if c not in by_bounds}
+    small = small_enough(sizes, broadcast_bytes)
     for column, to in columns.items():
-        rows, size = fmap.sizes[column]
-        small = fits_broadcast(rows, size, broadcast_bytes)
-        if column in bucketed and same_rows and not small:
-            bounds = fmap.bucket_bounds(column).agg(F.sort_array(F.collect_list(F.struct("low", "id")))).scalar()
-            df = df.withColumn(to, bucket_of(text(column).try_cast("bigint"), bounds, bucketed[column]))
+        if column in by_bounds:
+            df = add_bucket_ids(df, column, to, bounds[column])
+        elif column in small:
+            df = look_up_small(df, fmap.of(column), column, to)
         else:
-            df = look_up(df, fmap.of(column), column, to, small)
+            entries = fmap.of(column)
+            df = look_up_large(df, entries, column, to, hot_by_counts(entries))
     return df
 
 
@@ -118,13 +149,19 @@ def add_ids_from(
         F.sum(F.octet_length("value")).alias("bytes"),
         F.count_distinct("value").alias("values"),
     )
-    sizes = {r["name"]: r for r in measured.collect()}
-    for column, to in columns.items():
-        size = sizes.get(column)
-        if size and size["values"] != size["rows"]:
+    found = {r["name"]: r for r in measured.collect()}
+    for column in columns:
+        if column in found and found[column]["values"] != found[column]["rows"]:
             raise ValueError(f"the map has repeated values for {column}; a join would multiply rows")
-        small = size is None or fits_broadcast(size["rows"], size["bytes"], broadcast_bytes)
-        df = look_up(df, entries.where(F.col("name") == column), column, to, small)
+    sizes = {c: (found[c]["rows"], found[c]["bytes"]) if c in found else (0, 0) for c in columns}
+    small = small_enough(sizes, broadcast_bytes)
+    rows = df
+    for column, to in columns.items():
+        mine = entries.where(F.col("name") == column)
+        if column in small:
+            df = look_up_small(df, mine, column, to)
+        else:
+            df = look_up_large(df, mine, column, to, hot_by_sample(rows, column, mine))
     return df
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ctrprep.functions.columns import any_of, equals_int, equals_text, require_columns, text
 from ctrprep.functions.draws import below, draw
 
-SHUFFLE_KEYS = 100_000_000
 KEEP_ALL = -1
 RESIDUES = 10
 
@@ -126,8 +125,7 @@ def shuffle_rows(df: DataFrame, partitions: int | None = None, key: Sequence[str
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not key:
         return df.repartition(partitions).sortWithinPartitions(F.rand(seed))
-    order = F.pmod(draw(seed, "shuffle", key), F.lit(SHUFFLE_KEYS))
-    placed = df.withColumn("__order", order)
+    placed = df.withColumn("__order", draw(seed, "shuffle", key))
     return placed.repartition(partitions, "__order").sortWithinPartitions("__order").drop("__order")
 
 

@@ -27,16 +27,23 @@ def parse_sparse(vector: Column) -> Column:
     """``"id:value,id:value"`` text as ``map<int, float>``; malformed pairs are absent."""
 
     def pair(item: Column) -> Column:
-        halves = F.split(item, ":", 2)
-        number, value = F.trim(F.get(halves, F.lit(0))).try_cast("int"), F.trim(F.get(halves, F.lit(1))).try_cast("float")
-        return F.when(number.isNotNull() & value.isNotNull(), F.struct(number.alias("id"), value.alias("value")))
+        number = F.substring_index(item, ":", 1).try_cast("int")
+        value = F.when(F.contains(item, F.lit(":")), F.substring_index(item, ":", -1).try_cast("float"))
+        return F.struct(number.alias("id"), value.alias("value"))
 
-    return _to_map(F.array_compact(F.transform(F.split(vector, ","), pair)))
+    pairs = F.transform(F.split(vector, ","), pair)
+    return _to_map(F.filter(pairs, lambda p: p["id"].isNotNull() & p["value"].isNotNull()))
 
 
 def _to_map(pairs: Column) -> Column:
-    def is_last(pair: Column, at: Column) -> Column:
-        later = F.slice(pairs, at + F.lit(2), F.size(pairs))
-        return ~F.exists(later, lambda other: other["id"] == pair["id"])
+    def last_ones(all_pairs: Column) -> Column:
+        def is_last(pair: Column, at: Column) -> Column:
+            later = F.slice(all_pairs, at + F.lit(2), F.size(all_pairs))
+            return ~F.exists(later, lambda other: other["id"] == pair["id"])
 
-    return F.map_from_entries(F.filter(pairs, is_last))
+        ids = F.transform(all_pairs, lambda pair: pair["id"])
+        unique = F.size(F.array_distinct(ids)) == F.size(ids)
+        return F.map_from_entries(F.when(unique, all_pairs).otherwise(F.filter(all_pairs, is_last)))
+
+    # The one-element array gives the pairs a name, so that they are computed once.
+    return F.transform(F.array(pairs), last_ones)[0]

@@ -7,17 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ctrprep.functions.treewalk import NODE_COLUMNS, Trees
 from ctrprep.operators.ranking import store_ranked, with_row_index
 
 # Trees are shipped to the executors in groups of about this many nodes, some
 # tens of megabytes; a larger model takes several groups.
 GROUP_NODES = 1_000_000
 
-NODE_COLUMNS = ("tree", "node", "left", "right", "feature", "threshold", "leaf_id")
-
 
 @dataclass(frozen=True)
 class TreeInput:
@@ -58,22 +58,33 @@ def node_table(nodes: DataFrame) -> DataFrame:
     return nodes.select(*NODE_COLUMNS)
 
 
-def encode_leaves(df: DataFrame, nodes: DataFrame, inputs: Sequence[TreeInput], to: str = "leaves") -> DataFrame:
+def encode_leaves(
+    df: DataFrame, nodes: DataFrame, inputs: Sequence[TreeInput], to: str = "leaves", outputs: int | None = None
+) -> DataFrame:
     """Add ``to``: the leaf ids of a row as an array, in tree order.
 
     From node 0 a feature below the threshold (in single precision) leads left,
-    any other right; absent and NULL features count as 0.
+    any other right; absent and NULL features count as 0.  ``outputs`` is the
+    number of trees the caller has room for.
     """
-    chunks = [_leaves_of(chunk, inputs) for chunk in _tree_groups(nodes)]
-    if not chunks:
-        raise ValueError("the model has no trees")
-    return df.withColumn(to, chunks[0] if len(chunks) == 1 else F.concat(*chunks))
+    return df.withColumn(to, _all_leaves(list(_tree_groups(nodes)), inputs, outputs))
+
 
+def encode_vector(df: DataFrame, nodes: DataFrame, vector: str, to: str = "leaves") -> DataFrame:
+    """The same for features in one column: an array indexed by feature number, or
+    a map from it."""
+    groups = list(_tree_groups(nodes))
+    numbers = sorted({int(f) for trees in groups for f in trees.features})
+    if isinstance(df.schema[vector].dataType, T.MapType):
+        parts = {f"__feature{f}": F.try_element_at(vector, F.lit(f)) for f in numbers}
+    else:
+        parts = {f"__feature{f}": F.get(vector, F.lit(f)) for f in numbers}
+    inputs = [TreeInput(name, feature=f) for name, f in zip(parts, numbers)]
+    return df.withColumns(parts).withColumn(to, _all_leaves(groups, inputs)).drop(*parts)
 
-def leaf_columns(df: DataFrame, outputs: Sequence[str], leaves: str = "leaves", trees: int | None = None) -> DataFrame:
+
+def leaf_columns(df: DataFrame, outputs: Sequence[str], leaves: str = "leaves") -> DataFrame:
     """One column per tree from the array ``leaves``."""
-    if trees is not None and trees != len(outputs):
-        raise ValueError(f"{len(outputs)} outputs for {trees} trees")
     return df.withColumns({name: F.get(leaves, F.lit(k)) for k, name in enumerate(outputs)}).drop(leaves)
 
 
@@ -86,94 +97,26 @@ def output_names(pattern: str, count: int | None = None) -> list[str]:
     return [name.strip() for name in pattern.split(",")]
 
 
-def count_trees(nodes: DataFrame) -> int:
-    return nodes.agg(F.count_distinct("tree")).first()[0]
-
-
 def _tree_groups(nodes: DataFrame) -> Iterator[Trees]:
-    """The model as arrays, ``GROUP_NODES`` nodes at a time."""
-    running = F.sum("n").over(Window.orderBy("tree"))
-    per_tree = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    grouped = per_tree.select("tree", F.floor((running - F.lit(1)) / F.lit(GROUP_NODES)).alias("group"))
-    spans = grouped.groupBy("group").agg(F.min("tree").alias("low"), F.max("tree").alias("high")).orderBy("group")
-    for span in spans.collect():
-        group = nodes.where(F.col("tree").between(span["low"], span["high"]))
-        yield Trees.from_table(node_table(group).toArrow())
-
-
-@dataclass(frozen=True)
-class Trees:
-    """Some trees in flat arrays; a leaf leads to itself."""
-
-    roots: np.ndarray
-    depths: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    slot: np.ndarray
-    threshold: np.ndarray
-    leaf: np.ndarray
-    features: np.ndarray
-
-    @staticmethod
-    def from_table(table: pa.Table) -> Trees:
-        rows = {name: table.column(name).to_numpy() for name in NODE_COLUMNS if name != "leaf_id"}
-        leaf = table.column("leaf_id").fill_null(-1).to_numpy()
-        order = np.lexsort((rows["node"], rows["tree"]))
-        rows = {name: values[order] for name, values in rows.items()}
-        leaf = leaf[order].astype(np.int64)
-        if leaf.max(initial=0) >= 1 << 31:
-            raise ValueError("leaf ids exceed 32 bits")
-        tree, node = rows["tree"].astype(np.int64), rows["node"].astype(np.int64)
-        place = (tree << 32) | node
-        if np.any(place[1:] == place[:-1]):
-            raise ValueError("the model repeats a node")
-        ends = (rows["left"] == -1) & (rows["right"] == -1)
-        here = np.arange(len(place))
-
-        def child(side: str) -> np.ndarray:
-            target = (tree << 32) | rows[side].astype(np.int64)
-            found = np.minimum(np.searchsorted(place, target), len(place) - 1)
-            if np.any(place[found[~ends]] != target[~ends]):
-                raise ValueError("the model points to a missing node")
-            return np.where(ends, here, found)
-
-        roots = np.searchsorted(place, np.unique(tree) << 32)
-        if np.any(node[roots] != 0):
-            raise ValueError("a tree has no node 0")
-        left, right = child("left"), child("right")
-        features, slot = np.unique(np.where(ends, 0, rows["feature"]), return_inverse=True)
-        threshold = rows["threshold"].astype(np.float32)
-        return Trees(roots, _depths(roots, left, right), left, right, slot, threshold, leaf, features)
-
-    def walk(self, values: np.ndarray) -> np.ndarray:
-        """Leaf ids, rows by trees, for a features-by-rows matrix."""
-        count = values.shape[1]
-        flat, row = values.ravel(), np.arange(count)
-        offset = self.slot * count
-        out = np.empty((count, len(self.roots)), dtype=np.int32)
-        for k, (root, depth) in enumerate(zip(self.roots, self.depths)):
-            at = np.full(count, root)
-            for _ in range(depth):
-                smaller = flat[offset[at] + row] < self.threshold[at]
-                at = np.where(smaller, self.left[at], self.right[at])
-            out[:, k] = self.leaf[at]
-        return out
-
-
-def _depths(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    depths = np.zeros(len(roots), dtype=np.int64)
-    for k, root in enumerate(roots):
-        level, depth = np.array([root]), 0
-        while True:
-            level = level[left[level] != level]
-            if not len(level):
-                break
-            depth += 1
-            level = np.concatenate([left[level], right[level]])
-            if depth > len(left):
-                raise ValueError("the model has a cycle")
-        depths[k] = depth
-    return depths
+    """The model as arrays, about ``GROUP_NODES`` nodes at a time."""
+    per_tree = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect()
+    first, held = 0, 0
+    for at, tree in enumerate(per_tree):
+        held += tree["n"]
+        if held >= GROUP_NODES or at == len(per_tree) - 1:
+            group = nodes.where(F.col("tree").between(per_tree[first]["tree"], tree["tree"]))
+            yield Trees.from_table(node_table(group).toArrow())
+            first, held = at + 1, 0
+
+
+def _all_leaves(groups: Sequence[Trees], inputs: Sequence[TreeInput], outputs: int | None = None) -> Column:
+    if not groups:
+        raise ValueError("the model has no trees")
+    count = sum(len(trees.roots) for trees in groups)
+    if outputs is not None and outputs != count:
+        raise ValueError(f"{outputs} outputs for {count} trees")
+    leaves = [_leaves_of(trees, inputs) for trees in groups]
+    return leaves[0] if len(leaves) == 1 else F.concat(*leaves)
 
 
 def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:

@@ -91,10 +91,10 @@ def _walk(rows: str, features: Sequence[str], offset: int, trees: str = "TRUE")
     FROM {rows}, tree WHERE {trees}"""
 
 
-def _leaves(features: Sequence[str]) -> str:
+def _leaves(features: Sequence[str], offset: int = 1000) -> str:
     return f"""WITH {_LINE}, {_NATION},
 rows AS (SELECT *, l_linenumber % 3 AS chosen, row_number() OVER () AS r FROM line),
-walked AS ({_walk("rows", features, 1000)}),
+walked AS ({_walk("rows", features, offset)}),
 listed AS (SELECT r, string_agg(leaf::VARCHAR, ',' ORDER BY k) AS leaves FROM walked GROUP BY r)
 SELECT {_LINE_KEY}, leaves FROM rows JOIN listed USING (r)"""
 
@@ -248,6 +248,8 @@ wide AS (
   FROM walked GROUP BY r)
 SELECT leaf0, leaf1, leaf2, count(*) AS rows FROM wide GROUP BY ALL""",
     "q24_leaf_encode_sparse": _leaves([f"(CASE WHEN chosen = {k} THEN 3 ELSE 0 END)" for k in range(3)]),
+    "q24_dense_walk": _leaves(["quantity", "discount", "tax"], 1001),
+    "q24_sparse_walk": _leaves(["quantity", "discount", "tax"]),
     "q25_sparse_vector": f"""WITH {_LINE}
 SELECT {_LINE_KEY}, 0 AS feature, quantity::FLOAT AS value FROM line
 UNION ALL SELECT {_LINE_KEY}, 1, discount::FLOAT FROM line""",

@@ -70,8 +70,13 @@ def extract_on(spark, folder):
     return tables.extract(one_day, ["o_orderkey", "o_orderpriority"])
 
 
-_ORDER_FIELDS = T.StructType.fromDDL(
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+_ORDER_FIELDS = (
+    T.StructType()
+    .add("o_orderkey", T.LongType())
+    .add("o_custkey", T.LongType())
+    .add("o_orderstatus", T.StringType())
+    .add("o_totalprice", T.DoubleType())
+    .add("o_orderpriority", T.StringType())
 )
 
 
@@ -102,9 +107,7 @@ def _cut_lines(spark, folder) -> DataFrame:
     return full.select(F.when(number % 7 == 0, cut).otherwise(F.col("value")).alias("value"))
 
 
-_CUT_FIELDS = T.StructType.fromDDL(
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
-)
+_CUT_FIELDS = T.StructType([f for f in _ORDER_FIELDS if f.name != "o_totalprice"])
 
 
 def reject_short_rows(spark, folder):
@@ -402,10 +405,30 @@ def leaf_encode(spark, folder):
 
 def leaf_columns(spark, folder):
     """One column per tree, counted per combination of the first three trees."""
-    wide = trees.leaf_columns(_leaves(spark, folder, []), trees.output_names("leaf%d", 25), trees=25)
+    wide = trees.leaf_columns(_leaves(spark, folder, []), trees.output_names("leaf%d", 25))
     return wide.groupBy("leaf0", "leaf1", "leaf2").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def dense_walk(spark, folder):
+    """Features in one array, indexed by their number."""
+    rows = _lineitem(spark, folder).withColumn("features", F.array("quantity", "discount", "tax"))
+    numbered = trees.number_leaves(nation_model(spark, folder), 1001)
+    leaves = trees.encode_vector(rows.select(*LINE_KEY, "features"), numbered, "features")
+    return leaves.select(*LINE_KEY, F.array_join("leaves", ",").alias("leaves"))
+
+
+def sparse_walk(spark, folder):
+    """Features in sparse text, zeros left out."""
+    rows = _lineitem(spark, folder)
+    shown = [
+        F.when(F.col(name) != 0, F.concat(F.lit(f"{k}:"), F.col(name)))
+        for k, name in enumerate(["quantity", "discount", "tax"])
+    ]
+    vectors = rows.select(*LINE_KEY, sparse.parse_sparse(F.concat_ws(",", *shown)).alias("features"))
+    leaves = trees.encode_vector(vectors, trees.number_leaves(nation_model(spark, folder), 1000), "features")
+    return leaves.select(*LINE_KEY, F.array_join("leaves", ",").alias("leaves"))
+
+
 def leaf_encode_sparse(spark, folder):
     """The line number names the feature that is set; all others are absent."""
     rows = _lineitem(spark, folder).withColumn("chosen", F.col("l_linenumber") % 3)
@@ -539,6 +562,8 @@ CATALOGUE: dict[str, Query] = {
     "q24_leaf_encode": leaf_encode,
     "q24_leaf_columns": leaf_columns,
     "q24_leaf_encode_sparse": leaf_encode_sparse,
+    "q24_dense_walk": dense_walk,
+    "q24_sparse_walk": sparse_walk,
     "q25_sparse_vector": sparse_vector,
     "q25_sparse_fill": sparse_fill,
     "q26_reject_short_rows": reject_short_rows,

@@ -56,10 +56,8 @@ def prepare(
     for step in spec.filters:
         nodes = models[step.model] if models and step.model in models else read_model(spark, step.model)
         numbered = trees.number_leaves(nodes, step.offset)
-        count = trees.count_trees(numbered)
-        if count != len(step.outputs):
-            raise ValueError(f"filter {step.name}: {len(step.outputs)} outputs for {count} trees")
-        leaves = trees.encode_leaves(encoded, numbered, trees.parse_inputs(step.inputs, encoded.columns), "__leaves")
+        inputs = trees.parse_inputs(step.inputs, encoded.columns)
+        leaves = trees.encode_leaves(encoded, numbered, inputs, "__leaves", len(step.outputs))
         encoded = trees.leaf_columns(leaves, step.outputs, "__leaves")
     samples = {f.name: render(encoded, spec, f) for f in spec.formats}
     return Prepared(rows, fmap, encoded, samples)
