@@ -44,6 +44,8 @@ class Trees:
             found = np.minimum(np.searchsorted(place, target), len(place) - 1)
             if np.any(place[found[~ends]] != target[~ends]):
                 raise ValueError("the model points to a missing node")
+            if np.any(found[~ends] == here[~ends]):
+                raise ValueError("the model has a cycle")
             return np.where(ends, here, found)
 
         roots = np.searchsorted(place, np.unique(tree) << 32)

@@ -7,11 +7,22 @@ from dataclasses import dataclass
 from functools import cached_property
 from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ctrprep.functions.columns import require_columns, text
-from ctrprep.operators.ranking import SEQ, SLOT, slot, slot_totals, store_ranked, with_row_index
+from ctrprep.operators.ranking import (
+    SEQ,
+    SLOT,
+    broadcast_rows,
+    row_index,
+    slot,
+    slot_totals,
+    store_ranked,
+    with_row_index,
+    with_running,
+)
 from ctrprep.operators.stats import distinct_values, value_counts
 from ctrprep.sources.text import EXTRACT_SEPARATOR
 
@@ -22,9 +33,11 @@ class FeatureMap:
 
     Bucket ids come first, in the order of ``intervals``; the ids of dictionary
     columns follow densely, in the order of ``indexes`` and then of the value.
+    ``totals`` describe the parts of the stored vocabulary.
     """
 
     ranked: DataFrame
+    totals: tuple[dict, ...]
     intervals: tuple[tuple[str, int], ...]
     indexes: tuple[str, ...]
     clamp: bool = True
@@ -38,15 +51,15 @@ class FeatureMap:
     def entries(self) -> DataFrame:
         """``(name, value, id, pv)``."""
         if not self.intervals:
-            return self._index_entries()
+            return self.index_entries()
         if not self.indexes:
             return self._interval_entries()
-        return self._interval_entries().unionByName(self._index_entries())
+        return self._interval_entries().unionByName(self.index_entries())
 
     def of(self, name: str) -> DataFrame:
-        """The entries of one column; reads only that column's files."""
+        """``(value, id, pv)`` of one column; reads only that column's files."""
         position = self.columns.index(name)
-        part = self._index_entries if name in self.indexes else self._interval_entries
+        part = self.index_entries if name in self.indexes else self._interval_entries
         return part(position).select("value", "id", "pv")
 
     @cached_property
@@ -59,51 +72,51 @@ class FeatureMap:
         found = sorted((r["name"], r["low"], r["id"]) for r in lowest.collect())
         return {name: [(low, i) for n, low, i in found if n == name] for name, _ in self.intervals}
 
-    @cached_property
+    @property
     def sizes(self) -> dict[str, tuple[int, int]]:
-        """Rows and value bytes per column, measured on the stored vocabulary."""
-        measured = self.ranked.groupBy("name").agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("value")).alias("bytes")
-        )
-        found = {r["name"]: (r["rows"], r["bytes"]) for r in measured.collect()}
-        return {name: found.get(name, (0, 0)) for name in self.columns}
-
-    def _index_entries(self, position: int | None = None) -> DataFrame:
-        rows = self.ranked.where(F.col("position") >= len(self.intervals))
-        offsets = _index_offsets(rows)
-        if position is not None:
-            rows = rows.where(F.col("position") == position)
-        placed = rows.withColumn(SLOT, slot()).join(F.broadcast(offsets), SLOT)
+        """Rows and value bytes per column."""
+        return {
+            name: (self._sum(k, "rows"), self._sum(k, "bytes")) for k, name in enumerate(self.columns)
+        }
+
+    def _sum(self, position: int, measure: str) -> int:
+        return sum(t[measure] for t in self.totals if t["position"] == position)
+
+    def index_entries(self, position: int | None = None, carry: Sequence[str] = ("pv",)) -> DataFrame:
+        """The dictionary part: ``(name, value, id)`` and the counts in ``carry``."""
+        first = len(self.intervals)
+        rows = self.ranked.where(F.col("position") >= first if position is None else F.col("position") == position)
+        totals = [t for t in self.totals if t["position"] >= first]
+        by_slot = {}
+        for t in totals:
+            kept = by_slot.setdefault(t[SLOT], {**t, "rows": 0})
+            kept["rows"] += t["rows"]
         base = self.first_index_id + sum(n for _, n in self.intervals)
-        return placed.select(
-            "name", "value", (F.col("rows_before") + F.col(SEQ) - F.col("first_seq") + F.lit(base)).alias("id"), "pv"
-        )
+        placed, index = row_index(rows, list(by_slot.values()), base)
+        return placed.select("name", "value", index.alias("id"), *carry)
 
     def _interval_entries(self, position: int | None = None) -> DataFrame:
-        rows = self.ranked.where(F.col("position") < len(self.intervals))
-        if position is not None:
-            rows = rows.where(F.col("position") == position)
-        totals = slot_totals(rows, ["position"], {"pv": F.sum("pv")})
-        so_far = (
-            Window.partitionBy("position", SLOT).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        counted = rows.withColumn(SLOT, slot()).withColumn("pv_so_far", F.sum("pv").over(so_far))
-        placed = counted.join(F.broadcast(totals), ["position", SLOT])
-        buckets, offset = self._per_position([n for _, n in self.intervals]), self._per_position(self._bucket_offsets())
-        bucket = _bucket(F.col("pv_before") + F.col("pv_so_far"), F.col("pv_total"), buckets, self.clamp)
-        return placed.select("name", "value", (bucket + offset).alias("id"), "pv")
-
-    def _bucket_offsets(self) -> list[int]:
+        last = len(self.intervals)
+        rows = self.ranked.where(F.col("position") < last if position is None else F.col("position") == position)
+        offsets = []
+        for k in range(last):
+            for t in with_running([t for t in self.totals if t["position"] == k], "pv"):
+                offsets.append({"position": k, SLOT: t[SLOT], "before": t["before"], "total": self._sum(k, "pv")})
+        kinds = {"position": pa.int32(), SLOT: pa.int64(), "before": pa.int64(), "total": pa.int64()}
+        small = broadcast_rows(rows.sparkSession, offsets, kinds)
+
+        up_to_here = Window.partitionBy("position", SLOT).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+        counted = rows.withColumn(SLOT, slot()).withColumn("running", F.sum("pv").over(up_to_here))
+        placed = counted.join(small, ["position", SLOT])
         sizes = [n for _, n in self.intervals]
-        return [sum(sizes[:k]) for k in range(len(sizes))]
-
-    @staticmethod
-    def _per_position(values: Sequence[int]) -> Column:
-        return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("position"))
+        starts = [sum(sizes[:k]) for k in range(last)]
+        buckets, start = _by_position(sizes), _by_position(starts)
+        bucket = _bucket(F.col("before") + F.col("running"), F.col("total"), buckets, self.clamp)
+        return placed.select("name", "value", (bucket + start).alias("id"), "pv")
 
 
-def _index_offsets(rows: DataFrame) -> DataFrame:
-    return slot_totals(rows, [], {"rows": F.count(F.lit(1))}).select(SLOT, "first_seq", "rows_before")
+def _by_position(values: Sequence[int]) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("position"))
 
 
 def _bucket(running: Column, total: Column, buckets: Column, clamp: bool) -> Column:
@@ -158,16 +171,14 @@ def rank_counts(
     if intervals:
         placed = placed.where((F.col("position") >= len(intervals)) | F.col("number").isNotNull())
     ranked = store_ranked(placed, ["position", "number", "value"], "vocabulary", ["position"])
-    return FeatureMap(ranked, tuple(intervals), tuple(indexes), clamp, first_index_id)
+    measures = {"rows": F.count(F.lit(1)), "pv": F.sum("pv"), "bytes": F.sum(F.octet_length("value"))}
+    totals = slot_totals(ranked, ["position"], measures)
+    return FeatureMap(ranked, tuple(totals), tuple(intervals), tuple(indexes), clamp, first_index_id)
 
 
 def feature_map_with_stats(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(name, value, id, pv, click)`` from the counts of ``pv_click``."""
-    fmap = rank_counts(stats, indexes=columns)
-    rows = fmap.ranked
-    placed = rows.withColumn(SLOT, slot()).join(F.broadcast(_index_offsets(rows)), SLOT)
-    number = F.col("rows_before") + F.col(SEQ) - F.col("first_seq") + F.lit(1)
-    return placed.select("name", "value", number.alias("id"), "pv", "click")
+    return rank_counts(stats, indexes=columns).index_entries(carry=["pv", "click"])
 
 
 def number_values(df: DataFrame, columns: Sequence[str], start: int = 0) -> DataFrame:

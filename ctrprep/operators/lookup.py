@@ -79,17 +79,19 @@ def look_up_large(df: DataFrame, entries: DataFrame, column: str, to: str, hot:
     of all meeting in one task.
     """
     require_columns(df, [column])
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
     hot = hot.select(F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id"))
     keyed = df.withColumn("__key", key_text(column)).join(
         F.broadcast(hot), F.col("__key") == F.col("__hot_value"), "left"
     )
     keyed = keyed.withColumn("__key", F.when(F.col("__hot_id").isNull(), F.col("__key")))
-    keyed = keyed.withColumn("__spread", F.when(F.col("__key").isNull(), spread).otherwise(F.lit(0)))
+    # The second key has to be computed on both sides: the optimizer would drop a
+    # constant one from the shuffle.
+    spread = F.when(F.col("__key").isNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
+    keyed = keyed.withColumn("__spread", F.coalesce(spread, F.xxhash64("__key")))
     dictionary = entries.select(
-        F.col("value").alias("__value"), F.col("id").alias("__id"), F.lit(0).cast("bigint").alias("__zero")
+        F.col("value").alias("__value"), F.col("id").alias("__id"), F.xxhash64("value").alias("__place")
     )
-    met = (F.col("__key") == F.col("__value")) & (F.col("__spread") == F.col("__zero"))
+    met = (F.col("__key") == F.col("__value")) & (F.col("__spread") == F.col("__place"))
     found = keyed.join(dictionary, met, "left").withColumn(to, F.coalesce("__hot_id", "__id"))
     return found.select(*df.columns, to)
 

@@ -1,17 +1,19 @@
 """Running positions over a total order, without a single-task window.
 
 ``over (order by ...)`` sends every row to one task.  Here the rows are range
-partitioned and sorted once, each row is stored with its position inside its
-partition, and only one total per partition is summed up centrally.  The
-sorted frame has to be stored: partition borders come from a sample and may
-fall elsewhere when the frame is computed again.
+partitioned and sorted once, and each row is stored with its position inside
+its partition.  What remains to be summed up centrally is one total per
+partition, a few thousand numbers whatever the data size.  The sorted frame has
+to be stored: partition borders come from a sample and may fall elsewhere when
+the frame is computed again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctrprep.sources.scratch import store
@@ -25,7 +27,7 @@ SLOT = "slot"
 
 
 def slot() -> Column:
-    return F.shiftright(F.col(SEQ), _POSITION_BITS).alias(SLOT)
+    return F.shiftright(F.col(SEQ), _POSITION_BITS)
 
 
 def store_ranked(df: DataFrame, order_by: Sequence[str], label: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -35,29 +37,38 @@ def store_ranked(df: DataFrame, order_by: Sequence[str], label: str, partition_b
     return store(ordered.withColumn(SEQ, F.monotonically_increasing_id()), label, partition_by)
 
 
-def slot_totals(ranked: DataFrame, within: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    """Per slot the first ``seq`` and, for each measure, ``<m>_before``: its sum
-    over all earlier slots, separately for each value of ``within``.
-
-    One row per slot and ``within`` value, hence small whatever the data size.
-    """
-    per_slot = ranked.groupBy(*within, slot()).agg(
-        F.min(SEQ).alias("first_seq"), *[m.alias(name) for name, m in measures.items()]
-    )
-    earlier = Window.partitionBy(*within).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    overall = Window.partitionBy(*within)
-    return per_slot.select(
-        *within,
-        SLOT,
-        "first_seq",
-        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_before") for name in measures],
-        *[F.sum(name).over(overall).alias(f"{name}_total") for name in measures],
+def slot_totals(ranked: DataFrame, within: Sequence[str], measures: dict[str, Column]) -> list[dict]:
+    """Per slot (and value of ``within``), in order, the first ``seq`` and the
+    ``measures``: as many rows as partitions were written."""
+    per_slot = ranked.groupBy(*within, slot().alias(SLOT)).agg(
+        F.min(SEQ).alias("first_seq"), *[measure.alias(name) for name, measure in measures.items()]
     )
+    return sorted((r.asDict() for r in per_slot.collect()), key=lambda r: r["first_seq"])
+
+
+def with_running(totals: Sequence[dict], measure: str) -> list[dict]:
+    """Add ``before``: the sum of ``measure`` over all earlier totals."""
+    running, out = 0, []
+    for total in totals:
+        out.append({**total, "before": running})
+        running += total[measure]
+    return out
+
+
+def broadcast_rows(spark: SparkSession, rows: Sequence[dict], columns: dict[str, pa.DataType]) -> DataFrame:
+    arrays = {name: pa.array([r[name] for r in rows], kind) for name, kind in columns.items()}
+    return F.broadcast(spark.createDataFrame(pa.table(arrays)))
+
+
+def row_index(ranked: DataFrame, totals: Sequence[dict], start: int) -> tuple[DataFrame, Column]:
+    """``ranked`` with what the dense index of its rows needs, and that index."""
+    offsets = [{SLOT: t[SLOT], "shift": t["before"] - t["first_seq"] + start} for t in with_running(totals, "rows")]
+    small = broadcast_rows(ranked.sparkSession, offsets, {SLOT: pa.int64(), "shift": pa.int64()})
+    return ranked.withColumn(SLOT, slot()).join(small, SLOT), F.col(SEQ) + F.col("shift")
 
 
 def with_row_index(ranked: DataFrame, name: str, start: int = 0) -> DataFrame:
     """Number the rows of a stored ranking densely from ``start``."""
     totals = slot_totals(ranked, [], {"rows": F.count(F.lit(1))})
-    located = ranked.withColumn(SLOT, slot()).join(F.broadcast(totals), SLOT)
-    index = F.col("rows_before") + F.col(SEQ) - F.col("first_seq") + F.lit(start)
-    return located.withColumn(name, index).drop(SLOT, SEQ, "first_seq", "rows_before", "rows_total")
+    placed, index = row_index(ranked, totals, start)
+    return placed.withColumn(name, index).drop(SLOT, SEQ, "shift")
