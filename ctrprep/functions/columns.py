@@ -74,6 +74,15 @@ def fixed_point(column: Column, factor: float, precision: str = "float") -> Colu
     return F.floor(column.cast(precision).cast("double") * F.lit(float(factor))).cast("bigint")
 
 
+def array_of_present(items: list[tuple[Column, Column]], kind: str) -> Column:
+    """An array of the items whose condition holds, ``(condition, item)`` each.
+    Joining short arrays compiles, where filtering one array is interpreted."""
+    none = F.array().cast(f"array<{kind}>")
+    if not items:
+        return none
+    return F.concat(*[F.when(present, F.array(item)).otherwise(none) for present, item in items])
+
+
 def fields(line: Column, separator: str, keep_trailing: bool = True) -> Column:
     """Split a delimited line; ``keep_trailing=False`` drops empty fields at the end."""
     if not keep_trailing:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import require_columns, text
+from ctrprep.functions.columns import array_of_present, require_columns, text
 from ctrprep.functions.draws import below, draw
 
 ON_MISSING = ("drop", "null", "error")
@@ -18,10 +18,10 @@ def features(df: DataFrame, ids: Sequence[str], label: str, order_by_id: bool =
     """``(label, features array<struct<id, value>>)``; missing ids are left out."""
     require_columns(df, [label, *ids])
     pairs = [
-        F.when(F.col(i).isNotNull(), F.struct(F.col(i).cast("bigint").alias("id"), F.lit(1.0).cast("float").alias("value")))
+        (F.col(i).isNotNull(), F.struct(F.col(i).cast("bigint").alias("id"), F.lit(1.0).cast("float").alias("value")))
         for i in ids
     ]
-    found = F.array_compact(F.array(*pairs))
+    found = array_of_present(pairs, "struct<id:bigint,value:float>")
     if order_by_id:
         found = F.sort_array(found)
     return df.select(text(label).alias("label"), found.alias("features"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ctrprep.functions.columns import key_text, require_columns
 from ctrprep.operators.featuremap import FeatureMap
+from ctrprep.sources.scratch import store
 
 # All dictionaries that one frame broadcasts stay below this estimate together.
 BROADCAST_BYTES = 64 << 20
@@ -100,13 +101,14 @@ def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[i
     """Add the id of the last bucket ``(low, id)`` whose low the number reaches:
     a search among a few hundred bounds in place of a join on the number."""
     lows = [float(low) for low, _ in bounds]
-    ids = [None, *(int(i) for _, i in bounds), None]  # below all buckets ... no number
     search = Bucketizer(
         splits=[float("-inf"), *lows, float("inf")], inputCol="__number", outputCol="__place", handleInvalid="keep"
     )
     placed = search.transform(df.withColumn("__number", key_text(column).try_cast("bigint").cast("double")))
-    table = F.array(*[F.lit(i).cast("bigint") for i in ids])
-    return placed.withColumn(to, F.get(table, F.col("__place").cast("int"))).drop("__number", "__place")
+    # Place 0 lies below all buckets and the place after the last is for NULL;
+    # both fall outside this constant array.
+    ids = F.split(F.lit(",".join(str(i) for _, i in bounds)), ",").cast("array<bigint>")
+    return placed.withColumn(to, F.get(ids, F.col("__place").cast("int") - F.lit(1))).drop("__number", "__place")
 
 
 def add_ids(
@@ -145,8 +147,9 @@ def add_ids_from(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``."""
-    wanted = entries.where(F.col("name").isin(list(columns)))
-    measured = wanted.groupBy("name").agg(
+    wanted = entries.where(F.col("name").isin(list(columns))).select("name", "value", "id")
+    entries = store(wanted, "side-map", ["name"])
+    measured = entries.groupBy("name").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.octet_length("value")).alias("bytes"),
         F.count_distinct("value").alias("values"),

@@ -45,8 +45,8 @@ def sample_union(df: DataFrame, conditions: Sequence[Condition], key: Sequence[s
         F.when(match & below(draw(seed, f"shrink|{i}", key), c.rate), F.lit(i))
         for i, (match, c) in enumerate(zip(matches, conditions))
     ]
-    copies = F.explode(F.array_compact(F.array(*kept)))
-    return df.where(any_of(matches)).select(*df.columns, copies.alias("__copy")).drop("__copy")
+    copies = df.where(any_of(matches)).select(*df.columns, F.explode(F.array(*kept)).alias("__copy"))
+    return copies.where(F.col("__copy").isNotNull()).drop("__copy")
 
 
 def sample_any(df: DataFrame, shrinks: Sequence[Sequence[Condition]], key: Sequence[str] | None = None, seed: int = 42) -> DataFrame:

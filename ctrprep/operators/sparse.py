@@ -7,20 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ctrprep.functions.columns import array_of_present
 from ctrprep.operators.trees import TreeInput
 
 
 def sparse_vector(inputs: Sequence[TreeInput]) -> Column:
     """The inputs of a row as ``map<int, float>``; NULLs are absent, and of equal
     feature numbers the last one counts."""
-    pairs = []
+    entries = []
     for i in inputs:
         if i.feature is None:
             number, value = F.col(i.column).try_cast("int"), F.lit(i.value).cast("float")
         else:
             number, value = F.lit(i.feature), F.col(i.column).try_cast("float")
-        pairs.append(F.when(number.isNotNull() & value.isNotNull(), F.struct(number.alias("id"), value.alias("value"))))
-    return _to_map(F.array_compact(F.array(*pairs)))
+        entries.append((i.feature, number, value, number.isNotNull() & value.isNotNull()))
+    pairs = []
+    for k, (fixed, number, value, present) in enumerate(entries):
+        for other_fixed, other, _, other_present in entries[k + 1 :]:
+            if fixed is None or other_fixed is None or fixed == other_fixed:
+                present = present & ~F.coalesce(other_present & (other == number), F.lit(False))
+        pairs.append((present, F.struct(number.alias("id"), value.alias("value"))))
+    return F.map_from_entries(array_of_present(pairs, "struct<id:int,value:float>"))
 
 
 def parse_sparse(vector: Column) -> Column:
@@ -32,18 +39,16 @@ def parse_sparse(vector: Column) -> Column:
         return F.struct(number.alias("id"), value.alias("value"))
 
     pairs = F.transform(F.split(vector, ","), pair)
-    return _to_map(F.filter(pairs, lambda p: p["id"].isNotNull() & p["value"].isNotNull()))
-
 
-def _to_map(pairs: Column) -> Column:
-    def last_ones(all_pairs: Column) -> Column:
+    def last_ones(valid: Column) -> Column:
         def is_last(pair: Column, at: Column) -> Column:
-            later = F.slice(all_pairs, at + F.lit(2), F.size(all_pairs))
+            later = F.slice(valid, at + F.lit(2), F.size(valid))
             return ~F.exists(later, lambda other: other["id"] == pair["id"])
 
-        ids = F.transform(all_pairs, lambda pair: pair["id"])
+        ids = F.transform(valid, lambda pair: pair["id"])
         unique = F.size(F.array_distinct(ids)) == F.size(ids)
-        return F.map_from_entries(F.when(unique, all_pairs).otherwise(F.filter(all_pairs, is_last)))
+        return F.map_from_entries(F.when(unique, valid).otherwise(F.filter(valid, is_last)))
 
+    valid = F.filter(pairs, lambda p: p["id"].isNotNull() & p["value"].isNotNull())
     # The one-element array gives the pairs a name, so that they are computed once.
-    return F.transform(F.array(pairs), last_ones)[0]
+    return F.transform(F.array(valid), last_ones)[0]
