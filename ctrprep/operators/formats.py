@@ -86,7 +86,10 @@ def template(
         line = F.replace(line, F.lit("${" + str(position) + "}"), shown)
     for absent in (f"{ABSENT}:1 ", f"{ABSENT}:1"):
         line = F.replace(line, F.lit(absent), F.lit(""))
-    return df.select(*keep, line.alias("value")).where(~F.contains("value", F.lit("$")))
+    # The filter would move below this projection and fill every line twice; it
+    # cannot move below an explode.
+    filled = df.select(*keep, F.explode(F.array(line)).alias("value"))
+    return filled.where(~F.contains("value", F.lit("$")))
 
 
 def recode(ids: Column, offset: int) -> Column:

@@ -118,9 +118,11 @@ def duplicate_positive_lines(lines: DataFrame, separator: str = " ") -> DataFram
 def shuffle_rows(df: DataFrame, partitions: int | None = None, key: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
     """Bring rows into random order across all partitions.
 
-    With a ``key`` that tells rows apart, place and order follow from the key
-    alone.  Without one, rows are dealt out evenly, so that even a large group
-    of equal rows spreads over all partitions and mixes with the others.
+    Rows are dealt out evenly and ordered by chance inside each partition, so
+    that even a large group of equal rows spreads over all partitions and mixes
+    with the others.  With a ``key`` that tells all rows apart, place and order
+    follow from the key alone, whatever the input's partitions; rows that share
+    a key then stay together.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not key:

@@ -225,6 +225,7 @@ FROM lineitem""",
     "q21_recode_lines": f"""WITH {_LINE}
 SELECT label || ' ' || (l_partkey + 10000) || ',' || (l_suppkey + 10000) || ' ' || l_orderkey AS value FROM line""",
     "q22_shuffle": f"SELECT {_LINE_KEY}, l_returnflag, l_extendedprice FROM lineitem",
+    "q22_shuffle_by_key": "SELECT event_id, user_id, event_type FROM events",
     "q23_leaf_numbering": """WITH node AS (
   SELECT s_suppkey::INTEGER AS tree, s_suppkey % 2 = 0 AS wide, n AS node, s_acctbal
   FROM supplier, range(5) r(n) WHERE n < 3 OR s_suppkey % 2 = 0),

@@ -178,7 +178,12 @@ def duplicate_positive_lines(spark, folder):
 
 def shuffle(spark, folder):
     rows = _table(spark, folder, "lineitem").select(*LINE_KEY, "l_returnflag", "l_extendedprice")
-    return sampling.shuffle_rows(rows, key=LINE_KEY, seed=SEED)
+    return sampling.shuffle_rows(rows, seed=SEED)
+
+
+def shuffle_by_key(spark, folder):
+    rows = _table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    return sampling.shuffle_rows(rows, key=["event_id"], seed=SEED)
 
 
 def train_valid_split(spark, folder):
@@ -558,6 +563,7 @@ CATALOGUE: dict[str, Query] = {
     "q21_recode": recode,
     "q21_recode_lines": recode_lines,
     "q22_shuffle": shuffle,
+    "q22_shuffle_by_key": shuffle_by_key,
     "q23_leaf_numbering": leaf_numbering,
     "q24_leaf_encode": leaf_encode,
     "q24_leaf_columns": leaf_columns,

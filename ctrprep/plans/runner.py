@@ -10,17 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from ctrprep.operators import formats, sampling, trees
 from ctrprep.operators.featuremap import FeatureMap, build_feature_map, cross
 from ctrprep.operators.lookup import BROADCAST_BYTES, add_ids, require_ids
+from ctrprep.operators.stats import pv_click
 from ctrprep.plans.spec import LIBSVM, Format, Partial, PrepSpec
 from ctrprep.sources.model import read_model
+from ctrprep.sources.scratch import store
 from ctrprep.sources.tables import attach_part, extract, open_table, since
 from ctrprep.sources.text import write_feature_map, write_lines
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """The frames of a run.  All but the vocabulary behind ``feature_map`` are lazy."""
+    """The frames of a run.  All but the vocabulary behind ``feature_map`` are lazy.
+
+    ``statistics`` are views and clicks per value, for runs with a click label.
+    """
 
     rows: DataFrame
+    statistics: DataFrame | None
     feature_map: FeatureMap | None
     encoded: DataFrame
     samples: dict[str, DataFrame]
@@ -36,19 +42,23 @@ def prepare(
     """Run ``spec``.  ``tables`` and ``models`` (node frames) give frames by name;
     other names are catalog tables, parquet paths and model files.
 
-    The rows are read twice, once for the vocabulary and once for the samples;
-    seeded draws make both readings see the same rows, so they need not be
-    stored in between.
+    The rows are read once for the vocabulary and once for the samples.  Seeded
+    draws make both readings see the same rows, so a single table is not copied
+    in between; a join of several is stored, as it costs more to repeat.
     """
     spec.validate()
     rows = sample(gather(spark, spec, tables), spec)
+    if len(spec.partials) > 1:
+        rows = store(rows, "rows")
     for noise in spec.noises:
         rows = sampling.add_noise(rows, noise.column, noise.to, noise.value, noise.factor, spec.key, spec.seed)
     for crossing in spec.crosses:
         rows = cross(rows, crossing.columns, crossing.factor, crossing.bundle)
 
-    fmap, encoded = None, rows
+    statistics, fmap, encoded = None, None, rows
     if spec.transforms:
+        if spec.click_label:
+            statistics = pv_click(rows, list(spec.id_columns), spec.click_label)
         fmap = build_feature_map(rows, spec.intervals, spec.indexes)
         encoded = add_ids(rows, fmap, spec.id_columns, broadcast_bytes, same_rows=True)
         if spec.missing_rows == "drop":
@@ -60,7 +70,7 @@ def prepare(
         leaves = trees.encode_leaves(encoded, numbered, inputs, "__leaves", len(step.outputs))
         encoded = trees.leaf_columns(leaves, step.outputs, "__leaves")
     samples = {f.name: render(encoded, spec, f) for f in spec.formats}
-    return Prepared(rows, fmap, encoded, samples)
+    return Prepared(rows, statistics, fmap, encoded, samples)
 
 
 def gather(spark: SparkSession, spec: PrepSpec, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -96,15 +106,14 @@ def render(encoded: DataFrame, spec: PrepSpec, fmt: Format) -> DataFrame:
         rows, keep = sampling.with_split(rows, fmt.validate_rate, key, spec.seed), ["split"]
     if fmt.duplicate_positives:
         rows = sampling.duplicate_positives(rows, spec.label)
-    if fmt.shuffle:
-        # A positive and its copy differ in the label only.
-        rows = sampling.shuffle_rows(rows, key=key and [*key, spec.label], seed=spec.seed)
     if fmt.pattern == LIBSVM:
         ids = spec.id_columns
         if fmt.columns:
             ids = {c: i for c, i in ids.items() if c in fmt.columns}
-        return formats.libsvm(rows, ids, spec.label, fmt.on_missing, keep)
-    return formats.template(rows, fmt.pattern, fmt.columns, fmt.dropout, key, spec.seed, keep)
+        lines = formats.libsvm(rows, ids, spec.label, fmt.on_missing, keep)
+    else:
+        lines = formats.template(rows, fmt.pattern, fmt.columns, fmt.dropout, key, spec.seed, keep)
+    return sampling.shuffle_rows(lines, seed=spec.seed) if fmt.shuffle else lines
 
 
 def write_outputs(prepared: Prepared, path: str, single_map_file: bool = False) -> None:

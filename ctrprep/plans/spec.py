@@ -19,6 +19,7 @@ SIMPLE_INDEX = "SIMPLE_INDEX"
 INTERVAL_INDEX = "INTERVAL_INDEX"
 SAMPLE_MODES = ("union", "any", "keep_unmatched")
 LIBSVM = "libsvm"
+DEFAULT_CLICK_LABEL = "click"
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ class Transform:
     columns: tuple[str, ...]
     to: tuple[str, ...]
     buckets: int = 0
-    label: str = "click"
+    label: str | None = None
 
 
 @dataclass(frozen=True)
@@ -131,8 +132,9 @@ class PrepSpec:
 
     @property
     def click_label(self) -> str | None:
-        """The label that clicks are counted by."""
-        return self.transforms[0].label if self.transforms else None
+        """The column that clicks are counted by, if there is one."""
+        named = next((t.label for t in self.transforms if t.label), DEFAULT_CLICK_LABEL)
+        return named if named in self.row_columns() else None
 
     @property
     def intervals(self) -> list[tuple[str, int]]:
@@ -166,7 +168,7 @@ class PrepSpec:
             raise ValueError(f"sample_mode {self.sample_mode!r} is not one of {SAMPLE_MODES}")
         if self.missing_rows not in ("keep", "drop"):
             raise ValueError(f"missing_rows {self.missing_rows!r} is neither 'keep' nor 'drop'")
-        labels = {t.label for t in self.transforms}
+        labels = {t.label for t in self.transforms if t.label}
         if len(labels) > 1:
             raise ValueError(f"transforms name different labels {sorted(labels)}")
         source, rows = self.source_columns, self.row_columns()
@@ -174,6 +176,7 @@ class PrepSpec:
         _known([n.column for n in self.noises], source, "noise")
         _known([c for x in self.crosses for c in (*x.bundle, *x.columns)], rows, "intersect")
         _known([c for t in self.transforms for c in t.columns], rows, "transform")
+        _known(labels, rows, "label")
         _known(self.key, source, "key")
         encoded = [c for t in self.transforms for c in t.columns]
         if len(set(encoded)) != len(encoded):
@@ -246,7 +249,7 @@ def _transform(config: Mapping) -> Transform:
     to = _names(config["to"]) if "to" in config else tuple(id_column(c) for c in columns)
     if len(to) != len(columns):
         raise ValueError(f"transform: {len(columns)} columns but {len(to)} outputs")
-    return Transform(kind, columns, to, buckets, config.get("label", "click"))
+    return Transform(kind, columns, to, buckets, config.get("label"))
 
 
 def _tree_filter(config: Mapping) -> TreeFilter:

@@ -98,12 +98,12 @@ def parse_feature_map(lines: DataFrame, order: str | None = None) -> DataFrame:
     parts = F.split(F.col("value"), "[ \\t,]", -1)
     entries = lines.where(F.size(parts) >= 3).select(
         field(parts, 0).alias("name"),
-        field(parts, 1).alias("value_text"),
+        field(parts, 1).alias("text"),
         field(parts, 2).try_cast("bigint").alias("id"),
-        (F.col(order) if order else F.lit(0)).alias("line_order"),
+        *([F.col(order).alias("line_order")] if order else []),
     )
-    newest = F.struct("line_order", "id")
-    return entries.groupBy("name", F.col("value_text").alias("value")).agg(F.max(newest)["id"].alias("id"))
+    chosen = F.max_by("id", "line_order") if order else F.max("id")
+    return entries.groupBy("name", F.col("text").alias("value")).agg(chosen.alias("id"))
 
 
 def read_feature_map(spark: SparkSession, path: str) -> DataFrame:

@@ -70,11 +70,25 @@ def test_outputs_on_disk(spark, impressions, tmp_path):
 
 
 def test_layout_of_a_templated_run():
-    spec = PrepSpec.from_dict(TEMPLATE_SPEC)
-    assert spec.all_columns()[-30:-25] == ["tax", "supplier_n", "line_id", "supplier_id", "leaf0"] or spec.all_columns()[
-        -28:-25
-    ] == ["supplier_n", "line_id", "supplier_id"]
-    assert spec.all_columns()[-1] == "leaf24"
+    layout = PrepSpec.from_dict(TEMPLATE_SPEC).all_columns()
+    assert layout[-28:-24] == ["supplier_n", "line_id", "supplier_id", "leaf0"]
+    assert layout[-1] == "leaf24"
+
+
+def test_statistics_need_a_label(spark, impressions):
+    assert prepare(spark, PrepSpec.from_dict(WHOLE), {"t": impressions}).statistics is None
+    transform = [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "label"}]
+    run = prepare(spark, PrepSpec.from_dict(changed(WHOLE, transform=transform)), {"t": impressions})
+    assert rows_of(run.statistics) == [("adid", "a1", 3, 1), ("adid", "a2", 2, 0), ("adid", "a3", 1, 1)]
+
+
+def test_templates_are_filled_once_and_shuffled_narrow(spark, lineitem):
+    from ctrprep.plans.queries import template_run
+
+    plan = plan_of(template_run(spark, "/root/testdata/sf0.001"))
+    assert plan.count("replace(replace(") <= 7 and "Exchange RoundRobinPartitioning" in plan
+    shuffled = plan.split("Exchange RoundRobinPartitioning")[1].splitlines()[1]
+    assert "Filter" in shuffled and "Contains(value#" in shuffled
 
 
 def test_encoded_frame_has_the_declared_layout(spark, lineitem):
@@ -121,6 +135,7 @@ def test_catalog_tables_and_paths(spark, impressions, tmp_path):
         {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid,adid"}]},
         {"transform": [{"type": "INTERVAL_INDEX", "columns": "history_ctr", "args": "0:1"}]},
         {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "a"}, {"type": "SIMPLE_INDEX", "columns": "bid_type", "label": "b"}]},
+        {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "nope"}]},
         {"shrink": [{"name": "s", "args": "nope:1:1"}]},
         {"shrink": [{"name": "s", "args": "adid:1"}]},
         {"shrink": [{"name": "s", "args": "adid:a1:1"}], "key": ""},
