@@ -79,6 +79,10 @@ class FeatureMap:
             name: (self._sum(k, "rows"), self._sum(k, "bytes")) for k, name in enumerate(self.columns)
         }
 
+    def count(self, name: str) -> int:
+        """How many rows had a value in the column."""
+        return self._sum(self.columns.index(name), "pv")
+
     def _sum(self, position: int, measure: str) -> int:
         return sum(t[measure] for t in self.totals if t["position"] == position)
 

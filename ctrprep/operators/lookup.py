@@ -55,10 +55,9 @@ def look_up_small(df: DataFrame, entries: DataFrame, column: str, to: str) -> Da
     return found.drop("__key", "__value")
 
 
-def hot_by_counts(entries: DataFrame) -> DataFrame:
-    """The entries whose own count ``pv`` makes them hot."""
-    total = entries.agg(F.sum("pv")).scalar()
-    return entries.where(F.col("pv") >= total * F.lit(_HOT_SHARE)).select("value", "id")
+def hot_by_counts(entries: DataFrame, total: int) -> DataFrame:
+    """The entries whose own count ``pv`` makes them hot among ``total``."""
+    return entries.where(F.col("pv") >= F.lit(max(1, int(total * _HOT_SHARE)))).select("value", "id")
 
 
 def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
@@ -71,13 +70,16 @@ def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
     return entries.join(F.broadcast(frequent), "value", "left_semi").select("value", "id")
 
 
-def look_up_large(df: DataFrame, entries: DataFrame, column: str, to: str, hot: DataFrame) -> DataFrame:
+def look_up_large(
+    df: DataFrame, entries: DataFrame, column: str, to: str, hot: DataFrame, spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """The same for entries too large to broadcast: rows meet them by a shuffle.
 
     ``hot`` are the few entries (at most ``1 / _HOT_SHARE``) that many rows
     share.  They are broadcast and resolved first; those rows, and rows whose
     value is NULL, then travel under a spread key that meets no entry, instead
-    of all meeting in one task.
+    of all meeting in one task.  ``spread_by`` names columns that tell rows
+    apart; without it all columns are read for that.
     """
     require_columns(df, [column])
     hot = hot.select(F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id"))
@@ -87,7 +89,7 @@ def look_up_large(df: DataFrame, entries: DataFrame, column: str, to: str, hot:
     keyed = keyed.withColumn("__key", F.when(F.col("__hot_id").isNull(), F.col("__key")))
     # The second key has to be computed on both sides: the optimizer would drop a
     # constant one from the shuffle.
-    spread = F.when(F.col("__key").isNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
+    spread = F.when(F.col("__key").isNull(), F.xxhash64(*[F.col(c) for c in spread_by or df.columns]))
     keyed = keyed.withColumn("__spread", F.coalesce(spread, F.xxhash64("__key")))
     dictionary = entries.select(
         F.col("value").alias("__value"), F.col("id").alias("__id"), F.xxhash64("value").alias("__place")
@@ -117,27 +119,32 @@ def add_ids(
     columns: Mapping[str, str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     same_rows: bool = False,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add an id column for every mapped column (``{column: new name}``).
 
     ``same_rows`` states that the map was built from just these rows.  Every
     number then lies in the bucket that the bounds give, and bucketed columns
-    need no lookup by value.
+    need no lookup by value.  Lookups that shuffle come last, when the rows are
+    narrowest.
     """
     columns = columns or {c: id_column(c) for c in fmap.columns}
     bounds = fmap.bucket_bounds if same_rows and any(c in columns for c, _ in fmap.intervals) else {}
     by_bounds = {c for c in columns if bounds.get(c) and all(abs(low) <= _EXACT for low, _ in bounds[c])}
-    sizes = {c: fmap.sizes[c] for c in columns if c not in by_bounds}
-    small = small_enough(sizes, broadcast_bytes)
-    for column, to in columns.items():
+    small = small_enough({c: fmap.sizes[c] for c in columns if c not in by_bounds}, broadcast_bytes)
+    large = [c for c in columns if c not in by_bounds and c not in small]
+    given = df.columns
+    for column in sorted(columns, key=large.__contains__):
+        to = columns[column]
         if column in by_bounds:
             df = add_bucket_ids(df, column, to, bounds[column])
         elif column in small:
             df = look_up_small(df, fmap.of(column), column, to)
         else:
             entries = fmap.of(column)
-            df = look_up_large(df, entries, column, to, hot_by_counts(entries))
-    return df
+            hot = hot_by_counts(entries, fmap.count(column))
+            df = look_up_large(df, entries, column, to, hot, spread_by or given)
+    return df.select(*given, *columns.values())
 
 
 def add_ids_from(
@@ -145,6 +152,7 @@ def add_ids_from(
     entries: DataFrame,
     columns: Mapping[str, str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``."""
     wanted = entries.where(F.col("name").isin(list(columns))).select("name", "value", "id")
@@ -160,14 +168,14 @@ def add_ids_from(
             raise ValueError(f"the map has repeated values for {column}; a join would multiply rows")
     sizes = {c: (found[c]["rows"], found[c]["bytes"]) if c in found else (0, 0) for c in columns}
     small = small_enough(sizes, broadcast_bytes)
-    rows = df
-    for column, to in columns.items():
-        mine = entries.where(F.col("name") == column)
+    rows, given = df, df.columns
+    for column in sorted(columns, key=lambda c: c not in small):
+        mine, to = entries.where(F.col("name") == column), columns[column]
         if column in small:
             df = look_up_small(df, mine, column, to)
         else:
-            df = look_up_large(df, mine, column, to, hot_by_sample(rows, column, mine))
-    return df
+            df = look_up_large(df, mine, column, to, hot_by_sample(rows, column, mine), spread_by or given)
+    return df.select(*given, *columns.values())
 
 
 def require_ids(df: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -60,7 +60,7 @@ def prepare(
         if spec.click_label:
             statistics = pv_click(rows, list(spec.id_columns), spec.click_label)
         fmap = build_feature_map(rows, spec.intervals, spec.indexes)
-        encoded = add_ids(rows, fmap, spec.id_columns, broadcast_bytes, same_rows=True)
+        encoded = add_ids(rows, fmap, spec.id_columns, broadcast_bytes, True, spec.key)
         if spec.missing_rows == "drop":
             encoded = require_ids(encoded, list(spec.id_columns.values()))
     for step in spec.filters:

@@ -56,11 +56,21 @@ def test_large_way_spreads_the_hot_key(spark, rows, fmap):
 
 
 def test_hot_entries_are_few(fmap):
-    hot = lookup.hot_by_counts(fmap.of("user"))
+    hot = lookup.hot_by_counts(fmap.of("user"), fmap.count("user"))
+    assert "PushedFilters: [IsNotNull(pv), GreaterThanOrEqual(pv," in plan_of(hot)
     assert "hot" in {r["value"] for r in hot.collect()}
     assert hot.count() <= 2000
 
 
+def test_large_way_reads_only_the_named_columns(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(500).select("id", F.lit("w").alias("unused"), F.col("id").cast("string").alias("user")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    users = build_feature_map(stored, indexes=["user"])
+    got = lookup.add_ids(stored, users, {"user": "uid"}, 0, spread_by=["id"]).select("uid")
+    assert "unused" not in plan_of(got) and got.distinct().count() == 500
+
+
 def test_buckets_of_same_rows_need_no_shuffle(rows, fmap):
     plan = plan_of(lookup.add_ids(rows, fmap, {"price": "price_id"}, 0, same_rows=True))
     assert "Exchange" not in plan.split("InMemoryTableScan")[0] and "Join" not in plan
