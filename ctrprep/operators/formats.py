@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctrprep.functions.columns import array_of_present, require_columns, text
-from ctrprep.functions.draws import below, draw
+from ctrprep.functions.draws import below, ticket
 
 ON_MISSING = ("drop", "null", "error")
 ABSENT = "-1"
@@ -81,7 +81,7 @@ def template(
     for position, name in enumerate(columns, start=1):
         shown = F.coalesce(F.trim(text(name)), F.lit(ABSENT))
         if name in dropout:
-            blank = below(draw(seed, f"dropout|{name}", key), dropout[name])
+            blank = below(ticket(seed, f"dropout|{name}", key), dropout[name])
             shown = F.when(blank, F.lit(ABSENT)).otherwise(shown)
         line = F.replace(line, F.lit("${" + str(position) + "}"), shown)
     for absent in (f"{ABSENT}:1 ", f"{ABSENT}:1"):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctrprep.functions.columns import any_of, equals_int, equals_text, require_columns, text
-from ctrprep.functions.draws import below, draw
+from ctrprep.functions.draws import below, number, ticket
 
 KEEP_ALL = -1
 RESIDUES = 10
@@ -42,7 +42,7 @@ def sample_union(df: DataFrame, conditions: Sequence[Condition], key: Sequence[s
         return df
     matches = [equals_text(df, c.column, c.value) for c in conditions]
     kept = [
-        F.when(match & below(draw(seed, f"shrink|{i}", key), c.rate), F.lit(i))
+        F.when(match & below(ticket(seed, f"shrink|{i}", key), c.rate), F.lit(i))
         for i, (match, c) in enumerate(zip(matches, conditions))
     ]
     copies = df.where(any_of(matches)).select(*df.columns, F.explode(F.array(*kept)).alias("__copy"))
@@ -55,9 +55,9 @@ def sample_any(df: DataFrame, shrinks: Sequence[Sequence[Condition]], key: Seque
     shrinks = [s for s in shrinks if s]
     if not shrinks:
         return df
-    drawn = {f"__draw{i}": draw(seed, f"shrink|{i}", key) for i in range(len(shrinks))}
+    drawn = {f"__ticket{i}": ticket(seed, f"shrink|{i}", key) for i in range(len(shrinks))}
     wins = [
-        equals_text(df, c.column, c.value) & below(F.col(f"__draw{i}"), c.rate)
+        equals_text(df, c.column, c.value) & below(F.col(f"__ticket{i}"), c.rate)
         for i, shrink in enumerate(shrinks)
         for c in shrink
     ]
@@ -72,7 +72,7 @@ def sample_keep_unmatched(df: DataFrame, conditions: Sequence[Condition], key: S
         return df
     require_columns(df, [c.column for c in conditions])
     ranked = sorted(conditions, key=lambda c: df.columns.index(c.column))
-    drawn = draw(seed, "shrink", key)
+    drawn = ticket(seed, "shrink", key)
     keep: Column = F.lit(True)
     for c in reversed(ranked):
         keep = F.when(equals_int(df, c.column, c.value), below(drawn, c.rate)).otherwise(keep)
@@ -83,7 +83,7 @@ def sample_residues(df: DataFrame, residues: Sequence[int], key: Sequence[str] |
     """Keep rows whose draw modulo ten is listed; ``-1`` keeps all."""
     if KEEP_ALL in residues:
         return df
-    return df.where((draw(seed, "residue", key) % RESIDUES).isin([int(r) for r in residues]))
+    return df.where((number(ticket(seed, "residue", key)) % RESIDUES).isin([int(r) for r in residues]))
 
 
 def parse_residues(text_form: str) -> list[int]:
@@ -94,7 +94,7 @@ def parse_residues(text_form: str) -> list[int]:
 def add_noise(df: DataFrame, column: str, to: str, value: str, factor: float, key: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
     """Add ``to``: the column's text, or ``value`` for a share ``factor`` of rows."""
     require_columns(df, [column])
-    hit = below(draw(seed, f"noise|{to}", key), factor)
+    hit = below(ticket(seed, f"noise|{to}", key), factor)
     return df.withColumn(to, F.when(hit, F.lit(value)).otherwise(text(column)))
 
 
@@ -127,12 +127,12 @@ def shuffle_rows(df: DataFrame, partitions: int | None = None, key: Sequence[str
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not key:
         return df.repartition(partitions).sortWithinPartitions(F.rand(seed))
-    placed = df.withColumn("__order", draw(seed, "shuffle", key))
+    placed = df.withColumn("__order", F.xxhash64(F.lit(seed), *[F.col(k) for k in key]))
     return placed.repartition(partitions, "__order").sortWithinPartitions("__order").drop("__order")
 
 
 def with_split(df: DataFrame, validate_rate: float, key: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
     """Add ``split``: ``valid`` for ``validate_rate`` percent of rows, else ``train``.
     Written with ``partitionBy('split')`` both sets come from one pass."""
-    valid = below(draw(seed, "split", key), validate_rate / 100)
+    valid = below(ticket(seed, "split", key), validate_rate / 100)
     return df.withColumn("split", F.when(valid, F.lit("valid")).otherwise(F.lit("train")))

@@ -173,3 +173,31 @@ def test_crossing(spark):
     assert list(featuremap.crossed_columns(["p", "q"], 1, ["r"])) == ["r_x_p", "r_x_q"]
     with pytest.raises(ValueError):
         featuremap.crossed_columns(["p"], 2)
+
+
+def test_bucket_properties(spark):
+    """Ids do not fall as the value grows, and unclamped buckets between the ends
+    miss the frequency by less than the largest count of one value."""
+    n = 3000
+    shapes = {
+        "even": F.col("id"),
+        "few": F.col("id") % 13,
+        "steep": F.floor(F.pow(F.lit(1.004), F.col("id"))),
+        "signed": (F.col("id") * 7919) % 1009 - 500,
+        "hot": F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 700),
+        "same": F.lit(4),
+    }
+    rows = spark.range(n).select(*[c.cast("bigint").alias(k) for k, c in shapes.items()])
+    for buckets in (1, 7, 40):
+        fmap = build_feature_map(rows, [(k, buckets) for k in shapes], clamp=False)
+        clamped = replace(fmap, clamp=True)
+        for k, name in enumerate(shapes):
+            found = sorted((int(r["value"]), r["id"] - k * buckets, r["pv"]) for r in fmap.of(name).collect())
+            ids = [i for _, i, _ in found]
+            assert ids == sorted(ids) and sum(pv for *_, pv in found) == n
+            frequency, largest = n // buckets, max(pv for *_, pv in found)
+            for bucket in sorted(set(ids))[1:-1]:
+                size = sum(pv for _, i, pv in found if i == bucket)
+                assert abs(size - frequency) <= largest
+            top = {i - k * buckets for _, i, _ in clamped.of(name).collect()}
+            assert top == {min(i, buckets - 1) for i in ids}

@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from ctrprep.functions.draws import RANGE, below, draw
+from ctrprep.functions.draws import RANGE, below, number, ticket
 from ctrprep.operators import sampling
 from ctrprep.operators.sampling import parse_conditions
 
@@ -14,13 +14,13 @@ def ids(df):
 
 
 def test_draw_values_and_rates(impressions):
-    drawn = impressions.select("rid", draw(42, "shrink|0", ["rid"]).alias("u")).orderBy("rid")
+    drawn = impressions.select("rid", number(ticket(42, "shrink|0", ["rid"])).alias("u")).orderBy("rid")
     assert [r["u"] for r in drawn.collect()] == [
         176734431, 1570328893, 2853542452, 910456890, 4094077906, 2836718514,
     ]
-    assert ids(impressions.where(below(draw(42, "shrink|0", ["rid"]), 0.5))) == [1, 2, 4]
-    assert ids(impressions.where(below(draw(42, "x", ["rid"]), 1.0))) == [1, 2, 3, 4, 5, 6]
-    assert ids(impressions.where(below(draw(42, "x", ["rid"]), 0.0))) == []
+    assert ids(impressions.where(below(ticket(42, "shrink|0", ["rid"]), 0.5))) == [1, 2, 4]
+    assert ids(impressions.where(below(ticket(42, "x", ["rid"]), 1.0))) == [1, 2, 3, 4, 5, 6]
+    assert ids(impressions.where(below(ticket(42, "x", ["rid"]), 0.0))) == []
     with pytest.raises(ValueError):
         below(F.lit(1), 1.5)
 
@@ -89,7 +89,7 @@ def test_union_sampling_reads_once_and_pushes_the_conditions(lineitem):
 
 
 def test_residues(impressions):
-    drawn = {r["rid"]: r["u"] % 10 for r in impressions.select("rid", draw(42, "residue", ["rid"]).alias("u")).collect()}
+    drawn = {r["rid"]: r["u"] % 10 for r in impressions.select("rid", number(ticket(42, "residue", ["rid"])).alias("u")).collect()}
     wanted = [0, 3, 7]
     assert ids(sampling.sample_residues(impressions, wanted, ["rid"])) == sorted(k for k, u in drawn.items() if u in wanted)
     assert ids(sampling.sample_residues(impressions, sampling.parse_residues("-1"), ["rid"])) == [1, 2, 3, 4, 5, 6]
@@ -100,7 +100,7 @@ def test_residues(impressions):
 def test_noise(impressions):
     got = sampling.add_noise(impressions, "adid", "adid_n", "unknown", 0.5, ["rid"])
     expected = [(r["rid"], "unknown" if r["u"] < RANGE // 2 else r["adid"]) for r in
-                impressions.select("rid", "adid", draw(42, "noise|adid_n", ["rid"]).alias("u")).collect()]
+                impressions.select("rid", "adid", number(ticket(42, "noise|adid_n", ["rid"])).alias("u")).collect()]
     assert rows_of(got, "rid", "adid_n") == sorted(expected, key=str)
     assert {r[0] for r in sampling.add_noise(impressions, "adid", "n", "u", 1.0, ["rid"]).select("n").collect()} == {"u"}
 
