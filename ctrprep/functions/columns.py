@@ -87,7 +87,13 @@ def fields(line: Column, separator: str, keep_trailing: bool = True) -> Column:
     """Split a delimited line; ``keep_trailing=False`` drops empty fields at the end."""
     if not keep_trailing:
         line = F.rtrim(line, F.lit(separator))
-    return F.split(line, "\\Q" + separator + "\\E", -1)
+    return F.split(line, _literal(separator), -1)
+
+
+def _literal(separator: str) -> str:
+    """The separator as a pattern; in this form a single character is split on
+    without compiling a pattern per row."""
+    return "".join("\\" + c if c in r".$|()[]{}^?*+\\" else c for c in separator)
 
 
 def field(parts: Column, index: int) -> Column:

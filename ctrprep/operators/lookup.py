@@ -16,8 +16,8 @@ from ctrprep.sources.scratch import store
 BROADCAST_BYTES = 64 << 20
 # Object and hash-table cost of one broadcast entry on top of its text.
 _ENTRY_OVERHEAD = 64
-# A value is hot from this share of all rows on, so there are at most 2000.
-_HOT_SHARE = 1 / 2000
+# A value is hot from one in this many rows on, so there are at most this many.
+_HOT_VALUES = 2000
 # Where a map has no counts, hot values are looked for in this share of the rows.
 _HOT_SAMPLE = 0.001
 # Whole numbers up to here are exact as doubles.
@@ -57,7 +57,7 @@ def look_up_small(df: DataFrame, entries: DataFrame, column: str, to: str) -> Da
 
 def hot_by_counts(entries: DataFrame, total: int) -> DataFrame:
     """The entries whose own count ``pv`` makes them hot among ``total``."""
-    return entries.where(F.col("pv") >= F.lit(max(1, int(total * _HOT_SHARE)))).select("value", "id")
+    return entries.where(F.col("pv") >= F.lit(-(-total // _HOT_VALUES))).select("value", "id")
 
 
 def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
     sampled = df.select(key_text(column).alias("value")).where(F.col("value").isNotNull()).sample(_HOT_SAMPLE, 7)
     counted = sampled.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     total = sampled.agg(F.count(F.lit(1))).scalar()
-    frequent = counted.where((F.col("n") >= total * F.lit(_HOT_SHARE)) & (F.col("n") > 1)).select("value")
+    frequent = counted.where((F.col("n") >= total / F.lit(_HOT_VALUES)) & (F.col("n") > 1)).select("value")
     return entries.join(F.broadcast(frequent), "value", "left_semi").select("value", "id")
 
 
@@ -75,7 +75,7 @@ def look_up_large(
 ) -> DataFrame:
     """The same for entries too large to broadcast: rows meet them by a shuffle.
 
-    ``hot`` are the few entries (at most ``1 / _HOT_SHARE``) that many rows
+    ``hot`` are the few entries (at most ``_HOT_VALUES``) that many rows
     share.  They are broadcast and resolved first; those rows, and rows whose
     value is NULL, then travel under a spread key that meets no entry, instead
     of all meeting in one task.  ``spread_by`` names columns that tell rows

@@ -95,7 +95,7 @@ def parse_feature_map(lines: DataFrame, order: str | None = None) -> DataFrame:
     skipped.  When a key comes twice the last line counts, by the column
     ``order``; without it the largest id, so that the result is repeatable.
     """
-    parts = F.split(F.col("value"), "[ \\t,]", -1)
+    parts = fields(F.translate("value", "\t,", "  "), " ")
     entries = lines.where(F.size(parts) >= 3).select(
         field(parts, 0).alias("name"),
         field(parts, 1).alias("text"),

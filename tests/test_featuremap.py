@@ -201,3 +201,9 @@ def test_bucket_properties(spark):
                 assert abs(size - frequency) <= largest
             top = {i - k * buckets for _, i, _ in clamped.of(name).collect()}
             assert top == {min(i, buckets - 1) for i in ids}
+
+
+def test_a_column_named_twice_counts_once(scaled):
+    once = rows_of(stats.pv_click(scaled, ["adid"], "label"))
+    assert rows_of(stats.pv_click(scaled, ["adid", "adid"], "label")) == once
+    assert rows_of(stats.value_counts(scaled, ["adid", "adid"])) == [r[:3] for r in once]
