@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ctrprep.functions import treewalk
 from ctrprep.functions.treewalk import NODE_COLUMNS, Trees
 from ctrprep.operators.ranking import store_ranked, with_row_index
 
@@ -18,6 +20,10 @@ from ctrprep.operators.ranking import store_ranked, with_row_index
 # tens of megabytes; a larger model takes several groups.
 GROUP_NODES = 1_000_000
 
+# The walk travels to the Python workers as code, so that they need not have
+# this package on their path.
+cloudpickle.register_pickle_by_value(treewalk)
+
 
 @dataclass(frozen=True)
 class TreeInput:
