@@ -327,6 +327,12 @@ def recode_lines(spark, folder):
     return formats.recode_lines(lines, 1, 10000)
 
 
+def _one_row_per_feature(vectors: DataFrame) -> DataFrame:
+    # A plain explode would add a filter that computes every vector again.
+    laid_out = vectors.select(*LINE_KEY, F.explode_outer("features").alias("feature", "value"))
+    return laid_out.where(F.col("feature").isNotNull())
+
+
 def sparse_vector(spark, folder):
     """Sparse text whose feature 0 comes twice, parsed and laid out again."""
     rows = _lineitem(spark, folder)
@@ -336,16 +342,14 @@ def sparse_vector(spark, folder):
         F.concat(F.lit("1:"), F.col("discount")),
         F.concat(F.lit("0:"), F.col("quantity")),
     )
-    parsed = rows.select(*LINE_KEY, sparse.parse_sparse(vector).alias("features"))
-    return parsed.select(*LINE_KEY, F.explode("features").alias("feature", "value"))
+    return _one_row_per_feature(rows.select(*LINE_KEY, sparse.parse_sparse(vector).alias("features")))
 
 
 def sparse_fill(spark, folder):
     """Line number as a feature of its own, quantity as feature 9."""
     rows = _lineitem(spark, folder)
     inputs = trees.parse_inputs("l_linenumber:1,9:quantity", rows.columns)
-    filled = rows.select(*LINE_KEY, sparse.sparse_vector(inputs).alias("features"))
-    return filled.select(*LINE_KEY, F.explode("features").alias("feature", "value"))
+    return _one_row_per_feature(rows.select(*LINE_KEY, sparse.sparse_vector(inputs).alias("features")))
 
 
 # --- trees ----------------------------------------------------------------------

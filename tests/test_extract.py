@@ -129,3 +129,25 @@ def test_attach_part(spark):
     assert rows_of(tables.attach_part(left, right, ["k"], "inner")) == [(1, "x", 5)]
     with pytest.raises(ValueError):
         tables.attach_part(left, right, ["nope"])
+
+
+def test_adaptive_execution_splits_a_hot_join_key(spark):
+    """A third of the rows share one key; its partition is read in several pieces."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        left = spark.range(300000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+        right = spark.range(300000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = tables.attach_part(left, right, ["k"], "left")
+        assert joined.where("w = k * 2").count() == 300000
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
