@@ -27,6 +27,14 @@ def key_text(name: str) -> Column:
     return F.trim(text(name))
 
 
+def whole_number(df: DataFrame, name: str) -> Column:
+    """A column's value as bigint, NULL where it is none."""
+    require_columns(df, [name])
+    if isinstance(df.schema[name].dataType, _WHOLE_TYPES):
+        return F.col(name).cast("bigint")
+    return key_text(name).try_cast("bigint")
+
+
 def equals_text(df: DataFrame, name: str, value: str) -> Column:
     """``column == value`` as text, in the column's own type where that is the
     same thing, so that the predicate can reach the file scan."""

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import require_columns, text
+from ctrprep.functions.columns import require_columns, text, whole_number
 from ctrprep.operators.ranking import (
     SEQ,
     SLOT,
@@ -143,7 +143,8 @@ def build_feature_map(
     first_index_id: int = 1,
     null_token: str | None = None,
 ) -> FeatureMap:
-    """Number the values of ``indexes`` and bucket those of ``intervals``.
+    """Number the values of ``indexes`` and bucket those of ``intervals``, which
+    are taken as whole numbers, however they are written.
 
     One pass over ``df`` counts all columns; everything later works on the
     distinct values only.
@@ -156,6 +157,7 @@ def build_feature_map(
     for name, n in intervals:
         if n < 1:
             raise ValueError(f"{name} needs at least one bucket, not {n}")
+    df = df.withColumns({name: whole_number(df, name) for name, _ in intervals})
     return rank_counts(value_counts(df, names, null_token), intervals, indexes, clamp, first_index_id)
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import key_text, require_columns
+from ctrprep.functions.columns import key_text, require_columns, whole_number
 from ctrprep.operators.featuremap import FeatureMap
 from ctrprep.sources.scratch import store
 
@@ -43,13 +43,12 @@ def small_enough(sizes: Mapping[str, Size], limit: int = BROADCAST_BYTES) -> set
     return chosen
 
 
-def look_up_small(df: DataFrame, entries: DataFrame, column: str, to: str) -> DataFrame:
-    """Add ``to``: the id that ``entries(value, id)`` gives the trimmed text of
-    ``column``, NULL for a miss, by broadcasting the entries.  Their size must
-    have been checked, and their values must be unique."""
-    require_columns(df, [column])
+def look_up_small(df: DataFrame, entries: DataFrame, key: Column, to: str) -> DataFrame:
+    """Add ``to``: the id that ``entries(value, id)`` gives the text ``key``, NULL
+    for a miss, by broadcasting the entries.  Their size must have been checked,
+    and their values must be unique."""
     dictionary = entries.select(F.col("value").alias("__value"), F.col("id").alias(to))
-    found = df.withColumn("__key", key_text(column)).join(
+    found = df.withColumn("__key", key).join(
         F.broadcast(dictionary), F.col("__key") == F.col("__value"), "left"
     )
     return found.drop("__key", "__value")
@@ -71,7 +70,7 @@ def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
 
 
 def look_up_large(
-    df: DataFrame, entries: DataFrame, column: str, to: str, hot: DataFrame, spread_by: Sequence[str] | None = None
+    df: DataFrame, entries: DataFrame, key: Column, to: str, hot: DataFrame, spread_by: Sequence[str] | None = None
 ) -> DataFrame:
     """The same for entries too large to broadcast: rows meet them by a shuffle.
 
@@ -81,9 +80,8 @@ def look_up_large(
     of all meeting in one task.  ``spread_by`` names columns that tell rows
     apart; without it all columns are read for that.
     """
-    require_columns(df, [column])
     hot = hot.select(F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id"))
-    keyed = df.withColumn("__key", key_text(column)).join(
+    keyed = df.withColumn("__key", key).join(
         F.broadcast(hot), F.col("__key") == F.col("__hot_value"), "left"
     )
     keyed = keyed.withColumn("__key", F.when(F.col("__hot_id").isNull(), F.col("__key")))
@@ -106,7 +104,7 @@ def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[i
     search = Bucketizer(
         splits=[float("-inf"), *lows, float("inf")], inputCol="__number", outputCol="__place", handleInvalid="keep"
     )
-    placed = search.transform(df.withColumn("__number", key_text(column).try_cast("bigint").cast("double")))
+    placed = search.transform(df.withColumn("__number", whole_number(df, column).cast("double")))
     # Place 0 lies below all buckets and the place after the last is for NULL;
     # both fall outside this constant array.
     ids = F.split(F.lit(",".join(str(i) for _, i in bounds)), ",").cast("array<bigint>")
@@ -129,21 +127,24 @@ def add_ids(
     narrowest.
     """
     columns = columns or {c: id_column(c) for c in fmap.columns}
+    require_columns(df, columns)
     bounds = fmap.bucket_bounds if same_rows and any(c in columns for c, _ in fmap.intervals) else {}
     by_bounds = {c for c in columns if bounds.get(c) and all(abs(low) <= _EXACT for low, _ in bounds[c])}
     small = small_enough({c: fmap.sizes[c] for c in columns if c not in by_bounds}, broadcast_bytes)
     large = [c for c in columns if c not in by_bounds and c not in small]
-    given = df.columns
+    given, bucketed = df.columns, dict(fmap.intervals)
     for column in sorted(columns, key=large.__contains__):
         to = columns[column]
         if column in by_bounds:
             df = add_bucket_ids(df, column, to, bounds[column])
-        elif column in small:
-            df = look_up_small(df, fmap.of(column), column, to)
+            continue
+        entries = fmap.of(column)
+        key = whole_number(df, column).cast("string") if column in bucketed else key_text(column)
+        if column in small:
+            df = look_up_small(df, entries, key, to)
         else:
-            entries = fmap.of(column)
             hot = hot_by_counts(entries, fmap.count(column))
-            df = look_up_large(df, entries, column, to, hot, spread_by or given)
+            df = look_up_large(df, entries, key, to, hot, spread_by or given)
     return df.select(*given, *columns.values())
 
 
@@ -155,6 +156,7 @@ def add_ids_from(
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``."""
+    require_columns(df, columns)
     wanted = entries.where(F.col("name").isin(list(columns))).select("name", "value", "id")
     entries = store(wanted, "side-map", ["name"])
     measured = entries.groupBy("name").agg(
@@ -172,9 +174,9 @@ def add_ids_from(
     for column in sorted(columns, key=lambda c: c not in small):
         mine, to = entries.where(F.col("name") == column), columns[column]
         if column in small:
-            df = look_up_small(df, mine, column, to)
+            df = look_up_small(df, mine, key_text(column), to)
         else:
-            df = look_up_large(df, mine, column, to, hot_by_sample(rows, column, mine), spread_by or given)
+            df = look_up_large(df, mine, key_text(column), to, hot_by_sample(rows, column, mine), spread_by or given)
     return df.select(*given, *columns.values())
 
 

@@ -46,7 +46,7 @@ def parse_sparse(vector: Column) -> Column:
             return ~F.exists(later, lambda other: other["id"] == pair["id"])
 
         ids = F.transform(valid, lambda pair: pair["id"])
-        unique = F.size(F.array_distinct(ids)) == F.size(ids)
+        unique = F.size(F.array_distinct(ids)) == F.size(valid)
         return F.map_from_entries(F.when(unique, valid).otherwise(F.filter(valid, is_last)))
 
     valid = F.filter(pairs, lambda p: p["id"].isNotNull() & p["value"].isNotNull())

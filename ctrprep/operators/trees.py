@@ -142,7 +142,9 @@ def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:
             else:
                 place = np.searchsorted(trees.features, feature)
                 if place < len(trees.features) and trees.features[place] == feature:
-                    values[place] = column.fill_null(0).to_numpy(zero_copy_only=False)
+                    given = column.fill_null(0).to_numpy(zero_copy_only=False)
+                    present = column.is_valid().to_numpy(zero_copy_only=False)
+                    values[place] = np.where(present, given, values[place])
         leaves = trees.walk(values)
         ends = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))

@@ -136,3 +136,14 @@ def test_lookup_trims_the_row_value(spark):
     rows = spark.createDataFrame([(" a ",), ("b",)], "v string")
     entries = spark.createDataFrame([("v", "a", 1)], "name string, value string, id long")
     assert rows_of(lookup.add_ids_from(rows, entries, {"v": "i"})) == [(" a ", 1), ("b", None)]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 40])
+@pytest.mark.parametrize("same_rows", [False, True])
+def test_equal_numbers_share_a_bucket_however_written(spark, limit, same_rows):
+    written = ["0", "01", "1", " 1", "+1", "2", "x", None]
+    rows = spark.createDataFrame([(v,) for v in written], "v string")
+    fmap = build_feature_map(rows, [("v", 3)])
+    assert rows_of(fmap.of("v")) == [("0", 0, 1), ("1", 2, 4), ("2", 2, 1)]
+    got = lookup.add_ids(rows, fmap, None, limit, same_rows)
+    assert rows_of(got) == sorted(zip(written, [0, 2, 2, 2, 2, 2, None, None]), key=str)

@@ -70,6 +70,11 @@ def test_later_inputs_win(spark, small_model):
     assert trees.encode_leaves(rows, small_model, trees.parse_inputs("4:a,4:b", rows.columns)).first()["leaves"] == [1001, 1003]
 
 
+def test_a_null_input_does_not_erase_an_earlier_one(spark, small_model):
+    rows = spark.createDataFrame([(200.0, None)], "a float, b float")
+    assert trees.encode_leaves(rows, small_model, trees.parse_inputs("4:a,4:b", rows.columns)).first()["leaves"] == [1001, 1003]
+
+
 def test_threshold_is_compared_in_single_precision(spark):
     model = parse_model(spark.createDataFrame(
         [(0, "0]\nnode_0=1,2,null,0,0.1,0,,0\nnode_1=-1,-1,0,-1,0,0,,0\nnode_2=-1,-1,0,-1,0,0,,0")],
