@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from ctrprep.plans.queries import CATALOGUE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,7 +27,7 @@ def bag(names, rows):
     return Counter(tuple(r[k] for k in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(CATALOGUE))
 def test_query_matches_sql(spark, oracle, name):
     got = driver.queries()[name](spark, FOLDER)
     expected = oracle.execute(driver.oracle_sql()[name])
@@ -36,7 +37,8 @@ def test_query_matches_sql(spark, oracle, name):
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert CATALOGUE.keys() <= driver.oracle_sql().keys()
+    assert CATALOGUE.keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
