@@ -18,7 +18,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -28,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.llm.frames import schema_with
+from ctrprep.llm.frames import kept_in_worker, schema_with
 from ctrprep.llm.wordhash import text_slices
 
 CACHE_WORDS = 400_000
@@ -206,9 +205,8 @@ class _Lower(dict):
         return self[code]
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept_in_worker(("word-bpe", path), lambda: WordBpe(path))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ctrprep.llm import bpe, decontaminate, pii, quality, secrets, substrings, toxicity
+from ctrprep.llm import bpe, decontaminate, embeddings, minhash, pii, quality, secrets, substrings, toxicity, warc
+from ctrprep.sources.scratch import shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return secrets.span_report(secrets.find_secrets(docs), tuple(r.kind for r in secrets.BASE_RULES))
@@ -40,6 +47,12 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.report(toxicity.score(docs, model), 0.5)
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = f"{shared_folder(spark)}/ctrprep-{spark.sparkContext.applicationId}/archive-{uuid.uuid4().hex}"
+    warc.write_archive(table(spark, folder, "pages").select("page_id", "url", "html"), archive)
+    return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -50,22 +63,82 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digests(substrings.remove_repeats(docs))
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_minhash_dedup,
         op2_secrets,
         op3_decontamination,
         op4_quality,
         op5_personal_data,
         op6_toxicity,
+        op7_warc,
         op8_bpe,
         op9_substring_dedup,
+        op10_embedding_dedup,
     )
 }
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op1_minhash_dedup": rf"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_FOLD.format('text')}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 3), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS k FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM doc
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), component AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM doc d LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
+""",
+    "op7_warc": """
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS body, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), digest AS (
+    SELECT page_id, payload_bytes, sha256(body) AS payload_digest, min(page_id) OVER (PARTITION BY body) AS first FROM page
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM digest
+""",
+    "op10_embedding_dedup": """
+WITH RECURSIVE vec AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM vec
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.95
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM vec
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), component AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+    SELECT a AS vec_id, count(DISTINCT b) AS n FROM link GROUP BY a
+)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM vec v LEFT JOIN counted USING (vec_id) JOIN component USING (vec_id)
+""",
     "op3_decontamination": rf"""
 WITH item AS (
     SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_FOLD.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ctrprep.llm.components import apart
 from ctrprep.llm.decontaminate import united
 from ctrprep.llm.frames import schema_with
 from ctrprep.llm.wordhash import WordBlock, WordHasher, is_space, mix
@@ -175,22 +176,23 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     schema = "doc_id bigint, version bigint, n_words bigint, one bigint, two bigint, grams array<bigint>"
     long_enough = (F.col("n_words") >= window) & F.col("doc_id").isNotNull()
     survey = store(source.mapInArrow(_survey(window, gram), schema).where(long_enough), "substring-survey")
-    keys = ["one", "two", "n_words"]
-    firsts = survey.groupBy(*keys).agg(F.min("doc_id").alias("first"))
-    ranked = survey.select("doc_id", "version", *keys).join(firsts, keys)
+    firsts = survey.groupBy("one", "two", "n_words").agg(F.min("doc_id").alias("first"))
+    firsts = firsts.select(apart("one").alias("key"), "two", "n_words", "first")
+    ranked = survey.select("doc_id", "version", apart("one").alias("key"), "two", "n_words").join(firsts, ["key", "two", "n_words"])
     copies = ranked.where("doc_id > first").select("doc_id", "version").distinct()
 
     ids = ranked.where("doc_id = first").select("doc_id", "version").distinct()
     grams = survey.join(ids, ["doc_id", "version"]).select("doc_id", "version", F.explode("grams").alias("gram"))
     grams = store(grams, "substring-grams")
     several = grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    suspects = grams.join(several.select("gram"), "gram").groupBy("doc_id", "version").agg(F.collect_set("gram").alias("grams"))
+    shared = grams.withColumn("key", apart("gram")).join(several.select(apart("gram").alias("key")), "key")
+    suspects = shared.groupBy("doc_id", "version").agg(F.collect_set("gram").alias("grams"))
 
     rows = source.join(suspects, ["doc_id", "version"]).select("doc_id", "version", "text", "grams")
     windows = rows.mapInArrow(_counted(window, gram), _WINDOW_ROWS)
     earliest = windows.where("not sure").groupBy("one", "two").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
-    earliest = earliest.where("earliest < latest").drop("latest")
-    removed = windows.join(earliest, ["one", "two"], "left").where("sure or earliest < doc_id")
+    earliest = earliest.where("earliest < latest").select(apart("one").alias("key"), "two", "earliest")
+    removed = windows.withColumn("key", apart("one")).join(earliest, ["key", "two"], "left").where("sure or earliest < doc_id")
     partial = removed.groupBy("doc_id", "version").agg(F.collect_list(F.struct("place", "size")).alias("windows"))
     nothing = F.array().cast("array<struct<place: int, size: int>>")
     return partial.select("doc_id", "version", F.lit(False).alias("whole"), "windows").unionByName(

@@ -81,6 +81,10 @@ class WordHasher:
         self.separators, self.values = separators, _byte_values(fold)
         self._up = self._down = np.ones(1, dtype=np.uint64)
 
+    def __getstate__(self) -> dict:
+        """Without the powers, which every worker makes for itself."""
+        return self.__dict__ | {"_up": np.ones(1, np.uint64), "_down": np.ones(1, np.uint64)}
+
     def _powers(self, n: int) -> None:
         if len(self._up) <= n:
             size = max(n + 1, BLOCK_BYTES + 4096)
