@@ -22,9 +22,14 @@ def text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def trimmed(value: Column) -> Column:
+    """Without blanks and control characters at either end."""
+    return F.btrim(value, F.lit("".join(map(chr, range(0x21)))))
+
+
 def key_text(name: str) -> Column:
     """A column's value as it enters the feature map and is looked up there."""
-    return F.trim(text(name))
+    return trimmed(text(name))
 
 
 def whole_number(df: DataFrame, name: str) -> Column:
@@ -57,8 +62,12 @@ def equals_int(df: DataFrame, name: str, value: str) -> Column:
     number = _whole_number(value)
     if number is None:
         raise ValueError(f"condition value {value!r} for {name} is not an integer")
-    if isinstance(df.schema[name].dataType, _WHOLE_TYPES):
+    kind = df.schema[name].dataType
+    if isinstance(kind, _WHOLE_TYPES):
         return F.col(name) == F.lit(number)
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        # A cast to whole numbers would cut 1.5 to 1.
+        return F.coalesce(F.col(name) == F.lit(number).cast(kind), F.lit(False))
     return F.coalesce(F.col(name).try_cast("bigint") == F.lit(number), F.lit(False))
 
 

@@ -26,6 +26,9 @@ class Trees:
     @staticmethod
     def from_table(table: pa.Table) -> Trees:
         rows = {name: table.column(name).to_numpy() for name in NODE_COLUMNS if name != "leaf_id"}
+        is_leaf = (rows["left"] == -1) & (rows["right"] == -1)
+        if np.any(is_leaf & table.column("leaf_id").is_null().to_numpy()):
+            raise ValueError("a leaf of the model has no id")
         leaf = table.column("leaf_id").fill_null(-1).to_numpy()
         order = np.lexsort((rows["node"], rows["tree"]))
         rows = {name: values[order] for name, values in rows.items()}
@@ -56,6 +59,16 @@ class Trees:
         threshold = rows["threshold"].astype(np.float32)
         return Trees(roots, _depths(roots, left, right), left, right, slot, threshold, leaf, features)
 
+    def walk_vectors(self, numbers: pa.Array, values: pa.Array) -> np.ndarray:
+        """Leaf ids of rows that each have lists of feature numbers and of their values."""
+        row = np.repeat(np.arange(len(values)), values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        number, value = numbers.flatten().to_numpy(zero_copy_only=False), values.flatten()
+        place = np.minimum(np.searchsorted(self.features, number), len(self.features) - 1)
+        hit = np.flatnonzero(value.is_valid().to_numpy(zero_copy_only=False) & (self.features[place] == number))
+        dense = np.zeros((len(self.features), len(values)), dtype=np.float32)
+        dense[place[hit], row[hit]] = value.fill_null(0).to_numpy(zero_copy_only=False)[hit]
+        return self.walk(dense)
+
     def walk(self, values: np.ndarray) -> np.ndarray:
         """Leaf ids, rows by trees, for a features-by-rows matrix."""
         count = values.shape[1]

@@ -27,12 +27,20 @@ from ctrprep.operators.stats import distinct_values, value_counts
 from ctrprep.sources.text import EXTRACT_SEPARATOR
 
 
+# Bucket ids as the plain quotient of running count and frequency, whose top id can
+# exceed the number of buckets, or as true equal-frequency buckets.
+EXACT, EVEN = "exact", "even"
+BUCKET_MODES = (EXACT, EVEN)
+
+
 @dataclass(frozen=True)
 class FeatureMap:
     """A feature map over a stored, sorted vocabulary.
 
     Bucket ids come first, in the order of ``intervals``; the ids of dictionary
     columns follow densely, in the order of ``indexes`` and then of the value.
+    A bucketed column takes as many ids as it has buckets, or as many as it needs
+    where the top id of mode ``exact`` exceeds that, so no two columns share an id.
     ``totals`` describe the parts of the stored vocabulary.
     """
 
@@ -40,7 +48,7 @@ class FeatureMap:
     totals: tuple[dict, ...]
     intervals: tuple[tuple[str, int], ...]
     indexes: tuple[str, ...]
-    clamp: bool = True
+    mode: str = EXACT
     first_index_id: int = 1
 
     @property
@@ -95,10 +103,30 @@ class FeatureMap:
         for t in totals:
             kept = by_slot.setdefault(t[SLOT], {**t, "rows": 0})
             kept["rows"] += t["rows"]
-        base = self.first_index_id + sum(n for _, n in self.intervals)
-        placed, index = row_index(rows, list(by_slot.values()), base)
+        placed, index = row_index(rows, list(by_slot.values()), self.index_base())
         return placed.select("name", "value", index.alias("id"), *carry)
 
+    def bucket_starts(self) -> list[int]:
+        """What is added to the bucket numbers of each bucketed column."""
+        starts = [0]
+        for k, (_, n) in enumerate(self.intervals):
+            starts.append(starts[-1] + max(n, self._top(k) + 1))
+        return starts[: len(self.intervals)]
+
+    def index_base(self) -> int:
+        """The first id of the dictionary columns."""
+        if not self.intervals:
+            return self.first_index_id
+        start, last = self.bucket_starts()[-1], len(self.intervals) - 1
+        return max(self.first_index_id + start + self.intervals[last][1], start + self._top(last) + 1)
+
+    def _top(self, position: int) -> int:
+        """The largest bucket number in use, -1 without values."""
+        total, n = self._sum(position, "pv"), self.intervals[position][1]
+        if not total:
+            return -1
+        return ((total - 1) * n) // total if self.mode == EVEN else total // max(total // n, 1)
+
     def _interval_entries(self, position: int | None = None) -> DataFrame:
         last = len(self.intervals)
         rows = self.ranked.where(F.col("position") < last if position is None else F.col("position") == position)
@@ -112,10 +140,8 @@ class FeatureMap:
         up_to_here = Window.partitionBy("position", SLOT).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
         counted = rows.withColumn(SLOT, slot()).withColumn("running", F.sum("pv").over(up_to_here))
         placed = counted.join(small, ["position", SLOT])
-        sizes = [n for _, n in self.intervals]
-        starts = [sum(sizes[:k]) for k in range(last)]
-        buckets, start = _by_position(sizes), _by_position(starts)
-        bucket = _bucket(F.col("before") + F.col("running"), F.col("total"), buckets, self.clamp)
+        buckets, start = _by_position([n for _, n in self.intervals]), _by_position(self.bucket_starts())
+        bucket = _bucket(F.col("before") + F.col("running"), F.col("total"), buckets, self.mode)
         return placed.select("name", "value", (bucket + start).alias("id"), "pv")
 
 
@@ -123,12 +149,13 @@ def _by_position(values: Sequence[int]) -> Column:
     return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("position"))
 
 
-def _bucket(running: Column, total: Column, buckets: Column, clamp: bool) -> Column:
-    """``floor(running / frequency)`` with ``frequency = floor(total / buckets)``,
-    at least 1.  Clamped, the top values stay inside the last bucket."""
-    frequency = F.greatest(_whole_division(total, buckets), F.lit(1))
-    exact = _whole_division(running, frequency)
-    return F.least(exact, buckets - F.lit(1)) if clamp else exact
+def _bucket(running: Column, total: Column, buckets: Column, mode: str) -> Column:
+    """Exact: ``floor(running / frequency)`` with ``frequency = floor(total / buckets)``,
+    at least 1.  Even: the bucket that the value's last row falls into when all rows
+    are dealt out evenly."""
+    if mode == EVEN:
+        return _whole_division((running - F.lit(1)) * buckets, total)
+    return _whole_division(running, F.greatest(_whole_division(total, buckets), F.lit(1)))
 
 
 def _whole_division(a: Column, b: Column) -> Column:
@@ -139,7 +166,7 @@ def build_feature_map(
     df: DataFrame,
     intervals: Sequence[tuple[str, int]] = (),
     indexes: Sequence[str] = (),
-    clamp: bool = True,
+    mode: str = EXACT,
     first_index_id: int = 1,
     null_token: str | None = None,
 ) -> FeatureMap:
@@ -158,17 +185,19 @@ def build_feature_map(
         if n < 1:
             raise ValueError(f"{name} needs at least one bucket, not {n}")
     df = df.withColumns({name: whole_number(df, name) for name, _ in intervals})
-    return rank_counts(value_counts(df, names, null_token), intervals, indexes, clamp, first_index_id)
+    return rank_counts(value_counts(df, names, null_token), intervals, indexes, mode, first_index_id)
 
 
 def rank_counts(
     counts: DataFrame,
     intervals: Sequence[tuple[str, int]] = (),
     indexes: Sequence[str] = (),
-    clamp: bool = True,
+    mode: str = EXACT,
     first_index_id: int = 1,
 ) -> FeatureMap:
     """A feature map from ready ``(name, value, pv[, click])`` counts."""
+    if mode not in BUCKET_MODES:
+        raise ValueError(f"bucket mode {mode!r} is not one of {BUCKET_MODES}")
     names = [name for name, _ in intervals] + list(indexes)
     position = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("name")).cast("int") - F.lit(1)
     placed = counts.withColumn("position", position).where(F.col("position") >= 0)
@@ -179,7 +208,15 @@ def rank_counts(
     ranked = store_ranked(placed, ["position", "number", "value"], "vocabulary", ["position"])
     measures = {"rows": F.count(F.lit(1)), "pv": F.sum("pv"), "bytes": F.sum(F.octet_length("value"))}
     totals = slot_totals(ranked, ["position"], measures)
-    return FeatureMap(ranked, tuple(totals), tuple(intervals), tuple(indexes), clamp, first_index_id)
+    return FeatureMap(ranked, tuple(totals), tuple(intervals), tuple(indexes), mode, first_index_id)
+
+
+def counts_as_numbers(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts in which the values of ``columns`` are whole numbers, however they were written."""
+    number = F.col("value").try_cast("bigint").cast("string")
+    value = F.when(F.col("name").isin(list(columns)), number).otherwise(F.col("value"))
+    measures = [F.sum(c).alias(c) for c in counts.columns if c not in ("name", "value")]
+    return counts.withColumn("value", value).where(F.col("value").isNotNull()).groupBy("name", "value").agg(*measures)
 
 
 def feature_map_with_stats(stats: DataFrame, columns: Sequence[str]) -> DataFrame:

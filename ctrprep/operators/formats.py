@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import array_of_present, require_columns, text
+from ctrprep.functions.columns import array_of_present, key_text, require_columns, text
 from ctrprep.functions.draws import below, ticket
 
 ON_MISSING = ("drop", "null", "error")
@@ -79,7 +79,7 @@ def template(
         raise ValueError(f"dropout for {unknown}, which the format does not print")
     line: Column = F.lit(pattern)
     for position, name in enumerate(columns, start=1):
-        shown = F.coalesce(F.trim(text(name)), F.lit(ABSENT))
+        shown = F.coalesce(key_text(name), F.lit(ABSENT))
         if name in dropout:
             blank = below(ticket(seed, f"dropout|{name}", key), dropout[name])
             shown = F.when(blank, F.lit(ABSENT)).otherwise(shown)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctrprep.functions.columns import key_text, require_columns, whole_number
 from ctrprep.operators.featuremap import FeatureMap
-from ctrprep.sources.scratch import store
+from ctrprep.sources.scratch import is_stored, store
 
 # All dictionaries that one frame broadcasts stay below this estimate together.
 BROADCAST_BYTES = 64 << 20
@@ -59,14 +60,32 @@ def hot_by_counts(entries: DataFrame, total: int) -> DataFrame:
     return entries.where(F.col("pv") >= F.lit(-(-total // _HOT_VALUES))).select("value", "id")
 
 
-def hot_by_sample(df: DataFrame, column: str, entries: DataFrame) -> DataFrame:
-    """The entries of values frequent in a sample of the rows.  Which values count
-    as hot decides how rows travel and never what they get."""
-    sampled = df.select(key_text(column).alias("value")).where(F.col("value").isNotNull()).sample(_HOT_SAMPLE, 7)
-    counted = sampled.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    total = sampled.agg(F.count(F.lit(1))).scalar()
-    frequent = counted.where((F.col("n") >= total / F.lit(_HOT_VALUES)) & (F.col("n") > 1)).select("value")
-    return entries.join(F.broadcast(frequent), "value", "left_semi").select("value", "id")
+def frequent_values(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, list[str]]:
+    """Per column the values (at most ``_HOT_VALUES``) that are frequent in a sample of the
+    rows; one reading for all columns.  They decide how rows travel and never what they get."""
+    if not keys:
+        return {}
+    codes = {name: str(k) for k, name in enumerate(keys)}
+    sampled = df.sample(_HOT_SAMPLE, 7).select(*[key.alias(codes[name]) for name, key in keys.items()])
+    long = sampled.unpivot([], list(codes.values()), "code", "value").where(F.col("value").isNotNull())
+    counted = long.groupBy("code", "value").agg(F.count(F.lit(1)).alias("n"))
+    # One total per column.
+    totals = F.broadcast(long.groupBy("code").agg(F.count(F.lit(1)).alias("total")))
+    frequent = counted.where("n > 1").join(totals, "code").where(F.col("n") * F.lit(_HOT_VALUES) >= F.col("total"))
+    found: dict[str, list[str]] = {name: [] for name in keys}
+    names = {code: name for name, code in codes.items()}
+    for r in frequent.collect():
+        found[names[r["code"]]].append(r["value"])
+    return found
+
+
+def hot_among(df: DataFrame, values: Sequence[str], entries: DataFrame) -> DataFrame:
+    """``(value, id)`` of the given few values, with a NULL id for those that ``entries`` lacks."""
+    table = pa.table({"value": pa.array(list(values), pa.string())})
+    wanted = df.sparkSession.createDataFrame(table)
+    known = entries.select("value", "id").join(F.broadcast(wanted), "value", "left_semi")
+    # Both sides hold the few wanted values only.
+    return wanted.join(F.broadcast(known), "value", "left")
 
 
 def look_up_large(
@@ -74,17 +93,17 @@ def look_up_large(
 ) -> DataFrame:
     """The same for entries too large to broadcast: rows meet them by a shuffle.
 
-    ``hot`` are the few entries (at most ``_HOT_VALUES``) that many rows
-    share.  They are broadcast and resolved first; those rows, and rows whose
-    value is NULL, then travel under a spread key that meets no entry, instead
-    of all meeting in one task.  ``spread_by`` names columns that tell rows
+    ``hot`` are the few values (at most ``_HOT_VALUES``) that many rows
+    share, with their ids, or NULL for those that have none.  They are broadcast
+    and resolved first; those rows, and rows whose value is NULL, then travel under
+    a spread key that meets no entry, instead of all meeting in one task.  ``spread_by`` names columns that tell rows
     apart; without it all columns are read for that.
     """
     hot = hot.select(F.col("value").alias("__hot_value"), F.col("id").alias("__hot_id"))
     keyed = df.withColumn("__key", key).join(
         F.broadcast(hot), F.col("__key") == F.col("__hot_value"), "left"
     )
-    keyed = keyed.withColumn("__key", F.when(F.col("__hot_id").isNull(), F.col("__key")))
+    keyed = keyed.withColumn("__key", F.when(F.col("__hot_value").isNull(), F.col("__key")))
     # The second key has to be computed on both sides: the optimizer would drop a
     # constant one from the shuffle.
     spread = F.when(F.col("__key").isNull(), F.xxhash64(*[F.col(c) for c in spread_by or df.columns]))
@@ -132,19 +151,24 @@ def add_ids(
     by_bounds = {c for c in columns if bounds.get(c) and all(abs(low) <= _EXACT for low, _ in bounds[c])}
     small = small_enough({c: fmap.sizes[c] for c in columns if c not in by_bounds}, broadcast_bytes)
     large = [c for c in columns if c not in by_bounds and c not in small]
-    given, bucketed = df.columns, dict(fmap.intervals)
+    rows, given, bucketed = df, df.columns, dict(fmap.intervals)
+
+    def key_of(column: str) -> Column:
+        return whole_number(rows, column).cast("string") if column in bucketed else key_text(column)
+
+    frequent = {} if same_rows else frequent_values(rows, {c: key_of(c) for c in large})
     for column in sorted(columns, key=large.__contains__):
         to = columns[column]
         if column in by_bounds:
             df = add_bucket_ids(df, column, to, bounds[column])
             continue
         entries = fmap.of(column)
-        key = whole_number(df, column).cast("string") if column in bucketed else key_text(column)
         if column in small:
-            df = look_up_small(df, entries, key, to)
+            df = look_up_small(df, entries, key_of(column), to)
         else:
-            hot = hot_by_counts(entries, fmap.count(column))
-            df = look_up_large(df, entries, key, to, hot, spread_by or given)
+            counted = same_rows or not frequent[column]
+            hot = hot_by_counts(entries, fmap.count(column)) if counted else hot_among(rows, frequent[column], entries)
+            df = look_up_large(df, entries, key_of(column), to, hot, spread_by or given)
     return df.select(*given, *columns.values())
 
 
@@ -154,11 +178,14 @@ def add_ids_from(
     columns: Mapping[str, str],
     broadcast_bytes: int = BROADCAST_BYTES,
     spread_by: Sequence[str] | None = None,
+    numbers: Sequence[str] = (),
 ) -> DataFrame:
-    """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``."""
+    """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``.
+    The values of the columns ``numbers`` are looked up as whole numbers, however
+    they are written."""
     require_columns(df, columns)
     wanted = entries.where(F.col("name").isin(list(columns))).select("name", "value", "id")
-    entries = store(wanted, "side-map", ["name"])
+    entries = wanted if is_stored(entries) else store(wanted, "side-map", ["name"])
     measured = entries.groupBy("name").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.octet_length("value")).alias("bytes"),
@@ -171,12 +198,14 @@ def add_ids_from(
     sizes = {c: (found[c]["rows"], found[c]["bytes"]) if c in found else (0, 0) for c in columns}
     small = small_enough(sizes, broadcast_bytes)
     rows, given = df, df.columns
+    keys = {c: whole_number(rows, c).cast("string") if c in numbers else key_text(c) for c in columns}
+    frequent = frequent_values(rows, {c: key for c, key in keys.items() if c not in small})
     for column in sorted(columns, key=lambda c: c not in small):
         mine, to = entries.where(F.col("name") == column), columns[column]
         if column in small:
-            df = look_up_small(df, mine, key_text(column), to)
+            df = look_up_small(df, mine, keys[column], to)
         else:
-            df = look_up_large(df, mine, key_text(column), to, hot_by_sample(rows, column, mine), spread_by or given)
+            df = look_up_large(df, mine, keys[column], to, hot_among(rows, frequent[column], mine), spread_by or given)
     return df.select(*given, *columns.values())
 
 

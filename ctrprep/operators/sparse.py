@@ -38,17 +38,25 @@ def parse_sparse(vector: Column) -> Column:
         value = F.when(F.contains(item, F.lit(":")), F.substring_index(item, ":", -1).try_cast("float"))
         return F.struct(number.alias("id"), value.alias("value"))
 
-    pairs = F.transform(F.split(vector, ","), pair)
+    def valid_pair(item: Column) -> Column:
+        return item["id"].isNotNull() & item["value"].isNotNull()
 
     def last_ones(valid: Column) -> Column:
-        def is_last(pair: Column, at: Column) -> Column:
-            later = F.slice(valid, at + F.lit(2), F.size(valid))
-            return ~F.exists(later, lambda other: other["id"] == pair["id"])
-
-        ids = F.transform(valid, lambda pair: pair["id"])
+        """Sorted by number and place, the pairs before another number are the last of theirs."""
+        placed = F.array_sort(
+            F.transform(valid, lambda p, at: F.struct(p["id"].alias("id"), at.alias("at"), p["value"].alias("value")))
+        )
+        # The one-element array gives the sorted pairs a name, so that they are sorted once.
+        kept = F.transform(
+            F.array(placed),
+            lambda rows: F.filter(rows, lambda p, at: ~F.coalesce(F.get(rows, at + F.lit(1))["id"] == p["id"], F.lit(False))),
+        )[0]
+        return F.transform(kept, lambda p: F.struct(p["id"].alias("id"), p["value"].alias("value")))
+
+    def chosen(valid: Column) -> Column:
+        ids = F.transform(valid, lambda p: p["id"])
         unique = F.size(F.array_distinct(ids)) == F.size(valid)
-        return F.map_from_entries(F.when(unique, valid).otherwise(F.filter(valid, is_last)))
+        return F.map_from_entries(F.when(unique, valid).otherwise(last_ones(valid)))
 
-    valid = F.filter(pairs, lambda p: p["id"].isNotNull() & p["value"].isNotNull())
-    # The one-element array gives the pairs a name, so that they are computed once.
-    return F.transform(F.array(valid), last_ones)[0]
+    valid = F.filter(F.transform(F.split(vector, ","), pair), valid_pair)
+    return F.transform(F.array(valid), chosen)[0]

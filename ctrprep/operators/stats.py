@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctrprep.functions.columns import key_text, require_columns, text
+from ctrprep.functions.columns import key_text, require_columns
 
 
 def _long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), null_token: str | None = None) -> DataFrame:
@@ -56,7 +56,7 @@ def pv_click(df: DataFrame, columns: Sequence[str], label: str = "click") -> Dat
     """
     columns = list(dict.fromkeys(columns))
     require_columns(df, [label])
-    clicked = F.coalesce((F.trim(text(label)) == F.lit("1")).cast("bigint"), F.lit(0))
+    clicked = F.coalesce((key_text(label) == F.lit("1")).cast("bigint"), F.lit(0))
     flagged = df.select(*columns, clicked.alias("__click"))
     counted = (
         _long_form(flagged, columns, keep=["__click"])

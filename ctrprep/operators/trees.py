@@ -15,10 +15,13 @@ from pyspark.sql import types as T
 from ctrprep.functions import treewalk
 from ctrprep.functions.treewalk import NODE_COLUMNS, Trees
 from ctrprep.operators.ranking import store_ranked, with_row_index
+from ctrprep.sources.scratch import store
 
 # Trees are shipped to the executors in groups of about this many nodes, some
 # tens of megabytes; a larger model takes several groups.
 GROUP_NODES = 1_000_000
+# Cells of the features-by-rows matrix that a walk over vectors lays out at once.
+DENSE_CELLS = 4_000_000
 
 # The walk travels to the Python workers as code, so that they need not have
 # this package on their path.
@@ -52,7 +55,12 @@ def parse_inputs(text: str, columns: Sequence[str]) -> list[TreeInput]:
 
 def number_leaves(nodes: DataFrame, offset: int = 0) -> DataFrame:
     """Add ``leaf_id`` to the nodes of a model: leaves count up from ``offset`` in
-    file order, inner nodes have none."""
+    file order, inner nodes have none.
+
+    The nodes are stored first.  What tells them apart may depend on how the file
+    is split when it is read, so they must not be read once for the numbers and
+    again for the rest."""
+    nodes = store(nodes, "model")
     is_leaf = (F.col("left") == -1) & (F.col("right") == -1)
     leaves = nodes.where(is_leaf).select("section", "line")
     numbered = with_row_index(store_ranked(leaves, ["section", "line"], "leaves"), "leaf_id", offset)
@@ -80,13 +88,11 @@ def encode_vector(df: DataFrame, nodes: DataFrame, vector: str, to: str = "leave
     """The same for features in one column: an array indexed by feature number, or
     a map from it."""
     groups = list(_tree_groups(nodes))
-    numbers = sorted({int(f) for trees in groups for f in trees.features})
-    if isinstance(df.schema[vector].dataType, T.MapType):
-        parts = {f"__feature{f}": F.try_element_at(vector, F.lit(f)) for f in numbers}
-    else:
-        parts = {f"__feature{f}": F.get(vector, F.lit(f)) for f in numbers}
-    inputs = [TreeInput(name, feature=f) for name, f in zip(parts, numbers)]
-    return df.withColumns(parts).withColumn(to, _all_leaves(groups, inputs)).drop(*parts)
+    if not groups:
+        raise ValueError("the model has no trees")
+    is_map = isinstance(df.schema[vector].dataType, T.MapType)
+    leaves = [_leaves_of_vector(trees, vector, is_map) for trees in groups]
+    return df.withColumn(to, leaves[0] if len(leaves) == 1 else F.concat(*leaves))
 
 
 def leaf_columns(df: DataFrame, outputs: Sequence[str], leaves: str = "leaves") -> DataFrame:
@@ -125,6 +131,28 @@ def _all_leaves(groups: Sequence[Trees], inputs: Sequence[TreeInput], outputs: i
     return leaves[0] if len(leaves) == 1 else F.concat(*leaves)
 
 
+def _leaves_of_vector(trees: Trees, vector: str, is_map: bool) -> Column:
+    """The walk over whole vectors: their numbers are searched among the model's features,
+    some rows at a time, so that a wide model takes no more memory than a narrow one."""
+    rows_at_once = max(1, DENSE_CELLS // len(trees.features))
+
+    @F.arrow_udf("array<int>")
+    def walk(numbers: pa.Array, values: pa.Array) -> pa.Array:
+        parts = [
+            trees.walk_vectors(numbers.slice(at, rows_at_once), values.slice(at, rows_at_once))
+            for at in range(0, len(values), rows_at_once)
+        ]
+        leaves = np.concatenate([np.empty((0, len(trees.roots)), np.int32), *parts])
+        ends = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
+
+    # The vector is used twice, so that the expression that makes it stays out of the call.
+    values = F.map_values(vector) if is_map else F.col(vector)
+    numbers = F.map_keys(vector) if is_map else F.sequence(F.lit(0), F.size(vector) - F.lit(1), F.lit(1))
+    numbers = numbers if is_map else F.when(F.size(vector) > 0, numbers).otherwise(F.array())
+    return walk(numbers.cast("array<bigint>"), values.cast("array<float>"))
+
+
 def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:
     """The walk as an Arrow UDF: lambda expressions would interpret every step of
     every row, and the same trees as nested ``IF`` outgrow the code generator."""

@@ -43,22 +43,35 @@ def _clicks(table: str, columns: Sequence[str]) -> str:
     )
 
 
-def _numbered(counts: str, first: int = 1) -> str:
-    return f"SELECT *, {first - 1} + row_number() OVER (ORDER BY position, value) AS id FROM ({counts})"
+def _numbered(counts: str, first: int | str = 1) -> str:
+    return f"SELECT *, ({first}) - 1 + row_number() OVER (ORDER BY position, value) AS id FROM ({counts})"
 
 
-def _bucketed(table: str, columns: Sequence[tuple[str, int]], clamp: bool = True) -> str:
-    parts, offset = [], 0
+def _top(table: str, n: int) -> str:
+    rows = f"(SELECT count(*) FROM {table})"
+    return f"{rows} // greatest({rows} // {n}, 1)"
+
+
+def _index_base(table: str, columns: Sequence[tuple[str, int]]) -> str:
+    """The first dictionary id behind exact buckets."""
+    start = "0"
+    for _, n in columns[:-1]:
+        start += f" + greatest({n}, {_top(table, n)} + 1)"
+    n = columns[-1][1]
+    return f"greatest(1 + {start} + {n}, {start} + {_top(table, n)} + 1)"
+
+
+def _bucketed(table: str, columns: Sequence[tuple[str, int]], even: bool = False) -> str:
+    parts, offset = [], "0"
     for column, n in columns:
-        bucket = f"running // greatest(total // {n}, 1)"
-        bucket = f"least({bucket}, {n - 1})" if clamp else bucket
+        bucket = f"(running - 1) * {n} // total" if even else f"running // greatest(total // {n}, 1)"
         parts.append(
             f"SELECT '{column}' AS name, value, ({bucket} + {offset})::BIGINT AS id, pv FROM ("
             f"SELECT value::VARCHAR AS value, pv, (sum(pv) OVER (ORDER BY value))::BIGINT AS running, "
             f"(sum(pv) OVER ())::BIGINT AS total FROM ("
             f"SELECT {column} AS value, count(*) AS pv FROM {table} GROUP BY {column}))"
         )
-        offset += n
+        offset += f" + {n}" if even else f" + greatest({n}, {_top(table, n)} + 1)"
     return " UNION ALL ".join(parts)
 
 
@@ -99,6 +112,18 @@ listed AS (SELECT r, string_agg(leaf::VARCHAR, ',' ORDER BY k) AS leaves FROM wa
 SELECT {_LINE_KEY}, leaves FROM rows JOIN listed USING (r)"""
 
 
+def _deeper(levels: int) -> str:
+    """One step down the generated trees after the other, from ``step`` to ``depth<levels>``."""
+    steps = []
+    for k in range(1, levels + 1):
+        before = "step" if k == 1 else f"depth{k - 1}"
+        limit = "(t * 31 + node * 17) % 50 + 0.5"
+        steps.append(
+            f"depth{k} AS (SELECT r, t, f, 2 * node + CASE WHEN f[(t + node) % 7 + 1] < {limit} THEN 1 ELSE 2 END AS node FROM {before}),"
+        )
+    return "\n".join(steps)
+
+
 _RUN = f"""WITH {_LINE},
 extracted AS (
   SELECT {_LINE_KEY}, label, l_linestatus,
@@ -111,7 +136,7 @@ sampled AS (
 map AS (
   SELECT name, value, id, pv FROM ({_bucketed("sampled", [("l_extendedprice", 700)])})
   UNION ALL
-  SELECT name, value, id, pv FROM ({_numbered(_counts("sampled", ["l_linestatus", "l_linenumber"]), 701)}))"""
+  SELECT name, value, id, pv FROM ({_numbered(_counts("sampled", ["l_linestatus", "l_linenumber"]), _index_base("sampled", [("l_extendedprice", 700)]))}))"""
 
 _TEMPLATE_RUN = f"""WITH {_LINE}, {_NATION},
 kept AS (
@@ -172,11 +197,11 @@ FROM (SELECT DISTINCT o_custkey::VARCHAR AS value FROM orders)""",
     "q11_value_frequency": f"""WITH {_LINE}
 SELECT name, value, pv FROM ({_counts("line", ["quantity", "discount"])})""",
     "q12_interval_bucket": f"""WITH {_LINE}
-SELECT *, 'clamped' AS mode FROM ({_bucketed("line", _BUCKETED)})
-UNION ALL SELECT *, 'exact' AS mode FROM ({_bucketed("line", _BUCKETED, clamp=False)})""",
+SELECT *, 'exact' AS mode FROM ({_bucketed("line", _BUCKETED)})
+UNION ALL SELECT *, 'even' AS mode FROM ({_bucketed("line", _BUCKETED, even=True)})""",
     "q13_feature_map": f"""WITH {_LINE}
 SELECT name, value, id, pv FROM ({_bucketed("line", _BUCKETED)})
-UNION ALL SELECT name, value, id, pv FROM ({_numbered(_counts("line", _INDEXED), 18)})""",
+UNION ALL SELECT name, value, id, pv FROM ({_numbered(_counts("line", _INDEXED), _index_base("line", _BUCKETED))})""",
     "q14_pv_click": f"""WITH {_LINE}
 SELECT name, value, pv, click FROM ({_clicks("line", ["l_linestatus", "l_linenumber", "l_suppkey"])})""",
     "q14_pv_click_events": f"""WITH {_EVENT}
@@ -242,12 +267,11 @@ SELECT tree, node, "left", "right", feature, threshold, leaf_id FROM shaped LEFT
     "q24_leaf_encode": _leaves(["quantity", "discount", "tax"]),
     "q24_leaf_columns": f"""WITH {_LINE}, {_NATION},
 rows AS (SELECT *, row_number() OVER () AS r FROM line),
-walked AS ({_walk("rows", ["quantity", "discount", "tax"], 1000, "k < 3")}),
+walked AS ({_walk("rows", ["quantity", "discount", "tax"], 1000)}),
 wide AS (
-  SELECT r, max(leaf) FILTER (WHERE k = 0) AS leaf0, max(leaf) FILTER (WHERE k = 1) AS leaf1,
-         max(leaf) FILTER (WHERE k = 2) AS leaf2
+  SELECT r, {", ".join(f"max(leaf) FILTER (WHERE k = {k}) AS leaf{k}" for k in range(25))}
   FROM walked GROUP BY r)
-SELECT leaf0, leaf1, leaf2, count(*) AS rows FROM wide GROUP BY ALL""",
+SELECT {", ".join(f"leaf{k}" for k in range(25))}, count(*) AS rows FROM wide GROUP BY ALL""",
     "q24_leaf_encode_sparse": _leaves([f"(CASE WHEN chosen = {k} THEN 3 ELSE 0 END)" for k in range(3)]),
     "q24_dense_walk": _leaves(["quantity", "discount", "tax"], 1001),
     "q24_sparse_walk": _leaves(["quantity", "discount", "tax"]),
@@ -283,4 +307,40 @@ JOIN map n ON n.name = 'l_linenumber' AND n.value = l_linenumber::VARCHAR
 JOIN map p ON p.name = 'l_extendedprice' AND p.value = l_extendedprice::VARCHAR""",
     "q30_full_run_map": f"{_RUN} SELECT name, value, id, pv FROM map",
     "q31_template_run": _TEMPLATE_RUN,
+    "q17_shuffled_lookup": f"""WITH {_SIDE_MAP}
+SELECT {_LINE_KEY}, o.id AS order_id, n.id AS line_id FROM lineitem
+LEFT JOIN side o ON o.name = 'l_orderkey' AND o.value = l_orderkey::VARCHAR
+LEFT JOIN side n ON n.name = 'l_linenumber' AND n.value = l_linenumber::VARCHAR""",
+    "q27_chained_partials": """
+WITH returned AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
+SELECT o_orderkey, coalesce(o_custkey, c_custkey) AS o_custkey, c_nationkey, coalesce(n, 0) AS returned
+FROM orders FULL JOIN customer ON o_custkey = c_custkey LEFT JOIN returned ON l_orderkey = o_orderkey""",
+    "q32_map_round_trip": f"""WITH map AS ({_numbered(_counts("orders", ["o_orderpriority"]))})
+SELECT o_orderkey, o_orderpriority, id AS priority_id FROM orders JOIN map ON value = o_orderpriority""",
+    "q33_model_file": f"""WITH {_LINE},
+tree AS (SELECT n_nationkey * 4 + k AS t FROM nation, generate_series(0, 3) AS s(k)),
+step0 AS (
+  SELECT {_LINE_KEY}, row_number() OVER () AS r,
+         [quantity, discount, tax, l_linenumber, l_partkey % 50, l_suppkey % 50, l_orderkey % 50] AS f FROM line),
+step AS (SELECT r, t, f, 0 AS node FROM step0, tree),
+{_deeper(6)}
+listed AS (
+  SELECT r, string_agg((1000 + t * 64 + node - 63)::VARCHAR, ',' ORDER BY t) AS leaves FROM depth6 GROUP BY r)
+SELECT {_LINE_KEY}, md5(leaves) AS leaves FROM step0 JOIN listed USING (r)""",
+    "q34_given_map": f"""WITH {_ORDER},
+early AS (SELECT * FROM ordered WHERE order_year < 1995),
+map AS ({_numbered(_counts("early", ["o_custkey", "o_orderpriority"]))})
+SELECT o_orderkey, c.id AS o_custkey_id, p.id AS o_orderpriority_id FROM ordered
+LEFT JOIN map c ON c.name = 'o_custkey' AND c.value = o_custkey::VARCHAR
+LEFT JOIN map p ON p.name = 'o_orderpriority' AND p.value = o_orderpriority""",
+    "q35_run_statistics": f"""WITH {_ORDER}
+SELECT name, value, pv, click FROM ({_clicks("ordered", ["o_custkey", "o_orderpriority"])})""",
+    "q36_several_formats": f"""WITH {_ORDER},
+map AS ({_numbered(_counts("ordered", ["o_custkey", "o_orderpriority"]))}),
+encoded AS (
+  SELECT label, o_orderkey, c.id AS c, p.id AS p FROM ordered
+  JOIN map c ON c.name = 'o_custkey' AND c.value = o_custkey::VARCHAR
+  JOIN map p ON p.name = 'o_orderpriority' AND p.value = o_orderpriority)
+SELECT 'ids' AS format, concat_ws(chr(9), label, c || ':1', p || ':1') AS value FROM encoded
+UNION ALL SELECT 'pairs', o_orderkey || ' ' || c || ':1' FROM encoded""",
 }

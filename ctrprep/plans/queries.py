@@ -13,6 +13,7 @@ from ctrprep.operators import featuremap, formats, lookup, sampling, sparse, sta
 from ctrprep.plans.runner import prepare
 from ctrprep.plans.spec import PrepSpec
 from ctrprep.sources import model, tables, text
+from ctrprep.sources.scratch import new_folder
 
 SEED = 42
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -224,11 +225,9 @@ def value_frequency(spark, folder):
 
 
 def interval_bucket(spark, folder):
-    clamped = featuremap.build_feature_map(_lineitem(spark, folder), intervals=_BUCKETED)
-    exact = replace(clamped, clamp=False)
-    return clamped.entries.withColumn("mode", F.lit("clamped")).unionByName(
-        exact.entries.withColumn("mode", F.lit("exact"))
-    )
+    exact = featuremap.build_feature_map(_lineitem(spark, folder), intervals=_BUCKETED)
+    even = replace(exact, mode=featuremap.EVEN)
+    return exact.entries.withColumn("mode", F.lit("exact")).unionByName(even.entries.withColumn("mode", F.lit("even")))
 
 
 def feature_map(spark, folder):
@@ -278,6 +277,30 @@ def dict_lookup_left(spark, folder):
     return lookup.add_ids_from(rows, _side_map(spark, folder), _MAPPED)
 
 
+def shuffled_lookup(spark, folder):
+    """The lookup without a byte to broadcast: rows and maps meet by shuffles."""
+    rows = _table(spark, folder, "lineitem").select(*LINE_KEY)
+    return lookup.add_ids_from(rows, _side_map(spark, folder), _MAPPED, 0, LINE_KEY)
+
+
+def map_round_trip(spark, folder):
+    """A map whose values hold blanks, written, read and looked up."""
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    path = new_folder(spark, "map")
+    text.write_feature_map(featuremap.build_feature_map(orders, indexes=["o_orderpriority"]).entries, path)
+    return lookup.add_ids_from(orders, text.read_feature_map(spark, path), {"o_orderpriority": "priority_id"})
+
+
+def chained_partials(spark, folder):
+    """Three parts of a row, the last with orders that have none."""
+    orders = tables.extract(_table(spark, folder, "orders"), ["o_orderkey", "o_custkey"])
+    customers = _table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    per_order = _table(spark, folder, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    returned = per_order.agg(F.count(F.lit(1)).alias("returned"))
+    both = tables.attach_part(orders, customers, ["o_custkey"], "full")
+    return tables.attach_part(both, returned, ["o_orderkey"], "left", {"returned": 0})
+
+
 ORDER_SPEC = {
     "name": "orders",
     "partial": [{"name": "orders", "table": "orders", "columns": "label,o_orderpriority,order_year", "type": "s,s,s"}],
@@ -413,9 +436,47 @@ def leaf_encode(spark, folder):
 
 
 def leaf_columns(spark, folder):
-    """One column per tree, counted per combination of the first three trees."""
-    wide = trees.leaf_columns(_leaves(spark, folder, []), trees.output_names("leaf%d", 25))
-    return wide.groupBy("leaf0", "leaf1", "leaf2").agg(F.count(F.lit(1)).alias("rows"))
+    """One column per tree, counted per combination of all trees."""
+    names = trees.output_names("leaf%d", 25)
+    wide = trees.leaf_columns(_leaves(spark, folder, []), names)
+    return wide.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _model_text(spark, folder) -> DataFrame:
+    """Four trees of depth six over seven features for each nation, as a model file's sections."""
+    nation = F.col("n_nationkey")
+    tree = _table(spark, folder, "nation").select(F.explode(F.sequence(nation * 4, nation * 4 + 3)).alias("tree"))
+
+    def line(node):
+        split = F.concat_ws(
+            ",",
+            node * 2 + 1,
+            node * 2 + 2,
+            F.lit("null"),
+            (F.col("tree") + node) % 7,
+            F.concat((F.col("tree") * 31 + node * 17) % 50, F.lit(".5")),
+            F.lit("0"),
+            F.lit(""),
+            F.lit("0"),
+        )
+        entry = F.when(node < 63, split).otherwise(F.lit("-1,-1,0.0,-1,0,0,,0.1"))
+        return F.concat(F.lit("node_"), node, F.lit("="), entry)
+
+    lines = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(126)), line), "\n")
+    sections = F.concat(F.lit("[tree_"), "tree", F.lit("]\n"), lines)
+    # One small file, in which the trees stand in order.
+    return tree.repartitionByRange(1, "tree").sortWithinPartitions("tree").select(sections.alias("value"))
+
+
+def model_file(spark, folder):
+    """A written model of a hundred trees, read back and walked over all line items."""
+    path = new_folder(spark, "model-file")
+    text.write_lines(_model_text(spark, folder), path)
+    numbered = trees.number_leaves(model.read_model(spark, path), 1000)
+    rows = _lineitem(spark, folder).withColumns({f"m{k}": F.col(c) % 50 for k, c in enumerate(["l_partkey", "l_suppkey", "l_orderkey"])})
+    inputs = trees.parse_inputs("0:quantity,1:discount,2:tax,3:l_linenumber,4:m0,5:m1,6:m2", rows.columns)
+    leaves = trees.encode_leaves(rows.select(*LINE_KEY, "quantity", "discount", "tax", "m0", "m1", "m2"), numbered, inputs)
+    return leaves.select(*LINE_KEY, F.md5(F.array_join("leaves", ",")).alias("leaves"))
 
 
 def dense_walk(spark, folder):
@@ -535,6 +596,35 @@ def template_run(spark, folder):
     return run.samples["samples"]
 
 
+GIVEN_SPEC = {
+    "name": "orders_by_given_map",
+    "partial": [{"name": "orders", "table": "orders", "columns": "label,o_orderkey,o_custkey,o_orderpriority", "type": "s,s,s,s"}],
+    "transform": [{"type": "SIMPLE_INDEX", "columns": "o_custkey,o_orderpriority", "label": "label"}],
+    "format": [
+        {"name": "ids", "pattern": "libsvm", "on_missing": "null"},
+        {"name": "pairs", "pattern": "${1} ${2}:1", "columns": "o_orderkey,o_custkey_id"},
+    ],
+}
+
+
+def given_map(spark, folder):
+    """All orders encoded with the map of those before 1995; later customers have no id."""
+    spec, orders = PrepSpec.from_dict(GIVEN_SPEC), _orders(spark, folder)
+    first = prepare(spark, spec, {"orders": orders.where("order_year < 1995")})
+    second = prepare(spark, spec, {"orders": orders}, feature_map=first.feature_map.entries)
+    return second.encoded.select("o_orderkey", "o_custkey_id", "o_orderpriority_id")
+
+
+def run_statistics(spark, folder):
+    return prepare(spark, PrepSpec.from_dict(GIVEN_SPEC), {"orders": _orders(spark, folder)}).statistics
+
+
+def several_formats(spark, folder):
+    samples = prepare(spark, PrepSpec.from_dict(GIVEN_SPEC), {"orders": _orders(spark, folder)}).samples
+    named = [lines.select(F.lit(name).alias("format"), "value") for name, lines in samples.items()]
+    return named[0].unionByName(named[1])
+
+
 CATALOGUE: dict[str, Query] = {
     "q01_extract_typed": extract_typed,
     "q02_extract_since": extract_since,
@@ -585,4 +675,11 @@ CATALOGUE: dict[str, Query] = {
     "q30_full_run": full_run,
     "q30_full_run_map": full_run_map,
     "q31_template_run": template_run,
+    "q17_shuffled_lookup": shuffled_lookup,
+    "q27_chained_partials": chained_partials,
+    "q32_map_round_trip": map_round_trip,
+    "q33_model_file": model_file,
+    "q34_given_map": given_map,
+    "q35_run_statistics": run_statistics,
+    "q36_several_formats": several_formats,
 }

@@ -8,21 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ctrprep.operators import formats, sampling, trees
-from ctrprep.operators.featuremap import FeatureMap, build_feature_map, cross
-from ctrprep.operators.lookup import BROADCAST_BYTES, add_ids, require_ids
+from ctrprep.operators.featuremap import FeatureMap, build_feature_map, counts_as_numbers, cross, rank_counts
+from ctrprep.operators.lookup import BROADCAST_BYTES, add_ids, add_ids_from, require_ids
 from ctrprep.operators.stats import pv_click
 from ctrprep.plans.spec import LIBSVM, Format, Partial, PrepSpec
 from ctrprep.sources.model import read_model
 from ctrprep.sources.scratch import store
 from ctrprep.sources.tables import attach_part, extract, open_table, since
-from ctrprep.sources.text import write_feature_map, write_lines
+from ctrprep.sources.text import write_feature_map, write_feature_map_text, write_lines
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """The frames of a run.  All but the vocabulary behind ``feature_map`` are lazy.
+    """The frames of a run.  All but what is stored on the way are lazy.
 
     ``statistics`` are views and clicks per value, for runs with a click label.
+    ``feature_map`` is None for runs that encode with a given one.
     """
 
     rows: DataFrame
@@ -30,6 +31,7 @@ class Prepared:
     feature_map: FeatureMap | None
     encoded: DataFrame
     samples: dict[str, DataFrame]
+    target: str | None = None
 
 
 def prepare(
@@ -38,13 +40,18 @@ def prepare(
     tables: Mapping[str, DataFrame] | None = None,
     models: Mapping[str, DataFrame] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    feature_map: FeatureMap | DataFrame | None = None,
 ) -> Prepared:
     """Run ``spec``.  ``tables`` and ``models`` (node frames) give frames by name;
     other names are catalog tables, parquet paths and model files.
 
+    With ``feature_map``, an earlier run's or ``(name, value, id)`` as written by one,
+    rows are encoded with that map and none is built; values it lacks have no id.
+
     The rows are read once for the vocabulary and once for the samples.  Seeded
     draws make both readings see the same rows, so a single table is not copied
-    in between; a join of several is stored, as it costs more to repeat.
+    in between; a join of several is stored, as it costs more to repeat, and so are
+    encoded rows that several formats print.
     """
     spec.validate()
     rows = sample(gather(spark, spec, tables), spec)
@@ -58,9 +65,15 @@ def prepare(
     statistics, fmap, encoded = None, None, rows
     if spec.transforms:
         if spec.click_label:
-            statistics = pv_click(rows, list(spec.id_columns), spec.click_label)
-        fmap = build_feature_map(rows, spec.intervals, spec.indexes)
-        encoded = add_ids(rows, fmap, spec.id_columns, broadcast_bytes, True, spec.key)
+            statistics = store(pv_click(rows, list(spec.id_columns), spec.click_label), "statistics")
+        if feature_map is None:
+            fmap = _built_map(rows, spec, statistics)
+            encoded = add_ids(rows, fmap, spec.id_columns, broadcast_bytes, True, spec.key)
+        elif isinstance(feature_map, FeatureMap):
+            encoded = add_ids(rows, feature_map, spec.id_columns, broadcast_bytes, False, spec.key)
+        else:
+            numbers = [c for c, _ in spec.intervals]
+            encoded = add_ids_from(rows, feature_map, spec.id_columns, broadcast_bytes, spec.key, numbers)
         if spec.missing_rows == "drop":
             encoded = require_ids(encoded, list(spec.id_columns.values()))
     for step in spec.filters:
@@ -69,8 +82,18 @@ def prepare(
         inputs = trees.parse_inputs(step.inputs, encoded.columns)
         leaves = trees.encode_leaves(encoded, numbered, inputs, "__leaves", len(step.outputs))
         encoded = trees.leaf_columns(leaves, step.outputs, "__leaves")
+    if len(spec.formats) > 1 and encoded is not rows:
+        encoded = store(encoded, "encoded")
     samples = {f.name: render(encoded, spec, f) for f in spec.formats}
-    return Prepared(rows, statistics, fmap, encoded, samples)
+    return Prepared(rows, statistics, fmap, encoded, samples, spec.target)
+
+
+def _built_map(rows: DataFrame, spec: PrepSpec, statistics: DataFrame | None) -> FeatureMap:
+    """The run's own map, from the stored statistics where there are some, so that rows are counted once."""
+    if statistics is None:
+        return build_feature_map(rows, spec.intervals, spec.indexes, spec.bucket_mode)
+    counts = counts_as_numbers(statistics, [c for c, _ in spec.intervals])
+    return rank_counts(counts, spec.intervals, spec.indexes, spec.bucket_mode)
 
 
 def gather(spark: SparkSession, spec: PrepSpec, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -113,14 +136,23 @@ def render(encoded: DataFrame, spec: PrepSpec, fmt: Format) -> DataFrame:
         lines = formats.libsvm(rows, ids, spec.label, fmt.on_missing, keep)
     else:
         lines = formats.template(rows, fmt.pattern, fmt.columns, fmt.dropout, key, spec.seed, keep)
-    return sampling.shuffle_rows(lines, seed=spec.seed) if fmt.shuffle else lines
+    return sampling.shuffle_rows(lines, fmt.partitions, seed=spec.seed) if fmt.shuffle else lines
+
 
+def write_outputs(prepared: Prepared, path: str | None = None, text_map: bool = False) -> None:
+    """Write ``<path>/featuremap``, ``<path>/statistics`` and ``<path>/<format>``, replacing only these.
 
-def write_outputs(prepared: Prepared, path: str, single_map_file: bool = False) -> None:
-    """Write ``<path>/featuremap`` and ``<path>/<format>``, replacing only these."""
-    home = path.rstrip("/")
+    ``path`` is by default the run's name below the configured ``hdfs_path``.  The map is a parquet table,
+    or with ``text_map`` lines of text, which not every value can stand in.
+    """
+    home = (path or prepared.target or "").rstrip("/")
+    if not home:
+        raise ValueError("the outputs have no target: give a path or configure hdfs_path")
     if prepared.feature_map is not None:
-        write_feature_map(prepared.feature_map.entries, f"{home}/featuremap", single_map_file)
+        write = write_feature_map_text if text_map else write_feature_map
+        write(prepared.feature_map.entries, f"{home}/featuremap")
+    if prepared.statistics is not None:
+        prepared.statistics.write.mode("overwrite").parquet(f"{home}/statistics")
     for name, lines in prepared.samples.items():
         if "split" in lines.columns:
             lines.write.mode("overwrite").partitionBy("split").text(f"{home}/{name}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from ctrprep.operators.featuremap import crossed_columns
+from ctrprep.operators.featuremap import BUCKET_MODES, EXACT, crossed_columns
 from ctrprep.operators.lookup import id_column
 from ctrprep.operators.sampling import Condition, parse_conditions, parse_residues
 from ctrprep.operators.trees import output_names
@@ -20,6 +20,21 @@ INTERVAL_INDEX = "INTERVAL_INDEX"
 SAMPLE_MODES = ("union", "any", "keep_unmatched")
 LIBSVM = "libsvm"
 DEFAULT_CLICK_LABEL = "click"
+# Outputs of a run that no format may be named after.
+RESERVED_OUTPUTS = ("featuremap", "statistics")
+
+# The settings of each block.
+_SETTINGS = {
+    "run": "name hdfs_path partial shrink noise intersect transform filter format key seed sample_mode missing_rows",
+    "partial": "name table columns type convert dtfrom dt_column joint join_type default_values",
+    "shrink": "name args",
+    "noise": "name columns to value factor",
+    "intersect": "name columns factor fix_bundle",
+    "transform": "name type args columns to label bucket_mode",
+    "filter": "name inputs outputs output_num offset args",
+    "format": "name pattern columns random_column random_ratio sample_index validate_rate on_missing shuffle"
+    " duplicate_positives numreduces",
+}
 
 
 @dataclass(frozen=True)
@@ -51,6 +66,7 @@ class Transform:
     to: tuple[str, ...]
     buckets: int = 0
     label: str | None = None
+    bucket_mode: str = EXACT
 
 
 @dataclass(frozen=True)
@@ -83,6 +99,7 @@ class Format:
     on_missing: str = "drop"
     shuffle: bool = False
     duplicate_positives: bool = False
+    partitions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -103,6 +120,10 @@ class PrepSpec:
 
     @staticmethod
     def from_dict(config: Mapping) -> PrepSpec:
+        _settled(config, "run")
+        for block in ("partial", "shrink", "noise", "intersect", "transform", "filter", "format"):
+            for part in config.get(block, ()):
+                _settled(part, block)
         spec = PrepSpec(
             name=config["name"],
             path=config.get("hdfs_path", ""),
@@ -136,6 +157,15 @@ class PrepSpec:
         named = next((t.label for t in self.transforms if t.label), DEFAULT_CLICK_LABEL)
         return named if named in self.row_columns() else None
 
+    @property
+    def bucket_mode(self) -> str:
+        return next((t.bucket_mode for t in self.transforms if t.kind == INTERVAL_INDEX), EXACT)
+
+    @property
+    def target(self) -> str | None:
+        """Where the run's outputs go, if the configuration says so."""
+        return f"{self.path.rstrip('/')}/{self.name}" if self.path else None
+
     @property
     def intervals(self) -> list[tuple[str, int]]:
         return [(c, t.buckets) for t in self.transforms if t.kind == INTERVAL_INDEX for c in t.columns]
@@ -168,6 +198,15 @@ class PrepSpec:
             raise ValueError(f"sample_mode {self.sample_mode!r} is not one of {SAMPLE_MODES}")
         if self.missing_rows not in ("keep", "drop"):
             raise ValueError(f"missing_rows {self.missing_rows!r} is neither 'keep' nor 'drop'")
+        outputs = [f.name for f in self.formats]
+        if len(set(outputs)) != len(outputs):
+            raise ValueError(f"two formats have one name in {outputs}; each would replace the other's output")
+        taken = sorted(set(outputs) & set(RESERVED_OUTPUTS))
+        if taken:
+            raise ValueError(f"format name(s) {taken} are taken by other outputs of the run")
+        modes = {t.bucket_mode for t in self.transforms if t.kind == INTERVAL_INDEX}
+        if len(modes) > 1:
+            raise ValueError(f"transforms name different bucket modes {sorted(modes)}")
         labels = {t.label for t in self.transforms if t.label}
         if len(labels) > 1:
             raise ValueError(f"transforms name different labels {sorted(labels)}")
@@ -191,6 +230,12 @@ class PrepSpec:
             raise ValueError("sampling and noise need a row key, as the rows are read more than once")
 
 
+def _settled(config: Mapping, block: str) -> None:
+    unknown = sorted(set(config) - set(_SETTINGS[block].split()))
+    if unknown:
+        raise ValueError(f"{block}: unknown setting(s) {unknown}; have {_SETTINGS[block].split()}")
+
+
 def _known(names, columns, where: str) -> None:
     unknown = [n for n in names if n not in columns]
     if unknown:
@@ -249,7 +294,10 @@ def _transform(config: Mapping) -> Transform:
     to = _names(config["to"]) if "to" in config else tuple(id_column(c) for c in columns)
     if len(to) != len(columns):
         raise ValueError(f"transform: {len(columns)} columns but {len(to)} outputs")
-    return Transform(kind, columns, to, buckets, config.get("label"))
+    mode = config.get("bucket_mode", EXACT)
+    if mode not in BUCKET_MODES:
+        raise ValueError(f"bucket_mode {mode!r} is not one of {BUCKET_MODES}")
+    return Transform(kind, columns, to, buckets, config.get("label"), mode)
 
 
 def _tree_filter(config: Mapping) -> TreeFilter:
@@ -275,4 +323,14 @@ def _format(config: Mapping) -> Format:
         on_missing=config.get("on_missing", "drop"),
         shuffle=bool(config.get("shuffle", False)),
         duplicate_positives=bool(config.get("duplicate_positives", False)),
+        partitions=_count(config, "numreduces"),
     )
+
+
+def _count(config: Mapping, name: str) -> int | None:
+    if name not in config:
+        return None
+    count = int(config[name])
+    if count < 1:
+        raise ValueError(f"{name} of {config['name']} is {count}")
+    return count

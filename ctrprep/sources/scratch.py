@@ -13,34 +13,91 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# States that a file: folder is on a file system that all machines mount.
+_MOUNTED = "spark.ctrprep.sharedFileSystem"
+_PATH = "_ctrprep_stored_at"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    configured = spark.conf.get(_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``.
+
+    Only a session on this machine may go without: it gets a temporary folder, which
+    goes when the application ends.  On a cluster the folder has to be set, and one
+    of scheme ``file`` is refused unless ``spark.ctrprep.sharedFileSystem`` says that
+    all machines mount it.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+    on_cluster = not context.master.startswith("local")
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if folder is None:
+        if on_cluster:
             raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ctrprep-"))
-    return context.getCheckpointDir().rstrip("/")
+        folder = tempfile.mkdtemp(prefix="ctrprep-")
+        context.setCheckpointDir(folder)
+        _remove_at_exit(spark, folder)
+    if on_cluster and _scheme(spark, folder) == "file" and spark.conf.get(_MOUNTED, "false") != "true":
+        raise RuntimeError(f"{_SETTING} is a folder of one machine: {folder}")
+    return folder.rstrip("/")
 
 
 def store(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
-    The folder is removed when the application ends.
+    It is removed by :func:`release`, or else when the application ends.
     """
     spark = df.sparkSession
-    home = f"{shared_folder(spark)}/ctrprep-{spark.sparkContext.applicationId}"
+    home = _home(spark)
     path = f"{home}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     _remove_at_exit(spark, home)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    setattr(stored, _PATH, path)
+    return stored
 
 
-def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path below the shared folder that is not in use, removed when the application ends."""
+    home = _home(spark)
+    _remove_at_exit(spark, home)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
+
+
+def is_stored(df: DataFrame) -> bool:
+    return hasattr(df, _PATH)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of tables that :func:`store` returned; they cannot be read any more."""
+    for table in tables:
+        if is_stored(table):
+            _delete(table.sparkSession, getattr(table, _PATH))
+
+
+def release_all(spark: SparkSession) -> None:
+    """Remove everything this application has stored, for sessions that go on for long."""
+    _delete(spark, _home(spark))
+
+
+def _home(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/ctrprep-{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, folder: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def _scheme(spark: SparkSession, folder: str) -> str:
+    _, system = _file_system(spark, folder)
+    return system.getUri().getScheme()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, system = _file_system(spark, folder)
+    system.delete(path, True)
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    path, system = _file_system(spark, folder)
+    system.deleteOnExit(path)

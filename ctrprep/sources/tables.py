@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ctrprep.functions.columns import fixed_point, require_columns
 
@@ -64,6 +65,14 @@ def column_union(parts: Sequence[Sequence[str]]) -> list[str]:
     return list(dict.fromkeys(c.strip() for part in parts for c in part))
 
 
+# Keys that at least one in this many sampled rows of a part share are joined on their own.
+_HOT_KEYS = 500
+_HOT_SAMPLE = 0.001
+# Parts that the rows of such a key are dealt into.
+_CELLS = 64
+JOIN_TYPES = ("left", "inner", "right", "full")
+
+
 def attach_part(
     left: DataFrame,
     right: DataFrame,
@@ -74,13 +83,78 @@ def attach_part(
     """Join a further part on ``keys``.  Columns the left side already has win;
     misses take the value in ``defaults``.
 
-    Hot keys are left to AQE's skew-join handling, which splits the larger side
-    of an overfull partition.
+    Keys frequent on either side (at most ``_HOT_KEYS`` on each, from a sample) are joined
+    apart: where both sides have the key, the side with more of it is dealt into ``_CELLS``
+    parts and the other's few rows are copied to each; where only one side has it, its rows
+    meet nothing and need no shuffle, nor do rows whose key is NULL.  That holds for chains
+    of joins, for full ones and for a frequent key on the right.
     """
+    if how not in JOIN_TYPES:
+        raise ValueError(f"join type {how!r} is not one of {JOIN_TYPES}")
     require_columns(left, keys)
     require_columns(right, keys)
+    keys = list(keys)
     fresh = [c for c in right.columns if c not in left.columns]
-    joined = left.join(right.select(*keys, *fresh), list(keys), how)
+    right = right.select(*keys, *fresh)
+    layout = column_union([left.columns, fresh])
+    hot = _hot_keys(left, right, keys)
+    joined = left.join(right, keys, how) if hot is None else _join_apart(left, right, keys, how, hot)
+    joined = joined.select(*layout)
     if defaults:
         joined = joined.fillna({k: v for k, v in defaults.items() if k in fresh})
-    return joined.select(*column_union([left.columns, fresh]))
+    return joined
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame | None:
+    """``(keys, deal_left)`` of frequent keys that both sides have or one lacks, as ``has_left``
+    and ``has_right``; None if no key is frequent."""
+    counts: dict[tuple, list[float]] = {}
+    for side, df in enumerate((left, right)):
+        sampled = df.select(*keys).dropna(how="any", subset=keys).sample(_HOT_SAMPLE, 7)
+        counted = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        total = sampled.count()
+        frequent = counted.where((F.col("__n") > 1) & (F.col("__n") * _HOT_KEYS >= F.lit(total)))
+        for r in frequent.collect():
+            counts.setdefault(tuple(r[k] for k in keys), [0, 0])[side] = r["__n"]
+    if not counts:
+        return None
+    kinds = T.StructType([*left.select(*keys).schema.fields, T.StructField("deal_left", T.BooleanType())])
+    few = left.sparkSession.createDataFrame([(*key, n[0] >= n[1]) for key, n in counts.items()], kinds)
+    for name, df in (("has_left", left), ("has_right", right)):
+        met = df.select(*keys).join(F.broadcast(few.select(*keys)), keys, "left_semi").distinct()
+        few = few.join(F.broadcast(met.withColumn(name, F.lit(True))), keys, "left")
+    return few.na.fill(False, ["has_left", "has_right"])
+
+
+def _join_apart(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame) -> DataFrame:
+    known = left.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    marked = {}
+    for name, df in (("left", left), ("right", right)):
+        flags = [c for c in known.columns if c not in keys]
+        marked[name] = df.join(F.broadcast(known.withColumnsRenamed({f: f"__{f}" for f in flags})), keys, "left")
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    cold = {n: df.where(F.col("__has_left").isNull() & ~null) for n, df in marked.items()}
+    both = {n: df.where("__has_left and __has_right") for n, df in marked.items()}
+    alone = {
+        "left": marked["left"].where(null | F.coalesce(~F.col("__has_right"), F.lit(False))),
+        "right": marked["right"].where(null | F.coalesce(~F.col("__has_left"), F.lit(False))),
+    }
+    every = F.sequence(F.lit(0), F.lit(_CELLS - 1))
+    dealt = {}
+    for name, df in both.items():
+        own = F.col("__deal_left") if name == "left" else ~F.col("__deal_left")
+        cell = F.pmod(F.xxhash64(*df.columns, F.rand(7)), F.lit(_CELLS)).cast("int")
+        dealt[name] = df.withColumn("__cell", F.explode(F.when(own, F.array(cell)).otherwise(every)))
+    plain = {n: [c for c in df.columns if not c.startswith("__")] for n, df in marked.items()}
+    parts = [
+        cold["left"].select(*plain["left"]).join(cold["right"].select(*plain["right"]), keys, how),
+        dealt["left"].select(*plain["left"], "__cell").join(dealt["right"].select(*plain["right"], "__cell"), [*keys, "__cell"]).drop("__cell"),
+    ]
+    parts += [alone["left"].select(*plain["left"])] if how in ("left", "full") else []
+    parts += [alone["right"].select(*plain["right"])] if how in ("right", "full") else []
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out

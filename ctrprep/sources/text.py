@@ -88,26 +88,38 @@ def with_line_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_feature_map(lines: DataFrame, order: str | None = None) -> DataFrame:
+def parse_feature_map(lines: DataFrame, order: str | None = None, separator: str | None = None) -> DataFrame:
     """Feature-map lines ``name value id ...`` to ``(name, value, id)``.
 
-    Fields end at a blank, tab or comma; lines with fewer than three are
-    skipped.  When a key comes twice the last line counts, by the column
-    ``order``; without it the largest id, so that the result is repeatable.
+    Fields end at ``separator``, or at any blank, tab or comma without one; lines
+    with fewer than three are skipped, an id that is no number raises.  When a key
+    comes twice the last line counts, by the column ``order``; without it the
+    largest id, so that the result is repeatable.
     """
-    parts = fields(F.translate("value", "\t,", "  "), " ")
+    line = F.translate("value", "\t,", "  ") if separator is None else F.col("value")
+    parts = fields(line, separator or " ")
+    number = field(parts, 2).try_cast("bigint")
+    checked = F.when(number.isNotNull(), number).otherwise(
+        F.raise_error(F.concat(F.lit("no id in the feature-map line "), "value")).cast("bigint")
+    )
     entries = lines.where(F.size(parts) >= 3).select(
         field(parts, 0).alias("name"),
         field(parts, 1).alias("text"),
-        field(parts, 2).try_cast("bigint").alias("id"),
+        checked.alias("id"),
         *([F.col(order).alias("line_order")] if order else []),
     )
     chosen = F.max_by("id", "line_order") if order else F.max("id")
     return entries.groupBy("name", F.col("text").alias("value")).agg(chosen.alias("id"))
 
 
+def read_feature_map_text(spark: SparkSession, path: str, separator: str | None = MAP_SEPARATOR) -> DataFrame:
+    """A map in text form.  ``separator=None`` reads the older form, whose values hold no blank, tab or comma."""
+    return parse_feature_map(with_line_order(spark.read.text(path)), "line_order", separator)
+
+
 def read_feature_map(spark: SparkSession, path: str) -> DataFrame:
-    return parse_feature_map(with_line_order(spark.read.text(path)), "line_order")
+    """``(name, value, id)`` and whatever counts were written with them."""
+    return spark.read.parquet(path)
 
 
 def write_lines(lines: DataFrame, path: str, column: str = "value") -> None:
@@ -115,7 +127,17 @@ def write_lines(lines: DataFrame, path: str, column: str = "value") -> None:
     lines.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_feature_map(entries: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write ``name<TAB>value<TAB>id`` lines; ``single_file`` suits small maps only."""
-    out = to_lines(entries, ["name", "value", "id"], MAP_SEPARATOR)
+def write_feature_map(entries: DataFrame, path: str) -> None:
+    """Write a map with its types, whatever its values hold, replacing exactly ``path``."""
+    require_columns(entries, ["name", "value", "id"])
+    entries.write.mode("overwrite").parquet(path)
+
+
+def write_feature_map_text(entries: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write ``name<TAB>value<TAB>id`` lines; names and values that hold a tab or a line
+    end raise.  ``single_file`` suits small maps only."""
+    require_columns(entries, ["name", "value", "id"])
+    broken = F.concat_ws(" ", "name", "value").rlike("[\t\r\n]")
+    checked = F.when(~broken, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not a text-map value: "), "value")).cast("string"))
+    out = to_lines(entries.withColumn("value", checked), ["name", "value", "id"], MAP_SEPARATOR)
     write_lines(out.coalesce(1) if single_file else out, path)

@@ -40,12 +40,12 @@ def test_pv_sums_to_rows_times_columns(lineitem):
 
 
 @pytest.mark.parametrize(
-    "buckets, clamp, expected",
-    [(3, False, [1, 1, 2, 3]), (3, True, [1, 1, 2, 2]), (4, False, [2, 3, 5, 6]), (4, True, [2, 3, 3, 3]),
-     (7, True, [2, 3, 5, 6]), (100, False, [2, 3, 5, 6])],
+    "buckets, mode, expected",
+    [(3, "exact", [1, 1, 2, 3]), (3, "even", [0, 1, 2, 2]), (4, "exact", [2, 3, 5, 6]), (4, "even", [0, 1, 2, 3]),
+     (7, "exact", [2, 3, 5, 6]), (100, "exact", [2, 3, 5, 6]), (6, "even", [1, 2, 4, 5])],
 )
-def test_equal_frequency_buckets(scaled, buckets, clamp, expected):
-    fmap = build_feature_map(scaled, intervals=[("history_ctr", buckets)], clamp=clamp)
+def test_equal_frequency_buckets(scaled, buckets, mode, expected):
+    fmap = build_feature_map(scaled, intervals=[("history_ctr", buckets)], mode=mode)
     got = {r["value"]: r["id"] for r in fmap.entries.collect()}
     assert got == dict(zip(["1233", "1999", "50000", "89999"], expected))
 
@@ -54,16 +54,16 @@ def test_whole_map(scaled):
     fmap = build_feature_map(scaled, [("history_ctr", 3)], ["bid_type", "adid"])
     assert rows_of(fmap.entries, "name", "value", "id") == sorted(
         [("history_ctr", "1233", 1), ("history_ctr", "1999", 1), ("history_ctr", "50000", 2),
-         ("history_ctr", "89999", 2), ("bid_type", "4", 4), ("bid_type", "8", 5), ("bid_type", "9", 6),
+         ("history_ctr", "89999", 3), ("bid_type", "4", 4), ("bid_type", "8", 5), ("bid_type", "9", 6),
          ("adid", "a1", 7), ("adid", "a2", 8), ("adid", "a3", 9)], key=str)
     assert rows_of(fmap.of("adid")) == [("a1", 7, 3), ("a2", 8, 2), ("a3", 9, 1)]
-    assert fmap.bucket_bounds == {"history_ctr": [(1233, 1), (50000, 2)]}
+    assert fmap.bucket_bounds == {"history_ctr": [(1233, 1), (50000, 2), (89999, 3)]}
     assert fmap.sizes["adid"] == (3, 6)
 
 
 def test_offsets_of_several_interval_columns(spark):
     rows = spark.range(100).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b"), F.lit("x").alias("c"))
-    fmap = build_feature_map(rows, [("a", 10), ("b", 5)], ["c"])
+    fmap = build_feature_map(rows, [("a", 10), ("b", 5)], ["c"], mode="even")
     spans = fmap.entries.groupBy("name").agg(F.min("id"), F.max("id"), F.count("id"))
     assert rows_of(spans) == [("a", 0, 9, 100), ("b", 10, 14, 100), ("c", 16, 16, 1)]
 
@@ -75,7 +75,7 @@ def test_only_one_kind_of_transform_leaves_no_stray_row(scaled):
 
 def test_numbers_sort_as_numbers_and_text_is_missing(spark):
     rows = spark.createDataFrame([("9",), ("10",), ("-3",), ("x",), (None,)], "v string")
-    fmap = build_feature_map(rows, [("v", 3)], clamp=False)
+    fmap = build_feature_map(rows, [("v", 3)])
     assert rows_of(fmap.entries, "value", "id") == [("-3", 1), ("10", 3), ("9", 2)]
 
 
@@ -111,10 +111,11 @@ def test_ids_match_brute_force_over_many_partitions(spark, wide):
         expected, frequency = {}, len(prices) // 50
         for k, p in enumerate(prices, start=1):
             expected[str(p)] = k // frequency
-        exact = replace(fmap, clamp=False)
-        assert {r["value"]: r["id"] for r in exact.of("price").collect()} == expected
-        assert {r["value"]: r["id"] for r in fmap.of("price").collect()} == {
-            v: min(b, 49) for v, b in expected.items()
+        assert {r["value"]: r["id"] for r in fmap.of("price").collect()} == expected
+        last = {p: k for k, p in enumerate(prices)}
+        even = replace(fmap, mode="even")
+        assert {r["value"]: r["id"] for r in even.of("price").collect()} == {
+            str(p): k * 50 // len(prices) for p, k in last.items()
         }
         assert rows_of(fmap.of("user")) == rows_of(fmap.entries.where("name = 'user'"), "value", "id", "pv")
     finally:
@@ -176,8 +177,8 @@ def test_crossing(spark):
 
 
 def test_bucket_properties(spark):
-    """Ids do not fall as the value grows, and unclamped buckets between the ends
-    miss the frequency by less than the largest count of one value."""
+    """Ids do not fall as the value grows, buckets between the ends miss the frequency by
+    less than the largest count of one value, and no column's ids meet another's."""
     n = 3000
     shapes = {
         "even": F.col("id"),
@@ -189,21 +190,35 @@ def test_bucket_properties(spark):
     }
     rows = spark.range(n).select(*[c.cast("bigint").alias(k) for k, c in shapes.items()])
     for buckets in (1, 7, 40):
-        fmap = build_feature_map(rows, [(k, buckets) for k in shapes], clamp=False)
-        clamped = replace(fmap, clamp=True)
+        fmap = build_feature_map(rows, [(k, buckets) for k in shapes])
+        even = replace(fmap, mode="even")
+        used = [{r["id"] for r in fmap.of(name).collect()} for name in shapes]
+        assert sum(map(len, used)) == len(set().union(*used))
         for k, name in enumerate(shapes):
-            found = sorted((int(r["value"]), r["id"] - k * buckets, r["pv"]) for r in fmap.of(name).collect())
+            start = fmap.bucket_starts()[k]
+            found = sorted((int(r["value"]), r["id"] - start, r["pv"]) for r in fmap.of(name).collect())
             ids = [i for _, i, _ in found]
             assert ids == sorted(ids) and sum(pv for *_, pv in found) == n
             frequency, largest = n // buckets, max(pv for *_, pv in found)
             for bucket in sorted(set(ids))[1:-1]:
                 size = sum(pv for _, i, pv in found if i == bucket)
                 assert abs(size - frequency) <= largest
-            top = {i - k * buckets for _, i, _ in clamped.of(name).collect()}
-            assert top == {min(i, buckets - 1) for i in ids}
+            assert {i - k * buckets for _, i, _ in even.of(name).collect()} <= set(range(buckets))
 
 
 def test_a_column_named_twice_counts_once(scaled):
     once = rows_of(stats.pv_click(scaled, ["adid"], "label"))
     assert rows_of(stats.pv_click(scaled, ["adid", "adid"], "label")) == once
     assert rows_of(stats.value_counts(scaled, ["adid", "adid"])) == [r[:3] for r in once]
+
+
+def test_more_buckets_than_half_the_values(spark):
+    """1,399 distinct values in 700 buckets: two to a bucket at most, and exact ids meet no dictionary id."""
+    rows = spark.range(1399).select(F.col("id").alias("n"), (F.col("id") % 3).cast("string").alias("c"))
+    even = build_feature_map(rows, [("n", 700)], ["c"], mode="even")
+    largest = even.of("n").groupBy("id").count().agg(F.max("count")).first()[0]
+    assert largest == 2
+    assert min(r["id"] for r in even.of("c").collect()) == 701
+    exact = build_feature_map(rows, [("n", 700)], ["c"])
+    assert max(r["id"] for r in exact.of("n").collect()) == 1399
+    assert min(r["id"] for r in exact.of("c").collect()) == 1400

@@ -89,7 +89,7 @@ def test_numbers_beyond_double_precision_are_looked_up(spark):
     rows = spark.range(8).select((F.col("id") + F.lit(big)).alias("v"))
     fmap = build_feature_map(rows, [("v", 4)])
     got = {r["v"] - big: r["v_id"] for r in lookup.add_ids(rows, fmap, same_rows=True).collect()}
-    assert got == {0: 0, 1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3, 7: 3}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3, 7: 4}
 
 
 def test_broadcast_budget_is_shared():
@@ -122,8 +122,30 @@ def test_inner_lookup_becomes_an_inner_join(spark, rows):
 
 def test_hot_values_from_a_sample(spark):
     rows = spark.range(60000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("v"))
-    entries = rows.distinct().select(F.col("v").alias("value"), F.lit(1).cast("bigint").alias("id"))
-    assert [r["value"] for r in lookup.hot_by_sample(rows, "v", entries).collect()] == ["hot"]
+    assert lookup.frequent_values(rows, {"v": F.col("v")}) == {"v": ["hot"]}
+    entries = spark.createDataFrame([("x", 5)], "value string, id long")
+    assert rows_of(lookup.hot_among(rows, ["hot", "x"], entries)) == [("hot", None), ("x", 5)]
+
+
+@pytest.mark.parametrize("from_elsewhere", [True, False])
+def test_frequent_misses_are_spread(spark, from_elsewhere):
+    """A third of the rows have a value that the map lacks; they do not meet in one task."""
+    rows = spark.range(60000).select(
+        "id", F.when(F.col("id") % 3 == 0, "unknown").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("user")
+    ).cache()
+    fmap = build_feature_map(rows.where("user <> 'unknown'"), indexes=["user"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        if from_elsewhere:
+            got = lookup.add_ids_from(rows, fmap.entries, {"user": "uid"}, 0, ["id"])
+        else:
+            got = lookup.add_ids(rows, fmap, {"user": "uid"}, 0, False, ["id"])
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 60000
+        assert max(sizes) < 60000 * 0.2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert got.where("uid is null").count() == 20000
 
 
 def test_repeated_map_values_raise(spark, rows):
@@ -144,6 +166,6 @@ def test_equal_numbers_share_a_bucket_however_written(spark, limit, same_rows):
     written = ["0", "01", "1", " 1", "+1", "2", "x", None]
     rows = spark.createDataFrame([(v,) for v in written], "v string")
     fmap = build_feature_map(rows, [("v", 3)])
-    assert rows_of(fmap.of("v")) == [("0", 0, 1), ("1", 2, 4), ("2", 2, 1)]
+    assert rows_of(fmap.of("v")) == [("0", 0, 1), ("1", 2, 4), ("2", 3, 1)]
     got = lookup.add_ids(rows, fmap, None, limit, same_rows)
-    assert rows_of(got) == sorted(zip(written, [0, 2, 2, 2, 2, 2, None, None]), key=str)
+    assert rows_of(got) == sorted(zip(written, [0, 2, 2, 2, 2, 3, None, None]), key=str)

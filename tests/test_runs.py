@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from ctrprep.plans import PrepSpec, prepare, write_outputs
 from ctrprep.plans.queries import RUN_SPEC, TEMPLATE_SPEC
+from ctrprep.sources import text
 
 INDEX_ONLY = {
-    "name": "default",
-    "partial": [{"name": "train", "table": "order_table", "columns": "label,adid,bid_type", "type": "s,s,s", "convert": "100000"}],
+    "name": "indexed",
+    "partial": [{"name": "log", "table": "order_table", "columns": "label,adid,bid_type", "type": "s,s,s", "convert": "100000"}],
     "transform": [{"type": "SIMPLE_INDEX", "columns": "adid,bid_type"}],
     "format": [{"name": "out", "pattern": "libsvm"}],
 }
@@ -19,7 +20,7 @@ WHOLE = {
         {"args": "3:10000", "type": "INTERVAL_INDEX", "columns": "history_ctr"},
         {"type": "SIMPLE_INDEX", "columns": "bid_type,adid"},
     ],
-    "format": [{"name": "fmdata", "pattern": "libsvm"}],
+    "format": [{"name": "samples", "pattern": "libsvm"}],
 }
 
 
@@ -40,9 +41,9 @@ def test_index_only_run_without_sampling(spark, impressions):
 
 def test_whole_run(spark, impressions):
     run = prepare(spark, PrepSpec.from_dict(WHOLE), {"t": impressions})
-    assert lines(run.samples["fmdata"]) == sorted(
+    assert lines(run.samples["samples"]) == sorted(
         ["1\t7:1\t4:1\t1:1", "0\t8:1\t5:1\t2:1", "0\t7:1\t4:1\t2:1",
-         "1\t9:1\t6:1\t1:1", "0\t8:1\t4:1\t1:1", "0\t7:1\t5:1\t2:1"])
+         "1\t9:1\t6:1\t1:1", "0\t8:1\t4:1\t1:1", "0\t7:1\t5:1\t3:1"])
 
 
 def test_sampling_modes_of_a_run(spark, impressions):
@@ -55,16 +56,16 @@ def test_sampling_modes_of_a_run(spark, impressions):
 
 def test_outputs_on_disk(spark, impressions, tmp_path):
     spec = PrepSpec.from_dict(changed(WHOLE, format=[
-        {"name": "fmdata", "pattern": "libsvm", "validate_rate": 50},
+        {"name": "samples", "pattern": "libsvm", "validate_rate": 50},
         {"name": "tpl", "pattern": "${1} ${2}:1", "columns": "label,adid_id", "shuffle": True},
     ]))
     run = prepare(spark, spec, {"t": impressions})
     (tmp_path / "neighbour").mkdir()
     for _ in range(2):
-        write_outputs(run, str(tmp_path), single_map_file=True)
+        write_outputs(run, str(tmp_path), text_map=True)
     assert (tmp_path / "neighbour").exists()
     assert lines(spark.read.text(str(tmp_path / "tpl"))) == ["0 7:1", "0 7:1", "0 8:1", "0 8:1", "1 7:1", "1 9:1"]
-    both = spark.read.text(str(tmp_path / "fmdata"))
+    both = spark.read.text(str(tmp_path / "samples"))
     assert both.count() == 6 and set(rows_of(both.select("split").distinct())) <= {("train",), ("valid",)}
     assert "adid\ta1\t7" in lines(spark.read.text(str(tmp_path / "featuremap")))
 
@@ -166,3 +167,80 @@ def test_run_reads_only_what_it_needs(spark, lineitem):
     assert "GreaterThanOrEqual(l_shipdate" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert plan.count("lineitem.parquet") == 1
+
+
+def test_an_unknown_setting_raises():
+    for broken in (
+        changed(INDEX_ONLY, transfrom=[]),
+        changed(INDEX_ONLY, format=[{"name": "out", "pattern": "libsvm", "validate_rte": 5}]),
+        changed(INDEX_ONLY, transform=[{"type": "SIMPLE_INDEX", "column": "adid", "columns": "adid"}]),
+    ):
+        with pytest.raises(ValueError, match="unknown setting"):
+            PrepSpec.from_dict(broken)
+
+
+def test_format_names_must_differ_and_leave_other_outputs_alone():
+    one = {"name": "out", "pattern": "libsvm"}
+    for formats, message in (([one, one], "one name"), ([{**one, "name": "featuremap"}], "taken"), ([{**one, "name": "statistics"}], "taken")):
+        with pytest.raises(ValueError, match=message):
+            PrepSpec.from_dict(changed(INDEX_ONLY, format=formats))
+
+
+def test_bucket_mode_of_a_run(spark, impressions):
+    interval = {"args": "3", "type": "INTERVAL_INDEX", "columns": "history_ctr"}
+    ids = {}
+    for mode in ("exact", "even"):
+        spec = PrepSpec.from_dict(changed(WHOLE, transform=[{**interval, "bucket_mode": mode}]))
+        run = prepare(spark, spec, {"t": impressions})
+        ids[mode] = {r["value"]: r["id"] for r in run.feature_map.entries.collect()}
+    assert ids == {
+        "exact": {"1233": 1, "1999": 1, "50000": 2, "89999": 3},
+        "even": {"1233": 0, "1999": 1, "50000": 2, "89999": 2},
+    }
+    with pytest.raises(ValueError, match="bucket_mode"):
+        PrepSpec.from_dict(changed(WHOLE, transform=[{**interval, "bucket_mode": "clamped"}]))
+
+
+def test_configured_target_and_partitions(spark, impressions, tmp_path):
+    fmt = [{"name": "samples", "pattern": "libsvm", "shuffle": True, "numreduces": "3"}]
+    spec = PrepSpec.from_dict(changed(WHOLE, hdfs_path=str(tmp_path), format=fmt))
+    run = prepare(spark, spec, {"t": impressions})
+    assert run.samples["samples"].rdd.getNumPartitions() == 3
+    write_outputs(run)
+    assert spark.read.text(str(tmp_path / "whole" / "samples")).count() == 6
+    with pytest.raises(ValueError, match="no target"):
+        write_outputs(prepare(spark, PrepSpec.from_dict(WHOLE), {"t": impressions}))
+
+
+@pytest.mark.parametrize("stored_map", [False, True])
+def test_a_given_map_encodes_other_rows(spark, impressions, tmp_path, stored_map):
+    spec = PrepSpec.from_dict(WHOLE)
+    first = prepare(spark, spec, {"t": impressions.where("rid <> 4")})
+    given = first.feature_map
+    if stored_map:
+        write_outputs(first, str(tmp_path))
+        given = text.read_feature_map(spark, str(tmp_path / "featuremap"))
+    second = prepare(spark, spec, {"t": impressions}, feature_map=given)
+    assert second.feature_map is None
+    known = {(r["name"], r["value"]): r["id"] for r in first.feature_map.entries.collect()}
+    for r in second.encoded.collect():
+        for column in ("bid_type", "adid", "history_ctr"):
+            assert r[f"{column}_id"] == known.get((column, str(r[column])))
+
+
+def test_statistics_are_written_and_the_map_comes_from_them(spark, impressions, tmp_path):
+    transform = [{**t, "label": "label"} for t in WHOLE["transform"]]
+    labelled = prepare(spark, PrepSpec.from_dict(changed(WHOLE, transform=transform)), {"t": impressions})
+    plain = prepare(spark, PrepSpec.from_dict(WHOLE), {"t": impressions})
+    assert rows_of(labelled.feature_map.entries) == rows_of(plain.feature_map.entries)
+    write_outputs(labelled, str(tmp_path))
+    written = spark.read.parquet(str(tmp_path / "statistics"))
+    assert ("adid", "a1", 3, 1) in rows_of(written, "name", "value", "pv", "click")
+    assert written.agg(F.sum("pv")).first()[0] == 18
+
+
+def test_several_formats_share_the_encoded_rows(spark, impressions):
+    formats = [{"name": n, "pattern": "libsvm"} for n in ("one", "two")]
+    run = prepare(spark, PrepSpec.from_dict(changed(WHOLE, format=formats)), {"t": impressions})
+    assert lines(run.samples["one"]) == lines(run.samples["two"])
+    assert "Join" not in plan_of(run.samples["two"])

@@ -177,3 +177,54 @@ def test_broken_models_raise(spark, nodes, complaint):
     frame = frame.select("*", F.lit(0).alias("feature"), F.lit(0.0).cast("float").alias("threshold"), F.lit(1).cast("bigint").alias("leaf_id"))
     with pytest.raises(ValueError, match=complaint):
         trees.encode_leaves(spark.range(1), frame, [trees.TreeInput("id", 0)])
+
+
+def test_numbers_do_not_depend_on_how_the_file_is_split(spark, tmp_path):
+    """Numbered with small pieces and walked with large ones, every leaf has its id."""
+    sections = []
+    for tree in range(200):
+        leaf = "=-1,-1,0.0,-1,0,0,,0.1"
+        sections.append(f"[tree_{tree}]\nnode_0=1,2,null,{tree % 3},{tree % 5}.5,0,,0\nnode_1{leaf}\nnode_2{leaf}\n")
+    path = tmp_path / "model.ini"
+    path.write_text("".join(sections))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        nodes = read_model(spark, str(path))
+        numbered = trees.number_leaves(nodes)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        leaves = numbered.where("left = -1")
+        assert leaves.count() == 400
+        assert sorted(r["leaf_id"] for r in leaves.select("leaf_id").collect()) == list(range(400))
+        row = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
+        inputs = trees.parse_inputs("0:a,1:b,2:c", row.columns)
+        assert -1 not in trees.encode_leaves(row, numbered, inputs).first()["leaves"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_leaf_without_an_id_raises(spark):
+    nodes = spark.createDataFrame(
+        [(0, 0, 1, 2, 0, 0.5, None), (0, 1, -1, -1, -1, 0.0, 7), (0, 2, -1, -1, -1, 0.0, None)],
+        "tree int, node int, left int, right int, feature int, threshold float, leaf_id long",
+    )
+    row = spark.createDataFrame([(1.0,)], "a double")
+    with pytest.raises(ValueError, match="no id"):
+        trees.encode_leaves(row, nodes, trees.parse_inputs("0:a", row.columns))
+
+
+def test_wide_models_walk_sparse_vectors(spark):
+    """100,000 feature numbers; the vectors hold a few of them."""
+    width = 100_000
+    split = F.array(
+        *[F.struct(*[F.lit(v).cast(t).alias(n) for n, v, t in zip(("node", "left", "right", "threshold"), r, ("int", "int", "int", "float"))])
+          for r in ((0, 1, 2, 0.5), (1, -1, -1, 0.0), (2, -1, -1, 0.0))]
+    )
+    nodes = spark.range(width).select(
+        F.col("id").alias("section"), F.col("id").cast("int").alias("tree"), F.col("id").cast("int").alias("feature"),
+        F.posexplode(split).alias("line", "n"),
+    ).select("section", "line", "tree", "n.*", "feature", F.lit(0.0).cast("float").alias("leaf_value"))
+    numbered = trees.number_leaves(nodes)
+    rows = spark.createDataFrame([(1, {5: 1.0, 99_999: 2.0, 500_000: 1.0}), (2, {}), (3, None)], "id int, v map<int,float>")
+    got = {r["id"]: r["leaves"] for r in trees.encode_vector(rows, numbered, "v").collect()}
+    assert [k for k in range(width) if got[1][k] % 2] == [5, 99_999]
+    assert not any(leaf % 2 for leaf in got[2]) and got[2] == got[3]

@@ -20,4 +20,4 @@ def test_tree_walk_from_another_folder(tmp_path):
     done = subprocess.run(
         [sys.executable, "-c", SCRIPT, repo], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
     )
-    assert "rows 13" in done.stdout, done.stderr[-2000:]
+    assert "rows 511" in done.stdout, done.stderr[-2000:]
