@@ -3,7 +3,8 @@
 Positives are documents labelled good; the unlabelled ones are documents as they come, good and bad. With the share of
 good documents (the class prior) the risk of a classifier can be estimated without any labelled bad document: the
 risk of calling unlabelled text good, less the part of it due to good documents. That difference cannot be negative, so
-steps that make it so are taken back (non-negative risk); otherwise a flexible model would overfit.
+it counts as zero when its estimate is (non-negative risk); otherwise a flexible model would overfit. The loss is the sigmoid, which is
+bounded: an error of the prior then moves the scores of few documents only.
 
 The prior is estimated first: a classifier of positives against unlabelled text orders the documents, and among the
 best ones, where bad documents are absent, the unlabelled share per positive share is the prior.
@@ -121,10 +122,11 @@ def _fit(x: np.ndarray, positive: np.ndarray, weight: np.ndarray, prior: float |
         if prior is None:
             slope = share_p * (chance - 1) + share_u * chance
         else:
-            called_good = np.logaddexp(0, z)
-            rest = (share_u * called_good).sum() - prior * (share_p * called_good).sum()
-            of_rest = (share_u - prior * share_p) * chance
-            slope = prior * share_p * (chance - 1) + of_rest if rest >= 0 else -of_rest
+            steep = chance * (1 - chance)
+            of_rest = share_u - prior * share_p
+            slope = -prior * share_p * steep
+            if (of_rest * chance).sum() > 0:
+                slope = slope + of_rest * steep
         for k, g in enumerate(_slopes(x, inside, slope, layers)):
             g = g + 1e-4 * layers[k]
             first[k] = 0.9 * first[k] + 0.1 * g
@@ -136,7 +138,7 @@ def _fit(x: np.ndarray, positive: np.ndarray, weight: np.ndarray, prior: float |
 def estimated_prior(z_positive: np.ndarray, z_unlabelled: np.ndarray) -> float:
     """The share of unlabelled documents per share of positives among the best ones, as the median over several cuts.
 
-    The scores have to come from a classifier that was fitted to other documents. One standard error is taken off: a prior
+    The scores have to come from a classifier that was fitted to other documents. Two standard errors are taken off: a prior
     that is too high lets bad documents pass as good, one that is a little low costs nothing of note.
     """
     if not len(z_positive) or not len(z_unlabelled):
@@ -145,7 +147,7 @@ def estimated_prior(z_positive: np.ndarray, z_unlabelled: np.ndarray) -> float:
     ratios = [(z_unlabelled >= c).mean() / max((z_positive >= c).mean(), 1e-9) for c in cuts]
     middle = np.median(ratios)
     error = np.sqrt(middle / (len(z_unlabelled) * 0.6) + middle**2 / (len(z_positive) * 0.6))
-    return float(np.clip(middle - error, 0.02, 0.98))
+    return float(np.clip(middle - 2 * error, 0.02, 0.98))
 
 
 def fit_model(x: np.ndarray, positive: np.ndarray) -> QualityModel:
