@@ -23,7 +23,7 @@ from ctrprep.llm.frames import schema_with
 from ctrprep.llm.training import class_samples, held_out
 from ctrprep.llm.wordhash import WordBlock, WordHasher, is_not_word, mix
 
-TRAIN_ROWS = 1500
+TRAIN_ROWS = 1000
 BUCKET_BITS = 18
 #: Features are the whole word and its beginnings of these many bytes.
 BEGINNINGS = (4, 5, 6)
