@@ -26,7 +26,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def impressions(spark):
-    """Six hand-made rows; history_ctr is still unscaled."""
+    """Six hand-made rows; price_index is still unscaled."""
     rows = [
         (1, "1", "a1", "4", 0.01234),
         (2, "0", "a2", "8", 0.5),
@@ -35,7 +35,7 @@ def impressions(spark):
         (5, "0", "a2", "4", 0.01234),
         (6, "0", "a1", "8", 0.9),
     ]
-    return spark.createDataFrame(rows, "rid int, label string, adid string, bid_type string, history_ctr double")
+    return spark.createDataFrame(rows, "rid int, label string, article string, shelf string, price_index double")
 
 
 @pytest.fixture(scope="session")

@@ -12,12 +12,12 @@ from ctrprep.sources import text
 SPEC = {
     "name": "edge",
     "key": "rid",
-    "partial": [{"name": "p", "table": "t", "columns": "label,adid,bid_type,history_ctr,rid", "type": "s,s,s,f,s"}],
-    "shrink": [{"name": "s", "args": "bid_type:4:1"}],
+    "partial": [{"name": "p", "table": "t", "columns": "label,article,shelf,price_index,rid", "type": "s,s,s,f,s"}],
+    "shrink": [{"name": "s", "args": "shelf:4:1"}],
     "sample_mode": "keep_unmatched",
     "transform": [
-        {"type": "INTERVAL_INDEX", "args": "3", "columns": "history_ctr"},
-        {"type": "SIMPLE_INDEX", "columns": "bid_type,adid"},
+        {"type": "INTERVAL_INDEX", "args": "3", "columns": "price_index"},
+        {"type": "SIMPLE_INDEX", "columns": "shelf,article"},
     ],
     "format": [{"name": "out", "pattern": "libsvm", "shuffle": True, "validate_rate": 10}],
 }
@@ -32,7 +32,7 @@ def test_run_over_no_rows(spark, impressions, limit):
 @pytest.mark.parametrize("limit", [0, lookup.BROADCAST_BYTES])
 def test_run_over_columns_without_values(spark, impressions, limit):
     blank = impressions.select(
-        "rid", "label", F.lit(None).cast("string").alias("adid"), "bid_type", F.lit(None).cast("double").alias("history_ctr")
+        "rid", "label", F.lit(None).cast("string").alias("article"), "shelf", F.lit(None).cast("double").alias("price_index")
     )
     run = prepare(spark, PrepSpec.from_dict(SPEC), {"t": blank}, broadcast_bytes=limit)
     lines = sorted(r["value"] for r in run.samples["out"].select("value").collect())
@@ -49,13 +49,13 @@ def test_single_row(spark):
 
 def test_operators_over_no_rows(spark, impressions):
     none = impressions.where("rid < 0")
-    assert stats.pv_click(none, ["adid"], "label").count() == 0
-    assert number_distinct(none, "adid").count() == 0
+    assert stats.pv_click(none, ["article"], "label").count() == 0
+    assert number_distinct(none, "article").count() == 0
     assert sampling.shuffle_rows(none, 4).count() == 0
     assert formats.features(none.withColumn("i", F.lit(1)), ["i"], "label").count() == 0
     entries = spark.createDataFrame([], "name string, value string, id long")
-    assert lookup.add_ids_from(impressions, entries, {"adid": "i"}).where("i is null").count() == 6
-    assert lookup.add_ids_from(impressions, entries, {"adid": "i"}, 0).where("i is null").count() == 6
+    assert lookup.add_ids_from(impressions, entries, {"article": "i"}).where("i is null").count() == 6
+    assert lookup.add_ids_from(impressions, entries, {"article": "i"}, 0).where("i is null").count() == 6
     lines = spark.createDataFrame([], "value string")
     assert rows_of(text.reject_counts(lines, 3)) == [(0, 0)]
 

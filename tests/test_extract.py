@@ -7,15 +7,15 @@ from ctrprep.sources import tables, text
 
 
 def test_fixed_point_goes_through_single_precision(impressions):
-    got = tables.extract(impressions, ["rid", "history_ctr"], ["s", "f"])
+    got = tables.extract(impressions, ["rid", "price_index"], ["s", "f"])
     assert [r[1] for r in got.orderBy("rid").collect()] == [1233, 50000, 50000, 1999, 1233, 89999]
-    assert got.schema["history_ctr"].dataType == T.LongType()
-    exact = tables.extract(impressions, ["rid", "history_ctr"], ["s", "f"], precision="double")
+    assert got.schema["price_index"].dataType == T.LongType()
+    exact = tables.extract(impressions, ["rid", "price_index"], ["s", "f"], precision="double")
     assert [r[1] for r in exact.orderBy("rid").collect()] == [1234, 50000, 50000, 2000, 1234, 90000]
 
 
 @pytest.mark.parametrize(
-    "columns, types", [(["nope"], ["s"]), (["rid"], ["x"]), (["rid", "adid"], ["s"])]
+    "columns, types", [(["nope"], ["s"]), (["rid"], ["x"]), (["rid", "article"], ["s"])]
 )
 def test_bad_extraction_raises_before_running(impressions, columns, types):
     with pytest.raises(ValueError):
@@ -43,7 +43,7 @@ def fields(**kinds):
     return T.StructType([T.StructField(name, kind()) for name, kind in kinds.items()])
 
 
-SCHEMA = fields(label=T.StringType, adid=T.StringType, bid_type=T.IntegerType, extra=T.StringType)
+SCHEMA = fields(label=T.StringType, article=T.StringType, shelf=T.IntegerType, extra=T.StringType)
 
 
 def lines(spark, *values):
@@ -61,8 +61,8 @@ def test_trailing_fields_kept_or_dropped(spark):
 def test_short_rows(spark):
     given = lines(spark, "1\x01a1", "0\x01a2\x01x\x01e")
     assert rows_of(text.parse_lines(given, SCHEMA)) == [("0", "a2", None, "e")]
-    assert rows_of(text.parse_lines(given, SCHEMA, ["adid"])) == [("a1",), ("a2",)]
-    assert rows_of(text.parse_lines(given, SCHEMA, short_rows="null"), "adid", "bid_type") == [
+    assert rows_of(text.parse_lines(given, SCHEMA, ["article"])) == [("a1",), ("a2",)]
+    assert rows_of(text.parse_lines(given, SCHEMA, short_rows="null"), "article", "shelf") == [
         ("a1", None),
         ("a2", None),
     ]
@@ -79,10 +79,10 @@ def test_separator_is_literal(spark):
 
 def test_text_round_trip(spark, impressions, tmp_path):
     path = str(tmp_path / "lines")
-    text.write_lines(text.to_lines(impressions, ["rid", "adid"]), path)
-    text.write_lines(text.to_lines(impressions, ["rid", "adid"]), path)
-    back = text.parse_lines(text.read_lines(spark, path), fields(rid=T.IntegerType, adid=T.StringType))
-    assert rows_of(back) == rows_of(impressions, "rid", "adid")
+    text.write_lines(text.to_lines(impressions, ["rid", "article"]), path)
+    text.write_lines(text.to_lines(impressions, ["rid", "article"]), path)
+    back = text.parse_lines(text.read_lines(spark, path), fields(rid=T.IntegerType, article=T.StringType))
+    assert rows_of(back) == rows_of(impressions, "rid", "article")
     assert not any(r[0].endswith("\t") for r in text.read_lines(spark, path).collect())
 
 
@@ -99,10 +99,10 @@ def test_field_of_lines(spark):
 
 def test_feature_map_file_last_line_wins(spark, tmp_path):
     path = tmp_path / "map.txt"
-    path.write_text("ctr 22 126 145450669 2845486\nadid\ta1\t7\nshort 1\nadid,a1,9\nadid a2 8\n")
+    path.write_text("ctr 22 126 145450669 2845486\narticle\ta1\t7\nshort 1\narticle,a1,9\narticle a2 8\n")
     assert rows_of(text.read_feature_map_text(spark, str(path), None), "name", "value", "id") == [
-        ("adid", "a1", 9),
-        ("adid", "a2", 8),
+        ("article", "a1", 9),
+        ("article", "a2", 8),
         ("ctr", "22", 126),
     ]
 

@@ -10,9 +10,9 @@ from ctrprep.operators.ranking import store_ranked, with_row_index
 
 
 def test_pv_click(scaled):
-    assert rows_of(stats.pv_click(scaled, ["adid", "bid_type"], "label")) == [
-        ("adid", "a1", 3, 1), ("adid", "a2", 2, 0), ("adid", "a3", 1, 1),
-        ("bid_type", "4", 3, 1), ("bid_type", "8", 2, 0), ("bid_type", "9", 1, 1),
+    assert rows_of(stats.pv_click(scaled, ["article", "shelf"], "label")) == [
+        ("article", "a1", 3, 1), ("article", "a2", 2, 0), ("article", "a3", 1, 1),
+        ("shelf", "4", 3, 1), ("shelf", "8", 2, 0), ("shelf", "9", 1, 1),
     ]
 
 
@@ -45,20 +45,20 @@ def test_pv_sums_to_rows_times_columns(lineitem):
      (7, "exact", [2, 3, 5, 6]), (100, "exact", [2, 3, 5, 6]), (6, "even", [1, 2, 4, 5])],
 )
 def test_equal_frequency_buckets(scaled, buckets, mode, expected):
-    fmap = build_feature_map(scaled, intervals=[("history_ctr", buckets)], mode=mode)
+    fmap = build_feature_map(scaled, intervals=[("price_index", buckets)], mode=mode)
     got = {r["value"]: r["id"] for r in fmap.entries.collect()}
     assert got == dict(zip(["1233", "1999", "50000", "89999"], expected))
 
 
 def test_whole_map(scaled):
-    fmap = build_feature_map(scaled, [("history_ctr", 3)], ["bid_type", "adid"])
+    fmap = build_feature_map(scaled, [("price_index", 3)], ["shelf", "article"])
     assert rows_of(fmap.entries, "name", "value", "id") == sorted(
-        [("history_ctr", "1233", 1), ("history_ctr", "1999", 1), ("history_ctr", "50000", 2),
-         ("history_ctr", "89999", 3), ("bid_type", "4", 4), ("bid_type", "8", 5), ("bid_type", "9", 6),
-         ("adid", "a1", 7), ("adid", "a2", 8), ("adid", "a3", 9)], key=str)
-    assert rows_of(fmap.of("adid")) == [("a1", 7, 3), ("a2", 8, 2), ("a3", 9, 1)]
-    assert fmap.bucket_bounds == {"history_ctr": [(1233, 1), (50000, 2), (89999, 3)]}
-    assert fmap.sizes["adid"] == (3, 6)
+        [("price_index", "1233", 1), ("price_index", "1999", 1), ("price_index", "50000", 2),
+         ("price_index", "89999", 3), ("shelf", "4", 4), ("shelf", "8", 5), ("shelf", "9", 6),
+         ("article", "a1", 7), ("article", "a2", 8), ("article", "a3", 9)], key=str)
+    assert rows_of(fmap.of("article")) == [("a1", 7, 3), ("a2", 8, 2), ("a3", 9, 1)]
+    assert fmap.bucket_bounds == {"price_index": [(1233, 1), (50000, 2), (89999, 3)]}
+    assert fmap.sizes["article"] == (3, 6)
 
 
 def test_offsets_of_several_interval_columns(spark):
@@ -69,8 +69,8 @@ def test_offsets_of_several_interval_columns(spark):
 
 
 def test_only_one_kind_of_transform_leaves_no_stray_row(scaled):
-    assert build_feature_map(scaled, indexes=["adid"]).entries.count() == 3
-    assert build_feature_map(scaled, [("history_ctr", 2)]).entries.count() == 4
+    assert build_feature_map(scaled, indexes=["article"]).entries.count() == 3
+    assert build_feature_map(scaled, [("price_index", 2)]).entries.count() == 4
 
 
 def test_numbers_sort_as_numbers_and_text_is_missing(spark):
@@ -80,7 +80,7 @@ def test_numbers_sort_as_numbers_and_text_is_missing(spark):
 
 
 def test_bad_requests_raise(scaled):
-    for intervals, indexes in (([], []), ([("adid", 2)], ["adid"]), ([("adid", 0)], []), ([], ["nope"])):
+    for intervals, indexes in (([], []), ([("article", 2)], ["article"]), ([("article", 0)], []), ([], ["nope"])):
         with pytest.raises(ValueError):
             build_feature_map(scaled, intervals, indexes)
 
@@ -142,18 +142,18 @@ def test_no_task_sees_the_whole_vocabulary(spark, wide):
 
 
 def test_statistics_map(scaled):
-    counted = stats.pv_click(scaled, ["bid_type", "adid"], "label")
-    assert rows_of(featuremap.feature_map_with_stats(counted, ["bid_type", "adid"])) == [
-        ("adid", "a1", 4, 3, 1), ("adid", "a2", 5, 2, 0), ("adid", "a3", 6, 1, 1),
-        ("bid_type", "4", 1, 3, 1), ("bid_type", "8", 2, 2, 0), ("bid_type", "9", 3, 1, 1),
+    counted = stats.pv_click(scaled, ["shelf", "article"], "label")
+    assert rows_of(featuremap.feature_map_with_stats(counted, ["shelf", "article"])) == [
+        ("article", "a1", 4, 3, 1), ("article", "a2", 5, 2, 0), ("article", "a3", 6, 1, 1),
+        ("shelf", "4", 1, 3, 1), ("shelf", "8", 2, 2, 0), ("shelf", "9", 3, 1, 1),
     ]
 
 
 def test_plain_numberings(scaled):
-    assert rows_of(featuremap.number_values(scaled, ["bid_type", "adid"])) == [
+    assert rows_of(featuremap.number_values(scaled, ["shelf", "article"])) == [
         ("4", 0), ("8", 1), ("9", 2), ("a1", 3), ("a2", 4), ("a3", 5),
     ]
-    assert rows_of(featuremap.number_distinct(scaled, "adid")) == [("a1", 0), ("a2", 1), ("a3", 2)]
+    assert rows_of(featuremap.number_distinct(scaled, "article")) == [("a1", 0), ("a2", 1), ("a3", 2)]
 
 
 def test_row_index_is_dense(spark):
@@ -207,9 +207,9 @@ def test_bucket_properties(spark):
 
 
 def test_a_column_named_twice_counts_once(scaled):
-    once = rows_of(stats.pv_click(scaled, ["adid"], "label"))
-    assert rows_of(stats.pv_click(scaled, ["adid", "adid"], "label")) == once
-    assert rows_of(stats.value_counts(scaled, ["adid", "adid"])) == [r[:3] for r in once]
+    once = rows_of(stats.pv_click(scaled, ["article"], "label"))
+    assert rows_of(stats.pv_click(scaled, ["article", "article"], "label")) == once
+    assert rows_of(stats.value_counts(scaled, ["article", "article"])) == [r[:3] for r in once]
 
 
 def test_more_buckets_than_half_the_values(spark):

@@ -8,17 +8,17 @@ from ctrprep.sources import text
 
 INDEX_ONLY = {
     "name": "indexed",
-    "partial": [{"name": "log", "table": "order_table", "columns": "label,adid,bid_type", "type": "s,s,s", "convert": "100000"}],
-    "transform": [{"type": "SIMPLE_INDEX", "columns": "adid,bid_type"}],
+    "partial": [{"name": "log", "table": "order_table", "columns": "label,article,shelf", "type": "s,s,s", "convert": "100000"}],
+    "transform": [{"type": "SIMPLE_INDEX", "columns": "article,shelf"}],
     "format": [{"name": "out", "pattern": "libsvm"}],
 }
 WHOLE = {
     "name": "whole",
     "key": "rid",
-    "partial": [{"name": "input", "table": "t", "columns": "label,adid,bid_type,history_ctr,rid", "type": "s,s,s,f,s", "convert": "100000"}],
+    "partial": [{"name": "input", "table": "t", "columns": "label,article,shelf,price_index,rid", "type": "s,s,s,f,s", "convert": "100000"}],
     "transform": [
-        {"args": "3:10000", "type": "INTERVAL_INDEX", "columns": "history_ctr"},
-        {"type": "SIMPLE_INDEX", "columns": "bid_type,adid"},
+        {"args": "3:10000", "type": "INTERVAL_INDEX", "columns": "price_index"},
+        {"type": "SIMPLE_INDEX", "columns": "shelf,article"},
     ],
     "format": [{"name": "samples", "pattern": "libsvm"}],
 }
@@ -47,9 +47,9 @@ def test_whole_run(spark, impressions):
 
 
 def test_sampling_modes_of_a_run(spark, impressions):
-    shrink = [{"name": "s", "args": "bid_type:4:1 adid:a1:1"}]
+    shrink = [{"name": "s", "args": "shelf:4:1 article:a1:1"}]
     for mode, count in (("union", 6), ("any", 4), ("keep_unmatched", 6)):
-        args = shrink if mode != "keep_unmatched" else [{"name": "s", "args": "bid_type:4:1"}]
+        args = shrink if mode != "keep_unmatched" else [{"name": "s", "args": "shelf:4:1"}]
         spec = PrepSpec.from_dict(changed(WHOLE, shrink=args, sample_mode=mode))
         assert prepare(spark, spec, {"t": impressions}).rows.count() == count
 
@@ -57,7 +57,7 @@ def test_sampling_modes_of_a_run(spark, impressions):
 def test_outputs_on_disk(spark, impressions, tmp_path):
     spec = PrepSpec.from_dict(changed(WHOLE, format=[
         {"name": "samples", "pattern": "libsvm", "validate_rate": 50},
-        {"name": "tpl", "pattern": "${1} ${2}:1", "columns": "label,adid_id", "shuffle": True},
+        {"name": "tpl", "pattern": "${1} ${2}:1", "columns": "label,article_id", "shuffle": True},
     ]))
     run = prepare(spark, spec, {"t": impressions})
     (tmp_path / "neighbour").mkdir()
@@ -67,7 +67,7 @@ def test_outputs_on_disk(spark, impressions, tmp_path):
     assert lines(spark.read.text(str(tmp_path / "tpl"))) == ["0 7:1", "0 7:1", "0 8:1", "0 8:1", "1 7:1", "1 9:1"]
     both = spark.read.text(str(tmp_path / "samples"))
     assert both.count() == 6 and set(rows_of(both.select("split").distinct())) <= {("train",), ("valid",)}
-    assert "adid\ta1\t7" in lines(spark.read.text(str(tmp_path / "featuremap")))
+    assert "article\ta1\t7" in lines(spark.read.text(str(tmp_path / "featuremap")))
 
 
 def test_layout_of_a_templated_run():
@@ -78,9 +78,9 @@ def test_layout_of_a_templated_run():
 
 def test_statistics_need_a_label(spark, impressions):
     assert prepare(spark, PrepSpec.from_dict(WHOLE), {"t": impressions}).statistics is None
-    transform = [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "label"}]
+    transform = [{"type": "SIMPLE_INDEX", "columns": "article", "label": "label"}]
     run = prepare(spark, PrepSpec.from_dict(changed(WHOLE, transform=transform)), {"t": impressions})
-    assert rows_of(run.statistics) == [("adid", "a1", 3, 1), ("adid", "a2", 2, 0), ("adid", "a3", 1, 1)]
+    assert rows_of(run.statistics) == [("article", "a1", 3, 1), ("article", "a2", 2, 0), ("article", "a3", 1, 1)]
 
 
 def test_templates_are_filled_once_and_shuffled_narrow(spark, lineitem):
@@ -102,19 +102,19 @@ def test_encoded_frame_has_the_declared_layout(spark, lineitem):
 
 
 def test_parts_are_joined_with_defaults(spark, impressions):
-    extra = spark.createDataFrame([("a1", 3.5)], "adid string, score double")
+    extra = spark.createDataFrame([("a1", 3.5)], "article string, score double")
     spec = PrepSpec.from_dict({
         "name": "two",
         "partial": [
-            {"name": "a", "table": "t", "columns": "label,adid", "type": "s,s"},
-            {"name": "b", "table": "x", "columns": "adid,score", "type": "s,f", "convert": 10,
-             "joint": "adid", "default_values": {"score": -1}},
+            {"name": "a", "table": "t", "columns": "label,article", "type": "s,s"},
+            {"name": "b", "table": "x", "columns": "article,score", "type": "s,f", "convert": 10,
+             "joint": "article", "default_values": {"score": -1}},
         ],
-        "transform": [{"type": "SIMPLE_INDEX", "columns": "adid,score"}],
+        "transform": [{"type": "SIMPLE_INDEX", "columns": "article,score"}],
         "format": [{"name": "out", "pattern": "libsvm"}],
     })
     run = prepare(spark, spec, {"t": impressions, "x": extra})
-    assert run.rows.columns == ["label", "adid", "score"]
+    assert run.rows.columns == ["label", "article", "score"]
     assert {r["value"]: r["id"] for r in run.feature_map.of("score").collect()} == {"-1": 4, "35": 5}
     assert lines(run.samples["out"])[0] == "0\t1:1\t5:1"
 
@@ -131,22 +131,22 @@ def test_catalog_tables_and_paths(spark, impressions, tmp_path):
 @pytest.mark.parametrize(
     "change",
     [
-        {"transform": [{"type": "MYSTERY", "columns": "adid"}]},
+        {"transform": [{"type": "MYSTERY", "columns": "article"}]},
         {"transform": [{"type": "SIMPLE_INDEX", "columns": "nope"}]},
-        {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid,adid"}]},
-        {"transform": [{"type": "INTERVAL_INDEX", "columns": "history_ctr", "args": "0:1"}]},
-        {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "a"}, {"type": "SIMPLE_INDEX", "columns": "bid_type", "label": "b"}]},
-        {"transform": [{"type": "SIMPLE_INDEX", "columns": "adid", "label": "nope"}]},
+        {"transform": [{"type": "SIMPLE_INDEX", "columns": "article,article"}]},
+        {"transform": [{"type": "INTERVAL_INDEX", "columns": "price_index", "args": "0:1"}]},
+        {"transform": [{"type": "SIMPLE_INDEX", "columns": "article", "label": "a"}, {"type": "SIMPLE_INDEX", "columns": "shelf", "label": "b"}]},
+        {"transform": [{"type": "SIMPLE_INDEX", "columns": "article", "label": "nope"}]},
         {"shrink": [{"name": "s", "args": "nope:1:1"}]},
-        {"shrink": [{"name": "s", "args": "adid:1"}]},
-        {"shrink": [{"name": "s", "args": "adid:a1:1"}], "key": ""},
+        {"shrink": [{"name": "s", "args": "article:1"}]},
+        {"shrink": [{"name": "s", "args": "article:a1:1"}], "key": ""},
         {"sample_mode": "most"},
         {"missing_rows": "maybe"},
         {"noise": [{"columns": "nope", "to": "n", "value": "u", "factor": "0.1"}]},
-        {"noise": [{"columns": "adid", "to": "label", "value": "u", "factor": "0.1"}], "transform": [{"type": "SIMPLE_INDEX", "columns": "adid", "to": "label"}]},
+        {"noise": [{"columns": "article", "to": "label", "value": "u", "factor": "0.1"}], "transform": [{"type": "SIMPLE_INDEX", "columns": "article", "to": "label"}]},
         {"format": [{"name": "f", "pattern": "${1}", "columns": "nope"}]},
         {"format": [{"name": "f", "pattern": "${1}"}]},
-        {"format": [{"name": "f", "pattern": "${1}", "columns": "label", "random_column": "adid", "random_ratio": "0.1"}]},
+        {"format": [{"name": "f", "pattern": "${1}", "columns": "label", "random_column": "article", "random_ratio": "0.1"}]},
         {"partial": [{"name": "i", "table": "t", "columns": "a,b", "type": "s"}]},
         {"partial": [{"name": "i", "table": "t", "columns": "a,b", "type": "s,q"}]},
         {"partial": []},
@@ -173,7 +173,7 @@ def test_an_unknown_setting_raises():
     for broken in (
         changed(INDEX_ONLY, transfrom=[]),
         changed(INDEX_ONLY, format=[{"name": "out", "pattern": "libsvm", "validate_rte": 5}]),
-        changed(INDEX_ONLY, transform=[{"type": "SIMPLE_INDEX", "column": "adid", "columns": "adid"}]),
+        changed(INDEX_ONLY, transform=[{"type": "SIMPLE_INDEX", "column": "article", "columns": "article"}]),
     ):
         with pytest.raises(ValueError, match="unknown setting"):
             PrepSpec.from_dict(broken)
@@ -187,7 +187,7 @@ def test_format_names_must_differ_and_leave_other_outputs_alone():
 
 
 def test_bucket_mode_of_a_run(spark, impressions):
-    interval = {"args": "3", "type": "INTERVAL_INDEX", "columns": "history_ctr"}
+    interval = {"args": "3", "type": "INTERVAL_INDEX", "columns": "price_index"}
     ids = {}
     for mode in ("exact", "even"):
         spec = PrepSpec.from_dict(changed(WHOLE, transform=[{**interval, "bucket_mode": mode}]))
@@ -224,7 +224,7 @@ def test_a_given_map_encodes_other_rows(spark, impressions, tmp_path, stored_map
     assert second.feature_map is None
     known = {(r["name"], r["value"]): r["id"] for r in first.feature_map.entries.collect()}
     for r in second.encoded.collect():
-        for column in ("bid_type", "adid", "history_ctr"):
+        for column in ("shelf", "article", "price_index"):
             assert r[f"{column}_id"] == known.get((column, str(r[column])))
 
 
@@ -235,7 +235,7 @@ def test_statistics_are_written_and_the_map_comes_from_them(spark, impressions,
     assert rows_of(labelled.feature_map.entries) == rows_of(plain.feature_map.entries)
     write_outputs(labelled, str(tmp_path))
     written = spark.read.parquet(str(tmp_path / "statistics"))
-    assert ("adid", "a1", 3, 1) in rows_of(written, "name", "value", "pv", "click")
+    assert ("article", "a1", 3, 1) in rows_of(written, "name", "value", "pv", "click")
     assert written.agg(F.sum("pv")).first()[0] == 18
 
 

@@ -26,19 +26,19 @@ def test_draw_values_and_rates(impressions):
 
 
 def test_union_form_duplicates_and_drops(impressions):
-    got = sampling.sample_union(impressions, parse_conditions("bid_type:4:1 adid:a1:1"), ["rid"])
+    got = sampling.sample_union(impressions, parse_conditions("shelf:4:1 article:a1:1"), ["rid"])
     assert ids(got) == [1, 1, 3, 3, 5, 6]
     assert got.columns == impressions.columns
 
 
 def test_any_form_keeps_one_copy(impressions):
-    conditions = parse_conditions("bid_type:4:1 adid:a1:1")
+    conditions = parse_conditions("shelf:4:1 article:a1:1")
     assert ids(sampling.sample_any(impressions, [conditions], ["rid"])) == [1, 3, 5, 6]
     assert sampling.sample_any(impressions, [conditions], ["rid"]).columns == impressions.columns
 
 
 def test_keep_unmatched_form(impressions):
-    assert ids(sampling.sample_keep_unmatched(impressions, parse_conditions("bid_type:4:0"), ["rid"])) == [2, 4, 6]
+    assert ids(sampling.sample_keep_unmatched(impressions, parse_conditions("shelf:4:0"), ["rid"])) == [2, 4, 6]
 
 
 def test_keep_unmatched_goes_by_column_order_first(spark):
@@ -62,9 +62,9 @@ def test_no_conditions_is_identity(impressions):
 def test_unknown_column_and_bad_condition_raise(impressions):
     for operator in (sampling.sample_union, sampling.sample_keep_unmatched):
         with pytest.raises(ValueError):
-            operator(impressions, parse_conditions("adid:a1:1 nope:1:1"), ["rid"])
+            operator(impressions, parse_conditions("article:a1:1 nope:1:1"), ["rid"])
     with pytest.raises(ValueError):
-        parse_conditions("adid:a1")
+        parse_conditions("article:a1")
 
 
 def test_rate_is_met_and_partitioning_does_not_matter(lineitem):
@@ -98,11 +98,11 @@ def test_residues(impressions):
 
 
 def test_noise(impressions):
-    got = sampling.add_noise(impressions, "adid", "adid_n", "unknown", 0.5, ["rid"])
-    expected = [(r["rid"], "unknown" if r["u"] < RANGE // 2 else r["adid"]) for r in
-                impressions.select("rid", "adid", number(ticket(42, "noise|adid_n", ["rid"])).alias("u")).collect()]
-    assert rows_of(got, "rid", "adid_n") == sorted(expected, key=str)
-    assert {r[0] for r in sampling.add_noise(impressions, "adid", "n", "u", 1.0, ["rid"]).select("n").collect()} == {"u"}
+    got = sampling.add_noise(impressions, "article", "article_n", "unknown", 0.5, ["rid"])
+    expected = [(r["rid"], "unknown" if r["u"] < RANGE // 2 else r["article"]) for r in
+                impressions.select("rid", "article", number(ticket(42, "noise|article_n", ["rid"])).alias("u")).collect()]
+    assert rows_of(got, "rid", "article_n") == sorted(expected, key=str)
+    assert {r[0] for r in sampling.add_noise(impressions, "article", "n", "u", 1.0, ["rid"]).select("n").collect()} == {"u"}
 
 
 def test_duplicate_positives(spark):
