@@ -9,9 +9,9 @@ probability 3 in a million, and of 0.85 one in ten million. Documents with equal
 only, a star, so candidates grow with a bucket's size and not with its square.
 
 **Confirmation.** Candidates' texts meet in groups of a bounded size and their full sets are compared. A star can miss a link
-between two documents that are both unlike its centre. So after the stars' components are known, members of a bucket
-outside its centre's component are compared with all its members of other components by their signatures, blockwise; what could reach the
-threshold is confirmed on full sets too.
+between two documents that are both unlike its centre. So after the stars' components are known, the members of a bucket outside its
+centre's component meet all its members, blockwise: signatures rule out most pairs, the first bucket that two documents share has their
+full sets compared, and a group reports one link for two components at most, so that even there no pairs of a large group are written.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ctrprep.llm.components import apart, connected
 from ctrprep.llm.substrings import Rolling
-from ctrprep.llm.wordhash import WordBlock, WordHasher, is_space, mix, packed
+from ctrprep.llm.wordhash import WordBlock, WordHasher, is_space, mix
 from ctrprep.sources.scratch import store
 
 SHINGLE = 4
@@ -107,9 +107,8 @@ def _survey(size: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         *(pa.array(whole.reshape(-1, 2)[:, k].copy().view(np.int64)) for k in (0, 1)),
                         pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1))),
-                        packed(mix(bins).astype(np.uint16), 2 * BINS),
                     ],
-                    names=["doc_id", "n_shingles", "one", "two", "bands", "sketch"],
+                    names=["doc_id", "n_shingles", "one", "two", "bands"],
                 )
 
     return run
@@ -164,39 +163,70 @@ def confirm(source: DataFrame, pairs: DataFrame, size: int = SHINGLE, percent: i
     return rows.mapInArrow(_confirmed(size, percent), "a bigint, b bigint").distinct()
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of an open member and another of the same group, of other components, whose signatures agree enough.
+def _compared(size: int, percent: int):
+    """Links between open members and others of the same group, one for two components.
 
     Rows are sorted by group, the open members first; a group has about ``BLOCK`` rows of either kind.
     """
-    group, held, matrix = None, [], None
-    for batch in batches:
-        keys = list(zip(*(batch[c].to_pylist() for c in ("band", "i", "j")), strict=True))
-        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint16).reshape(-1, BINS)
-        doc, component = (batch[c].to_numpy() for c in ("doc_id", "component"))
-        is_open = batch["is_open"].to_numpy(zero_copy_only=False)
-        a, b = [], []
-        for k, key in enumerate(keys):
-            if key != group:
-                group, held, matrix = key, [], None
-            if is_open[k]:
-                held.append((sketch[k].copy(), int(doc[k]), int(component[k])))
-                continue
-            if not held:
-                continue
-            if matrix is None:
-                matrix = np.stack([h[0] for h in held])
-            agree = (matrix == sketch[k]).sum(axis=1)
-            for h in np.flatnonzero(agree >= LEAST_AGREEMENT):
-                if held[h][2] != component[k]:
-                    low, high = sorted((held[h][1], int(doc[k])))
-                    a.append(low)
-                    b.append(high)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _missed(buckets: DataFrame, sketches: DataFrame, components: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that may be similar and were not tried yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, roller = WordHasher(is_space(), fold=True), Rolling(_BASE)
+        group, opened = None, _Opened()
+        for batch in batches:
+            for block in hasher.texts(batch["text"]):
+                sets = shingle_sets(block, roller, size)
+                bins = signatures(sets)
+                keys = band_keys(bins)
+                part = batch.slice(block.first, block.last - block.first)
+                columns = [part[c].to_pylist() for c in ("band", "i", "j", "is_open", "doc_id", "component")]
+                a, b = [], []
+                for k, (band, i, j, is_open, doc, component) in enumerate(zip(*columns, strict=True)):
+                    if (band, i, j) != group:
+                        group, opened = (band, i, j), _Opened()
+                    if is_open:
+                        opened.add(sets[k], bins[k], keys[k], doc, component)
+                        continue
+                    for other in opened.linked(sets[k], bins[k], keys[k], component, band, percent):
+                        a.append(min(doc, other))
+                        b.append(max(doc, other))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+class _Opened:
+    """The open members of one group, and which components the group has linked so far."""
+
+    def __init__(self) -> None:
+        self.members: list[tuple] = []
+        self.bins = self.keys = None
+        self.parent: dict[int, int] = {}
+
+    def add(self, members: np.ndarray, bins: np.ndarray, keys: np.ndarray, doc: int, component: int) -> None:
+        self.members.append((members, bins, keys, doc, component))
+        self.bins = None
+
+    def _root(self, x: int) -> int:
+        while self.parent.get(x, x) != x:
+            x = self.parent[x]
+        return x
+
+    def linked(self, members: np.ndarray, bins: np.ndarray, keys: np.ndarray, component: int, band: int, percent: int) -> Iterator[int]:
+        if not self.members:
+            return
+        if self.bins is None:
+            self.bins, self.keys = (np.stack([m[k] for m in self.members]) for k in (1, 2))
+        likely = np.flatnonzero((self.bins == bins).sum(axis=1) >= LEAST_AGREEMENT)
+        for k in likely[np.argmax(self.keys[likely] == keys, axis=1) == np.flatnonzero(keys == band)[0]] if len(likely) else ():
+            other, _, _, doc, own = self.members[k]
+            one, two = self._root(component), self._root(own)
+            if one != two and _similar(other, members, percent):
+                self.parent[max(one, two)] = min(one, two)
+                yield doc
+
+
+def _missed(source: DataFrame, buckets: DataFrame, components: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links within buckets that join different components of the stars."""
     labels = components.withColumnRenamed("node", "doc_id")
     members = buckets.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     totals = members.groupBy("band").agg(
@@ -208,10 +238,8 @@ def _missed(buckets: DataFrame, sketches: DataFrame, components: DataFrame, trie
     members = members.drop("key").withColumn("key", apart("band")).join(opened.select(apart("band").alias("key"), "n_open"), "key")
     blocks, open_blocks = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("n_open") / BLOCK)
     own = F.xxhash64("doc_id")
-    members = store(
-        members.select("band", "doc_id", "component", (F.col("component") != F.col("main")).alias("is_open"), blocks.alias("blocks"), open_blocks.alias("open_blocks")),
-        "minhash-open",
-    )
+    is_open = F.col("component") != F.col("main")
+    members = members.select("band", "doc_id", "component", is_open.alias("is_open"), blocks.alias("blocks"), open_blocks.alias("open_blocks"))
     columns = ["band", "doc_id", "component"]
     left = members.where("is_open").select(
         *columns, F.pmod(own, "open_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("is_open")
@@ -219,10 +247,14 @@ def _missed(buckets: DataFrame, sketches: DataFrame, components: DataFrame, trie
     right = members.select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("open_blocks") - 1)).alias("i"), F.pmod(own, "blocks").alias("j"), F.lit(False).alias("is_open")
     )
-    placed = left.unionByName(right).join(sketches, "doc_id").repartition("band", "i", "j")
-    rows = placed.sortWithinPartitions("band", "i", "j", F.desc("is_open")).select("band", "i", "j", "is_open", "doc_id", "component", "sketch")
-    pairs = rows.mapInArrow(_compared, "a bigint, b bigint").where("a < b").distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    lists = left.unionByName(right).groupBy("doc_id").agg(F.collect_list(F.struct("band", "i", "j", "is_open", "component")).alias("places"))
+    lists = store(lists, "minhash-open")
+    if lists.isEmpty():
+        return source.sparkSession.createDataFrame([], "a bigint, b bigint")
+    texts = source.join(lists, "doc_id").select("doc_id", "text", F.explode("places").alias("place"))
+    placed = texts.select("place.*", "doc_id", "text").repartition("band", "i", "j")
+    rows = placed.sortWithinPartitions("band", "i", "j", F.desc("is_open"))
+    return rows.mapInArrow(_compared(size, percent), "a bigint, b bigint").where("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -232,7 +264,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     share an id are one document, linked by what any of them is similar to.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>, sketch binary"
+    schema = "doc_id bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>"
     survey = store(source.mapInArrow(_survey(size), schema), "minhash-survey")
     some = survey.where("n_shingles > 0 and doc_id is not null")
     keys = ["one", "two", "n_shingles"]
@@ -249,9 +281,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     links = store(confirm(source, pairs, size, percent), "minhash-links")
     components = store(connected(links, "minhash-stars"), "minhash-stars")
 
-    more = store(_missed(buckets, some.select("doc_id", "sketch"), components, pairs), "minhash-missed")
-    if not more.isEmpty():
-        links = links.unionByName(confirm(source, more, size, percent))
+    links = links.unionByName(_missed(source, buckets, components, size, percent))
     same = copies.where("doc_id > first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     components = connected(links.unionByName(same), "minhash")
     labelled = survey.select("doc_id", "n_shingles").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")

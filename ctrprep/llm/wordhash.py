@@ -186,10 +186,3 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) ->
         yield batch.slice(first, last - first)
         first = last
 
-
-def packed(values: list[bytes] | np.ndarray, width: int | None = None) -> pa.Array:
-    """Rows of one matrix of bytes as binary values."""
-    if width is None:
-        return pa.array(values, pa.binary())
-    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1)
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(flat) // width, [None, pa.py_buffer(flat)]).cast(pa.binary())
