@@ -7,7 +7,7 @@ that overlap or touch merge into maximal intervals of words.
 Three things keep the counting small, none of which loses a window:
 
 * Documents with the same words throughout are counted once; all but the first are repeated as a whole.
-* Equal windows share the smallest hash of their shorter runs of ``GRAM`` words. These are a tenth as many as windows, and are
+* Equal windows share the smallest hash of their shorter runs of ``GRAM`` words. These are a fourteenth as many as windows, and are
   counted first; only windows whose smallest hash occurs in two documents are hashed for counting.
 * Equal windows of one block of documents are resolved in the block, and only the earliest one's goes on to the count.
 
@@ -30,7 +30,9 @@ from ctrprep.llm.wordhash import WordBlock, WordHasher, is_space, mix
 from ctrprep.sources.scratch import store
 
 WINDOW = 50
-GRAM = 32
+GRAM = 24
+#: Stands for a missing id; such rows are never looked up.
+_NO_ID = -(1 << 63)
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -164,17 +166,17 @@ def _counted(window: int, gram: int):
     return run
 
 
-_WINDOW_ROWS = "one bigint, two int, doc_id bigint, version bigint, place int, size int, sure boolean"
+_WINDOW_ROWS = "one bigint, two int, doc_id bigint, version int, place int, size int, sure boolean"
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, version, whole, windows) of documents with words to remove; ``windows`` are (first word, number of windows).
 
-    ``version`` is a hash of the text, which tells apart rows that share an id. ``whole`` documents repeat an earlier one throughout.
+    ``version`` is a short hash of the text, which tells apart rows that share an id. ``whole`` documents repeat an earlier one throughout.
     """
     source = _source(docs, text, doc_id)
-    schema = "doc_id bigint, version bigint, n_words bigint, one bigint, two bigint, grams array<bigint>"
-    long_enough = (F.col("n_words") >= window) & F.col("doc_id").isNotNull()
+    schema = "doc_id bigint, version int, n_words bigint, one bigint, two bigint, grams array<bigint>"
+    long_enough = (F.col("n_words") >= window) & (F.col("doc_id") != _NO_ID)
     survey = store(source.mapInArrow(_survey(window, gram), schema).where(long_enough), "substring-survey")
     firsts = survey.groupBy("one", "two", "n_words").agg(F.min("doc_id").alias("first"))
     firsts = firsts.select(apart("one").alias("key"), "two", "n_words", "first")
@@ -201,7 +203,10 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
 
 
 def _source(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("version"), F.col(text).alias("text"))
+    """Keys that are never NULL, so that every join reads the same rows and Spark deals the texts out only once."""
+    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
+    version = F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 24)).cast("int")
+    return docs.select(key.alias("doc_id"), F.coalesce(version, F.lit(0)).alias("version"), F.col(text).alias("text"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
@@ -213,7 +218,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     source = _source(docs, text, doc_id)
     joined = source.join(repeated_passages(docs, text, doc_id, window), ["doc_id", "version"], "left")
     schema = schema_with(source, ["doc_id"], "n_words bigint, removed array<struct<first: bigint, end: bigint>>, kept string")
-    return joined.select("doc_id", "text", "whole", "windows").mapInArrow(_removal(window), schema)
+    done = joined.select("doc_id", "text", "whole", "windows").mapInArrow(_removal(window), schema)
+    return done.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
 _INTERVALS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
