@@ -146,8 +146,8 @@ def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
-def confirm(source: DataFrame, pairs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose full sets reach the threshold; ``source`` has doc_id and text.
+def placed(source: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents of the distinct ``pairs`` (a, b) with their texts and the groups in which they are compared.
 
     A centre ``a`` with many partners gets several groups, each of about ``GROUP`` of them.
     """
@@ -157,8 +157,13 @@ def confirm(source: DataFrame, pairs: DataFrame, size: int = SHINGLE, percent: i
     members = dealt.select(F.col("b").alias("doc_id"), "a", "salt")
     centres = dealt.select(F.col("a").alias("doc_id"), "a", "salt").distinct()
     places = members.unionByName(centres).groupBy("doc_id").agg(F.collect_list(F.struct("a", "salt")).alias("places"))
-    texts = source.join(places, "doc_id").select("doc_id", "text", F.explode("places").alias("place"))
-    sent = texts.select("place.a", "place.salt", F.col("doc_id").alias("b"), "text").repartition("a", "salt")
+    return source.join(places, "doc_id").select("doc_id", "text", "places")
+
+
+def confirm(texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Those pairs of :func:`placed` whose full sets reach the threshold."""
+    each = texts.select("doc_id", "text", F.explode("places").alias("place"))
+    sent = each.select("place.a", "place.salt", F.col("doc_id").alias("b"), "text").repartition("a", "salt")
     rows = sent.sortWithinPartitions("a", "salt", F.col("a") != F.col("b"))
     return rows.mapInArrow(_confirmed(size, percent), "a bigint, b bigint").distinct()
 
@@ -278,10 +283,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     stars = stars.select(apart("band").alias("key"), "centre")
     buckets = store(members.withColumn("key", apart("band")).join(stars, "key").select("band", "doc_id", "centre").distinct(), "minhash-buckets")
     pairs = store(buckets.where("doc_id > centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "minhash-pairs")
-    links = store(confirm(source, pairs, size, percent), "minhash-links")
+    # Of all texts only these are needed from here on; every member of a bucket is in some pair.
+    texts = store(placed(source, pairs), "minhash-texts")
+    links = store(confirm(texts, size, percent), "minhash-links")
     components = store(connected(links, "minhash-stars"), "minhash-stars")
 
-    links = links.unionByName(_missed(source, buckets, components, size, percent))
+    links = links.unionByName(_missed(texts.select("doc_id", "text"), buckets, components, size, percent))
     same = copies.where("doc_id > first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     components = connected(links.unionByName(same), "minhash")
     labelled = survey.select("doc_id", "n_shingles").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
