@@ -41,7 +41,8 @@ def test_quality_on_the_held_out_fold(tables):
 def test_prior_of_separable_scores():
     rng = np.random.default_rng(0)
     unlabelled = np.concatenate([rng.normal(3, 1, 7000), rng.normal(-6, 1, 3000)])
-    assert abs(quality.estimated_prior(rng.normal(3, 1, 5000), unlabelled) - 0.7) < 0.03
+    # The estimate is two standard errors low on purpose.
+    assert 0 <= 0.7 - quality.estimated_prior(rng.normal(3, 1, 5000), unlabelled) < 0.06
 
 
 def test_training_takes_no_held_out_label(tables):
