@@ -29,31 +29,36 @@ LEAST_REVISITED = 100
 SHARD_BYTES, FILE_BYTES = 64 << 20, 16 << 20
 #: Cells of the histogram over the range of page ids.
 CELLS = 1 << 16
+#: The size of a row that only says what the page of the same id and digest refers to.
+_NOTE = -1
 DATE = "1970-01-01T00:00:00Z"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _FILE_ROW = "file string, shard int, number int, records bigint, bytes bigint, sha256 string"
 _RECORD_ROW = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, stored boolean"
 
 
-def planned(pages: DataFrame, html: str = "html", url: str = "url", page_id: str = "page_id") -> DataFrame:
-    """Each page with the digest and size of its payload and what it refers to, if its payload was seen under a smaller id.
-
-    A NULL html is an empty payload. A page without an id is a response and nothing refers to it; rows of the same id do not refer
-    to each other.
-    """
+def payloads(pages: DataFrame, html: str = "html", url: str = "url", page_id: str = "page_id") -> DataFrame:
+    """Each page with its payload, the payload's digest and size. A NULL html is an empty payload."""
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
-    narrow = rows.where(F.col("size") >= LEAST_REVISITED).select("page_id", F.xxhash64("digest").alias("key"), "digest")
-    first = narrow.groupBy("key", "digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.withColumn("key", F.bitwise_not(F.xxhash64("digest"))).join(
-        first.select(apart("key").alias("key"), "digest", "first"), ["key", "digest"], "left"
-    )
-    return joined.select("page_id", "url", "payload", "digest", "size", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
+    return rows.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
+
+
+def revisits(rows: DataFrame) -> DataFrame:
+    """``page_id``, ``digest`` and ``refers_to`` of the pages whose payload was seen under a smaller id; payloads do not travel.
+
+    A page without an id is a response and nothing refers to it; rows of the same id do not refer to each other.
+    """
+    narrow = rows.where((F.col("size") >= LEAST_REVISITED) & F.col("page_id").isNotNull())
+    narrow = narrow.select("page_id", F.xxhash64("digest").alias("key"), "digest")
+    first = narrow.groupBy("key", "digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    first = first.select(apart("key").alias("key"), "digest", "refers_to")
+    later = narrow.withColumn("key", apart("key")).join(first, ["key", "digest"]).where("refers_to < page_id")
+    return later.select("page_id", "digest", "refers_to").distinct()
 
 
-def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``rows`` with ``shard``, and the number of shards. Rows without an id are in the first one."""
+def _shards(rows: DataFrame, shard_bytes: int):
+    """The shard of a page id as a function of tables that have one, and the number of shards. No id: the first shard."""
     low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
     low, high = low or 0, high or 0
     width = max(1, -(-(high - low + 1) // CELLS))
@@ -63,17 +68,23 @@ def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     for w in weights:
         shards.append((w["cell"], int(total // shard_bytes)))
         total += w["bytes"]
-    table = rows.sparkSession.createDataFrame(shards, "cell int, shard int")
     # One row per cell of the histogram at most.
-    return rows.withColumn("cell", cell).join(F.broadcast(table), "cell").drop("cell"), shards[-1][1] + 1 if shards else 1
+    table = F.broadcast(rows.sparkSession.createDataFrame(shards, "cell int, shard int"))
+    count = shards[-1][1] + 1 if shards else 1
+    return lambda df: df.withColumn("cell", cell).join(table, "cell").drop("cell"), count
 
 
 def write_archive(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, **columns: str) -> DataFrame:
     """Write ``pages`` below ``folder`` and return the committed manifest, read again."""
     spark = pages.sparkSession
     folder = qualified(spark, folder)
-    rows, shards = _sharded(planned(pages, **columns), shard_bytes)
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    rows = payloads(pages, **columns).withColumn("refers_to", F.lit(None).cast("long"))
+    with_shard, shards = _shards(rows, shard_bytes)
+    # What a page refers to travels as a row of its own that comes before the page, so payloads are dealt out once, by shard.
+    notes = revisits(rows).withColumn("size", F.lit(_NOTE).cast("long"))
+    every = with_shard(rows.unionByName(notes, allowMissingColumns=True))
+    # Spare partitions keep shards apart.
+    dealt = every.repartition(4 * shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "size", "url")
     manifest = dealt.select("shard", "page_id", "url", "payload", "digest", "size", "refers_to").mapInArrow(_writer(folder, file_bytes), _FILE_ROW)
     manifest.write.mode("error").parquet(f"{folder}/manifest")
     return spark.read.schema(_FILE_ROW).parquet(f"{folder}/manifest")
@@ -141,11 +152,16 @@ def _page_record(page: int | None, url: str | None, payload: bytes, digest: str,
 def _writer(folder: str, file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: _File | None = None
+        noted: tuple | None = None
         done: list[tuple] = []
         try:
             for batch in batches:
                 for k in range(batch.num_rows):
-                    shard, page, url, payload, digest, _, refers_to = (column[k].as_py() for column in batch.columns)
+                    shard, page, url, payload, digest, size, refers_to = (column[k].as_py() for column in batch.columns)
+                    if size == _NOTE:
+                        noted = (page, digest, refers_to)
+                        continue
+                    refers_to = noted[2] if noted and noted[:2] == (page, digest) else None
                     if current and (current.shard != shard or current.bytes >= file_bytes):
                         number = current.number + 1 if current.shard == shard else 0
                         done.append(current.close())
