@@ -5,7 +5,8 @@ after each word it knows the longest run of item words that ends there. Wherever
 of the run are hit. Items shorter than a window count as a whole.
 
 The automaton goes to every task, so its size is bounded: items are dealt into groups of at most ``GROUP_WORDS`` words (one
-item at least), each group has an automaton and a pass of its own, and the hits are united.
+item at least), each group has an automaton and a pass of its own, and the hits are united. Documents are then stored once with a
+number for each row, by which the hits are united; the driver builds one group's automaton at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ctrprep.llm.frames import schema_with
 from ctrprep.llm.wordhash import WordHasher, is_not_word
+from ctrprep.sources.scratch import store
 
 WINDOW = 13
 #: A document is contaminated if this share of its words, or more, is hit.
@@ -136,17 +138,15 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _item_groups(benchmark: DataFrame, item: str, text: str) -> Iterator[list]:
-    """Items in groups of a bounded number of characters, read one group at a time."""
+def _item_groups(benchmark: DataFrame, item: str, text: str) -> tuple[int, Iterator[list]]:
+    """The number of groups of items, each of a bounded number of characters, and the groups, read one at a time."""
     sized = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("text is not null")
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = int(-(-total // (GROUP_WORDS * 4)))
     if groups <= 1:
-        yield sized.collect()
-        return
+        return 1, iter([sized.collect()])
     dealt = sized.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(2 * groups)))
-    for k in range(2 * groups):
-        yield dealt.where(F.col("group") == k).select("item", "text").collect()
+    return 2 * groups, (dealt.where(F.col("group") == k).select("item", "text").collect() for k in range(2 * groups))
 
 
 def find_passages(
@@ -161,28 +161,35 @@ def find_passages(
     """``keep`` with ``n_words``, ``hits`` (runs of hit words, as word numbers and as bytes) and ``items`` (sorted ids as text).
 
     NULL and empty texts have no words; items without words match nothing; an item without an id hits words but is
-    not listed. Documents are told apart by row, so ``keep`` may hold anything; with more than one group of items
-    it has to be unique.
+    not listed. Documents are told apart by row, so ``keep`` may hold anything, equal rows and NULLs included.
     """
     hasher = WordHasher(is_not_word(), fold=True)
     schema = schema_with(docs, keep, _HITS)
     source = docs.select(*keep, F.col(text).alias("__text"))
-    passes = [
-        source.mapInArrow(_searcher(hasher, _numbered(hasher, rows), keep, window), schema)
-        for rows in _item_groups(benchmark, item, item_text)
-    ]
-    if len(passes) == 1:
-        return passes[0]
+    count, groups = _item_groups(benchmark, item, item_text)
+    if count == 1:
+        return source.mapInArrow(_searcher(hasher, _numbered(hasher, next(groups)), keep, window), schema)
+    # Written once, so that a row has one number in all passes.
+    rows = store(source.withColumn("__at", F.monotonically_increasing_id()), "passages-rows")
+    texts, numbered = rows.select("__at", "__text"), schema_with(rows, ("__at",), _HITS)
+
+    def searched(k: int, group: list) -> DataFrame:
+        found = texts.mapInArrow(_searcher(hasher, _numbered(hasher, group), ("__at",), window), numbered)
+        # The first pass has every row, the others those with hits.
+        return store(found if k == 0 else found.where(F.size("hits") > 0), "passages-hits")
+
+    passes = [searched(k, group) for k, group in enumerate(groups)]
     every = passes[0]
     for other in passes[1:]:
         every = every.unionByName(other)
-    together = every.groupBy(*keep).agg(
+    together = every.groupBy("__at").agg(
         F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     merge = F.udf(_merged, "array<struct<first: bigint, end: bigint, byte: bigint, byte_end: bigint>>")
-    return together.withColumn("hits", merge("hits"))
+    # Both sides have one row for each number.
+    return rows.select(*keep, "__at").join(together.withColumn("hits", merge("hits")), "__at").select(*schema.names)
 
 
 def _merged(hits: list) -> list[tuple[int, int, int, int]]:

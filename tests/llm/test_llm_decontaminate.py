@@ -70,3 +70,19 @@ def test_odd_documents(spark, odd, no_documents):
     assert [g[:3] for g in got] == [p[:3] for p in plain(rows, [(1, "alpha beta"), ("", "gamma")])]
     assert d.decontaminate(odd, items.where("false")).count() == odd.count()
     assert result(no_documents, items) == []
+
+
+@pytest.mark.parametrize("group_words", [1_000_000, 20])
+def test_rows_stay_apart_with_several_groups(spark, monkeypatch, group_words):
+    """Repeated rows, shared ids and rows without an id are each a document."""
+    monkeypatch.setattr(d, "GROUP_WORDS", group_words)
+    item = [" ".join(f"w{i}x{k}" for k in range(15)) for i in range(8)]
+    rest = " ".join(f"other{k}" for k in range(600))
+    texts = [f"{rest} {item[0]} {rest}", f"{rest} {item[1]} {item[5]}", rest, item[2], f"{rest} {item[3]} {rest} {item[4]}"]
+    rows = [(1, texts[0]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (2, texts[3]), (None, texts[4]), (None, texts[0]), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(list(enumerate(item)), "item_id long, text string")
+    assert result(docs, items) == plain(rows, list(enumerate(item)))
+    cut = [(i, None if t is None else " ".join(w for w in t.split(" ") if w[0] != "w")) for i, t in rows if t != item[2]]
+    got = [(r.doc_id, r.text and " ".join(r.text.split())) for r in d.decontaminate(docs, items).collect()]
+    assert sorted(got, key=str) == sorted(cut, key=str)
