@@ -87,7 +87,8 @@ def attach_part(
     apart: where both sides have the key, the side with more of it is dealt into ``_CELLS``
     parts and the other's few rows are copied to each; where only one side has it, its rows
     meet nothing and need no shuffle, nor do rows whose key is NULL.  That holds for chains
-    of joins, for full ones and for a frequent key on the right.
+    of joins, for full ones and for a frequent key on the right.  A row's part follows from
+    the rows of its partition, not from their order there, so a task may run again.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type {how!r} is not one of {JOIN_TYPES}")
@@ -145,8 +146,11 @@ def _join_apart(left: DataFrame, right: DataFrame, keys: list[str], how: str, ho
     dealt = {}
     for name, df in both.items():
         own = F.col("__deal_left") if name == "left" else ~F.col("__deal_left")
-        cell = F.pmod(F.xxhash64(*df.columns, F.rand(7)), F.lit(_CELLS)).cast("int")
-        dealt[name] = df.withColumn("__cell", F.explode(F.when(own, F.array(cell)).otherwise(every)))
+        # A shuffle can hand a task its rows in another order when it runs again. Sorted, they get the cells they had, and equal rows
+        # still part.
+        placed = df.sortWithinPartitions(*df.columns).withColumn("__draw", F.rand(7))
+        cell = F.floor(F.col("__draw") * _CELLS).cast("int")
+        dealt[name] = placed.withColumn("__cell", F.explode(F.when(own, F.array(cell)).otherwise(every))).drop("__draw")
     plain = {n: [c for c in df.columns if not c.startswith("__")] for n, df in marked.items()}
     parts = [
         cold["left"].select(*plain["left"]).join(cold["right"].select(*plain["right"]), keys, how),

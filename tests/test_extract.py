@@ -205,6 +205,26 @@ def test_frequent_keys_are_spread(spark, parts):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_cells_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    """A task that gets its rows again, in another order, sends them to the same tasks; equal rows still part."""
+    monkeypatch.setattr(tables, "_HOT_SAMPLE", 1.0)
+    right = spark.createDataFrame([(0, "x"), (1, "y")], "k long, w string").coalesce(1)
+    rows = [(0, k // 40) for k in range(4000)] + [(1, -1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        places = []
+        for given in (rows, rows[::-1]):
+            left = spark.createDataFrame(given, "k long, v long").coalesce(1)
+            joined = tables.attach_part(left, right, ["k"], "left")
+            places.append(rows_of(joined.withColumn("at", F.spark_partition_id())))
+        assert places[0] == places[1] and len(places[0]) == len(rows)
+        assert all(len({r[3] for r in places[0] if r[:2] == (0, v)}) > 1 for v in range(100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_unknown_join_type_raises(spark, parts):
     with pytest.raises(ValueError):
         tables.attach_part(parts[0], parts[1], ["k"], "outerish")
