@@ -188,6 +188,9 @@ def _compared(size: int, percent: int):
                 for k, (band, i, j, is_open, doc, component) in enumerate(zip(*columns, strict=True)):
                     if (band, i, j) != group:
                         group, opened = (band, i, j), _Opened()
+                    # All texts of a document come; those that brought it into the bucket meet.
+                    if band not in keys[k]:
+                        continue
                     if is_open:
                         opened.add(sets[k], bins[k], keys[k], doc, component)
                         continue

@@ -62,6 +62,20 @@ def test_links_that_a_star_misses(spark):
     assert got == {1: 1, 2: 2, 3: 2}
 
 
+@pytest.mark.parametrize("limits", [(64, 512), (2, 1)])
+def test_two_texts_of_one_document_in_an_open_bucket(spark, monkeypatch, limits):
+    """Each text links by itself: one with a bucket's open members, the other with texts elsewhere."""
+    monkeypatch.setattr(minhash, "GROUP", limits[0])
+    monkeypatch.setattr(minhash, "BLOCK", limits[1])
+    words, elsewhere = [f"w{k}" for k in range(200)], [f"y{k}" for k in range(200)]
+    far = words[:150] + [f"x{k}" for k in range(50)]
+    # Unlike 2's first text by more than the threshold, but not by much.
+    near = [w if k % 60 else f"z{k}" for k, w in enumerate(far)]
+    versions = [(1, words), (2, far), (2, elsewhere), (2, near[:170] + elsewhere[:30]), (3, far[:190]), (4, elsewhere[:190]), (5, words[:120] + elsewhere[:80])]
+    rows = [(i, " ".join(w)) for i, w in versions]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == plain(rows)
+
+
 def test_densified_signatures_agree_as_sets_do():
     rng = np.random.default_rng(0)
     for size in (5, 40, 600):
