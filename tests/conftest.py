@@ -48,15 +48,3 @@ def scaled(impressions):
 @pytest.fixture(scope="session")
 def lineitem(spark):
     return spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-
-
-def rows_of(df, *columns):
-    return sorted(map(tuple, (df.select(*columns) if columns else df).collect()), key=str)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def optimized_plan_of(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()

@@ -1,7 +1,7 @@
 """Empty frames, columns without any value, and one-row inputs."""
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from ctrprep.operators import formats, lookup, sampling, stats, trees

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

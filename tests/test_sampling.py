@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from ctrprep.functions.draws import RANGE, below, number, ticket
