@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ctrprep.llm import bpe, decontaminate, embeddings, minhash, pii, quality, secrets, substrings, toxicity, warc
+from ctrprep.llm import bpe, conversations, decontaminate, embeddings, minhash, pii, quality, secrets, substrings, toxicity, warc
 from ctrprep.sources.scratch import shared_folder
 
 
@@ -67,6 +67,11 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, folder, "conversations"))
+    return conversations.repair(damaged, copies="__copies")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES = {
         op8_bpe,
         op9_substring_dedup,
         op10_embedding_dedup,
+        op13_conversation_repair,
     )
 }
 
@@ -178,5 +184,70 @@ WITH doc AS (
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
+""",
+    # The bits of crc32 one by one; then all paths of a conversation row by row, of which the least of each state goes on.
+    "op13_conversation_repair": r"""
+WITH RECURSIVE source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations
+), summed AS (
+    SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))) % 20 AS fault
+    FROM source
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM summed WHERE fault <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), faulty AS (
+    SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+           lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), marked AS (
+    SELECT conv_id, turn, role, text, i, blank OR again AS gone, cut, blank, NOT blank AND again AS again, NOT blank AND NOT again AND cut AS truncated,
+           i > 1 AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+    FROM faulty
+), step AS (
+    SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) AS t(state, next, role)
+), insertion AS (
+    SELECT state, state AS at, 0 AS n, '' AS word, CAST([] AS VARCHAR[]) AS added FROM step
+    UNION ALL
+    SELECT i.state, s.next, n + 1, word || 'I', list_append(added, s.role || ':') FROM insertion i JOIN step s ON s.state = i.at WHERE n < 3
+), edit AS (
+    SELECT state, state AS next, 2 AS cost, 'D' AS word, CAST([] AS VARCHAR[]) AS added, NULL AS role, 'D' AS kind FROM step
+    UNION ALL
+    SELECT i.state, s.next, 5 * n + 1, word || 'R', added, s.role, 'R' FROM insertion i JOIN step s ON s.state = i.at
+    UNION ALL
+    SELECT i.state, s.next, 5 * n, word || 'K', added, left(s.role, 1), 'K' FROM insertion i JOIN step s ON s.state = i.at
+    UNION ALL
+    SELECT 0, 1, 0, 'K', CAST([] AS VARCHAR[]), 's', 'K'
+), path AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'body': CAST([] AS VARCHAR[])} AS best FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT p.conv_id, p.i + 1, e.next, min({'cost': p.best.cost + e.cost + CASE WHEN m.cut AND e.kind <> 'D' THEN 5 ELSE 0 END, 'audit': p.best.audit || e.word,
+        'body': list_concat(p.best.body, e.added, CASE e.kind WHEN 'D' THEN CAST([] AS VARCHAR[]) WHEN 'K' THEN [m.role || ':' || m.text] ELSE [e.role || ':' || m.text] END)})
+    FROM path p JOIN marked m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.i + 1
+    JOIN edit e ON e.state = p.state AND (e.kind = 'D' OR NOT m.gone AND (e.kind = 'R' OR e.role = left(m.role, 1)))
+    GROUP BY p.conv_id, p.i, e.next
+), finish AS (
+    SELECT * FROM (VALUES (0, ''), (1, 'II'), (2, 'I'), (3, '')) AS t(state, word)
+), size AS (
+    SELECT conv_id, max(i) AS n FROM path GROUP BY conv_id
+), result AS (
+    SELECT p.conv_id, min({'cost': p.best.cost + 5 * length(f.word), 'audit': p.best.audit || f.word,
+        'body': list_concat(p.best.body, CASE f.word WHEN 'II' THEN ['user:', 'assistant:'] WHEN 'I' THEN ['assistant:'] ELSE CAST([] AS VARCHAR[]) END)}) AS best
+    FROM path p JOIN size s ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.n = p.i JOIN finish f ON f.state = p.state GROUP BY p.conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(again) AS duplicate,
+           count_if(truncated) AS truncated, count_if(illegal) AS illegal
+    FROM marked GROUP BY conv_id
+)
+SELECT r.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost,
+       best.audit AS audit, sha256(array_to_string(best.body, chr(10))) AS repaired_sha256
+FROM result r LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM r.conv_id
 """,
 }
