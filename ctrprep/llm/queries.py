@@ -6,8 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ctrprep.llm import bpe, conversations, decontaminate, embeddings, minhash, pii, quality, secrets, substrings, toxicity, warc
+from ctrprep.llm import bpe, conversations, decontaminate, embeddings, minhash, negatives, pii, quality, secrets, substrings, toxicity, warc
 from ctrprep.sources.scratch import shared_folder
 
 
@@ -67,6 +68,12 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, moved)
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     damaged = conversations.damage(table(spark, folder, "conversations"))
     return conversations.repair(damaged, copies="__copies")
@@ -85,6 +92,7 @@ QUERIES = {
         op8_bpe,
         op9_substring_dedup,
         op10_embedding_dedup,
+        op12_hard_negatives,
         op13_conversation_repair,
     )
 }
@@ -249,5 +257,23 @@ SELECT r.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
        CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost,
        best.audit AS audit, sha256(array_to_string(best.body, chr(10))) AS repaired_sha256
 FROM result r LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM r.conv_id
+""",
+    "op12_hard_negatives": """
+WITH vec AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), product AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM vec a JOIN vec b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id AND len(a.q) = len(b.q)
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM product WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN product n ON n.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
 """,
 }

@@ -11,7 +11,10 @@ from ctrprep.llm.queries import ORACLES, QUERIES
 
 TABLES = {"op7_warc": "pages", "op10_embedding_dedup": "embeddings"}
 #: Queries whose rows are not those of a table, with what tells them.
-OWN_ROWS = {"op13_conversation_repair": "SELECT count(DISTINCT conv_id) FROM conversations"}
+OWN_ROWS = {
+    "op12_hard_negatives": f"SELECT count(*) FROM ({ORACLES['op12_hard_negatives']})",
+    "op13_conversation_repair": "SELECT count(DISTINCT conv_id) FROM conversations",
+}
 
 
 @pytest.fixture(scope="module")
@@ -36,4 +39,4 @@ def test_query(spark, oracle, small, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12, 13]
