@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctrprep.llm import bpe, conversations, decontaminate, embeddings, minhash, negatives, pii, quality, secrets, substrings, toxicity, warc
+from ctrprep.llm import bpe, conversations, decontaminate, embeddings, language, minhash, negatives, pii, quality, secrets, substrings, toxicity, warc
 from ctrprep.sources.scratch import shared_folder
 
 
@@ -68,6 +68,13 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    aside = language.held_out(F.col("doc_id"))
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~aside))
+    return language.predict(docs, model).select("doc_id", aside.alias("held_out"), "lang_pred", "score")
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -92,6 +99,7 @@ QUERIES = {
         op8_bpe,
         op9_substring_dedup,
         op10_embedding_dedup,
+        op11_language,
         op12_hard_negatives,
         op13_conversation_repair,
     )
