@@ -2,10 +2,12 @@
 
 E-mail and network addresses, card and telephone numbers of strict formats are found by their form. They are the seeds of a
 bootstrap: the words around them become lexical patterns, and looser candidates (numbers with separators, spelled-out or
-colon-separated addresses) that stand in the same contexts may be identifiers too. On the graph of patterns and distinct values,
-a pattern's confidence is the trust in the values it surrounds, averaged; a candidate's is a noisy-or over its confident patterns.
-Both are computed in turn, by joins and sums in Spark, for a few rounds; candidates of high confidence are reported with the kind of their
-patterns. A pattern needs several distinct seeds, so chance contexts in running text yield nothing.
+colon-separated addresses) that stand in the same contexts may be identifiers too. Each round works on the graph of patterns and
+distinct values, by joins and sums in Spark: a pattern around ``LEAST_SEEDS`` or more trusted values of a kind has as confidence the sum
+of their trust over the number of values it surrounds, those of the kind that are still undecided left out and one added; a candidate's
+trust is a noisy-or over its confident patterns. Candidates of high trust are trusted from then on and induce patterns of their own, which
+discover further ones, until a round finds nothing new. They are reported with the kind of their patterns. Patterns that surround
+values of several kinds do not become confident, nor do chance contexts in running text, which lack seeds.
 
 Texts are read once. What the rounds work on are the few values found, never the texts.
 """
@@ -24,7 +26,8 @@ from ctrprep.llm.wordhash import text_slices
 from ctrprep.sources.scratch import store
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, LEAST_SEEDS, LEAST_CONFIDENCE = 3, 5, 0.8
+#: Trusted values that make a pattern, the least confidence of a pattern, the least trust of a discovered value, and the most rounds.
+LEAST_SEEDS, LEAST_PATTERN, LEAST_TRUST, ROUNDS = 5, 0.4, 0.8, 12
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -66,7 +69,8 @@ def base_spans(text: str) -> list[Span]:
             used = max(used, at + 1)
         at = text.find("@", max(at + 1, used))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # An octet may have more leading zeros than a number may have digits.
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m[0].split("."))):
             found.append((*m.span(), "ip"))
     for m in _CARD.finditer(text):
         digits = _DIGITS.sub("", m[0])
@@ -129,27 +133,30 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(_ITEM))], names=[*names, "items"])
 
 
-def _confident(edges: DataFrame) -> DataFrame:
+def _discovered(edges: DataFrame) -> DataFrame:
     """(kind, value) of candidates that their patterns give away. ``edges`` are distinct (pattern, kind, value, seed)."""
-    patterns = edges.groupBy("pattern", "kind").agg(F.count_if("seed").alias("seeds"))
-    useful = patterns.where(F.col("seeds") >= LEAST_SEEDS).select("pattern", "kind")
-    # Values of any kind in a useful pattern's place count against it, unless they are trusted as its own kind.
-    places = store(
-        edges.withColumnRenamed("kind", "own").join(useful, "pattern").withColumn("same", F.col("own") == F.col("kind")), "pii-edges"
-    )
-    trust = F.when(F.col("same") & F.col("seed"), F.lit(1.0)).otherwise(F.lit(0.0))
-    scored = places.withColumn("trust", trust)
+    edges = store(edges, "pii-edges")
+    candidates = edges.where("not seed").select("pattern", "kind", "value").distinct()
+    places = edges.select("pattern", "kind", "value").distinct()
+    trusted = store(edges.where("seed").select("kind", "value", F.lit(1.0).alias("trust")).distinct(), "pii-trusted")
+    found = store(trusted.where("false").select("kind", "value"), "pii-found")
+    kinds = places.groupBy("pattern", "kind").agg(F.count("*").alias("n"))
+    # At most one row of each kind for a pattern.
+    sizes = kinds.groupBy("pattern").agg(F.sum("n").alias("total"))
     for k in range(ROUNDS):
-        confidence = scored.groupBy("pattern", "kind").agg(F.avg("trust").alias("confidence"))
-        confident = confidence.where(F.col("confidence") >= LEAST_CONFIDENCE * 0.5)
-        loose = places.where("same and not seed").join(confident, ["pattern", "kind"])
+        known = places.join(trusted, ["kind", "value"]).groupBy("pattern", "kind").agg(F.count("*").alias("trusted"), F.sum("trust").alias("trust"))
+        useful = known.where(F.col("trusted") >= LEAST_SEEDS).join(kinds, ["pattern", "kind"]).join(sizes, "pattern")
+        confidence = F.col("trust") / (F.col("trusted") + F.col("total") - F.col("n") + 1)
+        confident = useful.select("pattern", "kind", confidence.alias("confidence")).where(F.col("confidence") >= LEAST_PATTERN)
         chance = 1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))
-        values = store(loose.groupBy("kind", "value").agg(chance.alias("chance")), f"pii-values-{k}")
-        if k < ROUNDS - 1:
-            scored = places.join(values, ["kind", "value"], "left").withColumn(
-                "trust", F.when(F.col("seed"), trust).when(F.col("same"), F.coalesce("chance", F.lit(0.0))).otherwise(0.0)
-            )
-    return values.where(F.col("chance") >= LEAST_CONFIDENCE).select("kind", "value")
+        scored = candidates.join(confident, ["pattern", "kind"]).groupBy("kind", "value").agg(chance.alias("trust"))
+        new = scored.where(F.col("trust") >= LEAST_TRUST).join(trusted.select("kind", "value"), ["kind", "value"], "left_anti")
+        new = store(new, f"pii-new-{k}")
+        if new.isEmpty():
+            break
+        trusted = store(trusted.unionByName(new), f"pii-trusted-{k}")
+        found = store(found.unionByName(new.select("kind", "value")), f"pii-found-{k}")
+    return found
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -165,7 +172,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...
     edges = each.select(F.explode("patterns").alias("pattern"), "kind", "value", "seed").distinct()
     more = (
         each.where("not seed")
-        .join(_confident(edges), ["kind", "value"])
+        .join(_discovered(edges), ["kind", "value"])
         .select("__a", "__b", F.struct("start", "end", "kind", F.lit(False).alias("base")).alias("span"))
         .groupBy("__a", "__b")
         .agg(F.collect_set("span").alias("more"))

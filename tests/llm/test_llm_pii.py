@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -60,6 +61,53 @@ def test_contexts_of_seeds_discover_unseen_numbers(spark):
     assert report[100].spans == "phone:18:26"
 
 
+def test_more_unseen_values_than_seeds(spark):
+    rows = [(i, f"please dial +1 415 555 {1000 + i} soon") for i in range(5)] + [(10 + i, f"please dial 415 777 {1000 + i} soon") for i in range(8)]
+    rows += [(30 + i, f"we sold 300 400 {1000 + i} bolts") for i in range(8)]
+    got = {r.doc_id: len(r.spans) for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(i < 30) for i, _ in rows}
+
+
+def test_discovered_values_induce_patterns(spark):
+    """Values seen in the seeds' context stand in a second one, which gives away values of a third."""
+    rows = [(i, f"please dial +1 415 555 {1000 + i} soon") for i in range(6)]
+    rows += [(10 + i, f"please dial 415 777 {1000 + i} soon") for i in range(6)]
+    rows += [(20 + i, f"my handset: 415 777 {1000 + i} rings") for i in range(6)]
+    rows += [(30 + i, f"my handset: 212 333 {4000 + i} rings") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in pii.find_personal_data(docs).collect()}
+    assert all(kinds == ["phone"] for kinds in got.values())
+    without = {r.doc_id: len(r.spans) for r in pii.find_personal_data(docs.where("doc_id < 10 or doc_id >= 20")).collect()}
+    assert not any(n for i, n in without.items() if i >= 20)
+
+
+def test_mixed_contexts_discover_nothing(spark):
+    rows = [(i, f"the value +1 415 555 {1000 + i} here") for i in range(6)] + [(10 + i, f"the value 10.0.0.{i} here") for i in range(12)]
+    rows += [(30 + i, f"the value 415 777 {1000 + i} here") for i in range(4)]
+    got = {r.doc_id: len(r.spans) for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[30 + i] for i in range(4)] == [0] * 4
+
+
+def test_long_octets(spark):
+    texts = ["1.2.3." + "0" * 5000, "0" * 9000 + "255.1.2.3", "1.2.3." + "0" * 5000 + "256", "9" * 6000 + ".1.1.1"]
+    assert [pii.base_spans(t) for t in texts] == [[(0, 5006, "ip")], [(0, 9009, "ip")], [], []]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [len(r.spans) for r in pii.find_personal_data(docs).orderBy("doc_id").collect()] == [1, 1, 0, 0]
+    assert pii.redact(docs).where("doc_id = 0").first().text == "[IP]"
+
+
+def test_query_equals_plain_patterns(spark, small):
+    from ctrprep.llm.queries import op5_personal_data
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in op5_personal_data(spark, small).collect():
+        base = plain(texts[r.doc_id])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[2] == k for s in base) for k in pii.KINDS]
+        written = [f"{kind}:{start}:{end}" for start, end, kind in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
+        assert set(written) <= set(filter(None, r.spans.split(",")))
+
+
 def test_redaction(spark):
     docs = contextual(spark).withColumn("n_chars", F.length("text")).withColumn("items", F.lit(1))
     out = pii.redact(docs)
