@@ -245,11 +245,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...
     return encoded.select(*keep, F.col(ids).alias("__ids")).mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text, of the rows of ``encode``."""
+def digests(encoded: DataFrame, ids: bool = False) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text, of the rows of ``encode``; with ``ids`` the ids too."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if ids else []),
     )

@@ -29,6 +29,8 @@ from ctrprep.llm.wordhash import WordBlock, WordHasher, is_space, mix
 from ctrprep.sources.scratch import store
 
 SHINGLE = 4
+#: Words of a shingle where documents are dropped.
+STAGE_SHINGLE = 5
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Similarity in hundredths from which documents are linked.
@@ -299,7 +301,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return labelled.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document, the one of the smallest id, of each group of near duplicates."""
-    gone = near_duplicates(docs, text, doc_id).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = STAGE_SHINGLE) -> DataFrame:
+    """``docs`` with one document, the one of the smallest id, of each group of near duplicates by shingles of ``size`` words."""
+    gone = near_duplicates(docs, text, doc_id, size).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("__gone"), "left_anti")

@@ -46,7 +46,7 @@ def test_toxic_documents_go(spark, small):
 def test_near_duplicates_leave_one(spark, docs, small):
     from ctrprep.llm.minhash import near_duplicates
 
-    kept = {r.doc_id for r in near_duplicates(docs).where("kept").collect()}
+    kept = {r.doc_id for r in near_duplicates(docs, size=5).where("kept").collect()}
     assert {r.doc_id for r in stage("near_duplicates")(spark, docs, small).collect()} == kept
 
 
@@ -59,7 +59,8 @@ def test_last_stage_equals_the_library(spark, docs, small):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in stage("bpe")(spark, docs, small).collect():
-        assert r.n_tokens == len(library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids)
+        assert r.ids == library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(r.ids)
 
 
 def test_run_applies_all_stages(spark, small, docs):
