@@ -20,7 +20,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, which share four fifths of their five-word shingles."""
     return minhash.drop_near_duplicates(docs)
 
 
@@ -35,8 +35,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The number of tokens of each document and digests of its ids and of the text they decode to."""
-    return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
+    """The token ids of each document, their number, and digests of the ids and of the text they decode to."""
+    return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")), ids=True)
 
 
 STAGES = [
