@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
@@ -116,6 +118,60 @@ def look_up_large(
     return found.select(*df.columns, to)
 
 
+@dataclass(frozen=True)
+class LargeLookup:
+    """One column's dictionary that is too large to broadcast: its entries, the rows' value, the column for the id, and the hot values."""
+
+    entries: DataFrame
+    key: Column
+    to: str
+    hot: DataFrame
+
+
+def look_up_several(df: DataFrame, lookups: Sequence[LargeLookup], spread_by: Sequence[str] | None = None) -> DataFrame:
+    """:func:`look_up_large` for several columns, with one shuffle of the rows instead of one for each column.
+
+    Ids depend on the values alone, so what travels to the dictionaries are the values: a narrow reading of the looked-up columns,
+    as (code of the row's values, column, value), meets all dictionaries in one exchange and comes together again by the code. Rows then
+    take all their ids in a single join by that code. The code has 128 bits and covers what is left of the values after the hot ones
+    are resolved; combinations that many rows share consist of hot values only, so no code is frequent. Rows with nothing left to
+    look up are spread by ``spread_by`` or by all columns.
+    """
+    rows, opened = df, []
+    for k, part in enumerate(lookups):
+        value, place, found = f"__value_{k}", f"__hot_value_{k}", f"__hot_id_{k}"
+        hot = F.broadcast(part.hot.select(F.col("value").alias(place), F.col("id").alias(found)))
+        rows = rows.withColumn(value, part.key).join(hot, F.col(value) == F.col(place), "left")
+        opened.append(F.when(F.col(place).isNull(), F.col(value)))
+    wanting = reduce(lambda a, b: a | b, [o.isNotNull() for o in opened])
+    # NULLs leave a hash as it is, so each column says whether it has a value.
+    marked = [c for o in opened for c in (o.isNull(), o)]
+    one, two = F.xxhash64(*marked), F.xxhash64(F.lit(2), *marked)
+    codes = [str(k) for k in range(len(lookups))]
+
+    narrow = rows.where(wanting).select(one.alias("__one"), two.alias("__two"), *[o.alias(c) for o, c in zip(opened, codes)])
+    asked = narrow.unpivot(["__one", "__two"], codes, "__code", "__value").where(F.col("__value").isNotNull())
+    known = [p.entries.select(F.lit(c).alias("__code"), F.col("value").alias("__value"), "id") for p, c in zip(lookups, codes)]
+    met = asked.join(reduce(DataFrame.unionByName, known), ["__code", "__value"])
+    ids = [F.max(F.when(F.col("__code") == c, F.col("id"))).alias(f"__id_{c}") for c in codes]
+    gathered = met.groupBy("__one", "__two").agg(*ids)
+
+    spread = F.xxhash64(*[F.col(c) for c in spread_by or df.columns])
+    coded = rows.withColumns({"__one": F.when(wanting, one).otherwise(spread), "__two": F.when(wanting, two)})
+    # Named apart from the codes of the narrow reading, which is made of the same rows.
+    coded = coded.withColumnsRenamed({"__one": "__row_one", "__two": "__row_two"})
+    joined = coded.join(gathered, (F.col("__row_one") == F.col("__one")) & (F.col("__row_two") == F.col("__two")), "left")
+    return joined.select(*df.columns, *[F.coalesce(f"__hot_id_{c}", f"__id_{c}").alias(p.to) for p, c in zip(lookups, codes)])
+
+
+def _look_up_all_large(df: DataFrame, lookups: Sequence[LargeLookup], spread_by: Sequence[str]) -> DataFrame:
+    if len(lookups) > 1:
+        return look_up_several(df, lookups, spread_by)
+    for part in lookups:
+        df = look_up_large(df, part.entries, part.key, part.to, part.hot, spread_by)
+    return df
+
+
 def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[int, int]]) -> DataFrame:
     """Add the id of the last bucket ``(low, id)`` whose low the number reaches:
     a search among a few hundred bounds in place of a join on the number."""
@@ -143,7 +199,7 @@ def add_ids(
     ``same_rows`` states that the map was built from just these rows.  Every
     number then lies in the bucket that the bounds give, and bucketed columns
     need no lookup by value.  Lookups that shuffle come last, when the rows are
-    narrowest.
+    narrowest, and all together, so that the rows are shuffled once.
     """
     columns = columns or {c: id_column(c) for c in fmap.columns}
     require_columns(df, columns)
@@ -157,7 +213,8 @@ def add_ids(
         return whole_number(rows, column).cast("string") if column in bucketed else key_text(column)
 
     frequent = {} if same_rows else frequent_values(rows, {c: key_of(c) for c in large})
-    for column in sorted(columns, key=large.__contains__):
+    lookups = []
+    for column in columns:
         to = columns[column]
         if column in by_bounds:
             df = add_bucket_ids(df, column, to, bounds[column])
@@ -168,7 +225,8 @@ def add_ids(
         else:
             counted = same_rows or not frequent[column]
             hot = hot_by_counts(entries, fmap.count(column)) if counted else hot_among(rows, frequent[column], entries)
-            df = look_up_large(df, entries, key_of(column), to, hot, spread_by or given)
+            lookups.append(LargeLookup(entries, key_of(column), to, hot))
+    df = _look_up_all_large(df, lookups, spread_by or given)
     return df.select(*given, *columns.values())
 
 
@@ -200,12 +258,14 @@ def add_ids_from(
     rows, given = df, df.columns
     keys = {c: whole_number(rows, c).cast("string") if c in numbers else key_text(c) for c in columns}
     frequent = frequent_values(rows, {c: key for c, key in keys.items() if c not in small})
-    for column in sorted(columns, key=lambda c: c not in small):
+    lookups = []
+    for column in columns:
         mine, to = entries.where(F.col("name") == column), columns[column]
         if column in small:
             df = look_up_small(df, mine, keys[column], to)
         else:
-            df = look_up_large(df, mine, keys[column], to, hot_among(rows, frequent[column], mine), spread_by or given)
+            lookups.append(LargeLookup(mine, keys[column], to, hot_among(rows, frequent[column], mine)))
+    df = _look_up_all_large(df, lookups, spread_by or given)
     return df.select(*given, *columns.values())
 
 

@@ -311,6 +311,13 @@ JOIN map p ON p.name = 'l_extendedprice' AND p.value = l_extendedprice::VARCHAR"
 SELECT {_LINE_KEY}, o.id AS order_id, n.id AS line_id FROM lineitem
 LEFT JOIN side o ON o.name = 'l_orderkey' AND o.value = l_orderkey::VARCHAR
 LEFT JOIN side n ON n.name = 'l_linenumber' AND n.value = l_linenumber::VARCHAR""",
+    "q17_several_dictionaries": f"""WITH {_LINE},
+sold AS (SELECT * FROM line WHERE l_quantity <= 10),
+side AS ({_numbered(_clicks("sold", ["l_orderkey", "l_partkey", "l_suppkey"]))})
+SELECT {_LINE_KEY}, l_extendedprice, o.id AS order_id, p.id AS part_id, s.id AS supplier_id FROM lineitem
+LEFT JOIN side o ON o.name = 'l_orderkey' AND o.value = l_orderkey::VARCHAR
+LEFT JOIN side p ON p.name = 'l_partkey' AND p.value = l_partkey::VARCHAR
+LEFT JOIN side s ON s.name = 'l_suppkey' AND s.value = l_suppkey::VARCHAR""",
     "q27_chained_partials": """
 WITH returned AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
 SELECT o_orderkey, coalesce(o_custkey, c_custkey) AS o_custkey, c_nationkey, coalesce(n, 0) AS returned

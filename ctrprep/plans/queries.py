@@ -283,6 +283,15 @@ def shuffled_lookup(spark, folder):
     return lookup.add_ids_from(rows, _side_map(spark, folder), _MAPPED, 0, LINE_KEY)
 
 
+def several_dictionaries(spark, folder):
+    """Three columns through dictionaries of which none is broadcast: the rows are shuffled once."""
+    rows, names = _lineitem(spark, folder), {"l_orderkey": "order_id", "l_partkey": "part_id", "l_suppkey": "supplier_id"}
+    small = stats.pv_click(rows.where(F.col("l_quantity") <= 10), list(names), "label")
+    entries = featuremap.feature_map_with_stats(small, list(names))
+    wide = rows.select(*LINE_KEY, "l_extendedprice", "l_returnflag")
+    return lookup.add_ids_from(wide, entries, names, 0, LINE_KEY).drop("l_returnflag")
+
+
 def map_round_trip(spark, folder):
     """A map whose values hold blanks, written, read and looked up."""
     orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
@@ -676,6 +685,7 @@ CATALOGUE: dict[str, Query] = {
     "q30_full_run_map": full_run_map,
     "q31_template_run": template_run,
     "q17_shuffled_lookup": shuffled_lookup,
+    "q17_several_dictionaries": several_dictionaries,
     "q27_chained_partials": chained_partials,
     "q32_map_round_trip": map_round_trip,
     "q33_model_file": model_file,

@@ -1,5 +1,5 @@
 import pytest
-from helpers import plan_of, rows_of
+from helpers import nodes_of, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from ctrprep.operators import lookup
@@ -169,3 +169,49 @@ def test_equal_numbers_share_a_bucket_however_written(spark, limit, same_rows):
     assert rows_of(fmap.of("v")) == [("0", 0, 1), ("1", 2, 4), ("2", 3, 1)]
     got = lookup.add_ids(rows, fmap, None, limit, same_rows)
     assert rows_of(got) == sorted(zip(written, [0, 2, 2, 2, 2, 3, None, None]), key=str)
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """Three columns of many values; a third of the rows share one value in two of them, and some have none."""
+    n = F.col("id")
+    text = {
+        "a": F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), n % 7001)),
+        "b": F.when(n % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("b"), (n * 31) % 5003)),
+        "c": F.when(n % 3 == 0, "often").when(n % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit(" c"), (n * 17) % 9001)),
+    }
+    return spark.range(30000).select("id", F.concat(F.lit("payload"), n).alias("payload"), *[c.alias(k) for k, c in text.items()]).cache()
+
+
+@pytest.mark.parametrize("from_elsewhere", [False, True])
+def test_several_large_dictionaries_take_one_shuffle_of_rows(spark, wide, from_elsewhere):
+    names = {"a": "a_id", "b": "b_id", "c": "c_id"}
+    fmap = build_feature_map(wide.where("id % 5 <> 1"), indexes=list(names))
+    ids = {(r["name"], r["value"]): r["id"] for r in fmap.entries.collect()}
+    for setting, value in (("adaptive.enabled", "false"), ("autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(f"spark.sql.{setting}", value)
+    try:
+        if from_elsewhere:
+            got = lookup.add_ids_from(wide, fmap.entries, names, 0, ["id"])
+        else:
+            got = lookup.add_ids(wide, fmap, names, 0, False, ["id"])
+        shuffled = nodes_of(got, "Exchange")
+        assert sum("payload" in columns for columns in shuffled) == 1
+        # The values and the dictionaries meet, the ids come together, the rows take them.
+        assert sum("__code" in columns for columns in shuffled) == 2 and sum("__one" in columns and "__code" not in columns for columns in shuffled) == 1
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 30000 and max(sizes) < 30000 * 0.2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = [(r["id"], *[ids.get((c, None if r[c] is None else r[c].strip())) for c in names]) for r in wide.collect()]
+    assert rows_of(got, "id", *names.values()) == sorted(expected, key=str)
+    assert rows_of(lookup.require_ids(got, ["b_id"]), "id") == sorted(((r[0],) for r in expected if r[2] is not None), key=str)
+
+
+def test_values_swapped_between_columns_stay_apart(spark):
+    """The code of a row tells (NULL, x) from (x, NULL)."""
+    rows = spark.createDataFrame([(1, "x", None), (2, None, "x"), (3, "x", "x"), (4, None, None), (5, "y", "z")], "id int, a string, b string")
+    entries = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("b", "z", 3)], "name string, value string, id long")
+    got = lookup.add_ids_from(rows, entries, {"a": "i", "b": "j"}, 0)
+    assert rows_of(got, "id", "i", "j") == [(1, 1, None), (2, None, 2), (3, 1, 2), (4, None, None), (5, None, 3)]
