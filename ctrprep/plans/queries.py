@@ -306,8 +306,8 @@ def chained_partials(spark, folder):
     customers = _table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     per_order = _table(spark, folder, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey"))
     returned = per_order.agg(F.count(F.lit(1)).alias("returned"))
-    both = tables.attach_part(orders, customers, ["o_custkey"], "full")
-    return tables.attach_part(both, returned, ["o_orderkey"], "left", {"returned": 0})
+    parts = [tables.Part(customers, ["o_custkey"], "full"), tables.Part(returned, ["o_orderkey"], "left", {"returned": 0})]
+    return tables.attach_parts(orders, parts)
 
 
 ORDER_SPEC = {

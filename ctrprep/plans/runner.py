@@ -14,7 +14,7 @@ from ctrprep.operators.stats import pv_click
 from ctrprep.plans.spec import LIBSVM, Format, Partial, PrepSpec
 from ctrprep.sources.model import read_model
 from ctrprep.sources.scratch import store
-from ctrprep.sources.tables import attach_part, extract, open_table, since
+from ctrprep.sources.tables import Part, attach_parts, extract, open_table, since
 from ctrprep.sources.text import write_feature_map, write_feature_map_text, write_lines
 
 
@@ -99,10 +99,8 @@ def _built_map(rows: DataFrame, spec: PrepSpec, statistics: DataFrame | None) ->
 def gather(spark: SparkSession, spec: PrepSpec, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The typed columns of all partials."""
     first, *others = spec.partials
-    rows = _read(spark, first, tables)
-    for part in others:
-        rows = attach_part(rows, _read(spark, part, tables), part.join_keys, part.join_type, part.defaults)
-    return rows
+    parts = [Part(_read(spark, p, tables), p.join_keys, p.join_type, p.defaults) for p in others]
+    return attach_parts(_read(spark, first, tables), parts)
 
 
 def _read(spark: SparkSession, part: Partial, tables: Mapping[str, DataFrame] | None) -> DataFrame:

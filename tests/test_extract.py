@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
@@ -207,7 +209,7 @@ def test_frequent_keys_are_spread(spark, parts):
 
 def test_cells_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
     """A task that gets its rows again, in another order, sends them to the same tasks; equal rows still part."""
-    monkeypatch.setattr(tables, "_HOT_SAMPLE", 1.0)
+    monkeypatch.setattr(tables, "_HOT_ROWS", 100)
     right = spark.createDataFrame([(0, "x"), (1, "y")], "k long, w string").coalesce(1)
     rows = [(0, k // 40) for k in range(4000)] + [(1, -1)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -228,3 +230,50 @@ def test_cells_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
 def test_unknown_join_type_raises(spark, parts):
     with pytest.raises(ValueError):
         tables.attach_part(parts[0], parts[1], ["k"], "outerish")
+
+
+def counted(spark, df, read):
+    """``df`` through a task that counts its rows into ``read`` whenever it is evaluated."""
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
+
+
+@pytest.mark.parametrize("hows", [("left", "left", "inner", "left"), ("left", "full", "inner", "right")])
+def test_chains_read_every_part_a_fixed_number_of_times(spark, hows):
+    """Five parts of which two have a frequent key that the others have once, and all have others: two readings for the frequent keys and one for the rows."""
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    frames = [
+        spark.range(30000).select(hot.alias("k"), F.col("id").alias("a")),
+        spark.range(10, 25000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("b")),
+        spark.range(20000).select(F.when(F.col("id") < 6000, 12346).when(F.col("id") == 6001, 0).when(F.col("id") % 9 > 0, F.col("id")).alias("k"), F.col("id").alias("c")),
+        spark.range(30000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("d")),
+        spark.range(28000).select((F.col("id") + 5).alias("k"), (F.col("id") % 5).alias("e")),
+    ]
+    expected = frames[0]
+    for df, how in zip(frames[1:], hows):
+        expected = expected.join(df, "k", how)
+    expected = expected.groupBy("k", "a", "b", "c", "d", "e").count()
+    reads = [spark.sparkContext.accumulator(0) for _ in frames]
+    own = [counted(spark, df, read) for df, read in zip(frames, reads)]
+    joined = tables.attach_parts(own[0], [tables.Part(df, ["k"], how) for df, how in zip(own[1:], hows)])
+    rows = joined.groupBy("k", "a", "b", "c", "d", "e").count().collect()
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, expected.collect()))
+    for df, read in zip(frames, reads):
+        assert read.value == 3 * df.count()
+
+
+def test_parts_with_maps_and_several_keys(spark, monkeypatch):
+    """Map columns travel along; a frequent pair of keys is spread; types that differ are joined plainly."""
+    monkeypatch.setattr(tables, "_HOT_ROWS", 100)
+    n = F.col("id")
+    left = spark.range(4000).select((n % 2).alias("k"), F.when(n % 4 == 0, "x").otherwise(n.cast("string")).alias("v"), F.create_map(F.lit("n"), n % 3).alias("m"))
+    right = spark.range(3).select(n.alias("k"), F.lit("x").alias("v"), (n + 10).alias("w"))
+    got = tables.attach_part(left, right, ["k", "v"], "left", {"w": -1}).groupBy("k", "v", "w", F.col("m")["n"].alias("n")).count()
+    expected = left.join(right, ["k", "v"], "left").fillna({"w": -1}).groupBy("k", "v", "w", F.col("m")["n"].alias("n")).count()
+    assert rows_of(got) == rows_of(expected)
+    narrow = right.select(F.col("k").cast("int").alias("k"), "w").where("w = 10")
+    assert tables.attach_part(left, narrow, ["k"]).where("w = 10").count() == 2000
