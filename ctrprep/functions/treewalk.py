@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
+from ctrprep.functions.sparsetext import parse_items
+
 NODE_COLUMNS = ("tree", "node", "left", "right", "feature", "threshold", "leaf_id")
 
 
@@ -61,13 +64,29 @@ class Trees:
 
     def walk_vectors(self, numbers: pa.Array, values: pa.Array) -> np.ndarray:
         """Leaf ids of rows that each have lists of feature numbers and of their values."""
+        dense = np.zeros((len(self.features), len(values)), dtype=np.float32)
+        self._put_lists(dense, numbers, values)
+        return self.walk(dense)
+
+    def walk_texts(self, texts: pa.Array, numbers: pa.Array, values: pa.Array) -> np.ndarray:
+        """The same for rows in text; a row without a text has its lists."""
+        dense = np.zeros((len(self.features), len(texts)), dtype=np.float32)
+        row, number, value = parse_items(texts)
+        self._put(dense, row, number, value)
+        self._put_lists(dense, numbers, values)
+        return self.walk(dense)
+
+    def _put_lists(self, dense: np.ndarray, numbers: pa.Array, values: pa.Array) -> None:
         row = np.repeat(np.arange(len(values)), values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         number, value = numbers.flatten().to_numpy(zero_copy_only=False), values.flatten()
+        known = value.is_valid().to_numpy(zero_copy_only=False)
+        self._put(dense, row[known], number[known], value.fill_null(0).to_numpy(zero_copy_only=False)[known])
+
+    def _put(self, dense: np.ndarray, row: np.ndarray, number: np.ndarray, value: np.ndarray) -> None:
+        """Lay out values by feature and row; of equal numbers in a row the last one stays."""
         place = np.minimum(np.searchsorted(self.features, number), len(self.features) - 1)
-        hit = np.flatnonzero(value.is_valid().to_numpy(zero_copy_only=False) & (self.features[place] == number))
-        dense = np.zeros((len(self.features), len(values)), dtype=np.float32)
-        dense[place[hit], row[hit]] = value.fill_null(0).to_numpy(zero_copy_only=False)[hit]
-        return self.walk(dense)
+        hit = self.features[place] == number
+        dense[place[hit], row[hit]] = value[hit]
 
     def walk(self, values: np.ndarray) -> np.ndarray:
         """Leaf ids, rows by trees, for a features-by-rows matrix."""
@@ -84,6 +103,57 @@ class Trees:
         return out
 
 
+def matrix(trees: Trees, plan: Sequence[tuple[int | None, float | None]], columns: Sequence[pa.Array]) -> np.ndarray:
+    """Features by rows from the columns of a plan: (feature, None) where a column holds the feature's value, (None, value) where it
+    holds the number of a feature of that value."""
+    values = np.zeros((len(trees.features), len(columns[0])), dtype=np.float32)
+    for (feature, constant), column in zip(plan, columns):
+        if feature is None:
+            numbers = column.fill_null(-1).to_numpy(zero_copy_only=False)
+            place = np.minimum(np.searchsorted(trees.features, numbers), len(trees.features) - 1)
+            hit = np.flatnonzero(trees.features[place] == numbers)
+            values[place[hit], hit] = constant
+        else:
+            place = np.searchsorted(trees.features, feature)
+            if place < len(trees.features) and trees.features[place] == feature:
+                given = column.fill_null(0).to_numpy(zero_copy_only=False)
+                present = column.is_valid().to_numpy(zero_copy_only=False)
+                values[place] = np.where(present, given, values[place])
+    return values
+
+
+def as_lists(leaves: np.ndarray) -> pa.ListArray:
+    ends = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
+
+
+def walk_groups(plan: Sequence[tuple[int | None, float | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Leaves of rows that follow the nodes of their group of trees in a task; ``kind`` is 0 for nodes and 1 for rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, trees = None, [], None
+        for batch in batches:
+            keys = np.column_stack([batch[c].to_numpy(zero_copy_only=False) for c in ("group", "cell", "kind")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                group, cell, kind = keys[lo].tolist()
+                part = batch.slice(lo, hi - lo)
+                if (group, cell) != now:
+                    now, held, trees = (group, cell), [], None
+                if kind == 0:
+                    held.append(part.select(list(NODE_COLUMNS)))
+                    continue
+                if trees is None:
+                    trees, held = Trees.from_table(pa.Table.from_batches(held)), []
+                leaves = trees.walk(matrix(trees, plan, [part[f"input{k}"] for k in range(len(plan))]))
+                groups = pa.array(np.full(len(leaves), group, np.int32))
+                yield pa.RecordBatch.from_arrays([part["row"], groups, as_lists(leaves)], names=["row", "group", "leaves"])
+
+    return run
+
+
 def _depths(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     depths = np.zeros(len(roots), dtype=np.int64)
     for k, root in enumerate(roots):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -26,6 +27,10 @@ _HOT_SAMPLE = 0.001
 # Whole numbers up to here are exact as doubles.
 _EXACT = 1 << 53
 
+# What becomes of numbers that the map has not seen.
+MISSING, NEAREST = "missing", "nearest"
+UNSEEN = (MISSING, NEAREST)
+
 Size = tuple[int, int]
 
 
@@ -172,9 +177,12 @@ def _look_up_all_large(df: DataFrame, lookups: Sequence[LargeLookup], spread_by:
     return df
 
 
-def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[int, int]]) -> DataFrame:
+def add_bucket_ids(
+    df: DataFrame, column: str, to: str, bounds: Sequence[tuple[int, int]], nearest: bool = False
+) -> DataFrame:
     """Add the id of the last bucket ``(low, id)`` whose low the number reaches:
-    a search among a few hundred bounds in place of a join on the number."""
+    a search among a few hundred bounds in place of a join on the number.  Smaller
+    numbers have no id, or with ``nearest`` that of the lowest bucket."""
     lows = [float(low) for low, _ in bounds]
     search = Bucketizer(
         splits=[float("-inf"), *lows, float("inf")], inputCol="__number", outputCol="__place", handleInvalid="keep"
@@ -182,8 +190,51 @@ def add_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[i
     placed = search.transform(df.withColumn("__number", whole_number(df, column).cast("double")))
     # Place 0 lies below all buckets and the place after the last is for NULL;
     # both fall outside this constant array.
-    ids = F.split(F.lit(",".join(str(i) for _, i in bounds)), ",").cast("array<bigint>")
-    return placed.withColumn(to, F.get(ids, F.col("__place").cast("int") - F.lit(1))).drop("__number", "__place")
+    place = F.when(F.col("__place") < 1, 1.0).otherwise(F.col("__place")) if nearest else F.col("__place")
+    ids = _numbers([i for _, i in bounds])
+    return placed.withColumn(to, F.get(ids, place.cast("int") - F.lit(1))).drop("__number", "__place")
+
+
+def add_nearest_bucket_ids(df: DataFrame, column: str, to: str, bounds: Sequence[tuple[int, int]]) -> DataFrame:
+    """Add the id of the last bucket whose low the number reaches, of the lowest one for smaller numbers; without buckets, NULL.
+
+    Any bigint is compared exactly."""
+    if not bounds:
+        return df.withColumn(to, F.lit(None).cast("bigint"))
+    if all(abs(low) <= _EXACT for low, _ in bounds):
+        return add_bucket_ids(df, column, to, bounds, nearest=True)
+    # Blocks of bounds first, then the bounds within the block.
+    lows, ids, step = _numbers([low for low, _ in bounds]), _numbers([i for _, i in bounds]), math.isqrt(len(bounds)) + 1
+    block = F.greatest(F.lit(0), _reached(_numbers([low for low, _ in bounds[::step]])) - F.lit(1))
+    inside = F.greatest(F.lit(0), _reached(F.slice(lows, block * F.lit(step) + F.lit(1), F.lit(step))) - F.lit(1))
+    placed = df.withColumn("__number", whole_number(df, column))
+    found = F.when(F.col("__number").isNotNull(), F.get(ids, block * F.lit(step) + inside))
+    return placed.withColumn(to, found).drop("__number")
+
+
+def _numbers(values: Sequence[int]) -> Column:
+    """A constant array, made from one text."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _reached(lows: Column) -> Column:
+    return F.size(F.filter(lows, lambda low: low <= F.col("__number")))
+
+
+def stored_bounds(entries: DataFrame, numbers: Sequence[str]) -> dict[str, list[tuple[int, int]]]:
+    """The ``(lowest number, id)`` of every bucket of a stored map's bucketed columns, ascending: at most two per configured bucket."""
+    some = entries.where(F.col("name").isin(list(numbers)))
+    lowest = some.groupBy("name", "id").agg(F.min(F.col("value").try_cast("bigint")).alias("low")).where("low is not null")
+    found: dict[str, list[tuple[int, int]]] = {}
+    for low, name, i in sorted((r["low"], r["name"], r["id"]) for r in lowest.collect()):
+        found.setdefault(name, []).append((low, i))
+    return found
+
+
+def _checked(unseen_numbers: str) -> str:
+    if unseen_numbers not in UNSEEN:
+        raise ValueError(f"unseen numbers {unseen_numbers!r} is not one of {UNSEEN}")
+    return unseen_numbers
 
 
 def add_ids(
@@ -193,9 +244,13 @@ def add_ids(
     broadcast_bytes: int = BROADCAST_BYTES,
     same_rows: bool = False,
     spread_by: Sequence[str] | None = None,
+    unseen_numbers: str = MISSING,
 ) -> DataFrame:
     """Add an id column for every mapped column (``{column: new name}``).
 
+    ``unseen_numbers='nearest'`` gives numbers of bucketed columns that the map has not seen the id of the bucket whose lowest
+    number they reach, or of the lowest bucket; otherwise they have no id.
+
     ``same_rows`` states that the map was built from just these rows.  Every
     number then lies in the bucket that the bounds give, and bucketed columns
     need no lookup by value.  Lookups that shuffle come last, when the rows are
@@ -203,8 +258,9 @@ def add_ids(
     """
     columns = columns or {c: id_column(c) for c in fmap.columns}
     require_columns(df, columns)
-    bounds = fmap.bucket_bounds if same_rows and any(c in columns for c, _ in fmap.intervals) else {}
-    by_bounds = {c for c in columns if bounds.get(c) and all(abs(low) <= _EXACT for low, _ in bounds[c])}
+    nearest = _checked(unseen_numbers) == NEAREST
+    bounds = fmap.bucket_bounds if (same_rows or nearest) and any(c in columns for c, _ in fmap.intervals) else {}
+    by_bounds = {c for c in columns if bounds.get(c) and (nearest or all(abs(low) <= _EXACT for low, _ in bounds[c]))}
     small = small_enough({c: fmap.sizes[c] for c in columns if c not in by_bounds}, broadcast_bytes)
     large = [c for c in columns if c not in by_bounds and c not in small]
     rows, given, bucketed = df, df.columns, dict(fmap.intervals)
@@ -217,7 +273,7 @@ def add_ids(
     for column in columns:
         to = columns[column]
         if column in by_bounds:
-            df = add_bucket_ids(df, column, to, bounds[column])
+            df = (add_nearest_bucket_ids if nearest else add_bucket_ids)(df, column, to, bounds[column])
             continue
         entries = fmap.of(column)
         if column in small:
@@ -237,11 +293,20 @@ def add_ids_from(
     broadcast_bytes: int = BROADCAST_BYTES,
     spread_by: Sequence[str] | None = None,
     numbers: Sequence[str] = (),
+    unseen_numbers: str = MISSING,
 ) -> DataFrame:
     """Like :func:`add_ids` for a map read from elsewhere: ``(name, value, id)``.
     The values of the columns ``numbers`` are looked up as whole numbers, however
     they are written."""
     require_columns(df, columns)
+    if _checked(unseen_numbers) == NEAREST and numbers:
+        bounds, given = stored_bounds(entries, numbers), df.columns
+        for column in numbers:
+            df = add_nearest_bucket_ids(df, column, columns[column], bounds.get(column, []))
+        others = {c: to for c, to in columns.items() if c not in numbers}
+        if others:
+            df = add_ids_from(df, entries, others, broadcast_bytes, spread_by or given)
+        return df.select(*given, *columns.values())
     wanted = entries.where(F.col("name").isin(list(columns))).select("name", "value", "id")
     entries = wanted if is_stored(entries) else store(wanted, "side-map", ["name"])
     measured = entries.groupBy("name").agg(

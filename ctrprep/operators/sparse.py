@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ctrprep.functions import sparsetext
 from ctrprep.functions.columns import array_of_present
-from ctrprep.operators.trees import TreeInput
+from ctrprep.functions.sparsetext import CHARACTERS, item_lists
+
+if TYPE_CHECKING:
+    from ctrprep.operators.trees import TreeInput
+
+# Parsing travels to the Python workers as code, so that they need not have this package on their path.
+cloudpickle.register_pickle_by_value(sparsetext)
 
 
 def sparse_vector(inputs: Sequence[TreeInput]) -> Column:
@@ -30,8 +40,28 @@ def sparse_vector(inputs: Sequence[TreeInput]) -> Column:
     return F.map_from_entries(array_of_present(pairs, "struct<id:int,value:float>"))
 
 
+def is_plain(vector: Column) -> Column:
+    """Whether a text has digits, signs and separators only, so that it is parsed column-wise."""
+    return F.coalesce(F.translate(vector, CHARACTERS, "") == F.lit(""), F.lit(False))
+
+
 def parse_sparse(vector: Column) -> Column:
-    """``"id:value,id:value"`` text as ``map<int, float>``; malformed pairs are absent."""
+    """``"id:value,id:value"`` text as ``map<int, float>``; malformed pairs are absent.
+
+    Of equal numbers the last one counts.  Plain texts are parsed by an Arrow UDF for whole batches; others, with blanks or
+    exponents, by expressions, with the same outcome where both apply.
+    """
+
+    @F.arrow_udf("array<struct<id:int,value:float>>")
+    def parse(texts: pa.Array) -> pa.Array:
+        return item_lists(texts)
+
+    plain = is_plain(vector)
+    return F.when(plain, F.map_from_entries(parse(F.when(plain, vector)))).otherwise(parse_any(F.when(~plain, vector)))
+
+
+def parse_any(vector: Column) -> Column:
+    """The same by expressions, for any text."""
 
     def pair(item: Column) -> Column:
         number = F.substring_index(item, ":", 1).try_cast("int")

@@ -12,20 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ctrprep.functions import treewalk
-from ctrprep.functions.treewalk import NODE_COLUMNS, Trees
+from ctrprep.functions import sparsetext, treewalk
+from ctrprep.functions.treewalk import NODE_COLUMNS, Trees, as_lists, matrix, walk_groups
+from ctrprep.operators import sparse
 from ctrprep.operators.ranking import store_ranked, with_row_index
 from ctrprep.sources.scratch import store
 
 # Trees are shipped to the executors in groups of about this many nodes, some
 # tens of megabytes; a larger model takes several groups.
 GROUP_NODES = 1_000_000
+# A model of more nodes than this stays a table, whose groups the rows meet by an exchange.
+SHIPPED_NODES = 20_000_000
 # Cells of the features-by-rows matrix that a walk over vectors lays out at once.
 DENSE_CELLS = 4_000_000
 
 # The walk travels to the Python workers as code, so that they need not have
 # this package on their path.
 cloudpickle.register_pickle_by_value(treewalk)
+cloudpickle.register_pickle_by_value(sparsetext)
 
 
 @dataclass(frozen=True)
@@ -79,20 +83,71 @@ def encode_leaves(
 
     From node 0 a feature below the threshold (in single precision) leads left,
     any other right; absent and NULL features count as 0.  ``outputs`` is the
-    number of trees the caller has room for.
+    number of trees the caller has room for.  The model is sent to the tasks,
+    unless it has more than ``SHIPPED_NODES`` nodes.
     """
-    return df.withColumn(to, _all_leaves(list(_tree_groups(nodes)), inputs, outputs))
+    sizes = _tree_sizes(nodes)
+    if sum(n for _, n in sizes) > SHIPPED_NODES:
+        return exchange_leaves(df, nodes, inputs, to, outputs)
+    return df.withColumn(to, _all_leaves(list(_tree_groups(nodes, sizes)), inputs, outputs))
+
+
+def exchange_leaves(
+    df: DataFrame,
+    nodes: DataFrame,
+    inputs: Sequence[TreeInput],
+    to: str = "leaves",
+    outputs: int | None = None,
+    group_nodes: int | None = None,
+    cells: int | None = None,
+) -> DataFrame:
+    """The same for a model of any size, which neither the driver nor a task holds whole.
+
+    Rows are stored under numbers; their inputs are dealt out, once for each group of trees, to where that group is, and
+    the leaves come back by row number in the order of the groups.  A task holds one group.  ``cells`` is the number of tasks
+    that share the rows of a group; without it all groups together take the configured shuffle partitions.
+    """
+    sizes = _tree_sizes(nodes)
+    if not sizes:
+        raise ValueError("the model has no trees")
+    if outputs is not None and outputs != len(sizes):
+        raise ValueError(f"{outputs} outputs for {len(sizes)} trees")
+    groups = _tree_ranges(sizes, group_nodes)
+    spark = df.sparkSession
+    cells = cells or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // len(groups))
+    # One row for each group of about a million nodes.
+    ranges = F.broadcast(spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(groups)], "group int, first int, last int"))
+    model = node_table(nodes).join(ranges, F.col("tree").between(F.col("first"), F.col("last"))).drop("first", "last")
+    model = model.withColumns({"cell": F.explode(F.sequence(F.lit(0), F.lit(cells - 1))), "kind": F.lit(0)})
+
+    rows = store(df.withColumn("__row", F.monotonically_increasing_id()), "tree-rows")
+    place = F.pmod(F.xxhash64("__row"), F.lit(cells)).cast("int")
+    given = [column.alias(f"input{k}") for k, column in enumerate(_cast_inputs(inputs))]
+    asking = rows.select(F.col("__row").alias("row"), place.alias("cell"), F.lit(1).alias("kind"), *given)
+    asking = asking.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))))
+    both = model.unionByName(asking, allowMissingColumns=True)
+    dealt = both.repartition(len(groups) * cells, "group", "cell").sortWithinPartitions("group", "cell", "kind")
+    walked = dealt.mapInArrow(walk_groups([(i.feature, i.value) for i in inputs]), "row bigint, group int, leaves array<int>")
+    gathered = walked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("group", "leaves"))).alias("__parts"))
+    leaves = F.flatten(F.transform("__parts", lambda part: part["leaves"]))
+    found = gathered.select(F.col("row").alias("__row"), leaves.alias("__all_leaves"))
+    return rows.join(found, "__row").select(*df.columns, F.col("__all_leaves").alias(to))
 
 
 def encode_vector(df: DataFrame, nodes: DataFrame, vector: str, to: str = "leaves") -> DataFrame:
-    """The same for features in one column: an array indexed by feature number, or
-    a map from it."""
+    """The same for features in one column: an array indexed by feature number, a map
+    from it, or sparse text, which is parsed where the trees are walked."""
     groups = list(_tree_groups(nodes))
     if not groups:
         raise ValueError("the model has no trees")
-    is_map = isinstance(df.schema[vector].dataType, T.MapType)
-    leaves = [_leaves_of_vector(trees, vector, is_map) for trees in groups]
-    return df.withColumn(to, leaves[0] if len(leaves) == 1 else F.concat(*leaves))
+    kind = df.schema[vector].dataType
+    if isinstance(kind, T.StringType):
+        # What only expressions can parse is a column of its own: the call takes it twice.
+        df = df.withColumn("__parsed", sparse.parse_any(F.when(~sparse.is_plain(F.col(vector)), F.col(vector))))
+        leaves = [_leaves_of_text(trees, vector, "__parsed") for trees in groups]
+    else:
+        leaves = [_leaves_of_vector(trees, vector, isinstance(kind, T.MapType)) for trees in groups]
+    return df.withColumn(to, leaves[0] if len(leaves) == 1 else F.concat(*leaves)).drop("__parsed")
 
 
 def leaf_columns(df: DataFrame, outputs: Sequence[str], leaves: str = "leaves") -> DataFrame:
@@ -109,16 +164,26 @@ def output_names(pattern: str, count: int | None = None) -> list[str]:
     return [name.strip() for name in pattern.split(",")]
 
 
-def _tree_groups(nodes: DataFrame) -> Iterator[Trees]:
-    """The model as arrays, about ``GROUP_NODES`` nodes at a time."""
-    per_tree = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).orderBy("tree").collect()
-    first, held = 0, 0
-    for at, tree in enumerate(per_tree):
-        held += tree["n"]
-        if held >= GROUP_NODES or at == len(per_tree) - 1:
-            group = nodes.where(F.col("tree").between(per_tree[first]["tree"], tree["tree"]))
-            yield Trees.from_table(node_table(group).toArrow())
+def _tree_sizes(nodes: DataFrame) -> list[tuple[int, int]]:
+    """The trees, in order, with their numbers of nodes."""
+    return sorted((r["tree"], r["n"]) for r in nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _tree_ranges(sizes: Sequence[tuple[int, int]], group_nodes: int | None = None) -> list[tuple[int, int]]:
+    """First and last tree of groups of about ``group_nodes`` nodes, by default ``GROUP_NODES``."""
+    ranges, first, held = [], 0, 0
+    for at, (tree, n) in enumerate(sizes):
+        held += n
+        if held >= (group_nodes or GROUP_NODES) or at == len(sizes) - 1:
+            ranges.append((sizes[first][0], tree))
             first, held = at + 1, 0
+    return ranges
+
+
+def _tree_groups(nodes: DataFrame, sizes: Sequence[tuple[int, int]] | None = None) -> Iterator[Trees]:
+    """The model as arrays, a group at a time."""
+    for first, last in _tree_ranges(_tree_sizes(nodes) if sizes is None else sizes):
+        yield Trees.from_table(node_table(nodes.where(F.col("tree").between(first, last))).toArrow())
 
 
 def _all_leaves(groups: Sequence[Trees], inputs: Sequence[TreeInput], outputs: int | None = None) -> Column:
@@ -142,9 +207,7 @@ def _leaves_of_vector(trees: Trees, vector: str, is_map: bool) -> Column:
             trees.walk_vectors(numbers.slice(at, rows_at_once), values.slice(at, rows_at_once))
             for at in range(0, len(values), rows_at_once)
         ]
-        leaves = np.concatenate([np.empty((0, len(trees.roots)), np.int32), *parts])
-        ends = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
+        return as_lists(np.concatenate([np.empty((0, len(trees.roots)), np.int32), *parts]))
 
     # The vector is used twice, so that the expression that makes it stays out of the call.
     values = F.map_values(vector) if is_map else F.col(vector)
@@ -153,6 +216,23 @@ def _leaves_of_vector(trees: Trees, vector: str, is_map: bool) -> Column:
     return walk(numbers.cast("array<bigint>"), values.cast("array<float>"))
 
 
+def _leaves_of_text(trees: Trees, vector: str, parsed: str) -> Column:
+    """The walk over sparse text.  Texts of digits, signs and separators only are parsed in the walk itself; what a
+    cast makes of other ones comes as the map ``parsed``."""
+    rows_at_once = max(1, DENSE_CELLS // len(trees.features))
+
+    @F.arrow_udf("array<int>")
+    def walk(texts: pa.Array, numbers: pa.Array, values: pa.Array) -> pa.Array:
+        parts = [
+            trees.walk_texts(*(column.slice(at, rows_at_once) for column in (texts, numbers, values)))
+            for at in range(0, len(texts), rows_at_once)
+        ]
+        return as_lists(np.concatenate([np.empty((0, len(trees.roots)), np.int32), *parts]))
+
+    numbers, values = F.map_keys(parsed).cast("array<bigint>"), F.map_values(parsed).cast("array<float>")
+    return walk(F.when(sparse.is_plain(F.col(vector)), F.col(vector)), numbers, values)
+
+
 def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:
     """The walk as an Arrow UDF: lambda expressions would interpret every step of
     every row, and the same trees as nested ``IF`` outgrow the code generator."""
@@ -160,21 +240,10 @@ def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:
 
     @F.arrow_udf("array<int>")
     def walk(*columns: pa.Array) -> pa.Array:
-        values = np.zeros((len(trees.features), len(columns[0])), dtype=np.float32)
-        for (feature, constant), column in zip(plan, columns):
-            if feature is None:
-                numbers = column.fill_null(-1).to_numpy(zero_copy_only=False)
-                place = np.minimum(np.searchsorted(trees.features, numbers), len(trees.features) - 1)
-                hit = np.flatnonzero(trees.features[place] == numbers)
-                values[place[hit], hit] = constant
-            else:
-                place = np.searchsorted(trees.features, feature)
-                if place < len(trees.features) and trees.features[place] == feature:
-                    given = column.fill_null(0).to_numpy(zero_copy_only=False)
-                    present = column.is_valid().to_numpy(zero_copy_only=False)
-                    values[place] = np.where(present, given, values[place])
-        leaves = trees.walk(values)
-        ends = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
-
-    return walk(*[F.col(i.column).try_cast("float" if i.feature is not None else "bigint") for i in inputs])
+        return as_lists(trees.walk(matrix(trees, plan, columns)))
+
+    return walk(*_cast_inputs(inputs))
+
+
+def _cast_inputs(inputs: Sequence[TreeInput]) -> list[Column]:
+    return [F.col(i.column).try_cast("float" if i.feature is not None else "bigint") for i in inputs]

@@ -335,7 +335,7 @@ listed AS (
   SELECT r, string_agg((1000 + t * 64 + node - 63)::VARCHAR, ',' ORDER BY t) AS leaves FROM depth6 GROUP BY r)
 SELECT {_LINE_KEY}, md5(leaves) AS leaves FROM step0 JOIN listed USING (r)""",
     "q34_given_map": f"""WITH {_ORDER},
-early AS (SELECT * FROM ordered WHERE order_year < 1995),
+early AS (SELECT * FROM ordered WHERE order_year < 1998),
 map AS ({_numbered(_counts("early", ["o_custkey", "o_orderpriority"]))})
 SELECT o_orderkey, c.id AS o_custkey_id, p.id AS o_orderpriority_id FROM ordered
 LEFT JOIN map c ON c.name = 'o_custkey' AND c.value = o_custkey::VARCHAR
@@ -351,3 +351,85 @@ encoded AS (
 SELECT 'ids' AS format, concat_ws(chr(9), label, c || ':1', p || ':1') AS value FROM encoded
 UNION ALL SELECT 'pairs', o_orderkey || ' ' || c || ':1' FROM encoded""",
 }
+ORACLES["q33_model_exchange"] = ORACLES["q33_model_file"]
+
+_EARLY_PRICE = """early AS (SELECT floor(o_totalprice)::BIGINT AS price FROM orders WHERE year(o_orderdate) < 1998)"""
+
+
+def _nearest(mode: str) -> str:
+    """Bounds of the early prices' buckets, and the last one that each order's price reaches."""
+    return f"""SELECT o_orderkey, coalesce(arg_max(id, low) FILTER (WHERE low <= price), arg_min(id, low)) AS price_id
+FROM (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS price FROM orders),
+     (SELECT id, min(value::BIGINT) AS low FROM ({_bucketed("early", [("price", 50)], even=mode == "even")}) GROUP BY id)
+GROUP BY o_orderkey"""
+
+
+_CARRIED = ["o_custkey", "o_orderpriority"]
+ORACLES |= {
+    "q02_partitions": """SELECT o_orderkey, floor(o_totalprice::FLOAT::DOUBLE * 100)::BIGINT AS o_totalprice, year(o_orderdate) AS dt
+FROM orders WHERE year(o_orderdate) >= 1997 OR year(o_orderdate) = 1995""",
+    "q34_unseen_numbers": f"WITH {_EARLY_PRICE}\n"
+    + "\nUNION ALL ".join(f"SELECT *, '{mode} {way}' AS way FROM ({_nearest(mode)})" for mode in ("exact", "even") for way in ("held", "stored")),
+    "q37_carried_map": f"""WITH {_ORDER},
+priced AS (SELECT *, floor(o_totalprice / 1000)::BIGINT AS price FROM ordered),
+early AS (SELECT * FROM priced WHERE order_year < 1998),
+late AS (SELECT * FROM priced WHERE order_year >= 1998),
+old AS (
+  SELECT name, value, id FROM ({_bucketed("early", [("price", 20)])})
+  UNION ALL SELECT name, value, id FROM ({_numbered(_counts("early", _CARRIED), _index_base("early", [("price", 20)]))})),
+low AS (SELECT id, min(value::BIGINT) AS low FROM old WHERE name = 'price' GROUP BY id),
+first AS ({_clicks("early", [*_CARRIED, "price"])}),
+counted AS ({_clicks("late", [*_CARRIED, "price"])}),
+merged AS (
+  SELECT name, value, o.id, coalesce(f.pv, 0) + coalesce(c.pv, 0) AS pv, coalesce(c.click, 0) AS click
+  FROM old o FULL JOIN counted c USING (name, value) LEFT JOIN first f USING (name, value)),
+fresh AS (
+  SELECT name, value, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY name, value) AS id, pv, click
+  FROM merged WHERE id IS NULL AND name <> 'price')
+SELECT name, value, id, pv, click FROM merged WHERE id IS NOT NULL
+UNION ALL SELECT name, value, id, pv, click FROM fresh
+UNION ALL
+SELECT 'price', value, coalesce(arg_max(low.id, low) FILTER (WHERE low <= value::BIGINT), arg_min(low.id, low)), any_value(pv), any_value(click)
+FROM merged, low WHERE merged.id IS NULL AND name = 'price' GROUP BY value""",
+    "q38_committed_run": f"""WITH {_ORDER},
+map AS ({_numbered(_counts("ordered", ["o_custkey", "o_orderpriority"]))}),
+encoded AS (
+  SELECT label, o_orderkey, c.id AS c, p.id AS p FROM ordered
+  JOIN map c ON c.name = 'o_custkey' AND c.value = o_custkey::VARCHAR
+  JOIN map p ON p.name = 'o_orderpriority' AND p.value = o_orderpriority)
+SELECT 'featuremap' AS format, concat_ws(' ', name, value, id) AS value FROM map
+UNION ALL SELECT 'statistics', concat_ws(' ', name, value, pv, click) FROM ({_clicks("ordered", ["o_custkey", "o_orderpriority"])})
+UNION ALL SELECT 'ids', concat_ws(chr(9), label, c || ':1', p || ':1') FROM encoded
+UNION ALL SELECT 'pairs', o_orderkey || ' ' || c || ':1' FROM encoded""",
+}
+
+_CROSS_THREE = ["l_partkey", "l_suppkey", "l_linenumber"]
+_CROSS_FLAGS = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
+    return [(a, b) for k, a in enumerate(columns) for b in columns[k + 1 :]]
+
+
+def _crossed(table: str, columns: Sequence[str]) -> str:
+    parts = ", ".join(f"{a} || chr(1) || {b} AS {a}_x_{b}" for a, b in _pairs(columns))
+    return f"SELECT *, {parts} FROM {table}"
+
+
+def _cross_names(columns: Sequence[str]) -> list[str]:
+    return [f"{a}_x_{b}" for a, b in _pairs(columns)]
+
+
+ORACLES |= {
+    "q28_frequent_crossings": f"""WITH {_LINE}, crossed AS ({_crossed("line", _CROSS_THREE)})
+SELECT name, value, pv, click FROM ({_clicks("crossed", _cross_names(_CROSS_THREE))}) WHERE pv >= 8""",
+    "q28_crossed_map_run": f"""WITH {_LINE}, crossed AS ({_crossed(f"({_crossed('line', _CROSS_FLAGS)})", ["l_partkey", "l_suppkey"])}),
+early AS (SELECT * FROM crossed WHERE year(l_shipdate) < 1998),
+side AS ({_numbered(_counts("early", _cross_names(_CROSS_FLAGS)))}),
+often AS (SELECT * FROM ({_clicks("crossed", ["l_partkey_x_l_suppkey"])}) WHERE pv >= 4),
+map AS ({_numbered("SELECT position, name, value, pv FROM often")})
+SELECT concat_ws(chr(9), label, {", ".join(f"s{k}.id || ':1'" for k in range(3))}, m.id || ':1') AS value FROM crossed
+{" ".join(f"LEFT JOIN side s{k} ON s{k}.name = '{n}' AND s{k}.value = {n}" for k, n in enumerate(_cross_names(_CROSS_FLAGS)))}
+LEFT JOIN map m ON m.value = l_partkey_x_l_suppkey
+UNION ALL SELECT concat_ws(' ', name, replace(value, chr(1), '/'), pv, click) FROM often""",
+}

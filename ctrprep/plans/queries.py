@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ctrprep.operators import featuremap, formats, lookup, sampling, sparse, stats, trees
-from ctrprep.plans.runner import prepare
+from ctrprep.operators import carry, crossing, featuremap, formats, lookup, sampling, sparse, stats, trees
+from ctrprep.plans.runner import commit_outputs, prepare, read_run
 from ctrprep.plans.spec import PrepSpec
 from ctrprep.sources import model, tables, text
 from ctrprep.sources.scratch import new_folder
@@ -71,6 +71,20 @@ def extract_on(spark, folder):
     return tables.extract(one_day, ["o_orderkey", "o_orderpriority"])
 
 
+def _written_by_year(spark, folder) -> DataFrame:
+    """Orders as a table partitioned by the year, ``dt``."""
+    path = new_folder(spark, "orders-by-year")
+    _table(spark, folder, "orders").withColumn("dt", F.year("o_orderdate")).write.partitionBy("dt").parquet(path)
+    return tables.open_table(spark, path)
+
+
+def partitions_since(spark, folder):
+    """A lower bound and a fixed value of the partition column: only the partitions that can match are read."""
+    orders, columns = _written_by_year(spark, folder), ["o_orderkey", "o_totalprice", "dt"]
+    recent = tables.extract(tables.since(orders, "1997", "dt"), columns, ["s", "f", "s"], 100)
+    return recent.unionByName(tables.extract(tables.on(orders, "1995", "dt"), columns, ["s", "f", "s"], 100))
+
+
 _ORDER_FIELDS = (
     T.StructType()
     .add("o_orderkey", T.LongType())
@@ -254,6 +268,16 @@ def feature_cross(spark, folder):
     return featuremap.build_feature_map(crossed, indexes=names).entries.select("name", "value", "id")
 
 
+_CROSSED = ["l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def frequent_crossings(spark, folder):
+    """Crossings of parts, suppliers and line numbers in eight rows or more, with their clicks; rare members make none."""
+    rows = _lineitem(spark, folder).select(*_CROSSED, "label")
+    crossed = crossing.cross_frequent(rows, _CROSSED, least=8)
+    return crossing.crossing_counts(crossed, list(featuremap.crossed_columns(_CROSSED)), 8, "label")
+
+
 # --- encoding and formats -----------------------------------------------------
 
 _MAPPED = {"l_orderkey": "order_id", "l_linenumber": "line_id"}
@@ -477,14 +501,25 @@ def _model_text(spark, folder) -> DataFrame:
     return tree.repartitionByRange(1, "tree").sortWithinPartitions("tree").select(sections.alias("value"))
 
 
-def model_file(spark, folder):
-    """A written model of a hundred trees, read back and walked over all line items."""
+def _written_model(spark, folder):
+    """A model of a hundred trees, written and read back, with rows for it and its inputs."""
     path = new_folder(spark, "model-file")
     text.write_lines(_model_text(spark, folder), path)
     numbered = trees.number_leaves(model.read_model(spark, path), 1000)
     rows = _lineitem(spark, folder).withColumns({f"m{k}": F.col(c) % 50 for k, c in enumerate(["l_partkey", "l_suppkey", "l_orderkey"])})
     inputs = trees.parse_inputs("0:quantity,1:discount,2:tax,3:l_linenumber,4:m0,5:m1,6:m2", rows.columns)
-    leaves = trees.encode_leaves(rows.select(*LINE_KEY, "quantity", "discount", "tax", "m0", "m1", "m2"), numbered, inputs)
+    return rows.select(*LINE_KEY, "quantity", "discount", "tax", "m0", "m1", "m2"), numbered, inputs
+
+
+def model_file(spark, folder):
+    """All line items walked through a model that is sent to the tasks."""
+    leaves = trees.encode_leaves(*_written_model(spark, folder))
+    return leaves.select(*LINE_KEY, F.md5(F.array_join("leaves", ",")).alias("leaves"))
+
+
+def model_exchange(spark, folder):
+    """The same for a model that stays a table: four groups of trees, which the rows meet by an exchange."""
+    leaves = trees.exchange_leaves(*_written_model(spark, folder), group_nodes=25 * 127)
     return leaves.select(*LINE_KEY, F.md5(F.array_join("leaves", ",")).alias("leaves"))
 
 
@@ -503,7 +538,7 @@ def sparse_walk(spark, folder):
         F.when(F.col(name) != 0, F.concat(F.lit(f"{k}:"), F.col(name)))
         for k, name in enumerate(["quantity", "discount", "tax"])
     ]
-    vectors = rows.select(*LINE_KEY, sparse.parse_sparse(F.concat_ws(",", *shown)).alias("features"))
+    vectors = rows.select(*LINE_KEY, F.concat_ws(",", *shown).alias("features"))
     leaves = trees.encode_vector(vectors, trees.number_leaves(nation_model(spark, folder), 1000), "features")
     return leaves.select(*LINE_KEY, F.array_join("leaves", ",").alias("leaves"))
 
@@ -616,14 +651,73 @@ GIVEN_SPEC = {
 }
 
 
+def crossed_map_run(spark, folder):
+    """A run whose crossings get their ids from a map of their own, made of earlier rows; clicks of frequent crossings beside it."""
+    rows = _lineitem(spark, folder).withColumn("year", F.year("l_shipdate"))
+    names = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    early = featuremap.cross(rows.where("year < 1998"), names)
+    path = new_folder(spark, "map")
+    text.write_feature_map(featuremap.build_feature_map(early, indexes=list(featuremap.crossed_columns(names))).entries, path)
+    spec = {
+        "name": "crossed",
+        "partial": [{"name": "rows", "table": "rows", "columns": ["label", *LINE_KEY, "l_returnflag", "l_linestatus"], "type": ["s"] * 7}],
+        "intersect": [
+            {"columns": names, "mapfile": path},
+            {"columns": "l_partkey,l_suppkey", "label": "label", "least": 4},
+        ],
+        "transform": [{"type": "SIMPLE_INDEX", "columns": "l_partkey_x_l_suppkey"}],
+        "format": [{"name": "samples", "pattern": "libsvm"}],
+    }
+    run = prepare(spark, PrepSpec.from_dict(spec), {"rows": rows})
+    counts = run.crossings.select(F.concat_ws(" ", "name", F.replace("value", F.lit(text.EXTRACT_SEPARATOR), F.lit("/")), "pv", "click").alias("value"))
+    return run.samples["samples"].unionByName(counts)
+
+
 def given_map(spark, folder):
-    """All orders encoded with the map of those before 1995; later customers have no id."""
+    """All orders encoded with the map of those before 1998; later customers have no id."""
     spec, orders = PrepSpec.from_dict(GIVEN_SPEC), _orders(spark, folder)
-    first = prepare(spark, spec, {"orders": orders.where("order_year < 1995")})
+    first = prepare(spark, spec, {"orders": orders.where("order_year < 1998")})
     second = prepare(spark, spec, {"orders": orders}, feature_map=first.feature_map.entries)
     return second.encoded.select("o_orderkey", "o_custkey_id", "o_orderpriority_id")
 
 
+def unseen_numbers(spark, folder):
+    """Prices of all orders in the buckets of those before 1998, in both modes; a price of no earlier order takes the bucket it falls into."""
+    orders = _orders(spark, folder).select("o_orderkey", "order_year", F.floor("o_totalprice").alias("price"))
+    early, names, out = orders.where("order_year < 1998"), {"price": "price_id"}, []
+    for mode in featuremap.BUCKET_MODES:
+        fmap = featuremap.build_feature_map(early, [("price", 50)], mode=mode)
+        path = new_folder(spark, "map")
+        text.write_feature_map(fmap.entries, path)
+        held = lookup.add_ids(orders, fmap, names, unseen_numbers=lookup.NEAREST)
+        stored = lookup.add_ids_from(orders, text.read_feature_map(spark, path), names, numbers=["price"], unseen_numbers=lookup.NEAREST)
+        for way, df in (("held", held), ("stored", stored)):
+            out.append(df.select("o_orderkey", "price_id", F.lit(f"{mode} {way}").alias("way")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def carried_map(spark, folder):
+    """The map of orders before 1998 carried on with those since: customers and priorities keep their ids, new customers follow."""
+    orders, columns = _orders(spark, folder).withColumn("price", F.floor(F.col("o_totalprice") / 1000)), ["o_custkey", "o_orderpriority"]
+    counts = [stats.pv_click(orders.where(c), [*columns, "price"], "label") for c in ("order_year < 1998", "order_year >= 1998")]
+    earlier = featuremap.rank_counts(counts[0], [("price", 20)], columns).entries
+    path = new_folder(spark, "map")
+    text.write_feature_map(earlier, path)
+    return carry.carry_forward(text.read_feature_map(spark, path), counts[1], columns, ["price"])
+
+
+def committed_run(spark, folder):
+    """Two runs committed below one folder; what the newest manifest lists is read back."""
+    home, orders = new_folder(spark, "committed"), _orders(spark, folder)
+    for rows in (orders.where("order_year < 1998"), orders):
+        commit_outputs(prepare(spark, PrepSpec.from_dict(GIVEN_SPEC), {"orders": rows}), home)
+    found = read_run(spark, home)
+    pieces = [F.concat_ws(" ", "name", "value", "id"), F.concat_ws(" ", "name", "value", "pv", "click")]
+    named = [found[n].select(F.lit(n).alias("format"), piece.alias("value")) for n, piece in zip(("featuremap", "statistics"), pieces)]
+    named += [found[n].select(F.lit(n).alias("format"), "value") for n in ("ids", "pairs")]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
+
+
 def run_statistics(spark, folder):
     return prepare(spark, PrepSpec.from_dict(GIVEN_SPEC), {"orders": _orders(spark, folder)}).statistics
 
@@ -680,6 +774,8 @@ CATALOGUE: dict[str, Query] = {
     "q26_short_row_counts": short_row_counts,
     "q27_partial_join": partial_join,
     "q28_feature_cross": feature_cross,
+    "q28_frequent_crossings": frequent_crossings,
+    "q28_crossed_map_run": crossed_map_run,
     "q29_train_valid_split": train_valid_split,
     "q30_full_run": full_run,
     "q30_full_run_map": full_run_map,
@@ -689,7 +785,12 @@ CATALOGUE: dict[str, Query] = {
     "q27_chained_partials": chained_partials,
     "q32_map_round_trip": map_round_trip,
     "q33_model_file": model_file,
+    "q33_model_exchange": model_exchange,
     "q34_given_map": given_map,
+    "q34_unseen_numbers": unseen_numbers,
+    "q37_carried_map": carried_map,
+    "q38_committed_run": committed_run,
+    "q02_partitions": partitions_since,
     "q35_run_statistics": run_statistics,
     "q36_several_formats": several_formats,
 }

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from ctrprep.operators.featuremap import BUCKET_MODES, EXACT, crossed_columns
-from ctrprep.operators.lookup import id_column
+from ctrprep.operators.lookup import MISSING, UNSEEN, id_column
 from ctrprep.operators.sampling import Condition, parse_conditions, parse_residues
 from ctrprep.operators.trees import output_names
 from ctrprep.sources.tables import column_union
@@ -21,7 +21,7 @@ SAMPLE_MODES = ("union", "any", "keep_unmatched")
 LIBSVM = "libsvm"
 DEFAULT_CLICK_LABEL = "click"
 # Outputs of a run that no format may be named after.
-RESERVED_OUTPUTS = ("featuremap", "statistics")
+RESERVED_OUTPUTS = ("featuremap", "statistics", "crossings")
 
 # The settings of each block.
 _SETTINGS = {
@@ -29,8 +29,8 @@ _SETTINGS = {
     "partial": "name table columns type convert dtfrom dt_column joint join_type default_values",
     "shrink": "name args",
     "noise": "name columns to value factor",
-    "intersect": "name columns factor fix_bundle",
-    "transform": "name type args columns to label bucket_mode",
+    "intersect": "name columns factor fix_bundle mapfile label least",
+    "transform": "name type args columns to label bucket_mode unseen_numbers",
     "filter": "name inputs outputs output_num offset args",
     "format": "name pattern columns random_column random_ratio sample_index validate_rate on_missing shuffle"
     " duplicate_positives numreduces",
@@ -67,6 +67,7 @@ class Transform:
     buckets: int = 0
     label: str | None = None
     bucket_mode: str = EXACT
+    unseen_numbers: str = MISSING
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,9 @@ class Cross:
     columns: tuple[str, ...]
     factor: int = 2
     bundle: tuple[str, ...] = ()
+    map_file: str | None = None
+    label: str | None = None
+    least: int = 1
 
     def names(self) -> list[str]:
         return list(crossed_columns(self.columns, self.factor, self.bundle))
@@ -161,6 +165,11 @@ class PrepSpec:
     def bucket_mode(self) -> str:
         return next((t.bucket_mode for t in self.transforms if t.kind == INTERVAL_INDEX), EXACT)
 
+    @property
+    def unseen_numbers(self) -> str:
+        """What becomes of numbers that a given map has not seen."""
+        return next((t.unseen_numbers for t in self.transforms if t.kind == INTERVAL_INDEX), MISSING)
+
     @property
     def target(self) -> str | None:
         """Where the run's outputs go, if the configuration says so."""
@@ -180,13 +189,29 @@ class PrepSpec:
         named = {c: to for t in self.transforms for c, to in zip(t.columns, t.to)}
         return {c: named[c] for c in self.row_columns() if c in named}
 
+    @property
+    def map_file_ids(self) -> dict[str, str]:
+        """Id column of every crossing whose ids come from a map of its own."""
+        return {name: id_column(name) for c in self.crosses if c.map_file for name in c.names()}
+
+    @property
+    def feature_ids(self) -> dict[str, str]:
+        """All id columns, in the order of the row's columns."""
+        every = self.id_columns | self.map_file_ids
+        return {c: every[c] for c in self.row_columns() if c in every}
+
+    @property
+    def least_counts(self) -> dict[str, int]:
+        """How often a value of a crossing has to occur to be in the map."""
+        return {name: c.least for c in self.crosses if c.least > 1 for name in c.names()}
+
     def row_columns(self) -> list[str]:
         """Columns before encoding: parts, noise, crossings."""
         return column_union([self.source_columns, [n.to for n in self.noises], *[c.names() for c in self.crosses]])
 
     def all_columns(self) -> list[str]:
         """The full layout of an encoded row."""
-        return [*self.row_columns(), *self.id_columns.values(), *[o for f in self.filters for o in f.outputs]]
+        return [*self.row_columns(), *self.feature_ids.values(), *[o for f in self.filters for o in f.outputs]]
 
     def draws_rows(self) -> bool:
         return any(self.shrinks) or bool(self.noises)
@@ -207,6 +232,8 @@ class PrepSpec:
         modes = {t.bucket_mode for t in self.transforms if t.kind == INTERVAL_INDEX}
         if len(modes) > 1:
             raise ValueError(f"transforms name different bucket modes {sorted(modes)}")
+        if len({t.unseen_numbers for t in self.transforms if t.kind == INTERVAL_INDEX}) > 1:
+            raise ValueError("transforms differ in unseen_numbers")
         labels = {t.label for t in self.transforms if t.label}
         if len(labels) > 1:
             raise ValueError(f"transforms name different labels {sorted(labels)}")
@@ -216,10 +243,14 @@ class PrepSpec:
         _known([c for x in self.crosses for c in (*x.bundle, *x.columns)], rows, "intersect")
         _known([c for t in self.transforms for c in t.columns], rows, "transform")
         _known(labels, rows, "label")
+        _known([c.label for c in self.crosses if c.label], rows, "label of intersect")
         _known(self.key, source, "key")
         encoded = [c for t in self.transforms for c in t.columns]
         if len(set(encoded)) != len(encoded):
             raise ValueError(f"a column is transformed twice in {encoded}")
+        twice = sorted(set(encoded) & set(self.map_file_ids))
+        if twice:
+            raise ValueError(f"crossing(s) {twice} have both a mapfile and a transform")
         layout = self.all_columns()
         if len(set(layout)) != len(layout):
             raise ValueError(f"an output column repeats in {layout}")
@@ -279,7 +310,11 @@ def _noises(config: Mapping) -> list[Noise]:
 
 
 def _cross(config: Mapping) -> Cross:
-    return Cross(_names(config["columns"]), int(config.get("factor", 2)), _names(config.get("fix_bundle", ())))
+    least = int(config.get("least", 1))
+    if least < 1:
+        raise ValueError(f"intersect: least is {least}")
+    columns, bundle = _names(config["columns"]), _names(config.get("fix_bundle", ()))
+    return Cross(columns, int(config.get("factor", 2)), bundle, config.get("mapfile"), config.get("label"), least)
 
 
 def _transform(config: Mapping) -> Transform:
@@ -297,7 +332,10 @@ def _transform(config: Mapping) -> Transform:
     mode = config.get("bucket_mode", EXACT)
     if mode not in BUCKET_MODES:
         raise ValueError(f"bucket_mode {mode!r} is not one of {BUCKET_MODES}")
-    return Transform(kind, columns, to, buckets, config.get("label"), mode)
+    unseen = config.get("unseen_numbers", MISSING)
+    if unseen not in UNSEEN:
+        raise ValueError(f"unseen_numbers {unseen!r} is not one of {UNSEEN}")
+    return Transform(kind, columns, to, buckets, config.get("label"), mode, unseen)
 
 
 def _tree_filter(config: Mapping) -> TreeFilter:

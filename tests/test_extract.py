@@ -277,3 +277,20 @@ def test_parts_with_maps_and_several_keys(spark, monkeypatch):
     assert rows_of(got) == rows_of(expected)
     narrow = right.select(F.col("k").cast("int").alias("k"), "w").where("w = 10")
     assert tables.attach_part(left, narrow, ["k"]).where("w = 10").count() == 2000
+
+
+def test_partitions_are_pruned(spark, tmp_path):
+    """A bound and a fixed value of the partition column reach the scan; files of other partitions are not read."""
+    path = str(tmp_path / "days")
+    spark.range(100).select("id", (F.col("id") % 10 + 20240300).cast("int").alias("dt"), F.lit(0.5).alias("price")).write.partitionBy("dt").parquet(path)
+    days = tables.open_table(spark, path)
+    for chosen, expected in ((tables.since(days, "20240307"), 3), (tables.on(days, "20240302"), 1)):
+        got = tables.extract(chosen, ["id", "price"], ["s", "f"], 10)
+        plan = plan_of(got)
+        assert "PartitionFilters: [isnotnull(dt" in plan and "ReadSchema: struct<id:bigint,price:double>" in plan
+        assert got.count() == 10 * expected
+        scan = got._jdf.queryExecution().executedPlan()
+        got.collect()
+        while scan.children().size():
+            scan = scan.children().apply(0)
+        assert scan.metrics().apply("numPartitions").value() == expected

@@ -228,3 +228,60 @@ def test_wide_models_walk_sparse_vectors(spark):
     got = {r["id"]: r["leaves"] for r in trees.encode_vector(rows, numbered, "v").collect()}
     assert [k for k in range(width) if got[1][k] % 2] == [5, 99_999]
     assert not any(leaf % 2 for leaf in got[2]) and got[2] == got[3]
+
+
+def test_a_model_met_by_exchange_equals_the_shipped_one(spark, monkeypatch):
+    """One tree for each group and several cells; repeated rows, NULL inputs and clashing names; no group's nodes go through the driver."""
+    nodes = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    from ctrprep.plans.queries import nation_model
+
+    numbered = trees.number_leaves(nation_model(spark, "/root/testdata/sf0.001"), 7)
+    rows = spark.range(3000).select(
+        (F.col("id") % 40).alias("row"), (F.col("id") % 9).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("group"), F.lit("x").alias("kind")
+    )
+    inputs = trees.parse_inputs("0:a,1:group,row:4", rows.columns)
+    shipped = rows_of(trees.encode_leaves(rows, numbered, inputs))
+    assert nodes.count() == 25
+    monkeypatch.setattr(trees, "SHIPPED_NODES", 0)
+    monkeypatch.setattr(trees, "GROUP_NODES", 1)
+    monkeypatch.setattr(trees, "_tree_groups", None)
+    got = trees.encode_leaves(rows, numbered, inputs, outputs=25)
+    assert got.columns == [*rows.columns, "leaves"]
+    assert rows_of(got) == shipped
+    assert rows_of(trees.exchange_leaves(rows, numbered, inputs, group_nodes=30, cells=5)) == shipped
+    with pytest.raises(ValueError, match="24 outputs for 25 trees"):
+        trees.encode_leaves(rows, numbered, inputs, outputs=24)
+    with pytest.raises(ValueError, match="no trees"):
+        trees.exchange_leaves(rows, numbered.where("false"), inputs)
+
+
+ODD_TEXTS = [
+    "1:2", "1:2,0:3.5,1:7", "", None, "5:.5,x", "1:2:3", "-3:-4.", "99999999999:1", "7", ":", "1:", ":1", "1:-", "1:1.2.3", "-:1", "1:--1",
+    "3:1,2:2,3:5", " 1 : 2 ", "1:1e3", "1:0x10", "1:NaN", "1:Infinity", "1:5f", "+1:2", "1:+2", "2147483647:1,2147483648:1,-2147483648:2", "1.5:2",
+    "1:16777217", "1:0.1,2:0.30000001192092896", "1:3.4028236e38", "1:" + "9" * 60, "1:0." + "0" * 50 + "1", "0001:1", "00000000000001:1", "1:2,", ",1:2",
+    "-0:1,0:2", "1:1.00000017881393432617187499", "1:1.00000017881393432617187500001", "1:2,1:3,0:9", "é:1", "1\t:2",
+]
+
+
+def test_plain_texts_are_parsed_as_expressions_do(spark):
+    from ctrprep.operators import sparse
+
+    rng = random.Random(8)
+    texts = ODD_TEXTS + ["".join(rng.choice("0123459:.,-:,") for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = rows.select("k", F.map_entries(sparse.parse_sparse(F.col("t"))).alias("m")).collect()
+    expected = rows.select("k", F.map_entries(sparse.parse_any(F.col("t"))).alias("m")).collect()
+    for a, b in zip(sorted(got), sorted(expected)):
+        assert str(a["m"]) == str(b["m"]), texts[a["k"]]
+
+
+def test_walk_over_sparse_text_equals_the_walk_over_maps(spark):
+    from ctrprep.operators import sparse
+    from ctrprep.plans.queries import nation_model
+
+    rng = random.Random(9)
+    texts = ODD_TEXTS + [",".join(f"{rng.randint(0, 4)}:{rng.randint(0, 9)}" for _ in range(rng.randint(0, 5))) for _ in range(500)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("m", sparse.parse_any(F.col("t")))
+    numbered = trees.number_leaves(nation_model(spark, "/root/testdata/sf0.001"), 0)
+    by_text = trees.encode_vector(rows.select("k", "t"), numbered, "t")
+    assert rows_of(by_text, "k", "leaves") == rows_of(trees.encode_vector(rows, numbered, "m"), "k", "leaves")
