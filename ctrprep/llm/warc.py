@@ -1,7 +1,8 @@
 """Web archives of pages, written in deterministic shards and read back.
 
-Records are sorted by page id and cut into shards of about equal bytes, by a histogram over the range of ids: the shards follow
-from the data alone. Each shard is written by one task as files that roll at a compressed size. A file is written under a temporary
+Records are sorted by page id, digest and address and cut into shards of equal bytes: the places of all records, without their
+payloads, are sorted over all partitions, and a shard begins where the running total of bytes passes a multiple of its size. The shards
+follow from the data alone; a crowd of ids, one id with many pages and pages without an id are cut like any others. Each shard is written by one task as files that roll at a compressed size. A file is written under a temporary
 name of its attempt and renamed when complete; headers, record ids and compression depend on the records only, so a repeated attempt
 renames the same bytes to the same name. The manifest, a table that lists the files with their sizes and digests, is committed last:
 an archive without one is not complete, and files that it does not list do not count.
@@ -15,20 +16,26 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ctrprep.llm.components import apart
+from ctrprep.operators.ranking import SEQ, SLOT, broadcast_rows, slot, slot_totals, store_ranked, with_running
+from ctrprep.sources.scratch import store
 
 #: Payloads of fewer bytes are always stored.
 LEAST_REVISITED = 100
 SHARD_BYTES, FILE_BYTES = 64 << 20, 16 << 20
-#: Cells of the histogram over the range of page ids.
-CELLS = 1 << 16
+#: More shards than this become larger instead, since the first place of each is sent to the tasks.
+MOST_SHARDS = 100_000
+#: What a record has besides its payload, about; the columns that records are sorted by.
+_OVERHEAD = 512
+_ORDER = ["page_id", "digest", "url_hash", "salt"]
 #: The size of a row that only says what the page of the same id and digest refers to.
 _NOTE = -1
 DATE = "1970-01-01T00:00:00Z"
@@ -57,35 +64,74 @@ def revisits(rows: DataFrame) -> DataFrame:
     return later.select("page_id", "digest", "refers_to").distinct()
 
 
-def _shards(rows: DataFrame, shard_bytes: int):
-    """The shard of a page id as a function of tables that have one, and the number of shards. No id: the first shard."""
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.coalesce(F.floor((F.col("page_id") - low) / F.lit(width)), F.lit(0)).cast("int")
-    weights = rows.groupBy(cell.alias("cell")).agg(F.sum(F.col("size") + 512).alias("bytes")).orderBy("cell").collect()
-    shards, total = [], 0
-    for w in weights:
-        shards.append((w["cell"], int(total // shard_bytes)))
-        total += w["bytes"]
-    # One row per cell of the histogram at most.
-    table = F.broadcast(rows.sparkSession.createDataFrame(shards, "cell int, shard int"))
-    count = shards[-1][1] + 1 if shards else 1
-    return lambda df: df.withColumn("cell", cell).join(table, "cell").drop("cell"), count
+def _place(page_id, digest: str, url, salt: float) -> tuple:
+    """A record's place in the order of the archive, as it can be compared here; no id and no address come first."""
+    return page_id is not None, page_id or 0, digest, url is not None, url or 0, salt
+
+
+def _cuts(narrow: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The first place of every shard but the first. Shards are cut where the running total of bytes passes a multiple of their size.
+
+    The places are sorted over all partitions and stored; one total for each partition and one place for each shard come to the driver.
+    """
+    ranked = store_ranked(narrow.select(*_ORDER, (F.col("size") + _OVERHEAD).alias("bytes")), _ORDER, "archive-order")
+    totals = with_running(slot_totals(ranked, [], {"bytes": F.sum("bytes")}), "bytes")
+    whole = sum(t["bytes"] for t in totals)
+    size = max(shard_bytes, -(-whole // MOST_SHARDS))
+    before = broadcast_rows(narrow.sparkSession, totals, {SLOT: pa.int64(), "before": pa.int64()})
+    up_to_here = Window.partitionBy(SLOT).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    running = F.sum("bytes").over(up_to_here)
+    placed = ranked.withColumn(SLOT, slot()).withColumn("running", running).join(before, SLOT)
+    shard = F.floor((F.col("before") + F.col("running") - F.col("bytes")) / F.lit(size))
+    firsts = placed.groupBy(shard.alias("shard")).agg(F.min(F.struct(SEQ, *_ORDER)).alias("first")).where("shard > 0")
+    found = sorted((r["shard"], r["first"]) for r in firsts.collect())
+    return [_place(*(first[c] for c in _ORDER)) for _, first in found]
+
+
+def _shard_of(cuts: list[tuple]):
+    """The shard of a record, by its place."""
+
+    @F.arrow_udf("int")
+    def shard(page_id: pa.Array, digest: pa.Array, url: pa.Array, salt: pa.Array) -> pa.Array:
+        places = zip(*(c.to_pylist() for c in (page_id, digest, url, salt)), strict=True)
+        return pa.array([bisect_right(cuts, _place(*p)) for p in places], pa.int32())
+
+    return shard(*_ORDER)
+
+
+def _shards_of(cuts: list[tuple]):
+    """All shards that records of a page id and digest can be in."""
+
+    @F.arrow_udf("array<int>")
+    def shards(page_id: pa.Array, digest: pa.Array) -> pa.Array:
+        out = []
+        for page, code in zip(page_id.to_pylist(), digest.to_pylist(), strict=True):
+            start = _place(page, code, None, 0.0)
+            lo, hi = bisect_right(cuts, start), bisect_right(cuts, (*start[:2], code + "~"))
+            out.append(list(range(lo, hi + 1)))
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return shards("page_id", "digest")
 
 
 def write_archive(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, **columns: str) -> DataFrame:
-    """Write ``pages`` below ``folder`` and return the committed manifest, read again."""
+    """Write ``pages`` below ``folder`` and return the committed manifest, read again.
+
+    Equal rows are told apart by draws in the order of the table, which has to give its rows in the same order when a task runs again,
+    as files do; they only decide where equal records go.
+    """
     spark = pages.sparkSession
     folder = qualified(spark, folder)
-    rows = payloads(pages, **columns).withColumn("refers_to", F.lit(None).cast("long"))
-    with_shard, shards = _shards(rows, shard_bytes)
+    rows = payloads(pages, **columns).withColumns({"url_hash": F.when(F.col("url").isNotNull(), F.xxhash64("url")), "salt": F.rand(7)})
+    narrow = store(rows.select("page_id", "digest", "url_hash", "salt", "size"), "archive-places")
+    cuts = _cuts(narrow, shard_bytes)
     # What a page refers to travels as a row of its own that comes before the page, so payloads are dealt out once, by shard.
-    notes = revisits(rows).withColumn("size", F.lit(_NOTE).cast("long"))
-    every = with_shard(rows.unionByName(notes, allowMissingColumns=True))
-    # Spare partitions keep shards apart.
-    dealt = every.repartition(4 * shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "size", "url")
-    manifest = dealt.select("shard", "page_id", "url", "payload", "digest", "size", "refers_to").mapInArrow(_writer(folder, file_bytes), _FILE_ROW)
+    notes = revisits(narrow).withColumns({"size": F.lit(_NOTE).cast("long"), "shard": F.explode(_shards_of(cuts))})
+    fields = ["shard", "page_id", "url", "payload", "digest", "size", "refers_to", "salt"]
+    each = rows.withColumns({"refers_to": F.lit(None).cast("long"), "shard": _shard_of(cuts)}).select(*fields)
+    every = each.unionByName(notes, allowMissingColumns=True)
+    dealt = every.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "size", "url", "salt")
+    manifest = dealt.select(*fields[:-1]).mapInArrow(_writer(folder, file_bytes), _FILE_ROW)
     manifest.write.mode("error").parquet(f"{folder}/manifest")
     return spark.read.schema(_FILE_ROW).parquet(f"{folder}/manifest")
 

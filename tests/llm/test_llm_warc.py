@@ -77,3 +77,32 @@ def test_an_archive_is_not_overwritten(pages, tmp_path):
 
 def test_no_pages(pages, tmp_path):
     assert archive(pages.where(F.lit(False)), tmp_path / "a").collect() == []
+
+
+@pytest.mark.parametrize("ids", ["far", "one", "null", "equal"])
+def test_shards_are_even(spark, tmp_path, ids):
+    """A far id, one id for all, no ids at all, and equal rows: shards hold about the same bytes, and no task has more than one."""
+    k = F.col("id")
+    page = {"far": F.when(k == 7, F.lit(10**12)).otherwise(k), "one": F.lit(5), "null": F.lit(None), "equal": F.lit(5)}[ids].cast("long")
+    url = F.lit("http://same") if ids == "equal" else F.concat(F.lit("http://e/"), k)
+    html = F.repeat(F.lit("q"), 900) if ids == "equal" else F.concat(k.cast("string"), F.repeat(F.lit("q"), (k % 50 * 30).cast("int")))
+    pages = spark.range(0, 4000, 1, 4).select(page.alias("page_id"), url.alias("url"), html.alias("html"))
+    manifest = warc.write_archive(pages, str(tmp_path / "a"), shard_bytes=200_000).collect()
+    records = {}
+    for r in manifest:
+        records[r.shard] = records.get(r.shard, 0) + r.records - 1
+    got = warc.read_archive(spark, str(tmp_path / "a")).collect()
+    assert sum(records.values()) == len(got) == 4000
+    assert len(records) >= 10 and sorted(records) == list(range(len(records)))
+    assert max(records.values()) <= 2 * 4000 / len(records)
+    if ids == "one":
+        assert {r.record_type for r in got} == {"response"}
+
+
+def test_notes_reach_every_shard_of_a_page(spark, tmp_path):
+    """Many addresses of one page that revisits another stand in several shards; each of them says so."""
+    body = "<p>" + "v" * 3000
+    rows = [(1, "http://first", body)] + [(2, f"http://again/{k}", body) for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = archive(pages, tmp_path / "a", shard_bytes=20_000).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got) == [(1, "response", None)] + [(2, "revisit", 1)] * 200
