@@ -150,13 +150,21 @@ def near_duplicates(
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row.
 
     Vectors that are NULL, zero, empty or hold a NULL or non-finite component link with nothing, nor do rows without an id, which are
-    kept. Vectors of different lengths are not compared. Rows of one id are one vector; only other ids count as links.
+    kept. Vectors of different lengths are not compared. Rows of one id are one vector, of several different ones the shortest and
+    then that of the smallest hash, so that every run takes the same; only other ids count as links.
     """
     source = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0)
     valid = source.where(F.coalesce(usable, F.lit(False)))
     same = [F.xxhash64("embedding").alias("one"), F.xxhash64(F.lit(3), F.col("embedding")).alias("two"), F.size("embedding").alias("size")]
+    version = F.struct("size", "one", "two")
+    several = valid.select("vec_id", *same).groupBy("vec_id").agg(F.min(version).alias("own"), F.max(version).alias("last")).where("own <> last")
+    several = store(several.select(F.col("vec_id").alias("__id"), "own"), "vector-versions")
+    if not several.isEmpty():
+        marked = valid.withColumns({c: e for c, e in zip(("size", "one", "two"), (same[2], same[0], same[1]), strict=True)})
+        chosen = marked.join(several, F.col("vec_id") == F.col("__id"), "left")
+        valid = chosen.where(F.col("own").isNull() | (F.col("own") == version)).select(*valid.columns)
     hashed = valid.select("vec_id", *same)
     firsts = hashed.groupBy("one", "two", "size").agg(F.min("vec_id").alias("first"), F.count_distinct("vec_id").alias("n"))
     firsts = firsts.select(apart("one").alias("key"), "two", "size", "first", "n")

@@ -68,3 +68,19 @@ def test_recall_at_the_threshold():
 
 def test_no_vectors(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_several_vectors_of_one_id(spark):
+    """One of them counts, the same in every run, however the rows are dealt."""
+    near, far = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    rows = [(1, near), (1, far), (1, far), (2, [1.0, 0.0, 0.12]), (3, [0.0, 1.0, 0.02]), (4, [1.0, 0.0]), (4, near)]
+    results = set()
+    for parts in (1, 2, 5, 7):
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(parts)
+        got = embeddings.near_duplicates(table).collect()
+        assert len(got) == len(rows)
+        results.add(tuple(sorted({tuple(r) for r in got})))
+    assert len(results) == 1
+    links = {r[0]: r[1] for r in results.pop()}
+    # The shortest vector of 4 has no partner; 1 has just one of 2 and 3.
+    assert links[4] == 0 and links[1] == 1 and links[2] + links[3] == 1
