@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ctrprep.functions import sparsetext, treewalk
+from ctrprep.functions import treewalk
 from ctrprep.functions.treewalk import NODE_COLUMNS, Trees, as_lists, matrix, walk_groups
 from ctrprep.operators import sparse
 from ctrprep.operators.ranking import store_ranked, with_row_index
@@ -29,7 +29,6 @@ DENSE_CELLS = 4_000_000
 # The walk travels to the Python workers as code, so that they need not have
 # this package on their path.
 cloudpickle.register_pickle_by_value(treewalk)
-cloudpickle.register_pickle_by_value(sparsetext)
 
 
 @dataclass(frozen=True)
@@ -136,18 +135,18 @@ def exchange_leaves(
 
 def encode_vector(df: DataFrame, nodes: DataFrame, vector: str, to: str = "leaves") -> DataFrame:
     """The same for features in one column: an array indexed by feature number, a map
-    from it, or sparse text, which is parsed where the trees are walked."""
+    from it, or sparse text."""
     groups = list(_tree_groups(nodes))
     if not groups:
         raise ValueError("the model has no trees")
-    kind = df.schema[vector].dataType
+    kind, given = df.schema[vector].dataType, df.columns
     if isinstance(kind, T.StringType):
-        # What only expressions can parse is a column of its own: the call takes it twice.
-        df = df.withColumn("__parsed", sparse.parse_any(F.when(~sparse.is_plain(F.col(vector)), F.col(vector))))
-        leaves = [_leaves_of_text(trees, vector, "__parsed") for trees in groups]
-    else:
-        leaves = [_leaves_of_vector(trees, vector, isinstance(kind, T.MapType)) for trees in groups]
-    return df.withColumn(to, leaves[0] if len(leaves) == 1 else F.concat(*leaves)).drop("__parsed")
+        # Parsed by an Arrow UDF of its own, whose lists the walk takes over. The condition always holds; as it is drawn, the optimizer
+        # leaves the column where it is. Moved into the call, its lambda expressions would keep the call from being made in Python.
+        df, vector = df.withColumn("__vector", F.when(F.rand(0) >= 0, sparse.parse_sparse(F.col(vector)))), "__vector"
+    leaves = [_leaves_of_vector(trees, vector, not isinstance(kind, T.ArrayType)) for trees in groups]
+    walked = df.withColumn("__walked", leaves[0] if len(leaves) == 1 else F.concat(*leaves))
+    return walked.select(*[c for c in given if c != to], F.col("__walked").alias(to))
 
 
 def leaf_columns(df: DataFrame, outputs: Sequence[str], leaves: str = "leaves") -> DataFrame:
@@ -216,23 +215,6 @@ def _leaves_of_vector(trees: Trees, vector: str, is_map: bool) -> Column:
     return walk(numbers.cast("array<bigint>"), values.cast("array<float>"))
 
 
-def _leaves_of_text(trees: Trees, vector: str, parsed: str) -> Column:
-    """The walk over sparse text.  Texts of digits, signs and separators only are parsed in the walk itself; what a
-    cast makes of other ones comes as the map ``parsed``."""
-    rows_at_once = max(1, DENSE_CELLS // len(trees.features))
-
-    @F.arrow_udf("array<int>")
-    def walk(texts: pa.Array, numbers: pa.Array, values: pa.Array) -> pa.Array:
-        parts = [
-            trees.walk_texts(*(column.slice(at, rows_at_once) for column in (texts, numbers, values)))
-            for at in range(0, len(texts), rows_at_once)
-        ]
-        return as_lists(np.concatenate([np.empty((0, len(trees.roots)), np.int32), *parts]))
-
-    numbers, values = F.map_keys(parsed).cast("array<bigint>"), F.map_values(parsed).cast("array<float>")
-    return walk(F.when(sparse.is_plain(F.col(vector)), F.col(vector)), numbers, values)
-
-
 def _leaves_of(trees: Trees, inputs: Sequence[TreeInput]) -> Column:
     """The walk as an Arrow UDF: lambda expressions would interpret every step of
     every row, and the same trees as nested ``IF`` outgrow the code generator."""

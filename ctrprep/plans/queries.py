@@ -538,7 +538,7 @@ def sparse_walk(spark, folder):
         F.when(F.col(name) != 0, F.concat(F.lit(f"{k}:"), F.col(name)))
         for k, name in enumerate(["quantity", "discount", "tax"])
     ]
-    vectors = rows.select(*LINE_KEY, F.concat_ws(",", *shown).alias("features"))
+    vectors = rows.select(*LINE_KEY, sparse.parse_any(F.concat_ws(",", *shown)).alias("features"))
     leaves = trees.encode_vector(vectors, trees.number_leaves(nation_model(spark, folder), 1000), "features")
     return leaves.select(*LINE_KEY, F.array_join("leaves", ",").alias("leaves"))
 
