@@ -273,15 +273,3 @@ def test_plain_texts_are_parsed_as_expressions_do(spark):
     expected = rows.select("k", F.map_entries(sparse.parse_any(F.col("t"))).alias("m")).collect()
     for a, b in zip(sorted(got), sorted(expected)):
         assert str(a["m"]) == str(b["m"]), texts[a["k"]]
-
-
-def test_walk_over_sparse_text_equals_the_walk_over_maps(spark):
-    from ctrprep.operators import sparse
-    from ctrprep.plans.queries import nation_model
-
-    rng = random.Random(9)
-    texts = ODD_TEXTS + [",".join(f"{rng.randint(0, 4)}:{rng.randint(0, 9)}" for _ in range(rng.randint(0, 5))) for _ in range(500)]
-    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("m", sparse.parse_any(F.col("t"))).cache()
-    numbered = trees.number_leaves(nation_model(spark, "/root/testdata/sf0.001"), 0)
-    by_text = trees.encode_vector(rows.select("k", "t"), numbered, "t")
-    assert rows_of(by_text, "k", "leaves") == rows_of(trees.encode_vector(rows, numbered, "m"), "k", "leaves")
