@@ -8,6 +8,7 @@ and, per state, a bit for every pattern that ends there.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -162,8 +163,9 @@ class Automaton:
         """The state behind every byte of ``data``, read from the first state on.
 
         The text is cut into lanes that are read side by side, one array step per position. A lane starts in
-        the state reached from ``warm_up`` bytes before it; lanes for which that was not the state in which the
-        lane before ended are read again from the true one, until all agree.
+        the state reached from ``warm_up`` bytes before it. Where that was not the state in which the lane before
+        ended, true starts follow from where all lanes end from that state, computed once for each such state;
+        lanes with another start than guessed are then read again, together.
         """
         classes = self.byte_class[data]
         n = len(classes)
@@ -177,20 +179,42 @@ class Automaton:
         start = np.zeros(lanes, np.int32)
         for k in range(warm_up):
             start[1:] = self.step(start[1:], padded[k + lane :: lane][: lanes - 1])
-        redo = np.arange(lanes)
-        while len(redo):
-            state, whole = start[redo], len(redo) == lanes
-            for k in range(lane):
-                state = self.step(state, grid[k] if whole else grid[k, redo])
-                if whole:
-                    out[k] = state
-                else:
-                    out[k, redo] = state
-            wrong = np.flatnonzero(out[-1, :-1] != start[1:]) + 1
-            start[wrong] = out[-1, wrong - 1]
-            redo = wrong
+        self._read(grid, start, np.arange(lanes), out)
+        true = self._lane_starts(grid, start, out[-1])
+        wrong = np.flatnonzero(true != start)
+        if len(wrong):
+            self._read(grid, true, wrong, out)
         return out.T.reshape(-1)[:n]
 
+    def _read(self, grid: np.ndarray, start: np.ndarray, which: np.ndarray, out: np.ndarray) -> None:
+        """Fill the columns ``which`` of ``out`` with the states behind each place of those lanes."""
+        state, every = start[which], len(which) == grid.shape[1]
+        for k in range(len(grid)):
+            state = self.step(state, grid[k] if every else grid[k, which])
+            if every:
+                out[k] = state
+            else:
+                out[k, which] = state
+
+    def _lane_starts(self, grid: np.ndarray, guess: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The state in which each lane starts, given where each ends from a guessed start."""
+        true, ends = guess.copy(), {}
+        for k in np.flatnonzero(end[:-1] != guess[1:]).tolist():
+            # Lanes up to here are settled if an earlier correction ran past them or died out.
+            at = k + 1
+            state = end[k] if true[k] == guess[k] else ends[int(true[k])][k]
+            while at < len(true) and state != true[at]:
+                true[at] = state
+                known = int(state)
+                if known not in ends:
+                    reached = np.full(len(true), known, np.int32)
+                    for row in grid:
+                        reached = self.step(reached, row)
+                    ends[known] = reached
+                state = end[at] if known == guess[at] else ends[known][at]
+                at += 1
+        return true
+
 
 def compile_patterns(nodes: list[Node], anchored: bool = False) -> Automaton:
     """One automaton for all patterns, each found anywhere (or only from the first byte on, if ``anchored``)."""
@@ -207,25 +231,42 @@ def compile_patterns(nodes: list[Node], anchored: bool = False) -> Automaton:
         byte_class[b] = of_byte.setdefault(tuple(b in s for s in sets), len(of_byte))
     examples = [int(np.flatnonzero(byte_class == c)[0]) for c in range(len(of_byte))]
 
-    begin = graph.closure({root})
+    # Sets of states are bits of a number.
+    closed = [sum(1 << t for t in graph.closure({s})) for s in range(len(graph.empty))]
+    after = [[_union(closed[t] for m, t in moves if byte in m) for byte in examples] for moves in graph.moves]
+    begin = closed[root]
     numbers, rows, todo = {begin: 0}, [], [begin]
     for states in todo:
-        row = []
-        for byte in examples:
-            reached = {t for s in states for m, t in graph.moves[s] if byte in m}
-            after = graph.closure(reached) if anchored else graph.closure(reached) | begin
-            if after not in numbers:
-                numbers[after] = len(numbers)
-                todo.append(after)
-            row.append(numbers[after])
-        rows.append(row)
+        row = [0 if anchored else begin] * len(examples)
+        for s in _bits(states):
+            if graph.moves[s]:
+                row = [a | b for a, b in zip(row, after[s], strict=True)]
+        for a in row:
+            if a not in numbers:
+                numbers[a] = len(numbers)
+                todo.append(a)
+        rows.append([numbers[a] for a in row])
     table = np.array(rows, np.int32)
-    accepts = np.array([sum(1 << k for k, e in enumerate(ends) if e in states) for states in todo], np.int64)
+    accepts = np.array([sum(1 << k for k, e in enumerate(ends) if states >> e & 1) for states in todo], np.int64)
     table, accepts = _minimised(table, accepts)
     loops = np.flatnonzero((table == np.arange(len(table))[:, None]).all(axis=1) & (accepts == 0))
     return Automaton(table.reshape(-1), byte_class, len(examples), accepts, int(loops[0]) if len(loops) else -1)
 
 
+def _union(sets: Iterable[int]) -> int:
+    out = 0
+    for x in sets:
+        out |= x
+    return out
+
+
+def _bits(states: int) -> Iterator[int]:
+    while states:
+        low = states & -states
+        yield low.bit_length() - 1
+        states ^= low
+
+
 def _minimised(table: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """States that no text tells apart become one; the first state stays number 0."""
     block = np.unique(accepts, return_inverse=True)[1].reshape(-1)

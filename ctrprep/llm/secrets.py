@@ -1,11 +1,10 @@
 """Secrets in text, all rules in one pass over the bytes.
 
-Each rule has a head, a pattern of bounded variety that every match begins with, and a tail. All heads are
-compiled together into one minimal deterministic automaton. Scanning gives, for each byte, the heads that end
-there. At such a place the rule's reversed head is walked back to the leftmost start, and the whole rule is
-followed forward as far as it matches. (Whole rules in the common automaton multiply its states: each open-ended
-run can be on or off at any time.) Matches of a rule do not overlap and are taken from left to right; what fails a
-rule's size afterwards is dropped, with its text used up.
+All rules, whole, are compiled together into one minimal deterministic automaton. Scanning gives, for each byte, the
+rules of which a match ends there. From the first such byte behind the match before, the rule's reversed pattern is walked back
+to the leftmost start; the match ends where these bytes cease to follow each other. Matches of a rule do not overlap
+and are taken from left to right; what fails a rule's size afterwards is dropped, with its text used up. Each byte is walked a
+fixed number of times, however rules' beginnings nest.
 """
 
 from __future__ import annotations
@@ -26,11 +25,14 @@ from ctrprep.llm.wordhash import text_blocks
 
 @dataclass(frozen=True)
 class Rule:
-    """A match is ``head`` and then as much of ``tail`` as there is; ``keep`` decides on its bytes whether it is reported."""
+    """A pattern, and ``keep``, which decides on a match's bytes whether it is reported.
+
+    Matches from one start have to end at places that follow each other, so that the longest ends with the last, no match may
+    lie within one that starts earlier and can only end later, and none may hold a line feed.
+    """
 
     kind: str
-    head: str
-    tail: str = ""
+    pattern: str
     keep: Callable[[bytes], bool] = lambda match: True
     any_case: bool = False
 
@@ -48,66 +50,59 @@ def _assigned(match: bytes) -> bool:
 
 #: The first three are what every report counts; the others are further formats of well-known issuers.
 BASE_RULES = (
-    Rule(
-        "assign",
-        r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=\-]""",
-        r"[A-Za-z0-9+/_.=\-]*",
-        _assigned,
-        True,
-    ),
-    Rule("access", r"AKIA[A-Z0-9]", r"[A-Z0-9]*", _at_least(20)),
-    Rule("hex", r"[0-9a-f]{8}", r"[0-9a-f]*", _at_least(24)),
+    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=\-]+""", _assigned, True),
+    Rule("access", r"AKIA[A-Z0-9]+", _at_least(20)),
+    Rule("hex", r"[0-9a-f]{8,}", _at_least(24)),
 )
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN ", r"[A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_\-]", r"[A-Za-z0-9_\-]*\.eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+", _at_least(40)),
-    Rule("code_host", r"gh[oprsu]_", r"[A-Za-z0-9]+", _at_least(40)),
-    Rule("chat", r"xox[abprs]-", r"[A-Za-z0-9\-]+", _at_least(20)),
-    Rule("payment", r"[rs]k_live_", r"[A-Za-z0-9]+", _at_least(24)),
-    Rule("cloud_key", r"AIza", r"[A-Za-z0-9_\-]+", _at_least(39)),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("web_token", r"eyJ[A-Za-z0-9_\-]+\.eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+", _at_least(40)),
+    Rule("code_host", r"gh[oprsu]_[A-Za-z0-9]+", _at_least(40)),
+    Rule("chat", r"xox[abprs]-[A-Za-z0-9\-]+", _at_least(20)),
+    Rule("payment", r"[rs]k_live_[A-Za-z0-9]+", _at_least(24)),
+    Rule("cloud_key", r"AIza[A-Za-z0-9_\-]+", _at_least(39)),
 )
 RULES = BASE_RULES + MORE_RULES
 SPANS = "array<struct<start: bigint, rank: int, end: bigint, kind: string>>"
 
 
 class Scanner:
-    """The rules as automata."""
+    """The rules as automata: all together, and each alone, forwards to be taken up behind a match and backwards for starts."""
 
     def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
-        def tree(rule: Rule, pattern: str):
-            return either_case(parse(pattern)) if rule.any_case else parse(pattern)
-
-        heads = [tree(r, r.head) for r in rules]
+        trees = [either_case(parse(r.pattern)) if r.any_case else parse(r.pattern) for r in rules]
         self.rules = rules
-        self.together = compile_patterns(heads)
-        self.back = [compile_patterns([reverse(n)], anchored=True) for n in heads]
-        self.whole = [compile_patterns([tree(r, r.head + r.tail)], anchored=True) for r in rules]
+        self.together = compile_patterns(trees)
+        self.alone = [compile_patterns([n]) for n in trees]
+        self.back = [compile_patterns([reverse(n)], anchored=True) for n in trees]
 
     def spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, start, end, rule) in bytes of their rows, for rows that are joined by one line feed."""
         ends = self.together.accepts[self.together.scan(data)]
         hit = np.flatnonzero(ends)
+        bits = ends[hit]
         found: list[tuple[int, int, int, int]] = []
-        if not len(hit):
-            return found
-        bits, rows = ends[hit], np.searchsorted(offsets, hit, side="right") - 1
         for k, rule in enumerate(self.rules):
-            of_rule = np.flatnonzero(bits & (1 << k))
-            if not len(of_rule):
-                continue
-            row, used = -1, 0
-            for place, r in zip(hit[of_rule].tolist(), rows[of_rule].tolist(), strict=True):
-                if r != row:
-                    row, used = r, int(offsets[r])
-                if place < used:
-                    continue
+            places = hit[bits & (1 << k) > 0]
+            firsts = np.append(True, places[1:] != places[:-1] + 1) if len(places) else np.empty(0, bool)
+            begins, lasts = places[firsts], places[np.append(firsts[1:], True)] if len(places) else places
+            run, used = 0, 0
+            while run < len(begins):
+                row = int(np.searchsorted(offsets, begins[run], side="right")) - 1
+                used, high = max(used, int(offsets[row])), int(offsets[row + 1])
+                place = max(used, int(begins[run]))
                 start = _leftmost(self.back[k], data, used, place + 1)
-                end = None if start is None else _longest(self.whole[k], data, start, int(offsets[r + 1]))
-                if end is None:
-                    continue
-                used = end
-                if rule.keep(data[start:end].tobytes()):
-                    found.append((r, start - int(offsets[r]), end - int(offsets[r]), k))
+                if start is None:
+                    # The match that ends here began before ``used``; the rule alone tells the first that did not.
+                    place = _first_end(self.alone[k], data, used, high)
+                    start = None if place is None else _leftmost(self.back[k], data, used, place + 1)
+                if start is None:
+                    used = high
+                else:
+                    used = int(lasts[np.searchsorted(lasts, place)]) + 1
+                    if rule.keep(data[start:used].tobytes()):
+                        found.append((row, start - int(offsets[row]), used - int(offsets[row]), k))
+                run = int(np.searchsorted(lasts, used))
         return found
 
 
@@ -124,16 +119,14 @@ def _leftmost(back: Automaton, data: np.ndarray, low: int, end: int) -> int | No
     return best
 
 
-def _longest(whole: Automaton, data: np.ndarray, start: int, high: int) -> int | None:
-    """The largest end of a match that starts at ``start`` and ends by ``high``."""
-    state, best = 0, None
-    for at in range(start, high):
-        state = int(whole.table[state * whole.classes + whole.byte_class[data[at]]])
-        if state == whole.dead:
-            break
-        if whole.accepts[state]:
-            best = at + 1
-    return best
+def _first_end(alone: Automaton, data: np.ndarray, low: int, high: int) -> int | None:
+    """The last byte of the match that ends first of those within ``low`` and ``high``."""
+    state = 0
+    for at in range(low, high):
+        state = int(alone.table[state * alone.classes + alone.byte_class[data[at]]])
+        if alone.accepts[state]:
+            return at
+    return None
 
 
 @cache

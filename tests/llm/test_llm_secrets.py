@@ -1,19 +1,30 @@
+import hashlib
 import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
 
 from ctrprep.llm.automaton import compile_patterns, parse
-from ctrprep.llm.secrets import BASE_RULES, Scanner, code_point, find_secrets, span_report
+from ctrprep.llm.queries import QUERIES
+from ctrprep.llm.secrets import BASE_RULES, _scanner, code_point, find_secrets, span_report
 from ctrprep.llm.wordhash import text_blocks
 
 PLAIN = {
     "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": "AKIA[A-Z0-9]+",
     "hex": "[0-9a-f]+",
+    "private_key": "-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "web_token": r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+",
+    "code_host": "gh[oprsu]_[A-Za-z0-9]+",
+    "chat": "xox[abprs]-[A-Za-z0-9-]+",
+    "payment": "[rs]k_live_[A-Za-z0-9]+",
+    "cloud_key": "AIza[A-Za-z0-9_-]+",
 }
+LEAST = {"assign": 6, "access": 20, "hex": 24, "private_key": 1, "web_token": 40, "code_host": 40, "chat": 20, "payment": 24, "cloud_key": 39}
 PARTS = ["password", "PassWd", "secret", "token", "api_key", "apikey", "=", ":", " ", '"', "'", "AKIA", "AKIAQQ", "Q7", "0f", "deadbeef", "é", "\n", ".", "-", "12345678"]
+FURTHER = ["eyJ", "eyJaB", ".", ".eyJ", "x" * 15, "ghp_", "gho_", "xoxb-", "xoxp-12", "sk_live_", "AIza", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", " ", "token=", "é", "_", "-", "Q1" * 12, "\n"]
 
 
 def plain_spans(text):
@@ -21,28 +32,65 @@ def plain_spans(text):
     for rank, (kind, pattern) in enumerate(PLAIN.items()):
         for m in re.finditer(pattern, text):
             size = len(m[1]) if kind == "assign" else len(m[0])
-            if size >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+            if size >= LEAST[kind]:
                 out.append((m.start(), rank, m.end()))
     return sorted(out)
 
 
-def test_base_spans_equal_plain_patterns():
-    rng, scanner = random.Random(5), Scanner()
+def test_spans_equal_plain_patterns():
+    rng, scanner = random.Random(5), _scanner()
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(8000)]
+    texts += ["".join(rng.choice(FURTHER) for _ in range(rng.randint(0, 40))) for _ in range(8000)]
     texts += ["a" * 70000, "token=" + "A" * 5000 + " ", "AKIA" * 2000, "token: " * 3000]
     for first, last, data, offsets in text_blocks(pa.array(texts)):
         rows = [[] for _ in range(last - first)]
         for r, start, end, rule in scanner.spans(data, offsets):
-            if rule < 3:
-                own = data[offsets[r] : offsets[r + 1]]
-                rows[r].append((code_point(own, start), rule, code_point(own, end)))
+            own = data[offsets[r] : offsets[r + 1]]
+            rows[r].append((code_point(own, start), rule, code_point(own, end)))
         for k, spans in enumerate(rows):
             assert sorted(spans) == plain_spans(texts[first + k])
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "password" + " " * 1_000_000 + "=abcdef",
+        "eyJ" * 10_000 + "\n" + "eyJaB." * 100_000,
+        "password:secret:" + "A" * 900_000,
+        "eyJa.eyJb.eyJc." + "d" * 900_000,
+        ("AKIA" + "0f" * 400 + " ") * 1000,
+    ],
+)
+def test_hard_texts_stay_linear(text):
+    """Walking again from every beginning would take hours."""
+    scanner, begun = _scanner(), time.monotonic()
+    (_, _, data, offsets), *_ = text_blocks(pa.array([text]))
+    got = sorted((start, rule, end) for _, start, end, rule in scanner.spans(data, offsets))
+    assert time.monotonic() - begun < 60
+    assert got == plain_spans(text)
+
+
+def test_query_equals_plain_patterns(spark, small):
+    """Counts, digest and spans of the registered query against the patterns as written."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()}
+    kinds = list(PLAIN)
+    rows = QUERIES["op2_secrets"](spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = [(kinds[rank], start, end) for start, rank, end in plain_spans(texts[r.doc_id])]
+        base = [s for s in spans if s[0] in kinds[:3]]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[0] == k for s in base) for k in kinds[:3]]
+        assert r.base_sha256 == hashlib.sha256(written(base).encode()).hexdigest()
+        assert r.spans == written(spans)
+
+
+def written(spans):
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
 def test_lanes_agree_with_one_state_after_another():
     automaton = compile_patterns([parse(r"ab{2,3}c"), parse(r"[0-9]{5}")])
-    for first, _, data, _ in text_blocks(pa.array(["abbc12345" * 300, "1" * 2000])):
+    for first, _, data, _ in text_blocks(pa.array(["abbc12345" * 300, "1" * 2000 + "abb" + "1" * 999 + "abbbc" * 99])):
         assert first == 0
         state, expected = 0, []
         for byte in data.tolist():
