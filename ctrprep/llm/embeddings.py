@@ -5,6 +5,8 @@ in double precision. The number of planes per table grows with the logarithm of
 and the number of tables is what a pair right at the threshold needs to meet in one of them with probability ``RECALL``.
 
 Equal vectors are one node with a multiplicity. Large buckets are cut into blocks and every pair of blocks is a group of its own.
+Into the groups go ids and packed signs first. Two vectors that differ in more signs than ``CERTAIN`` standard deviations allow at the
+threshold are ruled out, and so are pairs that met in an earlier table; only vectors with a partner left are then sent themselves.
 A group reports sums and spanning trees, never pairs; a pair is counted in the first table it meets in.
 """
 
@@ -26,11 +28,15 @@ COSINE, RECALL = 0.95, 0.999
 #: Vectors in a bucket that the number of planes aims at, and vectors on either side of a block.
 BUCKET, BLOCK = 8, 1024
 FEWEST_PLANES, MOST_PLANES = 8, 30
+#: Standard deviations by which the number of differing signs may exceed the one to expect at the threshold.
+CERTAIN = 8
 SEED = 97
 
 
 def table_plan(vectors: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """Planes per table and tables for so many vectors."""
+    """Planes per table and tables for so many vectors; no planes and one table, where all meet, for a recall of 1."""
+    if recall >= 1:
+        return 0, 1
     planes = min(MOST_PLANES, max(FEWEST_PLANES, math.ceil(math.log2(max(1, vectors) / BUCKET))))
     meets = (1 - math.acos(cosine) / math.pi) ** planes
     return planes, math.ceil(math.log(1 - recall) / math.log(1 - meets))
@@ -40,10 +46,25 @@ def _planes(size: int, planes: int, tables: int) -> np.ndarray:
     return np.random.default_rng([SEED, size]).normal(size=(size, tables * planes))
 
 
-def codes(vectors: np.ndarray, planes: int, tables: int) -> np.ndarray:
-    """The code of each vector in each table."""
-    signs = (vectors @ _planes(vectors.shape[1], planes, tables) > 0).reshape(len(vectors), tables, planes)
-    return signs @ (1 << np.arange(planes, dtype=np.int64))
+def most_different(signs: int, cosine: float = COSINE) -> int:
+    """The number of differing signs, of so many, up to which two vectors can reach the cosine."""
+    share = math.acos(cosine) / math.pi
+    return min(signs, math.ceil(signs * share + CERTAIN * math.sqrt(signs * share * (1 - share))))
+
+
+def signs_of(vectors: np.ndarray, planes: int, tables: int) -> np.ndarray:
+    """One row of signs for each vector, table after table."""
+    return vectors @ _planes(vectors.shape[1], planes, tables) > 0
+
+
+def codes(signs: np.ndarray, planes: int, tables: int) -> np.ndarray:
+    """The code of each row of signs in each table."""
+    return signs.reshape(len(signs), tables, planes) @ (1 << np.arange(planes, dtype=np.int64))
+
+
+def _unpacked(packed: pa.Array, signs: int) -> np.ndarray:
+    joined = np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(len(packed), -1)
+    return np.unpackbits(joined, axis=1, count=signs).astype(bool)
 
 
 def _coded(planes: int, tables: int):
@@ -53,12 +74,59 @@ def _coded(planes: int, tables: int):
                 part = batch.filter(pa.array(batch["size"].to_numpy() == size))
                 body = part["embedding"].flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
                 body = body / np.abs(body).max(axis=1, keepdims=True)
-                code = codes(body, planes, tables)
-                ends = pa.array(np.arange(len(code) + 1, dtype=np.int32) * tables)
+                signs = signs_of(body, planes, tables)
+                ends = pa.array(np.arange(len(signs) + 1, dtype=np.int32) * tables)
                 salt = mix((np.arange(tables) + tables * int(size)).astype(np.uint64))
-                key = mix(code.astype(np.uint64) + salt).view(np.int64)
-                lists = [pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1))) for x in (code.astype(np.int32), key)]
-                yield pa.RecordBatch.from_arrays([part["vec_id"], part["n"], part["embedding"], *lists], names=["vec_id", "n", "embedding", "codes", "keys"])
+                key = mix(codes(signs, planes, tables).astype(np.uint64) + salt).view(np.int64)
+                packed = pa.array([row.tobytes() for row in np.packbits(signs, axis=1)], pa.binary())
+                keys = pa.ListArray.from_arrays(ends, pa.array(key.reshape(-1)))
+                yield pa.RecordBatch.from_arrays(
+                    [part["vec_id"], part["n"], part["embedding"], packed, keys], names=["vec_id", "n", "embedding", "signs", "keys"]
+                )
+
+    return run
+
+
+def _first_met(signs: np.ndarray, a: np.ndarray, b: np.ndarray, table: int, planes: int, tables: int) -> np.ndarray:
+    """Whether the vectors of each pair of rows have no bucket before ``table`` in common."""
+    code = codes(signs, planes, tables)
+    new = np.ones(len(a), bool)
+    for t in range(table):
+        new &= code[a, t] != code[b, t]
+    return new
+
+
+def _sides(group: pa.RecordBatch) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether a block meets itself, and which rows stand on either side."""
+    own = group["i"][0].as_py() == group["j"][0].as_py()
+    every = np.ones(group.num_rows, bool)
+    first = every if own else group["first"].to_numpy(zero_copy_only=False)
+    return own, np.flatnonzero(first), np.flatnonzero(every if own else ~first)
+
+
+_PLACE = ["key", "position", "i", "j", "first", "vec_id"]
+
+
+def _likely(planes: int, tables: int, most: int):
+    """The rows of each group that have a partner left there, judged by signs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ("key", "i", "j")):
+            own, one, other = _sides(group)
+            if group.num_rows < 2 or not len(one) or not len(other):
+                continue
+            signs = _unpacked(group["signs"], planes * tables)
+            sides = signs.astype(np.float32) * 2 - 1
+            near = sides[one] @ sides[other].T >= planes * tables - 2 * most
+            if own:
+                near = np.triu(near, 1)
+            rows, cols = np.nonzero(near)
+            a, b = one[rows], other[cols]
+            new = _first_met(signs, a, b, int(group["position"][0].as_py()), planes, tables)
+            use = np.zeros(group.num_rows, bool)
+            use[a[new]] = use[b[new]] = True
+            if use.any():
+                yield group.filter(pa.array(use)).select(_PLACE)
 
     return run
 
@@ -83,13 +151,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterat
         yield pa.concat_batches(held)
 
 
-def _linked(cosine: float):
+def _linked(cosine: float, planes: int, tables: int):
     """Each row's number of links within its group, weighted by multiplicity, and the smallest row it is joined to there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for group in _grouped(batches, ("key", "i", "j")):
-            found = _group_links(group, cosine)
+            found = _group_links(group, cosine, planes, tables)
             if found is not None:
                 out.append(found)
             if len(out) >= 500:
@@ -106,29 +174,22 @@ def _batch(parts: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["vec_id", "links", "root"])
 
 
-def _group_links(group: pa.RecordBatch, cosine: float):
-    if group.num_rows < 2:
+def _group_links(group: pa.RecordBatch, cosine: float, planes: int, tables: int):
+    own, one, other = _sides(group)
+    if group.num_rows < 2 or not len(one) or not len(other):
         return None
-    vec, n, table = group["vec_id"].to_numpy(), group["n"].to_numpy(), int(group["position"][0].as_py())
+    vec, n = group["vec_id"].to_numpy(), group["n"].to_numpy()
     body = group["embedding"].flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vec), -1)
     body = body / np.abs(body).max(axis=1, keepdims=True)
     body = body / np.sqrt((body * body).sum(axis=1, keepdims=True))
-    own = group["i"][0].as_py() == group["j"][0].as_py()
-    first = np.ones(len(vec), bool) if own else group["first"].to_numpy(zero_copy_only=False)
-    other = np.ones(len(vec), bool) if own else ~first
-    if not first.any() or not other.any():
-        return None
-    near = body[first] @ body[other].T >= cosine
+    near = body[one] @ body[other].T >= cosine
     if own:
         np.fill_diagonal(near, False)
     rows, cols = np.nonzero(near)
     if not len(rows):
         return None
-    code = group["codes"].flatten().to_numpy(zero_copy_only=False).reshape(len(vec), -1)
-    a, b = np.flatnonzero(first)[rows], np.flatnonzero(other)[cols]
-    new = np.ones(len(a), bool)
-    for t in range(table):
-        new &= code[a, t] != code[b, t]
+    a, b = one[rows], other[cols]
+    new = _first_met(_unpacked(group["signs"], planes * tables), a, b, int(group["position"][0].as_py()), planes, tables)
     links = np.bincount(a[new], n[b[new]], minlength=len(vec))
     if not own:
         links += np.bincount(b[new], n[a[new]], minlength=len(vec))
@@ -151,7 +212,8 @@ def near_duplicates(
 
     Vectors that are NULL, zero, empty or hold a NULL or non-finite component link with nothing, nor do rows without an id, which are
     kept. Vectors of different lengths are not compared. Rows of one id are one vector, of several different ones the shortest and
-    then that of the smallest hash, so that every run takes the same; only other ids count as links.
+    then that of the smallest hash, so that every run takes the same; only other ids count as links. With a ``recall`` of 1 all
+    vectors of a length meet, block by block: exact, but quadratic, and meant for samples.
     """
     source = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -175,7 +237,7 @@ def near_duplicates(
 
     body = valid.select("vec_id", "embedding", F.size("embedding").alias("size")).dropDuplicates(["vec_id", "size"]).join(nodes, "vec_id")
     kind = valid.schema["embedding"].dataType.simpleString()
-    schema = f"vec_id bigint, n bigint, embedding {kind}, codes array<int>, keys array<bigint>"
+    schema = f"vec_id bigint, n bigint, embedding {kind}, signs binary, keys array<bigint>"
     coded = store(body.select("vec_id", "n", "size", "embedding").mapInArrow(_coded(planes, tables), schema), "vector-codes")
 
     places = coded.select("vec_id", F.posexplode("keys").alias("position", "key"))
@@ -183,15 +245,19 @@ def near_duplicates(
     counts = counts.select(apart("key").alias("apart"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     shared = places.withColumn("apart", apart("key")).join(counts, "apart")
     lists = shared.groupBy("vec_id").agg(F.collect_list(F.struct("position", "key", "blocks")).alias("places"))
-    each = coded.select("vec_id", "n", "embedding", "codes").join(lists, "vec_id").withColumn("place", F.explode("places"))
+    each = coded.select("vec_id", "signs").join(lists, "vec_id").withColumn("place", F.explode("places"))
     block = F.pmod(F.xxhash64("vec_id"), F.col("place.blocks")).cast("int")
-    each = each.select("vec_id", "n", "embedding", "codes", "place.*", block.alias("block"))
+    each = each.select("vec_id", "signs", "place.*", block.alias("block"))
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "position", "vec_id", "n", "embedding", "codes",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("first"),
+        "key", F.col("position").cast("int").alias("position"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") <= F.col("other")).alias("first"), "vec_id", "signs",
     )
     groups = each.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = store(groups.mapInArrow(_linked(cosine), "vec_id bigint, links bigint, root bigint"), "vector-links")
+    place = "key bigint, position int, i int, j int, first boolean, vec_id bigint"
+    likely = store(groups.mapInArrow(_likely(planes, tables, most_different(planes * tables, cosine)), place), "vector-places")
+    sent = likely.join(coded.select("vec_id", "n", "embedding", "signs"), "vec_id")
+    sent = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = store(sent.mapInArrow(_linked(cosine, planes, tables), "vec_id bigint, links bigint, root bigint"), "vector-links")
 
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.where("root <> vec_id").select(F.col("vec_id").alias("a"), F.col("root").alias("b"))

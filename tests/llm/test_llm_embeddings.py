@@ -45,15 +45,16 @@ def vectors():
     return rows + [(None, rows[0][1]), rows[3], (n + 50, [1.0, 2.0]), (n + 51, [1.0, 2.0])]
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_links_equal_all_pairs(spark, vectors, monkeypatch, block):
+@pytest.mark.parametrize(("block", "recall"), [(1024, 1 - 1e-9), (7, 1 - 1e-9), (50, 1)])
+def test_links_equal_all_pairs(spark, vectors, monkeypatch, block, recall):
     monkeypatch.setattr(embeddings, "BLOCK", block)
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
-    got = sorted(map(tuple, embeddings.near_duplicates(frame, recall=1 - 1e-9).collect()), key=str)
+    got = sorted(map(tuple, embeddings.near_duplicates(frame, recall=recall).collect()), key=str)
     assert got == plain(vectors)
 
 
 def test_recall_at_the_threshold():
+    """Nearly all pairs right at the threshold meet, and signs rule out none of them but nearly all others."""
     rng = np.random.default_rng(2)
     planes, tables = embeddings.table_plan(1_000_000)
     a = rng.normal(size=(2000, 64))
@@ -62,8 +63,12 @@ def test_recall_at_the_threshold():
     b -= (a * b).sum(1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     near = 0.95 * a + np.sqrt(1 - 0.95**2) * b
-    met = (embeddings.codes(a, planes, tables) == embeddings.codes(near, planes, tables)).any(axis=1)
+    one, two, far = (embeddings.signs_of(x, planes, tables) for x in (a, near, b))
+    met = (embeddings.codes(one, planes, tables) == embeddings.codes(two, planes, tables)).any(axis=1)
     assert met.mean() > 0.99
+    most = embeddings.most_different(planes * tables)
+    assert ((one != two).sum(axis=1) <= most).all()
+    assert ((one != far).sum(axis=1) > most).mean() > 0.999
 
 
 def test_no_vectors(spark):
