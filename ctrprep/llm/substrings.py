@@ -11,7 +11,7 @@ Three things keep the counting small, none of which loses a window:
   counted first; only windows whose smallest hash occurs in two documents are hashed for counting.
 * Equal windows of one block of documents are resolved in the block, and only the earliest one's goes on to the count.
 
-Windows are compared by 96 bits of hashes.
+Windows are compared by 95 bits of hashes.
 """
 
 from __future__ import annotations
