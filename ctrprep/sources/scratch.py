@@ -16,6 +16,10 @@ _SETTING = "spark.checkpoint.dir"
 # States that a file: folder is on a file system that all machines mount.
 _MOUNTED = "spark.ctrprep.sharedFileSystem"
 _PATH = "_ctrprep_stored_at"
+# Files that a trial of a folder writes for each core, so that all executors at hand take part.
+_TRIAL_FILES = 4
+# The folders, each with its application, that have passed a trial.
+_tried: set[tuple[str, str]] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,8 +27,9 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a session on this machine may go without: it gets a temporary folder, which
     goes when the application ends.  On a cluster the folder has to be set, and one
-    of scheme ``file`` is refused unless ``spark.ctrprep.sharedFileSystem`` says that
-    all machines mount it.
+    of scheme ``file`` is tried out once by an application, unless
+    ``spark.ctrprep.sharedFileSystem`` says that all machines mount it.  It is refused
+    where Spark has not opened a checkpoint folder or the trial does not get its rows back.
     """
     context = spark.sparkContext
     on_cluster = not context.master.startswith("local")
@@ -36,10 +41,28 @@ def shared_folder(spark: SparkSession) -> str:
         context.setCheckpointDir(folder)
         _remove_at_exit(spark, folder)
     if on_cluster and _scheme(spark, folder) == "file" and spark.conf.get(_MOUNTED, "false") != "true":
-        raise RuntimeError(f"{_SETTING} is a folder of one machine: {folder}")
+        if context.getCheckpointDir() is None or not _shared_by_all(spark, folder):
+            raise RuntimeError(f"{_SETTING} is a folder of one machine: {folder}")
     return folder.rstrip("/")
 
 
+def _shared_by_all(spark: SparkSession, folder: str) -> bool:
+    """Whether what tasks write to ``folder`` is all there when other tasks read it."""
+    context = spark.sparkContext
+    if (context.applicationId, folder) not in _tried:
+        path = f"{folder.rstrip('/')}/ctrprep-{context.applicationId}/trial-{uuid.uuid4().hex}"
+        n = _TRIAL_FILES * context.defaultParallelism
+        try:
+            rows = spark.range(0, n, 1, n)
+            rows.write.parquet(path)
+            if spark.read.schema(rows.schema).parquet(path).count() != n:
+                return False
+        finally:
+            _delete(spark, path)
+        _tried.add((context.applicationId, folder))
+    return True
+
+
 def store(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 

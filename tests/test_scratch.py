@@ -41,3 +41,30 @@ def test_clusters_need_a_folder_that_all_machines_share(spark):
         scratch.shared_folder(_Cluster(spark, local))
     mounted = local | {"spark.ctrprep.sharedFileSystem": "true"}
     assert scratch.shared_folder(_Cluster(spark, mounted)) == "file:///tmp/x"
+
+
+class _Opened(_Cluster):
+    """A cluster whose set folder Spark has opened, on machines that keep a share of the written rows to themselves."""
+
+    def __init__(self, spark, settings, lost=0):
+        super().__init__(spark, settings)
+        self._lost, self.read = lost, spark.read
+
+    def getCheckpointDir(self):
+        return self._settings["spark.checkpoint.dir"] + "/opened"
+
+    def range(self, start, end, step, parts):
+        return self._spark.range(start, end - self._lost, step, parts)
+
+
+def test_clusters_take_an_opened_folder_that_gives_the_rows_back(spark, tmp_path):
+    """Without a setting of ours: a folder on a mount has scheme file, too."""
+    folder = f"file://{tmp_path}/shared"
+    assert scratch.shared_folder(_Opened(spark, {"spark.checkpoint.dir": folder})) == folder
+    assert not [names for _, _, names in os.walk(tmp_path) if names]
+
+
+def test_an_opened_folder_that_loses_rows_is_refused(spark, tmp_path):
+    kept = {"spark.checkpoint.dir": f"file://{tmp_path}/kept"}
+    with pytest.raises(RuntimeError, match="one machine"):
+        scratch.shared_folder(_Opened(spark, kept, lost=1))
