@@ -18,8 +18,8 @@ _MOUNTED = "spark.ctrprep.sharedFileSystem"
 _PATH = "_ctrprep_stored_at"
 # Files that a trial of a folder writes for each core, so that all executors at hand take part.
 _TRIAL_FILES = 4
-# The folders, each with its application, that have passed a trial.
-_tried: set[tuple[str, str]] = set()
+# The folders, each with its application and the cores it had, that have passed a trial.
+_tried: set[tuple[str, str, int]] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,9 +27,9 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a session on this machine may go without: it gets a temporary folder, which
     goes when the application ends.  On a cluster the folder has to be set, and one
-    of scheme ``file`` is tried out once by an application, unless
-    ``spark.ctrprep.sharedFileSystem`` says that all machines mount it.  It is refused
-    where Spark has not opened a checkpoint folder or the trial does not get its rows back.
+    of scheme ``file`` is tried out once by an application, and again when it has got more
+    executors, unless ``spark.ctrprep.sharedFileSystem`` says that all machines mount it.  It is
+    refused where Spark has not opened a checkpoint folder or the trial does not get its rows back.
     """
     context = spark.sparkContext
     on_cluster = not context.master.startswith("local")
@@ -49,9 +49,11 @@ def shared_folder(spark: SparkSession) -> str:
 def _shared_by_all(spark: SparkSession, folder: str) -> bool:
     """Whether what tasks write to ``folder`` is all there when other tasks read it."""
     context = spark.sparkContext
-    if (context.applicationId, folder) not in _tried:
+    cores = context.defaultParallelism
+    trial = (context.applicationId, folder, cores)
+    if trial not in _tried:
         path = f"{folder.rstrip('/')}/ctrprep-{context.applicationId}/trial-{uuid.uuid4().hex}"
-        n = _TRIAL_FILES * context.defaultParallelism
+        n = _TRIAL_FILES * cores
         try:
             rows = spark.range(0, n, 1, n)
             rows.write.parquet(path)
@@ -59,7 +61,7 @@ def _shared_by_all(spark: SparkSession, folder: str) -> bool:
                 return False
         finally:
             _delete(spark, path)
-        _tried.add((context.applicationId, folder))
+        _tried.add(trial)
     return True
 
 

@@ -68,3 +68,14 @@ def test_an_opened_folder_that_loses_rows_is_refused(spark, tmp_path):
     kept = {"spark.checkpoint.dir": f"file://{tmp_path}/kept"}
     with pytest.raises(RuntimeError, match="one machine"):
         scratch.shared_folder(_Opened(spark, kept, lost=1))
+
+
+def test_a_folder_is_tried_again_with_more_executors(spark, tmp_path):
+    """The first executors may share a machine with the driver; those that come later may not."""
+    cluster = _Opened(spark, {"spark.checkpoint.dir": f"file://{tmp_path}/shared"})
+    scratch.shared_folder(cluster)
+    cluster._lost = 1
+    scratch.shared_folder(cluster)
+    cluster.defaultParallelism = spark.sparkContext.defaultParallelism + 2
+    with pytest.raises(RuntimeError, match="one machine"):
+        scratch.shared_folder(cluster)
