@@ -75,13 +75,19 @@ class Trees:
         count = values.shape[1]
         flat, row = values.ravel(), np.arange(count)
         offset = self.slot * count
+        # The children of a node side by side, the right one first: one look-up a step.
+        child = np.stack([self.right, self.left], axis=1).ravel()
         out = np.empty((count, len(self.roots)), dtype=np.int32)
         for k, (root, depth) in enumerate(zip(self.roots, self.depths)):
             at = np.full(count, root)
             for _ in range(depth):
-                smaller = flat[offset[at] + row] < self.threshold[at]
-                at = np.where(smaller, self.left[at], self.right[at])
-            out[:, k] = self.leaf[at]
+                place = offset.take(at)
+                place += row
+                smaller = flat.take(place) < self.threshold.take(at)
+                at *= 2
+                at += smaller
+                at = child.take(at)
+            out[:, k] = self.leaf.take(at)
         return out
 
 
@@ -109,29 +115,51 @@ def as_lists(leaves: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))
 
 
-def walk_groups(plan: Sequence[tuple[int | None, float | None]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Leaves of rows that follow the nodes of their group of trees in a task; ``kind`` is 0 for nodes and 1 for rows."""
+def walk_cells(
+    plan: Sequence[tuple[int | None, float | None]], kept: Sequence[str], most: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``kept`` columns of a cell's rows with their leaves.  The rows come before the nodes of the groups of trees, and wait, or
+    after the nodes of a single group.  Besides the leaves of waiting rows at most ``most`` values are laid out at once."""
+
+    def walked(trees: Trees, part: pa.RecordBatch) -> np.ndarray:
+        at_once = max(1, most // len(trees.features))
+        slices = [part.slice(at, at_once) for at in range(0, part.num_rows, at_once)]
+        return np.concatenate([trees.walk(matrix(trees, plan, [x[f"__input{k}"] for k in range(len(plan))])) for x in slices])
+
+    def finished(trees: Trees, part: pa.RecordBatch, found: Sequence[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """The rows with the leaves ``found`` before, and those in their last group."""
+        at_once = max(1, most // (len(trees.roots) + sum(x.shape[1] for x in found)))
+        for at in range(0, part.num_rows, at_once):
+            some = part.slice(at, at_once)
+            leaves = np.concatenate([*[x[at : at + at_once] for x in found], walked(trees, some)], axis=1)
+            yield pa.RecordBatch.from_arrays([*some.select(list(kept)).columns, as_lists(leaves)], names=[*kept, "__leaves"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, trees = None, [], None
+        rows, leaves, held, now, trees = [], [], [], None, None
         for batch in batches:
-            keys = np.column_stack([batch[c].to_numpy(zero_copy_only=False) for c in ("group", "cell", "kind")])
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            groups = batch["__node"].flatten()[0].fill_null(-1).to_numpy()
+            cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(groups)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if lo == hi:
                     continue
-                group, cell, kind = keys[lo].tolist()
-                part = batch.slice(lo, hi - lo)
-                if (group, cell) != now:
-                    now, held, trees = (group, cell), [], None
-                if kind == 0:
-                    held.append(part.select(list(NODE_COLUMNS)))
-                    continue
-                if trees is None:
-                    trees, held = Trees.from_table(pa.Table.from_batches(held)), []
-                leaves = trees.walk(matrix(trees, plan, [part[f"input{k}"] for k in range(len(plan))]))
-                groups = pa.array(np.full(len(leaves), group, np.int32))
-                yield pa.RecordBatch.from_arrays([part["row"], groups, as_lists(leaves)], names=["row", "group", "leaves"])
+                part, group = batch.slice(lo, hi - lo), groups[lo]
+                if group == -1 and now is None:
+                    rows.append(part.drop_columns(["__node"]))
+                    leaves.append([])
+                elif group == -1:
+                    trees = trees or Trees.from_table(pa.Table.from_batches(held))
+                    yield from finished(trees, part, [])
+                else:
+                    if rows and held and group != now:
+                        trees, held = Trees.from_table(pa.Table.from_batches(held)), []
+                        for given, found in zip(rows, leaves):
+                            found.append(walked(trees, given))
+                    now = group
+                    held.append(pa.RecordBatch.from_struct_array(part["__node"]))
+        if rows:
+            trees = Trees.from_table(pa.Table.from_batches(held))
+        while rows:
+            yield from finished(trees, rows.pop(), leaves.pop())
 
     return run
 

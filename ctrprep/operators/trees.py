@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ctrprep.functions import treewalk
-from ctrprep.functions.treewalk import NODE_COLUMNS, Trees, as_lists, matrix, walk_groups
+from ctrprep.functions.treewalk import NODE_COLUMNS, Trees, as_lists, matrix, walk_cells
 from ctrprep.operators.ranking import store_ranked, with_row_index
 from ctrprep.sources.scratch import store
 
@@ -24,6 +24,12 @@ GROUP_NODES = 1_000_000
 SHIPPED_NODES = 20_000_000
 # Cells of the features-by-rows matrix that a walk over vectors lays out at once.
 DENSE_CELLS = 4_000_000
+# Bytes of rows and leaves that a task of the exchange holds at once.
+CELL_BYTES = 64_000_000
+# Runs of neighbours among the rows of such a task.
+CELL_RUNS = 256
+# Columns that go to the Python workers and back unchanged.
+_FLAT = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # The walk travels to the Python workers as code, so that they need not have
 # this package on their path.
@@ -101,9 +107,11 @@ def exchange_leaves(
 ) -> DataFrame:
     """The same for a model of any size, which neither the driver nor a task holds whole.
 
-    Rows are stored under numbers; their inputs are dealt out, once for each group of trees, to where that group is, and
-    the leaves come back by row number in the order of the groups.  A task holds one group.  ``cells`` is the number of tasks
-    that share the rows of a group; without it all groups together take the configured shuffle partitions.
+    Rows are stored and dealt out once, whole, to cells, where they wait for the groups of trees, which come one after another.
+    A task holds one group, and the rows of a cell with their leaves unless there is only one group.  Where the model has more
+    than ``GROUP_NODES`` nodes, or rows hold nested columns, the rows' numbers and inputs are dealt out instead, once for each
+    group, and the leaves come back by row number in the order of the groups.  ``cells`` is the number of tasks that share the
+    rows; without it see :func:`_cell_count`, or all groups together take the configured shuffle partitions.
     """
     sizes = _tree_sizes(nodes)
     if not sizes:
@@ -111,25 +119,45 @@ def exchange_leaves(
     if outputs is not None and outputs != len(sizes):
         raise ValueError(f"{outputs} outputs for {len(sizes)} trees")
     groups = _tree_ranges(sizes, group_nodes)
-    spark = df.sparkSession
-    cells = cells or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // len(groups))
-    # One row for each group of about a million nodes.
-    ranges = F.broadcast(spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(groups)], "group int, first int, last int"))
-    model = node_table(nodes).join(ranges, F.col("tree").between(F.col("first"), F.col("last"))).drop("first", "last")
-    model = model.withColumns({"cell": F.explode(F.sequence(F.lit(0), F.lit(cells - 1))), "kind": F.lit(0)})
-
-    rows = store(df.withColumn("__row", F.monotonically_increasing_id()), "tree-rows")
-    place = F.pmod(F.xxhash64("__row"), F.lit(cells)).cast("int")
-    given = [column.alias(f"input{k}") for k, column in enumerate(_cast_inputs(inputs))]
-    asking = rows.select(F.col("__row").alias("row"), place.alias("cell"), F.lit(1).alias("kind"), *given)
-    asking = asking.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))))
-    both = model.unionByName(asking, allowMissingColumns=True)
-    dealt = both.repartition(len(groups) * cells, "group", "cell").sortWithinPartitions("group", "cell", "kind")
-    walked = dealt.mapInArrow(walk_groups([(i.feature, i.value) for i in inputs]), "row bigint, group int, leaves array<int>")
-    gathered = walked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("group", "leaves"))).alias("__parts"))
-    leaves = F.flatten(F.transform("__parts", lambda part: part["leaves"]))
-    found = gathered.select(F.col("row").alias("__row"), leaves.alias("__all_leaves"))
-    return rows.join(found, "__row").select(*df.columns, F.col("__all_leaves").alias(to))
+    given = [column.alias(f"__input{k}") for k, column in enumerate(_cast_inputs(inputs))]
+    small = len(groups) == 1 or sum(n for _, n in sizes) <= GROUP_NODES
+    if whole := small and all(isinstance(field.dataType, _FLAT) for field in df.schema):
+        # The inputs are among the columns, so that they come on top only for the walk.
+        asking = rows = store(df, "tree-rows")
+        band, number = F.lit(0), F.monotonically_increasing_id()
+        kept, named = df.columns, given
+    else:
+        rows = store(df.withColumn("__row", F.monotonically_increasing_id()), "tree-rows")
+        asking = rows.select("__row", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))).alias("__band"), *given)
+        band, number = F.col("__band"), F.col("__row")
+        kept, named = ["__row", "__band"], [f"__input{k}" for k in range(len(given))]
+    # A band is what a row meets in one place.
+    bands = [0] * len(groups) if whole else list(range(len(groups)))
+    waiting = whole and len(groups) > 1
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Texts are the columns of a whole row whose width is not known.
+    texts = [c for c in kept if waiting and isinstance(asking.schema[c].dataType, (T.StringType, T.BinaryType))]
+    count, *lengths = rows.agg(F.count(F.lit(1)), *[F.sum(F.octet_length(c)) for c in texts]).first()
+    if not cells and waiting:
+        width = 8 * len(kept) + sum(n or 0 for n in lengths) // max(1, count)
+        cells = _cell_count(count, width, sizes, partitions)
+    cells = cells or max(1, partitions // (bands[-1] + 1))
+
+    # Neighbours are dealt out in short runs, which compress better than single rows.
+    run = F.floor(number / max(1, count // cells // CELL_RUNS))
+    asking = asking.withColumn("__cell", (band * cells + F.pmod(F.xxhash64(run), F.lit(cells))).cast("int"))
+    both = asking.unionByName(_dealt_nodes(nodes, groups, bands, cells, min(cells, partitions)), allowMissingColumns=True)
+    group = F.col("__node.group")
+    dealt = both.repartitionById((bands[-1] + 1) * cells, F.col("__cell"))
+    dealt = dealt.sortWithinPartitions(group.asc_nulls_first() if waiting else group.asc_nulls_last())
+    schema = T.StructType([asking.schema[name] for name in kept]).add("__leaves", T.ArrayType(T.IntegerType()))
+    walk = walk_cells([(i.feature, i.value) for i in inputs], kept, DENSE_CELLS)
+    walked = dealt.select("__node", *kept, *named).mapInArrow(walk, schema)
+    if whole:
+        return walked.select(*df.columns, F.col("__leaves").alias(to))
+    gathered = walked.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("__band", "__leaves"))).alias("__parts"))
+    leaves = F.flatten(F.transform("__parts", lambda part: part["__leaves"]))
+    return rows.join(gathered, "__row").select(*df.columns, leaves.alias(to))
 
 
 def encode_vector(df: DataFrame, nodes: DataFrame, vector: str, to: str = "leaves") -> DataFrame:
@@ -173,6 +201,22 @@ def _tree_ranges(sizes: Sequence[tuple[int, int]], group_nodes: int | None = Non
     return ranges
 
 
+def _cell_count(rows: int, width: int, sizes: Sequence[tuple[int, int]], partitions: int) -> int:
+    """How many cells share rows of about ``width`` bytes that wait for all groups: so many that a cell's rows and leaves take about
+    ``CELL_BYTES``.  Beyond that they are as many as ``partitions``, unless a cell would have fewer rows than nodes come to it."""
+    needed = -(-rows * (width + 4 * len(sizes)) // CELL_BYTES)
+    return max(1, needed, min(partitions, rows // sum(n for _, n in sizes)))
+
+
+def _dealt_nodes(nodes: DataFrame, groups: Sequence[tuple[int, int]], bands: Sequence[int], cells: int, tasks: int) -> DataFrame:
+    """The nodes with their group, once for each cell of its band; that many ``tasks`` make the copies."""
+    ranges = [(k, band, *group) for k, (band, group) in enumerate(zip(bands, groups))]
+    ranges = F.broadcast(nodes.sparkSession.createDataFrame(ranges, "group int, band int, first int, last int"))
+    placed = node_table(nodes).join(ranges, F.col("tree").between(F.col("first"), F.col("last"))).repartition(tasks, "tree", "node")
+    cell = F.explode(F.sequence(F.col("band") * cells, F.col("band") * cells + F.lit(cells - 1)))
+    return placed.select(F.struct("group", *NODE_COLUMNS).alias("__node"), cell.alias("__cell"))
+
+
 def _tree_groups(nodes: DataFrame, sizes: Sequence[tuple[int, int]] | None = None) -> Iterator[Trees]:
     """The model as arrays, a group at a time."""
     for first, last in _tree_ranges(_tree_sizes(nodes) if sizes is None else sizes):

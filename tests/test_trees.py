@@ -255,6 +255,70 @@ def test_a_model_met_by_exchange_equals_the_shipped_one(spark, monkeypatch):
         trees.exchange_leaves(rows, numbered.where("false"), inputs)
 
 
+def _shuffled_records(df):
+    """Records that all exchanges of a query that has run wrote."""
+    total, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        left.extend(children.apply(k) for k in range(children.size()))
+    return total
+
+
+def test_rows_meet_all_groups_of_trees_in_one_exchange(spark):
+    """Neither the rows nor their leaves move once for each group, which takes many times the disk."""
+    from ctrprep.plans.queries import nation_model
+
+    numbered = trees.number_leaves(nation_model(spark, "/root/testdata/sf0.001"), 7)
+    rows = spark.range(20_000).select((F.col("id") % 9).alias("a"), (F.col("id") % 7).alias("b"))
+    inputs = trees.parse_inputs("0:a,1:b", rows.columns)
+    got = trees.exchange_leaves(rows, numbered, inputs, group_nodes=30, cells=6)
+    found = rows_of(got)
+    # 175 nodes in five groups, once for each cell and a few times before.
+    assert 20_000 + 6 * 175 <= _shuffled_records(got) < 20_000 + 12 * 175
+    assert found == rows_of(trees.encode_leaves(rows, numbered, inputs))
+
+
+def test_whole_rows_of_any_kind_pass_the_exchange(spark, monkeypatch):
+    """Texts, times, nested columns and NULLs; cells of a few rows, slices of one, and no rows at all."""
+    from ctrprep.plans.queries import nation_model
+
+    numbered = trees.number_leaves(nation_model(spark, "/root/testdata/sf0.001"), 7)
+    number = F.col("id")
+    flat = spark.range(500).select(
+        (number % 40).alias("row"), (number % 9).cast("double").alias("a"), F.when(number % 5 > 0, number % 7).alias("group"),
+        F.when(number % 3 > 0, F.repeat(F.lit("é"), (number % 11).cast("int"))).alias("tree"), F.lit(b"x").alias("node"),
+        F.timestamp_micros(number * 1_000_003).alias("t"), F.date_from_unix_date(number.cast("int")).alias("d"),
+        (number / 7).cast("decimal(20,5)").alias("dec"), (number % 2 == 0).alias("flag"),
+    )
+    nested = flat.withColumns({"list": F.array("tree"), "pair": F.struct("a", "t"), "map": F.create_map("row", "group")})
+    monkeypatch.setattr(trees, "CELL_BYTES", 3000)
+    monkeypatch.setattr(trees, "DENSE_CELLS", 2)
+    for rows, nodes in ((flat, 30), (flat, None), (nested, 30), (flat.where("false"), 30), (nested.where("false"), 30)):
+        inputs = trees.parse_inputs("0:a,1:group,row:4", rows.columns)
+        got = trees.exchange_leaves(rows, numbered, inputs, group_nodes=nodes)
+        assert got.columns == [*rows.columns, "leaves"] and [x for _, x in got.dtypes[:-1]] == [x for _, x in rows.dtypes]
+        shipped = trees.encode_leaves(rows, numbered, inputs)
+        assert sorted(map(str, got.collect())) == sorted(map(str, shipped.collect()))
+
+
+def test_cells_stay_small():
+    """However many rows there are, a task holds about as many bytes of rows and leaves."""
+    sizes = [(k, 127) for k in range(100)]
+    for rows in (10**7, 10**8, 10**10):
+        cells = trees._cell_count(rows, 80, sizes, 12)
+        assert trees.CELL_BYTES * (cells - 1) < rows * (80 + 4 * 100) <= trees.CELL_BYTES * cells
+    assert trees._cell_count(100_000, 80, sizes, 200) == 7
+    assert trees._cell_count(0, 80, sizes, 200) == 1
+
+
 ODD_TEXTS = [
     "1:2", "1:2,0:3.5,1:7", "", None, "5:.5,x", "1:2:3", "-3:-4.", "99999999999:1", "7", ":", "1:", ":1", "1:-", "1:1.2.3", "-:1", "1:--1",
     "3:1,2:2,3:5", " 1 : 2 ", "1:1e3", "1:0x10", "1:NaN", "1:Infinity", "1:5f", "+1:2", "1:+2", "2147483647:1,2147483648:1,-2147483648:2", "1.5:2",
